@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import imatch, mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,5 +17,10 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op4_mix_sources": op4_mix_sources}
+def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprints of every text and its edited text, with their likeness."""
+    return imatch.edited_pairs(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op4_mix_sources": op4_mix_sources, "op10_imatch": op10_imatch}
 ORACLES: dict[str, str] = {}
