@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, mixing
+from . import imatch, mixing, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,10 +17,20 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of all texts, and the components of links at 4 or fewer differing bits."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I-Match fingerprints of every text and its edited text, with their likeness."""
     return imatch.edited_pairs(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_mix_sources": op4_mix_sources, "op10_imatch": op10_imatch}
+QUERIES = {
+    "op4_mix_sources": op4_mix_sources,
+    "op7_simhash": op7_simhash,
+    "op10_imatch": op10_imatch,
+}
 ORACLES: dict[str, str] = {}
