@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, mixing, simhash
+from . import imatch, mixing, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives, read back and assembled."""
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I-Match fingerprints of every text and its edited text, with their likeness."""
     return imatch.edited_pairs(_table(spark, sf_dir, "documents"))
@@ -31,6 +36,7 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_mix_sources": op4_mix_sources,
     "op7_simhash": op7_simhash,
+    "op9_warc": op9_warc,
     "op10_imatch": op10_imatch,
 }
 ORACLES: dict[str, str] = {}
