@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, mixing, packing, simhash, warc
+from . import html_extract, imatch, mixing, packing, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return packing.pack(_table(spark, sf_dir, "documents"))
@@ -40,6 +45,7 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_mix_sources": op4_mix_sources,
+    "op5_extract": op5_extract,
     "op6_pack": op6_pack,
     "op7_simhash": op7_simhash,
     "op9_warc": op9_warc,
