@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_extract, imatch, mixing, packing, simhash, toxicity, warc
+from . import ann, html_extract, imatch, mixing, packing, simhash, suffix_array, suffix_tree, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words kept of every document once windows of 13 words of smaller documents are gone."""
+    return suffix_tree.dedup(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every text."""
     docs = _table(spark, sf_dir, "documents")
@@ -46,6 +51,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes kept of every document once strings of 50 bytes of smaller documents are gone."""
+    return suffix_array.dedup(_table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives, read back and assembled."""
     return warc.round_trip(_table(spark, sf_dir, "pages"))
@@ -58,11 +68,13 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ann": op1_ann,
+    "op2_suffix_tree": op2_suffix_tree,
     "op3_toxicity": op3_toxicity,
     "op4_mix_sources": op4_mix_sources,
     "op5_extract": op5_extract,
     "op6_pack": op6_pack,
     "op7_simhash": op7_simhash,
+    "op8_suffix_array": op8_suffix_array,
     "op9_warc": op9_warc,
     "op10_imatch": op10_imatch,
 }
