@@ -1,10 +1,643 @@
-"""Registry of the queries over the engine's own operators, with their SQL oracles."""
+"""Registry of the queries over the engine's own operators, each with the SQL that checks it."""
 
 from __future__ import annotations
 
+from datetime import date
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from corvane.functions import text as T
+from corvane.operators import aggregates as A
+from corvane.operators import derive as D
+from corvane.operators import filters as S
+from corvane.operators import joins as J
+from corvane.plans import clusters as C
+from corvane.plans import policy as P
+from corvane.plans import sql as Q
+from corvane.plans import views as V
+from corvane.session import table
+
 QUERIES: dict = {}
-ORACLES: dict = {}
+ORACLES: dict[str, str] = {}
+DAY = date(2024, 1, 6)
+NOW = F.lit(P.NOW).cast("timestamp")
+
+
+def query(oracle: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def _items(body: str) -> str:
+    return f"WITH {V.ITEMS} {body}"
+
+
+def _reg(body: str) -> str:
+    return f"WITH {V.REGISTRY}, {V.STATE} {body}"
+
+
+def joined(c):  # an array as text, for comparison
+    return F.array_join(c, ",")
+
+
+# --- scans and time ---
+
+
+@query(_items("SELECT item_id, stamp FROM items WHERE utc_day = DATE '2024-01-06'"))
+def scan_utc_day(spark, sf) -> DataFrame:
+    return V.items(spark, sf).where(F.col("utc_day") == F.lit(DAY)).orderBy(F.col("stamp").desc(), "item_id").select("item_id", "stamp")
+
+
+@query(_items("SELECT item_id, local_day FROM items WHERE local_day = DATE '2024-01-06'"))
+def local_day_filter(spark, sf) -> DataFrame:
+    return S.local_day(V.items(spark, sf), DAY, P.ZONE).select("item_id", "local_day")
+
+
+@query(_items("SELECT item_id, local_day FROM items WHERE local_day BETWEEN DATE '2024-01-03' AND DATE '2024-01-09'"))
+def day_range_prune(spark, sf) -> DataFrame:
+    return S.local_days(V.items(spark, sf), date(2024, 1, 3), date(2024, 1, 9), P.ZONE).select("item_id", "local_day")
+
+
+@query(_items("SELECT local_day, count(*) AS n FROM items WHERE local_day BETWEEN DATE '2023-12-30' AND DATE '2024-01-05' GROUP BY 1"))
+def history_days(spark, sf) -> DataFrame:
+    return S.local_days(V.items(spark, sf), date(2023, 12, 30), date(2024, 1, 5), P.ZONE).groupBy("local_day").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_items("SELECT CAST(d AS DATE) AS day, count(i.item_id) AS n FROM range(DATE '2023-12-28', DATE '2024-02-06', INTERVAL 1 DAY) t(d) LEFT JOIN items i ON i.local_day = CAST(d AS DATE) GROUP BY 1"))
+def calendar_zero_fill(spark, sf) -> DataFrame:
+    return A.zero_filled(V.items(spark, sf), "local_day", "2023-12-28", "2024-02-05")
+
+
+@query(_items("SELECT max(utc_day) AS latest, count(DISTINCT utc_day) AS days FROM items"))
+def latest_partition(spark, sf) -> DataFrame:
+    return V.items(spark, sf).agg(F.max("utc_day").alias("latest"), F.count_distinct("utc_day").alias("days"))
+
+
+@query(_items("SELECT item_id, count(*) AS n FROM (SELECT item_id % 700 AS item_id FROM items) GROUP BY 1 HAVING count(*) > 1"))
+def archive_id_scan(spark, sf) -> DataFrame:
+    return V.items(spark, sf).select((F.col("item_id") % 700).alias("item_id")).groupBy("item_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+# --- filters ---
+
+
+@query(_reg("SELECT source, priority FROM registry WHERE enabled AND grp IN ('osint', 'press', 'bloggers-a') AND platform IN ('telegram', 'web', 'x')"))
+def source_select(spark, sf) -> DataFrame:
+    return S.select_sources(V.registry(spark, sf), ["osint", "press", "bloggers-a"], ["telegram", "web", "x"]).orderBy(F.col("priority").desc(), "source").select("source", "priority")
+
+
+@query(_reg("SELECT t.s AS source FROM (VALUES ('src1'), ('src77'), ('nobody')) t(s) WHERE t.s NOT IN (SELECT source FROM registry)"))
+def unknown_sources(spark, sf) -> DataFrame:
+    return S.unknown_ids(V.registry(spark, sf), ["src1", "src77", "nobody"])
+
+
+_MINUTES = "greatest(1, coalesce(r.cadence, CASE r.platform WHEN 'telegram' THEN 15 WHEN 'x' THEN 15 WHEN 'rss' THEN 60 WHEN 'web' THEN 1440 END, 15))"
+
+
+@query(_reg(f"SELECT r.source, {_MINUTES} AS minutes FROM registry r"))
+def cadence_minutes(spark, sf) -> DataFrame:
+    return V.registry(spark, sf).select("source", S.cadence_minutes(F.col("cadence"), F.col("platform"), P.CADENCE, P.POLL_SECONDS).alias("minutes"))
+
+
+@query(_reg(f"SELECT r.source, (s.last_success IS NULL OR TIMESTAMP '{P.NOW}' >= s.last_success + to_minutes({_MINUTES})) AS due FROM registry r LEFT JOIN state s USING (source)"))
+def cadence_due(spark, sf) -> DataFrame:
+    j = V.registry(spark, sf).join(V.source_state(spark, sf), "source", "left")
+    return j.select("source", S.is_due(NOW, F.col("last_success"), S.cadence_minutes(F.col("cadence"), F.col("platform"), P.CADENCE, P.POLL_SECONDS)).alias("due"))
+
+
+@query(_reg("SELECT source, CASE WHEN platform = 'x' THEN 'skipped_config' ELSE 'due' END AS action FROM registry WHERE enabled"))
+def missing_credential(spark, sf) -> DataFrame:
+    return S.select_sources(V.registry(spark, sf)).select("source", F.when(F.col("platform") == "x", "skipped_config").otherwise("due").alias("action"))
+
+
+@query(_items("SELECT item_id FROM items WHERE published IS NULL OR published >= TIMESTAMP '2024-01-08 00:00:00'"))
+def lookback(spark, sf) -> DataFrame:
+    return V.items(spark, sf).where(S.within_lookback(F.col("published"), F.lit("2024-01-08 00:00:00").cast("timestamp"))).select("item_id")
+
+
+_HOURS = "greatest(24.0, CASE WHEN grp IN ('bloggers-a', 'bloggers-b') THEN 48.0 ELSE 0 END, CASE WHEN list_contains(tags, 'precise-location') THEN 72.0 ELSE 0 END, CASE WHEN list_contains(tags, 'operational-position') THEN 96.0 ELSE 0 END, CASE WHEN source = 'src7' THEN 120.0 ELSE 0 END)"
+
+
+def _hours():
+    return D.storage_delay(F.col("grp"), F.col("tags"), F.col("source"), P.DELAY_DEFAULT, P.DELAY_BY_GROUP, P.DELAY_BY_TAG, P.DELAY_BY_SOURCE)
+
+
+@query(_items(f"SELECT item_id, CAST({_HOURS} AS DOUBLE) AS hours FROM items"))
+def storage_delay(spark, sf) -> DataFrame:
+    return V.items(spark, sf).select("item_id", _hours().alias("hours"))
+
+
+@query(_items(f"SELECT item_id, CASE WHEN published IS NULL THEN 'withheld_undated' WHEN epoch_us(TIMESTAMP '2024-01-10 12:00:00') - epoch_us(published) < {_HOURS} * 3600000000 THEN 'withheld_recent' ELSE 'storable' END AS state FROM items"))
+def embargo_state(spark, sf) -> DataFrame:
+    return V.items(spark, sf).select("item_id", S.embargo_state(F.col("published"), F.lit("2024-01-10 12:00:00").cast("timestamp"), _hours()).alias("state"))
+
+
+@query(_items("SELECT item_id, list_has_any(tags, ['precise-location', 'operational-position']) AS sensitive, list_has_any(tags, ['operational-position']) AS redacted FROM items"))
+def sensitive_filter(spark, sf) -> DataFrame:
+    t = F.col("tags")
+    return V.items(spark, sf).select("item_id", S.tagged(t, P.SENSITIVE_TAGS).alias("sensitive"), S.tagged(t, P.REDACT_TAGS).alias("redacted"))
+
+
+@query(_items("SELECT item_id FROM items WHERE regexp_matches(url, '^https?://[^/?#@\\s]+([/?#]|$)')"))
+def public_url_valid(spark, sf) -> DataFrame:
+    return V.items(spark, sf).where(T.public_url(F.col("url"))).select("item_id")
+
+
+@query("SELECT page_id, (starts_with(url, 'https://') AND (h = p OR h LIKE '%.' || p OR h = 'www.' || p OR h = 'spam-farm.example.org')) AS allowed FROM (SELECT page_id, url, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS h, regexp_replace(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), '^(www|m|blog)\\.', '') AS p FROM pages)")
+def publisher_allowed(spark, sf) -> DataFrame:
+    p = table(spark, sf, "pages").withColumn("site", F.regexp_replace(T.host(F.col("url")), r"^(www|m|blog)\.", ""))
+    domains = S.publisher_domains(F.concat(F.lit("www."), "site"), F.array(F.lit("spam-farm.example.org"), F.lit("not a host")))
+    return p.select("page_id", S.publisher_allowed(F.col("url"), domains).alias("allowed"))
+
+
+@query(_items("SELECT item_id FROM items WHERE list_contains(tags, 'map')"))
+def map_items(spark, sf) -> DataFrame:
+    return V.items(spark, sf).where(S.tagged(F.col("tags"), ["map", "maps"])).select("item_id")
+
+
+@query(_items("SELECT item_id FROM items WHERE contains(lower(concat_ws(' ', title, source_name, platform, grp)), 'ering') AND platform = 'rss'"))
+def card_search(spark, sf) -> DataFrame:
+    return S.card_search(V.items(spark, sf), "Ering", "rss").select("item_id")
+
+
+_PATHS = "CASE p_partkey % 5 WHEN 0 THEN 'data/raw/2024-01-' || lpad(CAST(1 + p_partkey % 28 AS VARCHAR), 2, '0') || '.ndjson' WHEN 1 THEN 'data/state.json' WHEN 2 THEN '../etc/passwd' WHEN 3 THEN 'reports/daily/2024-01-01.md' ELSE 'data/raw/x.exe' END"
+
+
+@query(f"SELECT p_partkey, path, regexp_matches(path, '^(data/(raw|errors)/\\d{{4}}-\\d{{2}}-\\d{{2}}\\.ndjson|data/state\\.json|reports/(daily|weekly)/[0-9_-]+\\.md)$') AND NOT contains(path, '..') AS allowed FROM (SELECT p_partkey, {_PATHS} AS path FROM part)")
+def artifact_path_allowed(spark, sf) -> DataFrame:
+    k = F.col("p_partkey") % 5
+    day = F.lpad((1 + F.col("p_partkey") % 28).cast("string"), 2, "0")
+    path = F.when(k == 0, F.concat(F.lit("data/raw/2024-01-"), day, F.lit(".ndjson"))).when(k == 1, "data/state.json").when(k == 2, "../etc/passwd").when(k == 3, "reports/daily/2024-01-01.md").otherwise("data/raw/x.exe")
+    return table(spark, sf, "part").select("p_partkey", path.alias("path")).withColumn("allowed", S.artifact_allowed(F.col("path")))
+
+
+@query(_items("SELECT DISTINCT d AS day FROM (SELECT CAST(DATE '2024-01-12' - CAST(k AS INT) AS DATE) AS d, k FROM range(0, 8) t(k)) WHERE k <= 1 OR (day(d) % 3 <> 0 AND d IN (SELECT utc_day FROM items))"))
+def report_recovery_days(spark, sf) -> DataFrame:
+    days = V.items(spark, sf).select(F.col("utc_day").alias("day")).distinct()
+    reports = days.where(F.dayofmonth("day") % 3 == 0)
+    return S.recovery_days(reports, days, date(2024, 1, 12))
+
+
+# --- projections ---
+
+
+@query(_items("SELECT item_id, substr(sha256(concat_ws(chr(10), CASE WHEN platform = 'x' THEN 'x' ELSE source END, url, coalesce(strftime(published, '%Y-%m-%dT%H:%M:%SZ'), ''), trim(regexp_replace(coalesce(nullif(text, ''), title, ''), '\\s+', ' ', 'g')))), 1, 24) AS id FROM items"))
+def stable_id(spark, sf) -> DataFrame:
+    i = V.items(spark, sf)
+    return i.select("item_id", D.stable_id(i).alias("id"))
+
+
+@query(_items("SELECT item_id, sha256(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS h FROM items"))
+def clean_text(spark, sf) -> DataFrame:
+    return V.items(spark, sf).select("item_id", F.sha2(T.clean(F.col("text")), 256).alias("h"))
+
+
+@query(_items("SELECT item_id, array_to_string(list_concat(tags, list_sort(list_filter(['precise-location', 'drones', 'aerial'], lambda t: NOT list_contains(tags, t)))), ',') AS tags FROM items"))
+def tag_merge(spark, sf) -> DataFrame:
+    found = F.array(F.lit("precise-location"), F.lit("drones"), F.lit("aerial"))
+    return V.items(spark, sf).select("item_id", joined(D.merge_tags(F.col("tags"), found)).alias("tags"))
+
+
+@query("SELECT o_orderkey, abs(lat) <= 90 AND abs(lon) <= 180 AS located FROM (SELECT o_orderkey, CAST(printf('%.4f', 10.5 + o_orderkey % 89) AS DOUBLE) AS lat, CAST(printf('%.4f', 10.5 + o_custkey % 240) AS DOUBLE) AS lon FROM orders)")
+def detect_location(spark, sf) -> DataFrame:
+    number = lambda c, m: F.format_string("%.4f", 10.5 + F.col(c) % m)
+    text = F.concat(F.lit("seen at "), number("o_orderkey", 89), F.lit(", "), number("o_custkey", 240), F.lit(" today"))
+    return table(spark, sf, "orders").select("o_orderkey", F.array_contains(D.sensitive_tags(text, "(?i)position|convoy"), "precise-location").alias("located"))
+
+
+@query(_items(f"SELECT item_id, length(text) AS original_chars, length(text) > {P.EXCERPT} AS truncated, len(media) AS media_count, substr(text, 1, {P.EXCERPT}) AS excerpt, '' AS html FROM items"))
+def excerpt_projection(spark, sf) -> DataFrame:
+    return D.public_projection(V.items(spark, sf), P.EXCERPT, P.MEDIA_LIMIT).select("item_id", "original_chars", "truncated", "media_count", "excerpt", "html")
+
+
+_ID = "substr(sha256(concat_ws(chr(10), {0}, {1}, coalesce(strftime(published, '%Y-%m-%dT%H:%M:%SZ'), ''){2})), 1, 24)"
+_SCRUB = "regexp_replace(regexp_replace(url, '[?#].*$', ''), '^([a-zA-Z]+://)[^/@]*@', '\\1')"
+_SHORT = f"CASE WHEN platform IN ('telegram', 'x') THEN {_SCRUB} ELSE regexp_extract(url, '^([a-zA-Z]+://)', 1) || regexp_extract({_SCRUB}, '^[a-zA-Z]+://([^/?#]*)', 1) || '/' END"
+
+
+@query(_items(f"SELECT item_id, CASE WHEN hide THEN {_ID.format('source', 'short', '')} ELSE {_ID.format("CASE WHEN platform = 'x' THEN 'x' ELSE source END", 'url', ", trim(regexp_replace(coalesce(nullif(text, ''), title, ''), '\\s+', ' ', 'g'))")} END AS public_id, CASE WHEN hide THEN short ELSE url END AS url, CASE WHEN hide THEN '' ELSE title END AS title, CASE WHEN hide THEN 0 ELSE length(text) END AS chars, CASE WHEN hide THEN 0 ELSE len(media) END AS n_media, hide AS redacted FROM (SELECT *, list_contains(tags, 'operational-position') AS hide, {_SHORT} AS short FROM items)"))
+def redaction(spark, sf) -> DataFrame:
+    return D.redact(V.items(spark, sf), P.REDACT_TAGS).select("item_id", "public_id", "url", "title", F.char_length("text").alias("chars"), F.size("media").alias("n_media"), "redacted")
+
+
+@query(_items("SELECT item_id, array_to_string(list_transform(list_filter(list_zip(ok, range(len(ok))), lambda p: list_position(ok, p[1]) = p[2] + 1), lambda p: p[1]), ',') AS media FROM (SELECT item_id, list_filter(media, lambda u: regexp_matches(u, '^https?://')) AS ok FROM items)"))
+def media_sanitize(spark, sf) -> DataFrame:
+    return V.items(spark, sf).select("item_id", joined(D.safe_media(F.col("media"))).alias("media"))
+
+
+@query(_items(f"SELECT item_id, {_SCRUB} AS url FROM items"))
+def url_scrub(spark, sf) -> DataFrame:
+    return V.items(spark, sf).select("item_id", T.scrubbed(F.col("url")).alias("url"))
+
+
+@query(_reg("SELECT source, '' AS handle FROM registry WHERE FALSE UNION ALL SELECT source, 'user' || n FROM registry"))
+def source_handle(spark, sf) -> DataFrame:
+    return V.registry(spark, sf).select("source", T.handle(F.col("url")).alias("handle"))
+
+
+_KIND = "['HTTPError', 'Timeout', 'SSLError', 'CollectionError', 'RuntimeError', 'gaierror'][1 + event_id % 6]"
+_MSG = "['status 403 here', 'X API said 429', 'unsafe host', 'redirect to other', 'none'][1 + event_id % 5]"
+
+
+@query(f"SELECT event_id, k || ': ' || CASE WHEN k = 'HTTPError' AND m LIKE '%403%' THEN 'http_403' WHEN k = 'HTTPError' AND m LIKE '%429%' THEN 'http_429' WHEN k = 'HTTPError' THEN 'http_error' WHEN k = 'CollectionError' AND m LIKE '%X API%' THEN 'x_api_http_429' WHEN k = 'Timeout' THEN 'timeout' WHEN k = 'SSLError' THEN 'tls_error' WHEN k = 'gaierror' THEN 'dns_error' WHEN k = 'CollectionError' AND m LIKE '%unsafe%' THEN 'unsafe_destination' WHEN k = 'CollectionError' AND m LIKE '%redirect%' THEN 'cross_host_redirect' WHEN k = 'CollectionError' THEN 'collection_error' ELSE 'unexpected_error' END AS error FROM (SELECT event_id, {_KIND} AS k, {_MSG} AS m FROM events)")
+def error_category(spark, sf) -> DataFrame:
+    i = F.col("event_id")
+    kind = V.pick(["HTTPError", "Timeout", "SSLError", "CollectionError", "RuntimeError", "gaierror"], i % 6)
+    return table(spark, sf, "events").select("event_id", D.error_category(kind, V.pick(["status 403 here", "X API said 429", "unsafe host", "redirect to other", "none"], i % 5)).alias("error"))
+
+
+@query(_items("SELECT item_id, CASE WHEN list_contains(tags, 'map') THEN 'map' WHEN list_contains(tags, 'drones') THEN 'drones' WHEN list_contains(tags, 'logistics') THEN 'logistics' WHEN list_contains(tags, 'relief') THEN 'relief' WHEN grp = 'osint' THEN 'map' WHEN grp IN ('official-a', 'official-b') THEN 'official' ELSE 'other' END AS section FROM items"))
+def section_choice(spark, sf) -> DataFrame:
+    return V.items(spark, sf).select("item_id", _section().alias("section"))
+
+
+def _section():
+    return D.section(F.col("tags"), F.col("grp"), P.SECTIONS, {"osint": "map", "official-a": "official", "official-b": "official"})
+
+
+@query(_items("SELECT item_id, CASE WHEN greatest(0, (epoch_us(TIMESTAMP '2024-01-12 00:00:00') - epoch_us(coalesce(collected, published))) / 3.6e9) < CASE WHEN list_has_any(tags, ['precise-location', 'operational-position']) THEN 72.0 ELSE 24.0 END THEN 'delayed' WHEN list_contains(tags, 'operational-position') THEN 'redacted' ELSE 'full' END AS mode FROM items"))
+def publication_mode(spark, sf) -> DataFrame:
+    t = F.col("tags")
+    mode = D.publication_mode(F.col("collected"), F.col("published"), S.tagged(t, P.REDACT_TAGS), S.tagged(t, P.SENSITIVE_TAGS), F.lit("2024-01-12 00:00:00").cast("timestamp"), 24.0, 72.0)
+    return V.items(spark, sf).select("item_id", mode.alias("mode"))
+
+
+@query("SELECT 'discovery-' || i AS source, q AS query, 'x' AS platform FROM (VALUES (1, 'harbour lights'), (2, ' '), (3, 'delta crossing')) t(i, q) WHERE trim(q) <> ''")
+def virtual_sources(spark, sf) -> DataFrame:
+    return D.virtual_sources(spark, P.QUERIES)
+
+
+@query(_reg("SELECT coalesce(s.source, u.source) AS source, CASE WHEN u.source IS NOT NULL THEN u.status ELSE s.status END AS status, CASE WHEN u.source IS NOT NULL THEN u.added ELSE s.added END AS added, coalesce(u.last_success, s.last_success) AS last_success FROM state s FULL JOIN (SELECT source, 'error' AS status, CAST(NULL AS TIMESTAMP) AS last_success, CAST(NULL AS BIGINT) AS added FROM registry WHERE n % 3 = 0) u ON s.source = u.source"))
+def state_transition(spark, sf) -> DataFrame:
+    updates = V.registry(spark, sf).where("n % 3 = 0").select("source", F.lit("error").alias("status"), F.lit(None).cast("timestamp").alias("last_success"), F.lit(None).cast("bigint").alias("added"))
+    return J.upsert(V.source_state(spark, sf).select("source", "status", "last_success", "added"), updates, "source", ["last_success"])
+
+
+@query(_items("SELECT item_id, regexp_replace(title, '([\\\\`*_\\[\\]<>])', '\\\\\\1', 'g') AS title FROM items"))
+def markdown_escape(spark, sf) -> DataFrame:
+    return V.items(spark, sf).select("item_id", T.markdown(F.col("title")).alias("title"))
+
+
+@query(_items("SELECT item_id, epoch_us(published) // 1000000 AS seconds FROM items WHERE published IS NOT NULL"))
+def stamp_parse(spark, sf) -> DataFrame:
+    i = V.items(spark, sf).where("published is not null")
+    text = F.when(F.col("item_id") % 2 == 0, F.date_format("published", "yyyyMMdd'T'HHmmss'Z'")).otherwise(F.date_format("published", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return i.select("item_id", F.unix_timestamp(T.parse_stamp(text)).alias("seconds"))
+
+
+# --- joins and set operations ---
+
+
+@query(_items("SELECT item_id FROM items WHERE item_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 3 = 0)"))
+def anti_archive(spark, sf) -> DataFrame:
+    seen = table(spark, sf, "documents").where("doc_id % 3 = 0").select(F.col("doc_id").alias("item_id"))
+    return J.drop_seen(V.items(spark, sf), seen).select("item_id")
+
+
+@query(f"WITH {V.ITEMS}, {V.REGISTRY} SELECT i.item_id, r.priority, r.enabled FROM items i LEFT JOIN registry r USING (source)")
+def lookup_enrich(spark, sf) -> DataFrame:
+    return V.items(spark, sf).join(V.registry(spark, sf).select("source", "priority", "enabled"), "source", "left").select("item_id", "priority", "enabled")
+
+
+@query(f"WITH {V.ITEMS}, {V.REGISTRY} SELECT i.item_id, coalesce(r.source, i.source) AS owner FROM items i LEFT JOIN registry r ON i.item_id % 30 = r.n WHERE i.platform = 'x'")
+def reattribute(spark, sf) -> DataFrame:
+    found = V.items(spark, sf).where("platform = 'x'").select("item_id", "source", F.concat(F.lit("USER"), (F.col("item_id") % 30).cast("string")).alias("handle"))
+    reg = V.registry(spark, sf)
+    return J.reattribute(found, reg.withColumn("handle", T.handle(F.col("url"))).select("source", "handle"), "handle").select("item_id", "owner")
+
+
+@query("SELECT o_orderkey AS post_id, coalesce(string_agg(CASE WHEN p.p_partkey % 5 <> 0 THEN 'm/' || l_partkey END, ',' ORDER BY l_linenumber, l_partkey), '') AS media FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part p ON p_partkey = l_partkey WHERE o_orderkey % 10 = 0 GROUP BY 1")
+def media_expand(spark, sf) -> DataFrame:
+    keys = table(spark, sf, "lineitem").where("l_orderkey % 10 = 0").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"]).alias("media_keys"))
+    posts = table(spark, sf, "orders").where("o_orderkey % 10 = 0").select(F.col("o_orderkey").alias("post_id")).join(keys, F.col("post_id") == F.col("l_orderkey"), "left").select("post_id", "media_keys")
+    media = table(spark, sf, "part").where("p_partkey % 5 <> 0").select(F.col("p_partkey").alias("media_key"), F.concat(F.lit("m/"), F.col("p_partkey").cast("string")).alias("url"))
+    return J.with_media(posts, media).select("post_id", joined(F.col("media")).alias("media"))
+
+
+@query(_reg("SELECT r.source, coalesce(s.status, 'unknown') AS status, s.last_success FROM registry r LEFT JOIN state s USING (source)"))
+def state_left_join(spark, sf) -> DataFrame:
+    return V.registry(spark, sf).join(V.source_state(spark, sf), "source", "left").select("source", F.coalesce("status", F.lit("unknown")).alias("status"), "last_success")
+
+
+@query(_reg("SELECT source FROM state WHERE source NOT IN (SELECT source FROM registry)"))
+def orphans(spark, sf) -> DataFrame:
+    return J.missing_keys(V.source_state(spark, sf), V.registry(spark, sf), "source").select("source")
+
+
+@query(_reg("SELECT source FROM state WHERE source NOT IN (SELECT source FROM registry WHERE enabled)"))
+def orphans_enabled(spark, sf) -> DataFrame:
+    return J.missing_keys(V.source_state(spark, sf), V.registry(spark, sf).where("enabled"), "source").select("source")
+
+
+@query(_reg("SELECT source, status FROM state WHERE source IN (SELECT source FROM registry)"))
+def prune_state(spark, sf) -> DataFrame:
+    return V.source_state(spark, sf).join(V.registry(spark, sf), "source", "left_semi").select("source", "status")
+
+
+@query(_items("SELECT day, bool_or(k = 'r') AS has_report, bool_or(k = 's') AS has_summary, lag(day) OVER (ORDER BY day) AS older, lead(day) OVER (ORDER BY day) AS newer FROM (SELECT DISTINCT utc_day AS day, 'r' AS k FROM items WHERE day(utc_day) % 3 <> 0 UNION ALL SELECT DISTINCT utc_day, 's' FROM items WHERE day(utc_day) % 2 = 0) GROUP BY day"))
+def report_summary_outer(spark, sf) -> DataFrame:
+    days = V.items(spark, sf).select(F.col("utc_day").alias("day")).distinct()
+    return J.merged_days(days.where(F.dayofmonth("day") % 3 != 0), days.where(F.dayofmonth("day") % 2 == 0))
+
+
+@query("SELECT path, CASE WHEN b IS NULL THEN 'missing' WHEN a IS NULL THEN 'unexpected' WHEN a <> b THEN 'size' ELSE 'digest' END AS problem FROM (SELECT coalesce(x.path, y.path) AS path, x.b AS a, y.b AS b, x.d AS da, y.d AS db FROM (SELECT 'f/' || doc_id AS path, n_chars AS b, 'd' || doc_id AS d FROM documents WHERE doc_id % 10 <> 1) x FULL JOIN (SELECT 'f/' || doc_id AS path, n_chars + (doc_id % 13 = 0)::INT AS b, 'd' || (doc_id - (doc_id % 17 = 0)::INT) AS d FROM documents WHERE doc_id % 10 <> 2) y ON x.path = y.path) WHERE a IS NULL OR b IS NULL OR a <> b OR da <> db")
+def manifest_diff(spark, sf) -> DataFrame:
+    d = table(spark, sf, "documents")
+    i = F.col("doc_id")
+    flag = lambda m: F.when(i % m == 0, 1).otherwise(0)
+    path = F.concat(F.lit("f/"), i.cast("string")).alias("path")
+    want = d.where(i % 10 != 1).select(path, F.col("n_chars").alias("bytes"), F.concat(F.lit("d"), i.cast("string")).alias("digest"))
+    have = d.where(i % 10 != 2).select(path, (F.col("n_chars") + flag(13)).alias("bytes"), F.concat(F.lit("d"), (i - flag(17)).cast("string")).alias("digest"))
+    return J.difference(want, have)
+
+
+@query(f"WITH {V.ITEMS}, {V.REGISTRY} SELECT item_id FROM items WHERE source NOT IN (SELECT source FROM registry WHERE enabled)")
+def fk_violations(spark, sf) -> DataFrame:
+    return J.missing_keys(V.items(spark, sf), V.registry(spark, sf).where("enabled"), "source").select("item_id")
+
+
+@query(_reg("SELECT source, platform FROM registry UNION ALL SELECT 'discovery-1', 'x' UNION ALL SELECT 'discovery-3', 'x'"))
+def source_union(spark, sf) -> DataFrame:
+    return V.registry(spark, sf).select("source", "platform").unionByName(D.virtual_sources(spark, P.QUERIES).select("source", "platform"))
+
+
+# --- aggregation ---
+
+
+def _count(key: str) -> str:
+    return _items(f"SELECT {key}, count(*) AS n FROM items WHERE local_day = DATE '2024-01-06' GROUP BY 1")
+
+
+@query(_count("platform"))
+def coverage_by_platform(spark, sf) -> DataFrame:
+    return A.counts(S.local_day(V.items(spark, sf), DAY, P.ZONE), "platform", "unknown")
+
+
+@query(_count("grp"))
+def coverage_by_group(spark, sf) -> DataFrame:
+    return A.counts(S.local_day(V.items(spark, sf), DAY, P.ZONE), "grp", "other")
+
+
+@query(_items("SELECT CASE WHEN grouping(source) = 0 THEN 'source' WHEN grouping(platform) = 0 THEN 'platform' WHEN grouping(grp) = 0 THEN 'grp' ELSE 'local_day' END AS dimension, coalesce(source, platform, grp, CAST(local_day AS VARCHAR)) AS value, count(*) AS n FROM items GROUP BY GROUPING SETS ((source), (platform), (grp), (local_day))"))
+def coverage_weekly(spark, sf) -> DataFrame:
+    return A.coverage_sets(V.items(spark, sf), ["source", "platform", "grp", "local_day"])
+
+
+@query(_items("SELECT count(*) FILTER (list_contains(tags, 'operational-position')) AS redacted, count(DISTINCT source) AS sources FROM items"))
+def redacted_and_sources(spark, sf) -> DataFrame:
+    return V.items(spark, sf).agg(F.count_if(S.tagged(F.col("tags"), P.REDACT_TAGS)).alias("redacted"), F.count_distinct("source").alias("sources"))
+
+
+@query(_reg("SELECT grp, count(*) AS configured, " + ", ".join(f"count(*) FILTER (st = '{s}') AS {s}" for s in A.STATUSES) + " FROM (SELECT r.grp, coalesce(s.status, 'unknown') AS st FROM registry r LEFT JOIN state s USING (source) WHERE r.enabled) GROUP BY 1"))
+def status_pivot(spark, sf) -> DataFrame:
+    return A.status_pivot(V.registry(spark, sf), V.source_state(spark, sf), "grp")
+
+
+@query(_reg("SELECT t.st AS status, count(x.source) AS n FROM (VALUES ('ok'), ('error'), ('skipped_config'), ('skipped_cadence'), ('unknown')) t(st) LEFT JOIN (SELECT r.source, coalesce(s.status, 'unknown') AS st FROM registry r LEFT JOIN state s USING (source) WHERE r.enabled) x ON x.st = t.st GROUP BY 1"))
+def status_totals(spark, sf) -> DataFrame:
+    return A.status_totals(V.registry(spark, sf), V.source_state(spark, sf))
+
+
+_ROLL = "SELECT count(*) AS configured, count(*) FILTER (status IN ('ok', 'error')) AS attempted, count(*) FILTER (status = 'ok') AS succeeded, count(*) FILTER (status LIKE 'skipped%') AS skipped, count(*) FILTER (status = 'skipped_config') AS blocked, count(*) FILTER (status = 'error') AS errors, CAST(sum(added) AS BIGINT) AS added, CAST(sum(fetched) AS BIGINT) AS fetched FROM state"
+_RUN = "CASE WHEN errors > 0 AND succeeded = 0 THEN 'failed' WHEN blocked > 0 AND attempted = 0 THEN 'blocked' WHEN errors > 0 OR blocked > 0 THEN 'partial' WHEN attempted = 0 THEN 'idle' ELSE 'ok' END"
+
+
+@query(_reg(f"SELECT *, {_RUN} AS run_status FROM ({_ROLL})"))
+def run_rollup(spark, sf) -> DataFrame:
+    return A.run_rollup(V.source_state(spark, sf))
+
+
+_HEALTH = f"SELECT coalesce(r.source, s.source) AS source, CASE WHEN r.source IS NULL THEN 'orphan_state' WHEN NOT r.enabled THEN 'disabled' WHEN s.status IS NULL THEN 'never_seen' WHEN s.status = 'error' THEN 'current_error' WHEN s.status = 'skipped_config' THEN 'configuration_blocked' WHEN s.last_success IS NULL THEN 'never_succeeded' WHEN (epoch_us(TIMESTAMP '{P.NOW}') - epoch_us(s.last_success)) / 3.6e9 > 12 THEN 'stale_success' WHEN s.status = 'skipped_cadence' THEN 'cadence_wait' ELSE 'healthy' END AS classification FROM registry r FULL JOIN state s ON r.source = s.source"
+
+
+@query(_reg(_HEALTH))
+def health_audit(spark, sf) -> DataFrame:
+    return A.health(V.registry(spark, sf), V.source_state(spark, sf), NOW, 12.0)
+
+
+@query(_reg(f"SELECT classification, count(*) AS n FROM ({_HEALTH}) GROUP BY 1"))
+def health_counts(spark, sf) -> DataFrame:
+    return A.health(V.registry(spark, sf), V.source_state(spark, sf), NOW, 12.0).groupBy("classification").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_reg(f"SELECT run_status, FALSE AS healthy, CASE WHEN (epoch_us(TIMESTAMP '{P.NOW}') - epoch_us(last_run)) / 3.6e9 > 1 THEN 'run_' || run_status || ',state_stale' ELSE 'run_' || run_status END AS reasons FROM (SELECT {_RUN} AS run_status, (SELECT max(checked) FROM state) - INTERVAL 2 HOURS AS last_run FROM ({_ROLL}))"))
+def health_result(spark, sf) -> DataFrame:
+    s = V.source_state(spark, sf)
+    run = A.run_rollup(s).crossJoin(s.agg((F.max("checked") - F.make_dt_interval(hours=F.lit(2))).alias("last_run")))  # one row each
+    return A.health_result(run.select("run_status", "last_run"), NOW, 1.0).select("run_status", "healthy", "reasons")
+
+
+@query("SELECT user_id AS id, arg_max(event_type, event_id) AS kind, arg_max(value, event_id) AS value, max(event_id) AS seq, min(event_id) AS first_seq FROM events GROUP BY 1")
+def dedupe_last_wins(spark, sf) -> DataFrame:
+    rows = table(spark, sf, "events").select(F.col("user_id").alias("id"), F.col("event_type").alias("kind"), "value", F.col("event_id").alias("seq"))
+    return A.last_wins(rows, "id", "seq")
+
+
+@query("SELECT text_sha, n FROM (SELECT sha256(text) AS text_sha, count(*) AS n FROM documents GROUP BY 1) WHERE n > 1")
+def duplicate_ids(spark, sf) -> DataFrame:
+    return table(spark, sf, "documents").groupBy(F.sha2("text", 256).alias("text_sha")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+@query(_reg("SELECT m.g AS grp, m.least_ AS least, count(r.source) AS n FROM (VALUES ('osint', 3), ('press', 2), ('official-a', 9)) m(g, least_) LEFT JOIN registry r ON r.grp = m.g AND r.enabled GROUP BY 1, 2 HAVING count(r.source) < m.least_"))
+def group_minimums(spark, sf) -> DataFrame:
+    least = spark.sql("SELECT * FROM VALUES ('osint', 3), ('press', 2), ('official-a', 9) AS t(grp, least)")
+    n = V.registry(spark, sf).where("enabled").groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    return least.join(n, "grp", "left").select("grp", "least", F.coalesce("n", F.lit(0)).alias("n")).where("n < least")
+
+
+# --- order and top-k ---
+
+
+@query(_items("SELECT item_id, row_number() OVER (ORDER BY stamp DESC, length(text), item_id) AS place FROM items WHERE local_day = DATE '2024-01-06'"))
+def digest_order(spark, sf) -> DataFrame:
+    day = S.local_day(V.items(spark, sf), DAY, P.ZONE)  # one day's report
+    return day.withColumn("place", F.row_number().over(Window.orderBy(F.col("stamp").desc(), F.char_length("text"), "item_id"))).select("item_id", "place")
+
+
+@query(_items("SELECT source, n FROM (SELECT source, count(*) AS n, min(item_id) AS f FROM items GROUP BY 1 ORDER BY n DESC, f LIMIT 25)"))
+def top_sources(spark, sf) -> DataFrame:
+    return V.items(spark, sf).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min("item_id").alias("f")).orderBy(F.col("n").desc(), "f").limit(25).select("source", "n")
+
+
+@query(_items("SELECT section, item_id, place, more FROM (SELECT section, item_id, row_number() OVER (PARTITION BY section ORDER BY stamp DESC, item_id) AS place, greatest(0, count(*) OVER (PARTITION BY section) - 8) AS more FROM (SELECT *, CASE WHEN list_contains(tags, 'map') THEN 'map' WHEN list_contains(tags, 'drones') THEN 'drones' WHEN list_contains(tags, 'logistics') THEN 'logistics' WHEN list_contains(tags, 'relief') THEN 'relief' WHEN grp = 'osint' THEN 'map' WHEN grp IN ('official-a', 'official-b') THEN 'official' ELSE 'other' END AS section FROM items)) WHERE place <= 8"))
+def top_n_per_section(spark, sf) -> DataFrame:
+    i = V.items(spark, sf).select("item_id", "stamp", _section().alias("section"))
+    n = i.groupBy("section").agg(F.greatest(F.lit(0), F.count(F.lit(1)) - 8).alias("more"))
+    top = i.withColumn("place", F.row_number().over(Window.partitionBy("section").orderBy(F.col("stamp").desc(), "item_id"))).where("place <= 8")
+    return top.join(F.broadcast(n), "section").select("section", "item_id", "place", "more")  # a row per section
+
+
+@query(_items("SELECT DISTINCT platform, grp FROM items"))
+def control_options(spark, sf) -> DataFrame:
+    return V.items(spark, sf).select("platform", "grp").distinct().orderBy("platform", "grp")
+
+
+# --- text ---
+
+
+def _prep(spark, sf) -> DataFrame:
+    return C.prepared(V.items(spark, sf))
+
+
+@query(Q.prepared("SELECT item_id, array_to_string(anchors, ',') AS anchors FROM prep"))
+def anchors(spark, sf) -> DataFrame:
+    return _prep(spark, sf).select("item_id", joined("anchors").alias("anchors"))
+
+
+@query(Q.tokens())
+def tokens(spark, sf) -> DataFrame:
+    return V.items(spark, sf).select("item_id", F.explode(C.tokens(F.col("text"))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).where("n >= 20")
+
+
+@query(Q.prepared("SELECT item_id, relevance FROM prep"))
+def relevance(spark, sf) -> DataFrame:
+    return _prep(spark, sf).select("item_id", "relevance")
+
+
+@query(Q.prepared("SELECT item_id, first_topic FROM prep"))
+def topic(spark, sf) -> DataFrame:
+    return _prep(spark, sf).select("item_id", "first_topic")
+
+
+@query(Q.prepared("SELECT item_id, topic, strict FROM prep"))
+def strict_gate(spark, sf) -> DataFrame:
+    return _prep(spark, sf).select("item_id", "topic", "strict")
+
+
+@query(Q.prepared("SELECT item_id, topic FROM prep WHERE topic <> first_topic"))
+def editorial_topic(spark, sf) -> DataFrame:
+    return _prep(spark, sf).where("topic <> first_topic").select("item_id", "topic")
+
+
+@query(Q.prepared("SELECT item_id, array_to_string(locations, ',') AS locations FROM prep"))
+def locations(spark, sf) -> DataFrame:
+    return _prep(spark, sf).select("item_id", joined("locations").alias("locations"))
+
+
+@query(Q.prepared("SELECT item_id, array_to_string(semantic, ',') AS semantic FROM prep"))
+def semantic_signature(spark, sf) -> DataFrame:
+    return _prep(spark, sf).select("item_id", joined("semantic").alias("semantic"))
+
+
+@query(Q.prepared("SELECT relevance, strict, count(*) AS n FROM prep GROUP BY 1, 2"))
+def gate_counts(spark, sf) -> DataFrame:
+    return _prep(spark, sf).groupBy("relevance", "strict").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(Q.prepared("SELECT a.item_id AS a, b.item_id AS b, round(len(list_intersect(a.anchors, b.anchors)) / len(list_distinct(list_concat(a.anchors, b.anchors))), 9) AS similarity FROM prep a JOIN prep b ON a.source = b.source AND a.local_day = b.local_day AND a.item_id < b.item_id WHERE len(a.anchors) > 0 AND len(b.anchors) > 0"))
+def jaccard_pairs(spark, sf) -> DataFrame:
+    p = _prep(spark, sf).where(F.size("anchors") > 0).select("item_id", "source", "local_day", "anchors")
+    q = p.select(F.col("item_id").alias("b"), "source", "local_day", F.col("anchors").alias("y"))
+    j = p.withColumnRenamed("item_id", "a").join(q, ["source", "local_day"]).where("a < b")
+    return j.select("a", "b", F.round(T.jaccard(F.col("anchors"), F.col("y")), 9).alias("similarity"))
+
+
+# --- clusters ---
+
+
+def _clusters(spark, sf) -> DataFrame:
+    return C.clusters(_prep(spark, sf))
+
+
+@query(Q.clusters("SELECT cluster_id, items, families, first_pos, array_to_string(anchor_union, ',') AS anchors FROM clusters"))
+def cluster_build(spark, sf) -> DataFrame:
+    return _clusters(spark, sf).select("cluster_id", "items", "families", "first_pos", joined("anchor_union").alias("anchors"))
+
+
+@query(Q.clusters("SELECT cluster_id, evidence, CASE WHEN evidence >= 6.0 THEN 'strong' WHEN evidence >= 3.2 THEN 'mixed' ELSE 'thin' END AS label FROM clusters"))
+def evidence(spark, sf) -> DataFrame:
+    return _clusters(spark, sf).select("cluster_id", "evidence", C.label(F.col("evidence"), 6.0, 3.2, ("strong", "mixed", "thin")).alias("label"))
+
+
+@query(Q.clusters("SELECT cluster_id, pulse, CASE WHEN pulse >= 6.0 THEN 'high' WHEN pulse >= 3.0 THEN 'medium' ELSE 'low' END AS label FROM clusters"))
+def pulse(spark, sf) -> DataFrame:
+    return _clusters(spark, sf).select("cluster_id", "pulse", C.label(F.col("pulse"), 6.0, 3.0, ("high", "medium", "low")).alias("label"))
+
+
+@query(Q.clusters("SELECT cluster_id, importance FROM clusters"))
+def importance(spark, sf) -> DataFrame:
+    return _clusters(spark, sf).select("cluster_id", "importance")
+
+
+@query(Q.clusters("SELECT cluster_id, routine, broad, weak, thin FROM clusters"))
+def cluster_predicates(spark, sf) -> DataFrame:
+    return _clusters(spark, sf).select("cluster_id", "routine", "broad", "weak", "thin")
+
+
+@query(Q.clusters("SELECT item_id, family FROM best"))
+def family_best(spark, sf) -> DataFrame:
+    return C.family_best(C.accepted(_prep(spark, sf))).select("item_id", "family")
+
+
+@query(Q.samples())
+def sample_items(spark, sf) -> DataFrame:
+    return C.samples(C.accepted(_prep(spark, sf))).select("item_id", "place")
+
+
+@query(Q.temporal("SELECT * FROM temporal"))
+def temporal(spark, sf) -> DataFrame:
+    return C.temporal(_clusters(spark, sf))
+
+
+@query(Q.temporal("SELECT cluster_id, rank FROM ranked"))
+def editorial_rank(spark, sf) -> DataFrame:
+    return C.ranked(_clusters(spark, sf)).select("cluster_id", "rank")
+
+
+@query(Q.primary())
+def primary_select(spark, sf) -> DataFrame:
+    return C.primary(C.ranked(_clusters(spark, sf)))
+
+
+@query(Q.watch())
+def pulse_watch(spark, sf) -> DataFrame:
+    r = C.ranked(_clusters(spark, sf))
+    return C.watch(r, C.primary(r))
+
+
+# --- quality ---
+
+
+@query(_items("SELECT item_id FROM items WHERE utc_day <> CAST(coalesce(published, collected - INTERVAL 30 HOURS) AS DATE)"))
+def partition_violations(spark, sf) -> DataFrame:
+    other = F.to_date(F.coalesce("published", F.col("collected") - F.make_dt_interval(hours=F.lit(30))))
+    return V.items(spark, sf).where(F.col("utc_day") != other).select("item_id")
+
+
+@query(_reg("SELECT source, rule FROM (SELECT source, CASE WHEN priority > 90 THEN 'priority' END AS rule FROM registry UNION ALL SELECT source, CASE WHEN perspective = 'unknown' THEN 'perspective' END FROM registry UNION ALL SELECT source, CASE WHEN cadence IS NULL THEN 'cadence' END FROM registry) WHERE rule IS NOT NULL"))
+def registry_violations(spark, sf) -> DataFrame:
+    rules = F.array_compact(F.array(F.when(F.col("priority") > 90, F.lit("priority")), F.when(F.col("perspective") == "unknown", F.lit("perspective")), F.when(F.col("cadence").isNull(), F.lit("cadence"))))
+    return V.registry(spark, sf).select("source", F.explode(rules).alias("rule"))
+
+
+@query(_reg("SELECT source, rule FROM (SELECT source, CASE WHEN last_success > checked THEN 'success_after_check' END AS rule FROM state UNION ALL SELECT source, CASE WHEN status = 'ok' AND last_success < checked THEN 'ok_but_older_success' END FROM state UNION ALL SELECT source, CASE WHEN source NOT IN (SELECT source FROM registry) THEN 'unknown_source' END FROM state) WHERE rule IS NOT NULL"))
+def state_violations(spark, sf) -> DataFrame:
+    known = V.registry(spark, sf).select(F.col("source").alias("k"))
+    s = V.source_state(spark, sf).join(F.broadcast(known), F.col("source") == F.col("k"), "left")  # a row per source
+    rules = F.array_compact(F.array(F.when(F.col("last_success") > F.col("checked"), F.lit("success_after_check")), F.when((F.col("status") == "ok") & (F.col("last_success") < F.col("checked")), F.lit("ok_but_older_success")), F.when(F.col("k").isNull(), F.lit("unknown_source"))))
+    return s.select("source", F.explode(rules).alias("rule"))
+
+
+@query(_items(f"SELECT item_id, CASE WHEN length(substr(text, 1, {P.EXCERPT})) > 100 AND list_contains(tags, 'map') THEN 'excerpt_too_long' ELSE 'media_not_public' END AS rule FROM items WHERE (length(substr(text, 1, {P.EXCERPT})) > 100 AND list_contains(tags, 'map')) OR list_contains(media, '/relative.png')"))
+def projection_violations(spark, sf) -> DataFrame:
+    p = D.public_projection(V.items(spark, sf), P.EXCERPT, P.MEDIA_LIMIT)
+    long = (F.char_length("excerpt") > 100) & S.tagged(F.col("tags"), ["map"])
+    bad = F.exists("media", lambda u: ~T.public_url(u))
+    return p.where(long | bad).select("item_id", F.when(long, "excerpt_too_long").otherwise("media_not_public").alias("rule"))
+
+
+@query(f"SELECT event_id FROM (SELECT event_id, {_KIND} || ': ' || {_MSG} AS e FROM events) WHERE NOT regexp_matches(e, '^[A-Za-z_][A-Za-z0-9_.]*: [a-z0-9_]+$')")
+def safe_error_violations(spark, sf) -> DataFrame:
+    i = F.col("event_id")
+    e = F.concat(V.pick(["HTTPError", "Timeout", "SSLError", "CollectionError", "RuntimeError", "gaierror"], i % 6), F.lit(": "), V.pick(["status 403 here", "X API said 429", "unsafe host", "redirect to other", "none"], i % 5))
+    return table(spark, sf, "events").where(~e.rlike(r"^[A-Za-z_][A-Za-z0-9_.]*: [a-z0-9_]+$")).select("event_id")
 
 
-def flagship(spark, sf_dir):
-    return QUERIES["editorial_rank"](spark, sf_dir)
+def flagship(spark, sf) -> DataFrame:
+    return editorial_rank(spark, sf)
