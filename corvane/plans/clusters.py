@@ -72,8 +72,10 @@ def prepared(items: DataFrame) -> DataFrame:
     p = p.withColumns({"relevance": relevance(F.col("body"), F.col("anchors"), F.col("grp"), F.col("redacted")), "first_topic": topic(F.col("body"), F.col("anchors")), "locations": only(F.col("anchors"), P.names("location"))})
     located = F.size("locations") > 0
     p = p.withColumn("topic", editorial_topic(F.col("first_topic"), F.col("anchors")))
+    p = p.withColumns({"major": F.col("body").rlike(P.word(P.MAJOR)), "material": F.col("body").rlike(P.word(P.MATERIAL)), "alert": F.col("body").rlike(P.word(P.ALERT))})
     p = p.withColumn("strict", strict(F.col("body"), F.col("anchors"), F.col("grp"), F.col("topic"), located))
-    return p.withColumn("semantic", signature(F.col("anchors"), F.col("topic"), located, F.col("family")))
+    p = p.withColumn("semantic", signature(F.col("anchors"), F.col("topic"), located, F.col("family"))).drop("body")
+    return p.persist()  # what is left of an item is small, and every score reads it
 
 
 def accepted(prep: DataFrame) -> DataFrame:
@@ -120,7 +122,7 @@ def clusters(prep: DataFrame) -> DataFrame:
     early = acc.withColumn("place", F.row_number().over(place))
     body = early.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("items"), F.min("item_id").alias("first_pos"), F.count_distinct("family").alias("families"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("anchors")))).alias("anchor_union"),
-        F.bool_or((F.col("place") <= 20) & F.col("body").rlike(P.word(P.MAJOR))).alias("major"), F.bool_or(F.col("body").rlike(P.word(P.MATERIAL))).alias("material"), F.avg(F.col("body").rlike(P.word(P.ALERT)).cast("double")).alias("alerts"))
+        F.bool_or((F.col("place") <= 20) & F.col("major")).alias("major"), F.bool_or("material").alias("material"), F.avg(F.col("alert").cast("double")).alias("alerts"))
     on = lambda d: [F.col(f"c.{k}") == F.col(f"d.{k}") for k in KEY]
     c = body.alias("c").join(evidence(family_best(acc)).alias("d"), on("d")).select("c.*", "d.evidence")
     c = c.alias("c").join(pulse(acc).alias("d"), on("d"), "left").select("c.*", F.coalesce("d.pulse", F.lit(0.0)).alias("pulse"))
@@ -128,10 +130,11 @@ def clusters(prep: DataFrame) -> DataFrame:
     imp = F.element_at(base, F.col("topic")) + F.when(F.col("major"), 1.0).otherwise(0.0) + F.when(has(F.col("anchor_union"), ["refinery", "railway"]), 0.5).otherwise(0.0) + F.when((F.col("topic") == "civilian-harm") & has(F.col("anchor_union"), ["casualties"]), 0.5).otherwise(0.0)
     n = F.size("locations")
     t = F.col("topic")
-    return c.withColumns({
+    c = c.withColumns({
         "importance": F.least(F.lit(10.0), imp), "routine": t.isin("strikes", "air-defence") & ~F.col("material") & (F.col("alerts") >= 0.5) & (F.col("families") <= 3), "broad": n >= F.when(t == "civilian-harm", 2).otherwise(3),
         "weak": (n == 0) & ~t.isin("support", "investigations"), "thin": F.when(t.isin("frontline", "air-defence", "naval", "support"), F.col("evidence") < 3.0).when(t == "energy", F.col("evidence") < 1.5).otherwise(F.lit(False)),
         "cluster_id": F.concat_ws("|", F.col("local_day").cast("string"), t, F.array_join("locations", ","), F.array_join("semantic", ","))})
+    return c.persist()  # a few hundred rows a day, read by history, rank and selection
 
 
 PAIRED = ["strikes", "civilian-harm", "air-defence", "energy"]
