@@ -14,9 +14,11 @@ from corvane.operators import filters as S
 from corvane.operators import joins as J
 from corvane.plans import clusters as C
 from corvane.plans import policy as P
+from corvane.plans import reports as R
 from corvane.plans import sql as Q
 from corvane.plans import views as V
 from corvane.session import table
+from corvane.sources import pages as W
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -639,5 +641,35 @@ def safe_error_violations(spark, sf) -> DataFrame:
     return table(spark, sf, "events").where(~e.rlike(r"^[A-Za-z_][A-Za-z0-9_.]*: [a-z0-9_]+$")).select("event_id")
 
 
+# --- html, reports ---
+
+
+@query()
+def article_fields(spark, sf) -> DataFrame:
+    return W.article_fields(table(spark, sf, "pages")).select("page_id", "title", F.sha2("text", 256).alias("text_sha"), "published")
+
+
+@query()
+def link_discovery(spark, sf) -> DataFrame:
+    return W.discover(table(spark, sf, "pages")).select("page_id", "link", "score", "place")
+
+
+@query("SELECT page_id, regexp_replace(url, '[?#].*$', '') AS path FROM pages")
+def decode_fixed_point(spark, sf) -> DataFrame:
+    twice = F.url_encode(F.url_encode(F.regexp_replace("url", "[?#].*$", "")))
+    return table(spark, sf, "pages").select("page_id", T.decoded(twice).alias("path"))
+
+
+@query(_items("SELECT section, count(*) AS n FROM (SELECT section, row_number() OVER (PARTITION BY section ORDER BY stamp DESC, length(text), item_id) AS place FROM (SELECT *, CASE WHEN list_contains(tags, 'map') THEN 'map' WHEN list_contains(tags, 'drones') THEN 'drones' WHEN list_contains(tags, 'logistics') THEN 'logistics' WHEN list_contains(tags, 'relief') THEN 'relief' WHEN grp = 'osint' THEN 'map' WHEN grp IN ('official-a', 'official-b') THEN 'official' ELSE 'other' END AS section FROM items WHERE local_day = DATE '2024-01-06')) WHERE place <= 8 GROUP BY 1"))
+def digest_sections(spark, sf) -> DataFrame:
+    day = S.local_day(V.items(spark, sf), DAY, P.ZONE).withColumn("section", _section())
+    return R.digest_lines(day).groupBy("section").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def status_document(spark, sf) -> DataFrame:
+    return R.status_document(V.registry(spark, sf), V.source_state(spark, sf), P.NOW)
+
+
 def flagship(spark, sf) -> DataFrame:
     return editorial_rank(spark, sf)
