@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -12,15 +13,18 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: A side of a join is broadcast only if it has been counted and is no longer than this.
 BROADCAST_ROWS = 50_000
+#: Spark's own setting: shuffle files go with the query that made them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir; where unset (tests), one of our own."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="corvane-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+
+
+@functools.cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="corvane-")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -31,7 +35,12 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it again: cuts lineage, survives lost executors, and is computed once."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

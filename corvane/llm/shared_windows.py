@@ -13,7 +13,6 @@ Nothing is dropped or capped, and grouping by hashes decides only where strings
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -28,12 +27,14 @@ from pyspark.sql import functions as F
 from .common import drop_tables, settle
 
 #: Bytes of text in a chunk and in a solver's block; window starts per piece of work; windows of a run.
-CHUNK, BLOCK, PIECE, RUN = 1 << 21, 1 << 20, 1 << 20, 64
+CHUNK, BLOCK, PIECE, RUN = 1 << 22, 1 << 19, 1 << 19, 64
+#: Bytes of text for each task that compares.
+PART = 1 << 23
 #: A minimiser asked for by more chunks than this is split.
 HOT = 64
 NULL_ID = np.iinfo(np.int64).max
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD)
-Solver = Callable[[list[bytes], np.ndarray], list[np.ndarray]]
+Solver = Callable[[list[bytes], np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -152,13 +153,18 @@ def all_runs(units, codes: np.ndarray, sizes: np.ndarray):
         yield a, z, key, ok, *runs(key, ok, a)
 
 
+def owner(sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which text of a stream each unit belongs to."""
+    return np.searchsorted(np.cumsum(sizes), at, "right")
+
+
 def place(key: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """Which task compares a key, and the 32 bits that are compared there."""
     return ((key & np.uint64(0xFFFFFFFF)) % np.uint64(parts)).astype(np.int64), (key >> np.uint64(32)).astype(np.uint32)
 
 
 def _zip(b: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b)
+    return zstandard.ZstdCompressor(level=3).compress(b)
 
 
 def _unzip(b) -> bytes:
@@ -172,7 +178,7 @@ def _split(order: np.ndarray, p: np.ndarray) -> Iterator[tuple[int, np.ndarray]]
 
 
 _ASK = pa.list_(pa.struct([("p", pa.int64()), ("blob", pa.binary())]))
-_CHUNK = "chunk long, ids binary, lens binary, texts binary, asks array<struct<p: long, blob: binary>>"
+_CHUNK = "chunk long, ids binary, lens binary, texts binary, more binary, asks array<struct<p: long, blob: binary>>"
 
 
 def _one(names: list[str], values: list, types: list) -> pa.RecordBatch:
@@ -184,8 +190,7 @@ def chunked(docs: DataFrame, units, parts: int) -> DataFrame:
 
     def ask(texts: list[bytes]) -> list[dict]:
         _, sizes, codes = units.stream(texts)
-        of = np.repeat(np.arange(len(texts)), sizes)
-        found = [(k, of[s]) for *_, s, _, k in all_runs(units, codes, sizes)]
+        found = [(k, owner(sizes, s)) for *_, s, _, k in all_runs(units, codes, sizes)]
         key = np.concatenate([k for k, _ in found]) if found else np.empty(0, np.uint64)
         doc = np.concatenate([d for _, d in found]) if found else np.empty(0, np.int64)
         order = np.argsort(key, kind="stable")
@@ -197,27 +202,29 @@ def chunked(docs: DataFrame, units, parts: int) -> DataFrame:
         return [{"p": q, "blob": h[part].tobytes() + np.packbits(many[part]).tobytes()} for q, part in _split(np.lexsort((h, p)), p)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, size = [], [], 0
+        ids, texts, more, size = [], [], [], 0
         number = TaskContext.get().partitionId() << 32
 
         def flush() -> pa.RecordBatch:
             lens = np.fromiter(map(len, texts), np.int64, len(texts))
-            return _one(["chunk", "ids", "lens", "texts", "asks"], [number, np.array(ids, np.int64).tobytes(), lens.tobytes(), _zip(b"".join(texts)), ask(texts)], [pa.int64(), pa.binary(), pa.binary(), pa.binary(), _ASK])
+            values = [number, np.array(ids, np.int64).tobytes(), lens.tobytes(), _zip(b"".join(texts)), _zip("\n".join(more).encode()), ask(texts)]
+            return _one(["chunk", "ids", "lens", "texts", "more", "asks"], values, [pa.int64()] + [pa.binary()] * 4 + [_ASK])
 
         for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            for i, t, m in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
                 text = t.as_buffer().to_pybytes() if t.is_valid else b""
                 ids.append(NULL_ID if i is None else i)
                 texts.append(text)
+                more.append(m)
                 size += len(text)
                 if size >= CHUNK or len(ids) >= 50_000:
                     yield flush()
-                    ids, texts, size = [], [], 0
+                    ids, texts, more, size = [], [], [], 0
                     number += 1
         if ids:
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _CHUNK)
+    return docs.select(F.col("doc_id").cast("long"), "text", "more").mapInArrow(run, _CHUNK)
 
 
 def by_place(asks: DataFrame, answer: Callable[[list[int], list[bytes]], list[bytes | None]]) -> DataFrame:
@@ -272,11 +279,11 @@ def texts_of(row: dict) -> tuple[np.ndarray, list[bytes]]:
     return np.frombuffer(row["ids"], np.int64), [data[a:b] for a, b in zip((ends - lens).tolist(), ends.tolist(), strict=True)]
 
 
-_CUT = "chunk long, ids binary, lens binary, texts binary, uses binary, asks array<struct<p: long, blob: binary>>"
+_CUT = "chunk long, uses binary, asks array<struct<p: long, blob: binary>>"
 
 
 def cut_strings(chunks: DataFrame, answers: DataFrame, units, parts: int) -> DataFrame:
-    """Chunks with the places of their shared runs (uses) and the distinct strings that these cover (asks)."""
+    """For each chunk the places of its shared runs (uses) and the distinct strings that these cover (asks)."""
 
     def strings(ids: np.ndarray, texts: list[bytes], known: list[dict]) -> tuple[bytes, list[dict]]:
         got = [read_keys(x["p"], x["blob"]) for x in known]
@@ -284,7 +291,6 @@ def cut_strings(chunks: DataFrame, answers: DataFrame, units, parts: int) -> Dat
         order = np.argsort(code)
         code, hot = code[order], hot[order]
         data, sizes, codes = units.stream(texts)
-        of = np.repeat(np.arange(len(texts)), sizes)
         found = []
         for a, z, key, ok, start, n, k in all_runs(units, codes, sizes):
             p, h = place(k, parts)
@@ -304,88 +310,90 @@ def cut_strings(chunks: DataFrame, answers: DataFrame, units, parts: int) -> Dat
         p, h = place(key, parts)
         order = np.lexsort((start, h, p))
         start, n, p, h = start[order], n[order], p[order], h[order]
-        seen: dict[tuple[int, bytes], int] = {}
-        use, uh, up, least = np.empty(len(start), np.uint32), [], [], []
-        doc = ids[of[start]] if len(start) else np.empty(0, np.int64)
-        last = units.length - 1
-        for i, (s, m, q, k, d) in enumerate(zip(start.tolist(), n.tolist(), p.tolist(), h.tolist(), doc.tolist(), strict=True)):
-            string = units.cut(data, s, s + m + last)
-            at = seen.setdefault((k, string), len(least))
-            if at == len(least):
-                uh.append(k)
-                up.append(q)
-                least.append(d)
-            elif d < least[at]:
-                least[at] = d
-            use[i] = at
-        up_, uh_, least_ = np.array(up, np.int64), np.array(uh, np.uint32), np.array(least, np.int64)
+        seen: dict[bytes, int] = {}
+        stop = start + n + (units.length - 1)
+        every = [units.cut(data, x, y) for x, y in zip(start.tolist(), stop.tolist(), strict=True)]
+        use = np.fromiter((seen.setdefault(x, len(seen)) for x in every), np.int64, len(every))
         out = list(seen)
-        asks = []
-        for q, part in _split(np.arange(len(out)), up_):
-            body = [out[j][1] for j in part.tolist()]
+        del every, seen
+        doc = ids[owner(sizes, start)] if len(start) else np.empty(0, np.int64)
+        least = np.full(len(out), NULL_ID, np.int64)
+        np.minimum.at(least, use, doc)
+        _, first = np.unique(use, return_index=True)  # equal strings have equal keys
+        up, uh, asks = p[first], h[first], []
+        for q, part in _split(np.arange(len(out)), up):
+            body = out[part[0] : part[-1] + 1]
             lens = np.fromiter(map(len, body), np.uint32, len(body))
-            asks.append({"p": q, "blob": _zip(np.uint32(len(body)).tobytes() + lens.tobytes() + uh_[part].tobytes() + least_[part].tobytes() + b"".join(body))})
-        return _zip(np.uint32(len(start)).tobytes() + start.astype(np.uint32).tobytes() + use.tobytes() + n.astype(np.uint8).tobytes()), asks
+            asks.append({"p": q, "blob": _zip(np.uint32(len(body)).tobytes() + lens.tobytes() + uh[part].tobytes() + least[part].tobytes() + b"".join(body))})
+        return _zip(np.uint32(len(start)).tobytes() + start.astype(np.uint32).tobytes() + use.astype(np.uint32).tobytes() + n.astype(np.uint8).tobytes()), asks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1).to_pylist()[0]
-                uses, asks = strings(*texts_of(row), row["known"]) if row["known"] else (None, [])
-                yield _one(["chunk", "ids", "lens", "texts", "uses", "asks"], [row["chunk"], row["ids"], row["lens"], row["texts"], uses, asks], [pa.int64()] + [pa.binary()] * 4 + [_ASK])
+                uses, asks = strings(*texts_of(row), row["known"])
+                yield _one(["chunk", "uses", "asks"], [row["chunk"], uses, asks], [pa.int64(), pa.binary(), _ASK])
 
     known = answers.groupBy("chunk").agg(F.collect_list(F.struct("p", "blob")).alias("known"))  # no more than the chunk asked
-    return chunks.select("chunk", "ids", "lens", "texts").join(known, "chunk", "left").mapInArrow(run, _CUT)
+    return chunks.select("chunk", "ids", "lens", "texts").join(known, "chunk").mapInArrow(run, _CUT)
+
 
+def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Positions of stretches that begin at start, one after the other."""
+    return np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
 
-def compare(units, solver: Solver) -> Callable[[list[int], list[bytes]], list[bytes | None]]:
+
+def compare(solver: Solver) -> Callable[[list[int], list[bytes]], list[bytes | None]]:
     """Answers: for each string of each chunk the smallest id of each of its windows, as lengths of equal stretches and ids."""
 
     def answer(chunks: list[int], blobs: list[bytes]) -> list[bytes | None]:
-        index: dict[tuple[int, bytes], int] = {}
-        least: list[int] = []
-        asked = []
+        index: dict[bytes, int] = {}
+        asked, hs, ds = [], [], []
         for blob in blobs:
             data = _unzip(blob)
             n = int(np.frombuffer(data, np.uint32, 1)[0])
-            lens = np.frombuffer(data, np.uint32, n, 4)
-            h, d = np.frombuffer(data, np.uint32, n, 4 + 4 * n), np.frombuffer(data, np.int64, n, 4 + 8 * n)
-            at, mine = 4 + 16 * n, []
-            for k, m, doc in zip(h.tolist(), lens.tolist(), d.tolist(), strict=True):
-                s = index.setdefault((k, data[at : at + m]), len(least))
-                at += m
-                if s == len(least):
-                    least.append(doc)
-                elif doc < least[s]:
-                    least[s] = doc
-                mine.append(s)
-            asked.append(mine)
+            ends = np.cumsum(np.frombuffer(data, np.uint32, n, 4), dtype=np.int64) + 4 + 16 * n
+            hs.append(np.frombuffer(data, np.uint32, n, 4 + 4 * n))
+            ds.append(np.frombuffer(data, np.int64, n, 4 + 8 * n))
+            begin = [4 + 16 * n, *ends[:-1].tolist()]
+            asked.append(np.fromiter((index.setdefault(data[x:y], len(index)) for x, y in zip(begin, ends.tolist(), strict=True)), np.int64, n))
         every = list(index)
-        order = sorted(range(len(every)), key=lambda i: every[i][0])
-        found: list[bytes] = [b""] * len(every)
-        counts: list[bytes] = [b""] * len(every)
-        block, size = [], 0
-
-        def solve() -> None:
-            ids = np.array([least[i] for i in block], np.int64)
-            for i, m in zip(block, solver([every[i][1] for i in block], ids), strict=True):
-                cut = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]]))
-                counts[i] = np.diff(np.append(cut, len(m))).astype(np.uint8).tobytes()
-                found[i] = m[cut].tobytes()
-
-        for j, i in enumerate(order):  # whole keys in blocks of bounded size
-            if size >= BLOCK and every[i][0] != every[order[j - 1]][0]:
-                solve()
-                block, size = [], 0
-            block.append(i)
-            size += len(every[i][1])
-        if block:
-            solve()
+        index.clear()
+        use = np.concatenate(asked)
+        least = np.full(len(every), NULL_ID, np.int64)
+        np.minimum.at(least, use, np.concatenate(ds))
+        _, first = np.unique(use, return_index=True)
+        h = np.concatenate(hs)[first]
+        order = np.argsort(h, kind="stable")
+        size = np.cumsum(np.fromiter((len(every[i]) for i in order.tolist()), np.int64, len(order)))
+        new = np.flatnonzero(np.diff(h[order])) + 1  # whole keys in blocks of bounded size
+        cuts, last = [0], 0
+        for k, done in zip(new.tolist(), size[new - 1].tolist(), strict=True):
+            if done - last >= BLOCK:
+                cuts.append(k)
+                last = done
+        values, windows = [], []
+        for a, z in zip(cuts, [*cuts[1:], len(order)], strict=True):
+            part = order[a:z]
+            m, n = solver([every[i] for i in part.tolist()], least[part])
+            values.append(m)
+            windows.append(n)
+        value, n = np.concatenate(values), np.concatenate(windows)  # of all windows of all strings, in order
+        begin = np.cumsum(n) - n
+        change = np.concatenate([[True], value[1:] != value[:-1]])
+        change[begin] = True
+        at = np.flatnonzero(change)
+        runs_ = np.diff(np.append(at, len(value)))
+        value = value[at]
+        first_run = np.searchsorted(at, begin)
+        n_runs = np.diff(np.append(first_run, len(at)))
+        where = np.empty(len(order), np.int64)
+        where[order] = np.arange(len(order))
         out = []
         for mine in asked:
-            c = [counts[i] for i in mine]
-            lens = np.fromiter(map(len, c), np.uint8, len(c))
-            out.append(_zip(np.uint32(len(c)).tobytes() + lens.tobytes() + b"".join(c) + b"".join(found[i] for i in mine)))
+            i = where[mine]
+            j = ragged(first_run[i], n_runs[i])
+            out.append(_zip(np.uint32(len(mine)).tobytes() + n_runs[i].astype(np.uint8).tobytes() + runs_[j].astype(np.uint8).tobytes() + value[j].tobytes()))
         return out
 
     return answer
@@ -412,32 +420,31 @@ def marked(ids: np.ndarray, sizes: np.ndarray, uses: bytes | None, answers: list
     value = np.repeat(least, count)  # of every window of every distinct string
     ends = np.cumsum(np.add.reduceat(count, np.cumsum(pieces) - pieces))
     begin = np.concatenate([[0], ends[:-1]])
-    j = np.arange(int(wins.sum())) - np.repeat(np.cumsum(wins) - wins, wins)
-    at, low = np.repeat(start, wins) + j, value[np.repeat(begin[use], wins) + j]
-    doc = np.repeat(ids, sizes)
-    at = at[low < doc[at]]
-    edge = np.zeros(total + 1, np.int32)
-    np.add.at(edge, at, 1)
-    np.add.at(edge, at + length, -1)
-    return np.cumsum(edge[:-1]) > 0
-
-
-def remove_repeats(docs: DataFrame, units, solver: Solver, finish, columns: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``columns`` of every row, made by finish(id, text, units of the text, which of them are marked)."""
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    low = value[ragged(begin[use], wins)]
+    at = ragged(start, wins)[low < np.repeat(ids[owner(sizes, start)], wins)]
+    edge = np.bincount(at, minlength=total + 1) - np.bincount(at + length, minlength=total + 1)
+    return np.cumsum(edge[:-1], dtype=np.int32) > 0
+
+
+def remove_repeats(docs: DataFrame, units, solver: Solver, finish, columns: str, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """``columns`` of every row, made by finish(id, text, units of the text, which of them are marked).
+
+    carry: further columns of docs, which come back in a struct named more.
+    """
+    more = F.to_json(F.struct(*carry)) if carry else F.lit("")
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), more.alias("more"))
     spark = docs.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")  # rows are megabytes here
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(64, -(-total // CHUNK))
+    parts = max(64, -(-total // PART))
     chunks = settle(chunked(base, units, parts), "windows-chunks")
     asks = lambda t: t.select("chunk", F.explode("asks").alias("a")).select("chunk", "a.p", "a.blob")
     known = settle(by_place(asks(chunks), shared_keys), "windows-known")
-    free_shuffles(spark)
     cut = settle(cut_strings(chunks, known, units, parts), "windows-cut")
-    drop_tables(spark, chunks, known)
-    free_shuffles(spark)
-    solved = settle(by_place(asks(cut), compare(units, solver)), "windows-solved")
-    free_shuffles(spark)
+    drop_tables(spark, known)
+    solved = settle(by_place(asks(cut), compare(solver)), "windows-solved")
     said = solved.groupBy("chunk").agg(F.collect_list(F.struct("p", "blob")).alias("said"))
+    columns += ", more string" if carry else ""
     names = [c.split()[0] for c in columns.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -449,15 +456,13 @@ def remove_repeats(docs: DataFrame, units, solver: Solver, finish, columns: str,
                 gone = marked(ids, sizes, row["uses"], row["said"], units.length)
                 ends = np.cumsum(sizes)
                 out = [finish(None if d == NULL_ID else d, t, data[a:z], gone[a:z]) for d, t, a, z in zip(ids.tolist(), texts, (ends - sizes).tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) if "string" in t or "array" in t else pa.array(c, pa.int64()) for c, t in zip(zip(*out, strict=True), columns.split(", "), strict=True)], names)
-
-    return cut.select("chunk", "ids", "lens", "texts", "uses").join(said, "chunk", "left").mapInArrow(run, columns)
-
+                if carry:
+                    out = [(*o, m) for o, m in zip(out, _unzip(row["more"]).decode().split("\n"), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) if "string" in t else pa.array(c, pa.int64()) for c, t in zip(zip(*out, strict=True), columns.split(", "), strict=True)], names)
 
-def free_shuffles(spark) -> None:
-    """Shuffle files of finished steps go as soon as the driver has collected their owners."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    uses = cut.select("chunk", "uses")
+    out = chunks.drop("asks").join(uses, "chunk", "left").join(said, "chunk", "left").mapInArrow(run, columns)
+    return out.withColumn("more", F.from_json("more", docs.select(*carry).schema)) if carry else out
 
 
 def sha256(b: bytes) -> str:

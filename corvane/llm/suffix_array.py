@@ -82,9 +82,9 @@ def boundaries(t: np.ndarray, sa: np.ndarray, length: int) -> np.ndarray:
 
 
 def smallest_ids(length: int):
-    """A solver: for each string the smallest id, over all strings, of each of its windows."""
+    """A solver: the smallest id, over all strings, of each window of each string, and the number of windows of each."""
 
-    def solve(strings: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
+    def solve(strings: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         t = np.frombuffer(b"\xff".join(strings) + b"\xff\xfe", np.uint8)  # never part of UTF-8; the last one is unique
         size = np.fromiter(map(len, strings), np.int64, len(strings)) + 1
         start = np.cumsum(size) - size
@@ -92,12 +92,13 @@ def smallest_ids(length: int):
         lcp = boundaries(t, sa, length)
         owner = np.append(np.repeat(ids, size), NULL_ID)
         inside = np.arange(len(t) - 1) - np.repeat(start, size)
-        owner[:-1][inside + length > np.repeat(size, size) - 1] = NULL_ID  # not the start of a window
+        window = inside + length <= np.repeat(size, size) - 1
+        owner[:-1][~window] = NULL_ID
         cut = np.flatnonzero(lcp != 255)
         least = np.empty(len(t), np.int64)
         low = np.minimum.reduceat(owner[sa], cut)
         least[sa] = np.repeat(low, np.diff(np.append(cut, len(t))))
-        return [least[s : s + n - length] for s, n in zip(start.tolist(), size.tolist(), strict=True)]
+        return least[:-1][window], size - length
 
     return solve
 
@@ -122,10 +123,13 @@ def trim(text: bytes, gone: np.ndarray) -> str:
     return t[~np.repeat(whole, np.diff(np.append(char, len(t))))].tobytes().decode()
 
 
-def kept_text(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, kept, n_removed, n_bytes of every row: its text without repeated stretches, characters left whole."""
+def trimmed(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs, all columns, with repeated stretches gone from the text (characters left whole), and n_chars to match if there is one."""
 
     def finish(doc_id, text, data, gone):
-        return doc_id, trim(data, gone), int(gone.sum()), len(data)
+        return doc_id, trim(data, gone)
 
-    return remove_repeats(docs, Bytes(length), smallest_ids(length), finish, "doc_id long, kept string, n_removed long, n_bytes long", id_col, text_col)
+    carry = [c for c in docs.columns if c not in (id_col, text_col)]
+    out = remove_repeats(docs, Bytes(length), smallest_ids(length), finish, "doc_id long, kept string", id_col, text_col, carry or [id_col])
+    now = {id_col: F.col("doc_id"), text_col: F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
+    return out.select(*[now.get(c, F.col("more").getField(c)).alias(c) for c in docs.columns])

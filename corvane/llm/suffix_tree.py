@@ -59,9 +59,9 @@ def subtree(codes: np.ndarray, suffixes: np.ndarray, depth: int, length: int) ->
 
 
 def smallest_ids(length: int):
-    """A solver: for each string the smallest id, over all strings, of each of its windows."""
+    """A solver: the smallest id, over all strings, of each window of each string, and the number of windows of each."""
 
-    def solve(strings: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
+    def solve(strings: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         words = [s.split(b" ") for s in strings]
         number: dict[bytes, int] = {}
         codes = np.array([number.setdefault(w, len(number)) for ws in words for w in ws], np.int32)
@@ -75,7 +75,7 @@ def smallest_ids(length: int):
             leaves, new = subtree(codes, group.copy(), depth, length)
             node = np.flatnonzero(new)
             least[leaves] = np.repeat(np.minimum.reduceat(owner[leaves], node), np.diff(np.append(node, len(leaves))))
-        return [least[s : s + n - length + 1] for s, n in zip(start.tolist(), size.tolist(), strict=True)]
+        return least[suffixes], size - length + 1
 
     return solve
 
