@@ -111,3 +111,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         run = run.join(small(pick), F.col("source").eqNullSafe(F.col("m_source")) & (F.col("upto") == F.col("m_upto")) & (F.col("units") > 0) & (F.col("size") > 0), "left")
         run = run.withColumn("copies", F.col("copies") + F.coalesce("step", F.lit(0))).drop("m_source", "m_upto", "step")
     return run.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """docs, all columns, each row as often as the mix takes it. Rows with one id and size are taken alike."""
+    taken = mix(docs, id_col, text_col, source_col, **options).groupBy(F.col("doc_id").alias("t_id"), F.col("size").alias("t_size")).agg(F.max("copies").cast("int").alias("copies")).where("copies > 0")
+    rows = docs.withColumn("_size", word_count(F.col(text_col))).join(taken, F.col(id_col).eqNullSafe(F.col("t_id")) & (F.col("_size") == F.col("t_size")))
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select(*docs.columns)

@@ -3,7 +3,8 @@
 A fingerprint's 64 bits are labelled with vectors of radius + 1 bits; for every non-zero vector v there is a table whose
 mask keeps the bits whose label has an odd product with v. Up to ``radius`` differing bits have labels in a space of
 smaller dimension, so some v is orthogonal to all of them and its table drops every differing bit: each pair within the
-radius meets in some bucket, without exception. A bucket gives a spanning forest of its links, never all of its pairs.
+radius meets in some bucket, without exception. A bucket of more than a few fingerprints gives a spanning
+forest of its links, never all of its pairs.
 A bucket with too many fingerprints for one task is covered again with other labels, on top of its own mask, so that
 its pairs meet in narrower buckets; this too loses none.
 
@@ -28,6 +29,8 @@ from .components import components
 
 #: A bucket with more fingerprints than this is covered again; levels beyond the last compare within the bucket.
 CROWDED, LEVELS = 4096, 2
+#: A bucket of no more fingerprints than this gives all its links.
+FEW = 16
 
 
 def shingle_hashes(text: str | None, n: int = 4) -> np.ndarray:
@@ -65,14 +68,21 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return picked.mapInArrow(run, "doc_id long, fp long")
 
 
-def masks(radius: int = 4, seed: int = 0, bits: int = 64) -> list[int]:
-    """2^(radius+1) - 1 covering masks as signed longs. Labels are dealt evenly over the non-zero vectors."""
-    v_max = 1 << (radius + 1)
-    labels = np.random.default_rng(seed).permutation(np.arange(bits) % (v_max - 1) + 1)
+def masks(radius: int = 4, seed: int = 0, parts: int = 1) -> list[int]:
+    """Covering masks as signed longs; labels are dealt evenly over the non-zero vectors.
+
+    With more parts, the bits are cut into as many, one of which has at most radius / parts of the differing bits, and
+    each is covered for that many: far fewer tables, with shorter keys.
+    """
+    each = radius // parts
+    v_max = 1 << (each + 1)
+    rng = np.random.default_rng(seed)
     out = []
-    for v in range(1, v_max):
-        m = sum(1 << i for i in range(bits) if int(labels[i] & v).bit_count() & 1)
-        out.append(m - (1 << 64) if m >> 63 else m)
+    for bits in np.array_split(np.arange(64), parts):
+        labels = rng.permutation(np.arange(len(bits)) % (v_max - 1) + 1)
+        for v in range(1, v_max):
+            m = sum(1 << int(i) for i, x in zip(bits, labels, strict=True) if int(x & v).bit_count() & 1)
+            out.append(m - (1 << 64) if m >> 63 else m)
     return out
 
 
@@ -89,8 +99,26 @@ def forest(fps: np.ndarray, nodes: np.ndarray, radius: int) -> Iterator[tuple[np
                 yield nodes[hit], int(nodes[root])
 
 
-def bucket_links(rows: DataFrame, radius: int) -> DataFrame:
-    """a, b (a > b) of rows (table_id, key, fp, node), dealt by bucket and read as one sorted stream."""
+def closest(fps: np.ndarray, nodes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each member of a bucket its nearest other member, if within the radius (a larger and a smaller node)."""
+    a, b = [], []
+    for k in range(0, len(fps), 512):
+        d = np.bitwise_count(fps[k : k + 512, None] ^ fps[None, :]).astype(np.int64)
+        rows = np.arange(d.shape[0])
+        d[rows, rows + k] = 65
+        best = d.argmin(1)
+        near = d[rows, best] <= radius
+        a.append(nodes[k : k + 512][near])
+        b.append(nodes[best[near]])
+    a, b = np.concatenate(a), np.concatenate(b)
+    return np.maximum(a, b), np.minimum(a, b)
+
+
+def bucket_links(rows: DataFrame, radius: int, nearest: bool = False) -> DataFrame:
+    """a, b (a > b) of rows (table_id, key, fp, node), dealt by bucket and read as one sorted stream.
+
+    nearest: also the link of each member to its nearest in the bucket, for links that are checked afterwards.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [np.empty(0, np.int64)] * 4
@@ -100,13 +128,22 @@ def bucket_links(rows: DataFrame, radius: int) -> DataFrame:
             cut = np.flatnonzero((t[1:] != t[:-1]) | (key[1:] != key[:-1])) + 1
             start = np.concatenate([[0], cut])
             size = np.diff(np.concatenate([start, [len(t)]]))
-            two = start[size == 2]
-            near = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= radius]
-            a, b = [np.maximum(node[near], node[near + 1])], [np.minimum(node[near], node[near + 1])]
-            for s, n in zip(start[size > 2].tolist(), size[size > 2].tolist(), strict=True):
+            big = np.repeat(size > FEW, size)
+            bucket = np.repeat(np.arange(len(start)), size)
+            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for o in range(1, min(FEW, int(size.max()))):  # all pairs of buckets of a few
+                i = np.flatnonzero((bucket[:-o] == bucket[o:]) & ~big[o:])
+                i = i[np.bitwise_count(fp[i] ^ fp[i + o]) <= radius]
+                a.append(np.maximum(node[i], node[i + o]))
+                b.append(np.minimum(node[i], node[i + o]))
+            for s, n in zip(start[size > FEW].tolist(), size[size > FEW].tolist(), strict=True):
                 for hit, root in forest(fp[s : s + n], node[s : s + n], radius):
                     a.append(hit)
                     b.append(np.full(len(hit), root))
+                if nearest:
+                    x, y = closest(fp[s : s + n], node[s : s + n], radius)
+                    a.append(x)
+                    b.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
         for batch in batches:
@@ -123,10 +160,10 @@ def bucket_links(rows: DataFrame, radius: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def link_fingerprints(nodes: DataFrame, radius: int = 4) -> DataFrame:
+def link_fingerprints(nodes: DataFrame, radius: int = 4, parts: int = 1, nearest: bool = False) -> DataFrame:
     """Links a, b of nodes (fp, node) such that fingerprints within the radius are connected."""
     table = lambda base, ms, mask=None: F.explode(F.array(*[F.struct((base * len(ms) + k).cast("long").alias("table_id"), (F.col("fp").bitwiseAND(m) if mask is None else F.col("fp").bitwiseAND(mask.bitwiseOR(m))).alias("key"), (F.lit(m) if mask is None else mask.bitwiseOR(m)).cast("long").alias("mask")) for k, m in enumerate(ms)]))
-    rows = nodes.select("node", "fp", table(F.lit(0), masks(radius)).alias("x")).select("node", "fp", "x.*")
+    rows = nodes.select("node", "fp", table(F.lit(0), masks(radius, parts=parts)).alias("x")).select("node", "fp", "x.*")
     ready = []
     for level in range(1, LEVELS + 1):
         crowded = settle(rows.groupBy("table_id", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWDED).select(F.col("table_id").alias("c_table"), F.col("key").alias("c_key")), "simhash-crowded")
@@ -134,10 +171,10 @@ def link_fingerprints(nodes: DataFrame, radius: int = 4) -> DataFrame:
             break
         both = rows.join(small(crowded), (F.col("table_id") == F.col("c_table")) & (F.col("key") == F.col("c_key")), "left")
         ready.append(both.where("c_table is null").select(rows.columns))
-        rows = both.where("c_table is not null").select("node", "fp", table(F.col("table_id") + 1, masks(radius, seed=level), F.col("mask")).alias("x")).select("node", "fp", "x.*")
+        rows = both.where("c_table is not null").select("node", "fp", table(F.col("table_id") + 1, masks(radius, level, parts), F.col("mask")).alias("x")).select("node", "fp", "x.*")
     for r in ready:
         rows = rows.unionByName(r)
-    return bucket_links(rows, radius)
+    return bucket_links(rows, radius, nearest)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, n: int = 4) -> DataFrame:
@@ -147,3 +184,60 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(link_fingerprints(nodes, radius))
     comp = nodes.join(small(roots), "node", "left").select(F.col("fp").alias("n_fp"), F.coalesce("root", "node").alias("component_id"))
     return prints.join(small(settle(comp, "simhash-comp")), F.col("fp") == F.col("n_fp"), "left").select("doc_id", "fp", "component_id")
+
+
+def similar_links(docs: DataFrame, links: DataFrame, n: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The links whose texts' sets of n-word shingles have at least the Jaccard similarity."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("s_id")).distinct()
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hashes = [np.unique(shingle_hashes(t.as_py(), n) >> np.uint64(32)).astype(np.uint32).tobytes() for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(hashes, pa.binary())], ["s_id", "shingles"])
+
+    base = docs.select(F.col(id_col).cast("long").alias("s_id"), F.col(text_col).alias("text"))
+    shingles = settle(base.join(small(ends), "s_id").dropDuplicates(["s_id"]).mapInArrow(sets, "s_id long, shingles binary"), "simhash-shingles")
+    one = links.join(shingles.withColumnRenamed("s_id", "a").withColumnRenamed("shingles", "sa"), "a")
+    both = one.join(shingles.withColumnRenamed("s_id", "b").withColumnRenamed("shingles", "sb"), "b").select("a", "b", "sa", "sb")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(2), b.column(3), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(common >= similarity * (len(x) + len(y) - common))
+            kept = pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield kept
+
+    return both.mapInArrow(check, "a long, b long")
+
+
+def keep_one_of_each(docs: DataFrame, n: int = 5, similarity: float = 0.8, radius: int = 11, parts: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, without near-duplicates of rows with a smaller id.
+
+    Equal texts are one node. Fingerprints of n-word shingles within the radius (texts of that similarity differ in about
+    a sixth of their bits at most) give candidates by covering tables over two halves: for each bucket a spanning
+    forest and each member's nearest other. Candidates are checked by the exact similarity of their shingle sets, and
+    one row of each component of the checked links stays. Rows without an id stay; of rows with one id, one stays.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = pa.array([simhash(t.as_py(), n) for t in b.column(1)], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), fp], ["doc_id", "same", "fp"])
+
+    base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.md5(F.coalesce(text_col, F.lit("")).cast("binary")).alias("same"))
+    prints = settle(base.mapInArrow(run, "doc_id long, same string, fp long"), "simhash")
+    nodes = settle(prints.groupBy("same").agg(F.min("doc_id").alias("node"), F.min("fp").alias("fp")), "simhash-nodes")
+    links = settle(link_fingerprints(nodes.select("node", "fp"), radius, parts, nearest=True).where("a <> b").distinct(), "simhash-links")
+    roots = components(settle(similar_links(docs, links, n, similarity, id_col, text_col), "simhash-similar"))
+    top = nodes.join(small(roots), "node", "left").select("same", F.coalesce("root", "node").alias("stays"))
+    ids = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("same").alias("same"))
+    gone = settle(ids.join(small(top), "same").where("doc_id <> stays").select(F.col("doc_id").alias("gone_id")), "simhash-gone")
+    left = docs.join(small(gone), F.col(id_col) == F.col("gone_id"), "left_anti")
+    twice = settle(ids.where("n > 1").select(F.col("doc_id").alias("twice_id")), "simhash-twice")
+    if twice.limit(1).count():
+        again = F.col(id_col) == F.col("twice_id")
+        left = left.join(small(twice), again, "left_anti").unionByName(left.join(small(twice), again, "left_semi").dropDuplicates([id_col]))
+    return left
