@@ -9,6 +9,7 @@ from urllib.parse import quote, unquote, urljoin, urlsplit
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def clean(text: Column) -> Column:
@@ -74,12 +75,12 @@ def decoded(text: Column, rounds: int = 5) -> Column:
     return F.when(once == seen, seen)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def joined_url(base: pd.Series, link: pd.Series) -> pd.Series:
     """An absolute link without its fragment."""
 
@@ -92,7 +93,7 @@ def joined_url(base: pd.Series, link: pd.Series) -> pd.Series:
     return pd.Series([one(b, x) for b, x in zip(base, link, strict=True)], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def quoted(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else quote(x, safe=":/?&=#%+,;@-._~"))
 

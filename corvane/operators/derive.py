@@ -8,6 +8,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from corvane.functions import text as T
 
@@ -106,7 +107,7 @@ def error_category(kind: Column, message: Column) -> Column:
     return F.concat(kind, F.lit(": "), out.when(kind == "CollectionError", "collection_error").otherwise("unexpected_error"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def content_fingerprint(title: pd.Series, text: pd.Series, author: pd.Series) -> pd.Series:
     """SHA-256 of canonical JSON: sorted keys, compact, non-ASCII kept, nulls kept."""
     dump = lambda t, x, a: json.dumps({"author": a, "text": x, "title": t}, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
