@@ -23,7 +23,11 @@ from corvane.sources import pages as W
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 DAY = date(2024, 1, 6)
-NOW = F.lit(P.NOW).cast("timestamp")
+
+
+def now():
+    return F.lit(P.NOW).cast("timestamp")
+
 
 
 def query(oracle: str | None = None):
@@ -110,7 +114,7 @@ def cadence_minutes(spark, sf) -> DataFrame:
 @query(_reg(f"SELECT r.source, (s.last_success IS NULL OR TIMESTAMP '{P.NOW}' >= s.last_success + to_minutes({_MINUTES})) AS due FROM registry r LEFT JOIN state s USING (source)"))
 def cadence_due(spark, sf) -> DataFrame:
     j = V.registry(spark, sf).join(V.source_state(spark, sf), "source", "left")
-    return j.select("source", S.is_due(NOW, F.col("last_success"), S.cadence_minutes(F.col("cadence"), F.col("platform"), P.CADENCE, P.POLL_SECONDS)).alias("due"))
+    return j.select("source", S.is_due(now(), F.col("last_success"), S.cadence_minutes(F.col("cadence"), F.col("platform"), P.CADENCE, P.POLL_SECONDS)).alias("due"))
 
 
 @query(_reg("SELECT source, CASE WHEN platform = 'x' THEN 'skipped_config' ELSE 'due' END AS action FROM registry WHERE enabled"))
@@ -420,19 +424,19 @@ _HEALTH = f"SELECT coalesce(r.source, s.source) AS source, CASE WHEN r.source IS
 
 @query(_reg(_HEALTH))
 def health_audit(spark, sf) -> DataFrame:
-    return A.health(V.registry(spark, sf), V.source_state(spark, sf), NOW, 12.0)
+    return A.health(V.registry(spark, sf), V.source_state(spark, sf), now(), 12.0)
 
 
 @query(_reg(f"SELECT classification, count(*) AS n FROM ({_HEALTH}) GROUP BY 1"))
 def health_counts(spark, sf) -> DataFrame:
-    return A.health(V.registry(spark, sf), V.source_state(spark, sf), NOW, 12.0).groupBy("classification").agg(F.count(F.lit(1)).alias("n"))
+    return A.health(V.registry(spark, sf), V.source_state(spark, sf), now(), 12.0).groupBy("classification").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(_reg(f"SELECT run_status, FALSE AS healthy, CASE WHEN (epoch_us(TIMESTAMP '{P.NOW}') - epoch_us(last_run)) / 3.6e9 > 1 THEN 'run_' || run_status || ',state_stale' ELSE 'run_' || run_status END AS reasons FROM (SELECT {_RUN} AS run_status, (SELECT max(checked) FROM state) - INTERVAL 2 HOURS AS last_run FROM ({_ROLL}))"))
 def health_result(spark, sf) -> DataFrame:
     s = V.source_state(spark, sf)
     run = A.run_rollup(s).crossJoin(s.agg((F.max("checked") - F.make_dt_interval(hours=F.lit(2))).alias("last_run")))  # one row each
-    return A.health_result(run.select("run_status", "last_run"), NOW, 1.0).select("run_status", "healthy", "reasons")
+    return A.health_result(run.select("run_status", "last_run"), now(), 1.0).select("run_status", "healthy", "reasons")
 
 
 @query("SELECT user_id AS id, arg_max(event_type, event_id) AS kind, arg_max(value, event_id) AS value, max(event_id) AS seq, min(event_id) AS first_seq FROM events GROUP BY 1")
