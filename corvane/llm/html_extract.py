@@ -101,9 +101,7 @@ def parse(html: str) -> Node:
         here.kids.append(n)
         if tag not in VOID and not m[3].endswith("/"):
             here = n
-    rest = html[at:]
-    if rest and not re.match(r"<[!/a-zA-Z?]", rest):
-        here.kids.append(rest)
+    here.kids.append(re.sub(r"<[!/?a-zA-Z][^<>]*\Z", "", html[at:]))  # without a tag that is cut off
     return root
 
 
