@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions import text as T
+from corvane.functions.canonical import canonicaliser
 from corvane.operators import aggregates as A
 from corvane.operators import derive as D
 from corvane.operators import filters as S
 from corvane.operators import joins as J
+from corvane.operators import quality as X
 from corvane.plans import clusters as C
 from corvane.plans import policy as P
 from corvane.plans import reports as R
@@ -645,6 +647,46 @@ def safe_error_violations(spark, sf) -> DataFrame:
     return table(spark, sf, "events").where(~e.rlike(r"^[A-Za-z_][A-Za-z0-9_.]*: [a-z0-9_]+$")).select("event_id")
 
 
+@query(f"WITH {V.ITEMS}, {V.REGISTRY} SELECT item_id, length(trim(regexp_replace(i.text, '\\s+', ' ', 'g'))) AS chars, len(list_distinct(media)) AS n_media, coalesce(r.grp, 'other') AS grp, coalesce(r.perspective, 'unknown') AS perspective, language FROM items i LEFT JOIN registry r ON r.source = i.source AND r.enabled")
+def make_item(spark, sf) -> DataFrame:
+    made = D.make_item(V.items(spark, sf), V.registry(spark, sf).where("enabled"))
+    return made.select("item_id", F.char_length("text").alias("chars"), F.size("media").alias("n_media"), "grp", "perspective", "language")
+
+
+@query(_items("SELECT item_id, length(concat_ws(chr(10), title, text, url, array_to_string(media, chr(10)))) AS chars FROM items"))
+def sensitive_material(spark, sf) -> DataFrame:
+    i = V.items(spark, sf)
+    return i.select("item_id", F.char_length(D.material(i)).alias("chars"))
+
+
+@query(Q.prepared("SELECT item_id, array_to_string(anchors, ',') AS anchors FROM prep"))
+def canonicalize(spark, sf) -> DataFrame:
+    concepts = [(name, [rf"(?<![^\W_]){stem}\w*"]) for name, (_, stem) in P.LEXICON.items()]
+    found = canonicaliser(concepts)(F.concat_ws(" ", "title", "text"))
+    return V.items(spark, sf).select("item_id", joined(found["anchors"]).alias("anchors"))
+
+
+@query("SELECT max(try_cast(CASE WHEN event_id % 3 = 0 THEN 'soon' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS TIMESTAMP)) AS latest FROM events")
+def latest_time(spark, sf) -> DataFrame:
+    text = F.when(F.col("event_id") % 3 == 0, "soon").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    return table(spark, sf, "events").agg(F.max(T.parse_stamp(text)).alias("latest"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_custkey % 40 < 31 THEN o_custkey % 40 + 1 END AS days FROM orders WHERE o_orderkey % 7 = 0")
+def period_days(spark, sf) -> DataFrame:
+    first = F.to_date("o_orderdate")
+    name = F.concat(first.cast("string"), F.lit("_"), F.date_add(first, (F.col("o_custkey") % 40).cast("int")).cast("string"), F.lit(".md"))
+    days = D.period_days(name)
+    return table(spark, sf, "orders").where("o_orderkey % 7 = 0").select("o_orderkey", F.when(days.isNotNull(), F.size(days)).alias("days"))
+
+
+@query(f"WITH {V.ITEMS}, {V.REGISTRY}, {V.STATE} SELECT 'archive' AS scope, CAST(item_id AS VARCHAR) AS key, 'url' AS rule FROM items WHERE NOT regexp_matches(url, '^https?://[^/?#@\\s]+([/?#]|$)') UNION ALL SELECT 'archive', CAST(item_id AS VARCHAR), 'unknown_source' FROM items WHERE source NOT IN (SELECT source FROM registry WHERE enabled) UNION ALL SELECT 'state', source, 'unknown_source' FROM state WHERE source NOT IN (SELECT source FROM registry WHERE enabled) UNION ALL SELECT 'documents', h, 'repeated' FROM (SELECT sha256(text) AS h FROM documents GROUP BY 1 HAVING count(*) > 1)")
+def violations(spark, sf) -> DataFrame:
+    known = V.registry(spark, sf).where("enabled")
+    same = table(spark, sf, "documents").select(F.sha2("text", 256).alias("h"))
+    return X.violations(X.archive(V.items(spark, sf), known), X.state(V.source_state(spark, sf), known), X.registry(V.registry(spark, sf)), X.repeated(same, "documents", "h"))
+
+
 # --- html, reports ---
 
 

@@ -122,3 +122,26 @@ def virtual_sources(spark, queries: list[str]) -> DataFrame:
 
 def media_tags(tags: Column) -> Column:
     return F.array_contains(tags, "map")
+
+
+def make_item(found: DataFrame, registry: DataFrame) -> DataFrame:
+    """Found posts as items: clean texts, media once each in order, and the source's attributes with their defaults."""
+    r = registry.select("source", F.col("grp").alias("r_grp"), F.col("perspective").alias("r_perspective"))
+    j = found.join(r, "source", "left")
+    return j.select("item_id", "source", T.clean(F.coalesce("title", F.lit(""))).alias("title"), T.clean(F.coalesce("text", F.lit(""))).alias("text"), F.array_distinct("media").alias("media"), T.nonblank(F.col("r_grp"), "other").alias("grp"), T.nonblank(F.col("r_perspective"), "unknown").alias("perspective"), T.nonblank(F.col("language"), "und").alias("language"))
+
+
+def material(items: DataFrame) -> Column:
+    """What is searched for sensitive places: title, text, address and media, in compatibility form."""
+    return T.nfkc(F.concat_ws("\n", "title", "text", "url", F.array_join("media", "\n")))
+
+
+def period_days(name: Column, most: int = 31) -> Column:
+    """The days of a file name first_last.md; null unless it is a range of at most so many days."""
+    first, last = F.regexp_extract(name, r"^(\d{4}-\d\d-\d\d)_(\d{4}-\d\d-\d\d)\.md$", 1).try_cast("date"), F.regexp_extract(name, r"^(\d{4}-\d\d-\d\d)_(\d{4}-\d\d-\d\d)\.md$", 2).try_cast("date")
+    return F.when((first <= last) & (F.date_diff(last, first) < most), F.sequence(first, last))
+
+
+def name_set(text: str | None) -> set[str] | None:
+    """Names of a comma list; None for no list."""
+    return {x.strip() for x in text.split(",") if x.strip()} if text is not None else None
