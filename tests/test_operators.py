@@ -183,7 +183,7 @@ def test_selection(spark):
 
 
 def test_canonical(spark):
-    f = canonical.canonicaliser([("drone", [r"\buav\w*"]), ("strike", [r"\bdrone hit\b"])])
+    f = canonical.canonicaliser([("drone", [r"\buav\w*"]), ("strike", [r"\bdrone\s+hit\b"])])
     r = spark.range(1).select(f(F.lit("A UAVs  hit")).alias("c")).first().c
     assert r.text == "a strike" and r.anchors == ["drone", "strike"]  # the second pattern sees what the first left
     assert canonical.sanitise("<p onclick=x>a<script>b</script><a href='javascript:1'>c</a><a href='https://d/'>e</a> &lt;") == '<p>a<a>c</a><a href="https://d/" rel="noopener noreferrer">e</a> &lt;'
