@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 _WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5)
 #: Rows that the classifier is fitted on, at most; features it keeps, at most.
-SAMPLE, FEATURES = 12_000, 512
+SAMPLE, FEATURES = 8_000, 512
+#: Features are known by so many bits of a hash.
+BITS = 22
 
 # Group mentions that may be swapped within their line.
 IDENTITY = tuple(
@@ -51,7 +53,7 @@ def held_out(doc_id: Column) -> Column:
 
 def word_features(word: str) -> list[int]:
     """Hashes of a word and its beginnings."""
-    return [zlib.crc32(b"w" + word.encode())] + [zlib.crc32(b"p%d" % n + word[:n].encode()) for n in PREFIXES if len(word) > n]
+    return [zlib.crc32(b"w" + word.encode()) >> (32 - BITS)] + [zlib.crc32(b"p%d" % n + word[:n].encode()) >> (32 - BITS) for n in PREFIXES if len(word) > n]
 
 
 def text_words(text: str | None) -> set[str]:
@@ -93,20 +95,20 @@ def fit(rows: list[tuple[int, np.ndarray, list[np.ndarray]]], features: int = FE
     share = (y.sum() + 0.5) / (len(y) + 1)
     if not 0 < y.sum() < len(y):
         return Model(bias=float(np.log(share / (1 - share))))
-    sizes = np.array([len(r[1]) for r in rows])
-    every, of = np.concatenate([r[1] for r in rows]), np.repeat(np.arange(len(rows)), sizes)
-    names, code = np.unique(every, return_inverse=True)
-    n, pos = np.bincount(code), np.bincount(code, weights=y[of])
-    expected = n * y.mean()
-    chi = (pos - expected) ** 2 / (expected * (1 - y.mean())) * (n >= 3)
-    keep = np.sort(np.lexsort((names, -chi))[:features])
-    index = {int(names[k]): j for j, k in enumerate(keep)}
-    place = np.full(len(names), -1)
+    count = lambda which: np.bincount(np.concatenate([r[1] for r in which]), minlength=1 << BITS)
+    n, pos = count(rows), count([r for r in rows if r[0]])
+    known = np.flatnonzero(n >= 3)
+    expected = n[known] * y.mean()
+    chi = (pos[known] - expected) ** 2 / (expected * (1 - y.mean()))
+    keep = np.sort(known[np.lexsort((known, -chi))[:features]])
+    index = {int(k): j for j, k in enumerate(keep)}
+    place = np.full(1 << BITS, -1, np.int32)
     place[keep] = np.arange(len(keep))
-    x = np.zeros((len(rows), len(keep) + 1))
+    x = np.zeros((len(rows), len(keep) + 1), np.float32)
     x[:, -1] = 1
-    at = place[code]
-    x[of[at >= 0], at[at >= 0]] = 1
+    for i, r in enumerate(rows):
+        at = place[r[1]]
+        x[i, at[at >= 0]] = 1
     change = []
     for i, (_, _, others) in enumerate(rows):
         for o in others:
@@ -122,7 +124,7 @@ def fit(rows: list[tuple[int, np.ndarray, list[np.ndarray]]], features: int = FE
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
         g = x.T @ (p - y) + penalty @ w
-        h = (x * (p * (1 - p))[:, None]).T @ x + penalty
+        h = penalty + sum((x[k : k + 1000] * (p * (1 - p))[k : k + 1000, None]).T @ x[k : k + 1000] for k in range(0, len(x), 1000))
         step, size = np.linalg.solve(h + 1e-9 * np.eye(len(w)), g), 1.0
         while (new := loss(w - size * step)) > now and size > 1e-6:
             size /= 2
@@ -144,9 +146,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(pack, words), pa.binary()), pa.array([[pack(o) for o in swaps(w)] for w in words], pa.list_(pa.binary()))], ["y", "x", "others"])
 
     rows = docs.select(F.col(id_col).alias("d_id"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("d_id") == F.col("l_id"))  # at most ``sample`` rows
-    got = rows.select("y", "text").mapInArrow(features, "y int, x binary, others array<binary>").limit(sample).collect()
-    got.sort(key=lambda r: (bytes(r.x), r.y))
-    return fit([(r.y, np.frombuffer(bytes(r.x), np.uint32), [np.frombuffer(bytes(o), np.uint32) for o in r.others]) for r in got], **options)
+    got = rows.select("y", "text").mapInArrow(features, "y int, x binary, others array<binary>").limit(sample).toArrow()
+    seen = lambda b: np.frombuffer(b.as_buffer(), np.uint32)
+    found = [(y, seen(x), [seen(o) for o in others.values] if len(others) else []) for y, x, others in zip(got.column(0).to_pylist(), got.column(1), got.column(2), strict=True)]
+    found.sort(key=lambda r: (r[1].tobytes(), r[0]))
+    return fit(found, **options)
 
 
 def score(docs: DataFrame, model: Model, columns: list[str], text_col: str = "text", name: str = "score") -> DataFrame:
