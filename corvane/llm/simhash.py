@@ -28,9 +28,9 @@ from .common import settle, small
 from .components import components
 
 #: A bucket with more fingerprints than this is covered again; levels beyond the last compare within the bucket.
-CROWDED, LEVELS = 4096, 2
-#: A bucket of no more fingerprints than this gives all its links.
-FEW = 16
+CROWDED, LEVELS = 16_384, 2
+#: A bucket of no more fingerprints than this gives all its links; up to MANY, each member's nearest.
+FEW, MANY = 16, 2048
 
 
 def shingle_hashes(text: str | None, n: int = 4) -> np.ndarray:
@@ -86,24 +86,26 @@ def masks(radius: int = 4, seed: int = 0, parts: int = 1) -> list[int]:
     return out
 
 
-def forest(fps: np.ndarray, nodes: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, int]]:
-    """Spanning links (nodes, smaller node) of one bucket: breadth-first, comparing with what isn't reached yet."""
+def forest(fps: np.ndarray, nodes: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, int, int]]:
+    """Spanning links of one bucket, breadth-first, comparing with what isn't reached yet: nodes, the smallest of their
+    tree, and the one that they were reached from."""
     left = np.argsort(nodes, kind="stable")
     while len(left) > 1:
         root, queue, left = left[0], [left[0]], left[1:]
         while queue and len(left):
-            near = np.bitwise_count(fps[left] ^ fps[queue.pop()]) <= radius
+            here = queue.pop()
+            near = np.bitwise_count(fps[left] ^ fps[here]) <= radius
             if near.any():
                 hit, left = left[near], left[~near]
                 queue += hit.tolist()
-                yield nodes[hit], int(nodes[root])
+                yield nodes[hit], int(nodes[root]), int(nodes[here])
 
 
 def closest(fps: np.ndarray, nodes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """For each member of a bucket its nearest other member, if within the radius (a larger and a smaller node)."""
     a, b = [], []
     for k in range(0, len(fps), 512):
-        d = np.bitwise_count(fps[k : k + 512, None] ^ fps[None, :]).astype(np.int64)
+        d = np.bitwise_count(fps[k : k + 512, None] ^ fps[None, :])
         rows = np.arange(d.shape[0])
         d[rows, rows + k] = 65
         best = d.argmin(1)
@@ -117,7 +119,8 @@ def closest(fps: np.ndarray, nodes: np.ndarray, radius: int) -> tuple[np.ndarray
 def bucket_links(rows: DataFrame, radius: int, nearest: bool = False) -> DataFrame:
     """a, b (a > b) of rows (table_id, key, fp, node), dealt by bucket and read as one sorted stream.
 
-    nearest: also the link of each member to its nearest in the bucket, for links that are checked afterwards.
+    nearest: also the link of each member to its nearest in the bucket, or to the one that it was reached from in a
+    large bucket, for links that are checked afterwards.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,10 +140,13 @@ def bucket_links(rows: DataFrame, radius: int, nearest: bool = False) -> DataFra
                 a.append(np.maximum(node[i], node[i + o]))
                 b.append(np.minimum(node[i], node[i + o]))
             for s, n in zip(start[size > FEW].tolist(), size[size > FEW].tolist(), strict=True):
-                for hit, root in forest(fp[s : s + n], node[s : s + n], radius):
+                for hit, root, via in forest(fp[s : s + n], node[s : s + n], radius):
                     a.append(hit)
                     b.append(np.full(len(hit), root))
-                if nearest:
+                    if nearest and via != root:
+                        a.append(np.maximum(hit, via))
+                        b.append(np.minimum(hit, via))
+                if nearest and n <= MANY:
                     x, y = closest(fp[s : s + n], node[s : s + n], radius)
                     a.append(x)
                     b.append(y)
@@ -162,16 +168,29 @@ def bucket_links(rows: DataFrame, radius: int, nearest: bool = False) -> DataFra
 
 def link_fingerprints(nodes: DataFrame, radius: int = 4, parts: int = 1, nearest: bool = False) -> DataFrame:
     """Links a, b of nodes (fp, node) such that fingerprints within the radius are connected."""
-    table = lambda base, ms, mask=None: F.explode(F.array(*[F.struct((base * len(ms) + k).cast("long").alias("table_id"), (F.col("fp").bitwiseAND(m) if mask is None else F.col("fp").bitwiseAND(mask.bitwiseOR(m))).alias("key"), (F.lit(m) if mask is None else mask.bitwiseOR(m)).cast("long").alias("mask")) for k, m in enumerate(ms)]))
-    rows = nodes.select("node", "fp", table(F.lit(0), masks(radius, parts=parts)).alias("x")).select("node", "fp", "x.*")
+
+    def tables(rows: DataFrame, base, ms: list[int], mask=None) -> DataFrame:
+        out = rows.select("node", "fp", base.alias("base"), (F.lit(0).cast("long") if mask is None else mask).alias("own"), F.posexplode(F.array(*[F.lit(m).cast("long") for m in ms])).alias("k", "m"))
+        out = out.select("node", "fp", (F.col("base") * len(ms) + F.col("k")).cast("long").alias("table_id"), F.col("own").bitwiseOR(F.col("m")).alias("mask"))
+        return out.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
+
+    first = masks(radius, parts=parts)
+    rows = tables(nodes, F.lit(0), first)
+    counters = max(1 << 16, nodes.count() * len(first) * 8 // CROWDED)
     ready = []
-    for level in range(1, LEVELS + 1):
-        crowded = settle(rows.groupBy("table_id", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWDED).select(F.col("table_id").alias("c_table"), F.col("key").alias("c_key")), "simhash-crowded")
-        if level == LEVELS or not crowded.limit(1).count():
+    for level in range(1, LEVELS):
+        # buckets are counted one by one only where some of them together are crowded
+        told = rows.withColumn("u", F.pmod(F.xxhash64("table_id", "key"), F.lit(counters)))
+        busy = settle(told.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWDED).select("u"), "simhash-busy")
+        if not busy.limit(1).count():
+            break
+        crowded = told.join(small(busy), "u", "left_semi").groupBy(F.col("table_id").alias("c_table"), F.col("key").alias("c_key")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWDED)
+        crowded = settle(crowded.drop("n"), "simhash-crowded")
+        if not crowded.limit(1).count():
             break
         both = rows.join(small(crowded), (F.col("table_id") == F.col("c_table")) & (F.col("key") == F.col("c_key")), "left")
         ready.append(both.where("c_table is null").select(rows.columns))
-        rows = both.where("c_table is not null").select("node", "fp", table(F.col("table_id") + 1, masks(radius, level, parts), F.col("mask")).alias("x")).select("node", "fp", "x.*")
+        rows = tables(both.where("c_table is not null"), F.col("table_id") + 1, masks(radius, level, parts), F.col("mask"))
     for r in ready:
         rows = rows.unionByName(r)
     return bucket_links(rows, radius, nearest)
