@@ -55,7 +55,7 @@ class Bytes:
     """Units are the bytes of a text."""
 
     length: int = 50
-    grams: tuple[int, int] = (24, 40)
+    grams: tuple[int, int] = (16, 40)
     sep: bytes = b""
 
     def stream(self, texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -324,7 +324,7 @@ def cut_strings(chunks: DataFrame, answers: DataFrame, units, parts: int) -> Dat
         for q, part in _split(np.arange(len(out)), up):
             body = out[part[0] : part[-1] + 1]
             lens = np.fromiter(map(len, body), np.uint32, len(body))
-            asks.append({"p": q, "blob": _zip(np.uint32(len(body)).tobytes() + lens.tobytes() + uh[part].tobytes() + least[part].tobytes() + b"".join(body))})
+            asks.append({"p": q, "blob": _zip(np.uint32(len(body)).tobytes() + lens.tobytes() + np.diff(uh[part], prepend=np.uint32(0)).tobytes() + least[part].tobytes() + b"".join(body))})
         return _zip(np.uint32(len(start)).tobytes() + start.astype(np.uint32).tobytes() + use.astype(np.uint32).tobytes() + n.astype(np.uint8).tobytes()), asks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,7 +353,7 @@ def compare(solver: Solver) -> Callable[[list[int], list[bytes]], list[bytes | N
             data = _unzip(blob)
             n = int(np.frombuffer(data, np.uint32, 1)[0])
             ends = np.cumsum(np.frombuffer(data, np.uint32, n, 4), dtype=np.int64) + 4 + 16 * n
-            hs.append(np.frombuffer(data, np.uint32, n, 4 + 4 * n))
+            hs.append(np.cumsum(np.frombuffer(data, np.uint32, n, 4 + 4 * n), dtype=np.uint32))
             ds.append(np.frombuffer(data, np.int64, n, 4 + 8 * n))
             begin = [4 + 16 * n, *ends[:-1].tolist()]
             asked.append(np.fromiter((index.setdefault(data[x:y], len(index)) for x, y in zip(begin, ends.tolist(), strict=True)), np.int64, n))
