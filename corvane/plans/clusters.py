@@ -9,9 +9,29 @@ from corvane.functions import text as T
 from corvane.plans import policy as P
 
 
-def anchors(text: Column, lexicon: dict = P.LEXICON) -> Column:
-    """Canonical names whose pattern the text matches, sorted. Patterns don't interact, so matching is enough."""
-    return F.array_sort(F.array_compact(F.array(*[F.when(text.rlike(P.word(stem)), F.lit(name)) for name, (_, stem) in lexicon.items()])))
+def stems(*groups: str) -> list[str]:
+    return [s for g in groups for s in g.split("|")]
+
+
+ALL_STEMS = stems(*(s for _, s in P.LEXICON.values()), P.POLITICAL, P.MEMORIAL, P.MAJOR, P.ALERT, P.MATERIAL, P.INVESTIGATE)
+
+
+def stems_found(text: Column, known: list[str] | None = None) -> Column:
+    """The known stems that words of the text begin with: one pass of one pattern, longer stems first."""
+    pattern = P.word("|".join(sorted(set(known or ALL_STEMS), key=lambda s: (-len(s), s))))
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(2)), F.lower))
+
+
+def hit(found: Column, group: str) -> Column:
+    """Whether one of the stems of a group was found; a longer stem that begins with it counts."""
+    wanted = stems(group)
+    longer = [s for s in ALL_STEMS if s.startswith(tuple(wanted))]
+    return F.arrays_overlap(found, F.array(*[F.lit(s) for s in sorted({*wanted, *longer})]))
+
+
+def anchors(found: Column, lexicon: dict = P.LEXICON) -> Column:
+    """Canonical names whose stem was found, sorted. Patterns don't interact, so matching is enough."""
+    return F.array_sort(F.array_compact(F.array(*[F.when(hit(found, stem), F.lit(name)) for name, (_, stem) in lexicon.items()])))
 
 
 def has(arr: Column, values: list[str]) -> Column:
@@ -28,17 +48,17 @@ def tokens(text: Column) -> Column:
     return F.array_except(F.filter(F.array_distinct(found), lambda t: F.char_length(t) >= 4), F.array(*[F.lit(w) for w in P.STOPWORDS]))
 
 
-def relevance(text: Column, anchor: Column, group: Column, redacted: Column) -> Column:
+def relevance(text: Column, found: Column, anchor: Column, group: Column, redacted: Column) -> Column:
     """The first gate, for recall."""
     context, action, support = has(anchor, P.names("context", "location")), has(anchor, [*P.names("action", "equipment")]), has(anchor, P.names("support"))
     return (F.when(redacted, "redacted").when(text == "", "irrelevant").when((group == "official-a") & (action | support), "relevant").when(context & (action | support), "relevant")
-            .when(context & text.rlike(P.word(P.POLITICAL)), "peripheral").otherwise("irrelevant"))
+            .when(context & hit(found, P.POLITICAL), "peripheral").otherwise("irrelevant"))
 
 
-def topic(text: Column, anchor: Column) -> Column:
+def topic(found: Column, anchor: Column) -> Column:
     a = lambda *n: has(anchor, list(n))
     return (F.when(a("casualties"), "civilian-harm").when(a("naval"), "naval").when(a("air-defence"), "air-defence").when(a("drone", "strike"), "strikes").when(a("frontline"), "frontline")
-            .when(a("refinery", "railway"), "energy").when(a("sanctions", "aid"), "support").when(text.rlike(P.word(P.INVESTIGATE)), "investigations").otherwise("other"))
+            .when(a("refinery", "railway"), "energy").when(a("sanctions", "aid"), "support").when(hit(found, P.INVESTIGATE), "investigations").otherwise("other"))
 
 
 def editorial_topic(first: Column, anchor: Column) -> Column:
@@ -46,7 +66,7 @@ def editorial_topic(first: Column, anchor: Column) -> Column:
     return F.when(has(anchor, ["casualties"]), F.when(has(anchor, ["strike"]), "strikes").otherwise("civilian-harm")).otherwise(first)
 
 
-def strict(text: Column, anchor: Column, group: Column, topic_: Column, located: Column) -> Column:
+def strict(found: Column, anchor: Column, group: Column, topic_: Column, located: Column) -> Column:
     """The second gate, for precision: a rule for each topic, and a veto for memorial texts."""
     a = lambda *n: has(anchor, list(n))
     current = a("homeland")
@@ -54,7 +74,7 @@ def strict(text: Column, anchor: Column, group: Column, topic_: Column, located:
     rule = (F.when(topic_ == "civilian-harm", a("casualties") & ctx & (located | current | a("strike"))).when(topic_ == "strikes", ctx & a("strike", "drone")).when(topic_ == "air-defence", ctx & a("air-defence"))
             .when(topic_ == "frontline", ctx & a("frontline")).when(topic_ == "energy", ctx & a("refinery", "railway")).when(topic_ == "naval", ctx & a("naval"))
             .when(topic_ == "support", a("sanctions", "aid") & (current | group.isin("official-a", "press", "analysts"))).when(topic_ == "investigations", group.isin("osint", "analysts") & (ctx | a("strike", "frontline"))).otherwise(F.lit(False)))
-    return rule & ~text.rlike(P.word(P.MEMORIAL))
+    return rule & ~hit(found, P.MEMORIAL)
 
 
 def signature(anchor: Column, topic_: Column, located: Column, family: Column) -> Column:
@@ -65,16 +85,18 @@ def signature(anchor: Column, topic_: Column, located: Column, family: Column) -
 
 
 def prepared(items: DataFrame) -> DataFrame:
-    """Items with text, anchors, topics, gates and cluster key; regular expressions run once per item."""
+    """Items with text, anchors, topics, gates and cluster key; one regular expression runs once per item."""
     text = T.clean(F.concat_ws(" ", F.col("title"), F.col("text")))
     p = items.select("item_id", "source", "platform", "grp", "perspective", "trust", "stamp", "local_day", F.lower("source_name").alias("family"), text.alias("body"), F.array_contains("tags", P.REDACT_TAGS[0]).alias("redacted"))
-    p = p.withColumn("anchors", anchors(F.col("body")))
-    p = p.withColumns({"relevance": relevance(F.col("body"), F.col("anchors"), F.col("grp"), F.col("redacted")), "first_topic": topic(F.col("body"), F.col("anchors")), "locations": only(F.col("anchors"), P.names("location"))})
+    found = F.col("found")
+    p = p.withColumn("found", stems_found(F.col("body")))
+    p = p.withColumn("anchors", anchors(found))
+    p = p.withColumns({"relevance": relevance(F.col("body"), found, F.col("anchors"), F.col("grp"), F.col("redacted")), "first_topic": topic(found, F.col("anchors")), "locations": only(F.col("anchors"), P.names("location"))})
     located = F.size("locations") > 0
     p = p.withColumn("topic", editorial_topic(F.col("first_topic"), F.col("anchors")))
-    p = p.withColumns({"major": F.col("body").rlike(P.word(P.MAJOR)), "material": F.col("body").rlike(P.word(P.MATERIAL)), "alert": F.col("body").rlike(P.word(P.ALERT))})
-    p = p.withColumn("strict", strict(F.col("body"), F.col("anchors"), F.col("grp"), F.col("topic"), located))
-    p = p.withColumn("semantic", signature(F.col("anchors"), F.col("topic"), located, F.col("family"))).drop("body")
+    p = p.withColumns({"major": hit(found, P.MAJOR), "material": hit(found, P.MATERIAL), "alert": hit(found, P.ALERT)})
+    p = p.withColumn("strict", strict(found, F.col("anchors"), F.col("grp"), F.col("topic"), located))
+    p = p.withColumn("semantic", signature(F.col("anchors"), F.col("topic"), located, F.col("family"))).drop("body", "found")
     return p.persist()  # what is left of an item is small, and every score reads it
 
 
