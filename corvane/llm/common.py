@@ -31,14 +31,20 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/corvane/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts lineage, survives lost executors, and is computed once."""
+def settle(df: DataFrame, name: str, packed: bool = False) -> DataFrame:
+    """Write df to the shared folder and read it again: cuts lineage, survives lost executors, and is computed once.
+
+    packed: rows are large and compressed already; they are written as they are, in small row groups, to spare memory.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, name)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        out = df.write.option("compression", "none" if packed else "zstd")
+        if packed:
+            out = out.option("parquet.block.size", str(8 << 20)).option("parquet.enable.dictionary", "false")
+        out.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -437,12 +437,12 @@ def remove_repeats(docs: DataFrame, units, solver: Solver, finish, columns: str,
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")  # rows are megabytes here
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(64, -(-total // PART))
-    chunks = settle(chunked(base, units, parts), "windows-chunks")
+    chunks = settle(chunked(base, units, parts), "windows-chunks", packed=True)
     asks = lambda t: t.select("chunk", F.explode("asks").alias("a")).select("chunk", "a.p", "a.blob")
-    known = settle(by_place(asks(chunks), shared_keys), "windows-known")
-    cut = settle(cut_strings(chunks, known, units, parts), "windows-cut")
+    known = settle(by_place(asks(chunks), shared_keys), "windows-known", packed=True)
+    cut = settle(cut_strings(chunks, known, units, parts), "windows-cut", packed=True)
     drop_tables(spark, known)
-    solved = settle(by_place(asks(cut), compare(solver)), "windows-solved")
+    solved = settle(by_place(asks(cut), compare(solver)), "windows-solved", packed=True)
     said = solved.groupBy("chunk").agg(F.collect_list(F.struct("p", "blob")).alias("said"))
     columns += ", more string" if carry else ""
     names = [c.split()[0] for c in columns.split(", ")]
