@@ -50,6 +50,27 @@ def settle(df: DataFrame, name: str, packed: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settle_kinds(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A table of packed rows of several kinds (column ``kind``), each in a folder of its own, and the folder of all."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    ours = {CLEANUP: "true", "spark.sql.maxConcurrentOutputFileWriters": "4"}
+    before = {k: spark.conf.get(k) for k in ours}
+    for k, v in ours.items():
+        spark.conf.set(k, v)
+    try:
+        df.write.option("compression", "none").option("parquet.block.size", str(8 << 20)).option("parquet.enable.dictionary", "false").partitionBy("kind").parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def drop_tables(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete settled tables that nothing reads any more."""
     jvm = spark.sparkContext._jvm

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_tables, settle
+from .common import drop_path, drop_tables, settle, settle_kinds
 
 #: Bytes of text in a chunk and in a solver's block; window starts per piece of work; windows of a run.
 CHUNK, BLOCK, PIECE, RUN = 1 << 22, 1 << 19, 1 << 19, 64
@@ -177,18 +177,22 @@ def _split(order: np.ndarray, p: np.ndarray) -> Iterator[tuple[int, np.ndarray]]
         yield int(p[part[0]]), part
 
 
-_ASK = pa.list_(pa.struct([("p", pa.int64()), ("blob", pa.binary())]))
-_CHUNK = "chunk long, ids binary, lens binary, texts binary, more binary, asks array<struct<p: long, blob: binary>>"
+_CHUNK = "kind string, chunk long, p long, blob binary, ids binary, lens binary, texts binary, more binary"
+_CUT = "kind string, chunk long, p long, blob binary"
+_KINDS = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
 
 
-def _one(names: list[str], values: list, types: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names)
+def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of a table of several kinds; fields that a row leaves out are null."""
+    names, kinds = zip(*(f.split() for f in schema.split(", ")), strict=True)
+    full = [r + (None,) * (len(names) - len(r)) for r in rows]
+    return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[k]) for c, k in zip(zip(*full, strict=True), kinds, strict=True)], list(names))
 
 
 def chunked(docs: DataFrame, units, parts: int) -> DataFrame:
-    """Chunks of documents with their minimisers: ids, lens, texts, and what each chunk asks of each task."""
+    """Chunks of documents (kind text: ids, lens, texts, more) and what each asks of each task (kind ask: p, blob)."""
 
-    def ask(texts: list[bytes]) -> list[dict]:
+    def ask(number: int, texts: list[bytes]) -> list[tuple]:
         _, sizes, codes = units.stream(texts)
         found = [(k, owner(sizes, s)) for *_, s, _, k in all_runs(units, codes, sizes)]
         key = np.concatenate([k for k, _ in found]) if found else np.empty(0, np.uint64)
@@ -199,7 +203,7 @@ def chunked(docs: DataFrame, units, parts: int) -> DataFrame:
         last = np.append(first[1:], len(key)) - 1
         many = doc[first] != doc[last] if len(key) else np.empty(0, bool)
         p, h = place(key[first], parts)
-        return [{"p": q, "blob": h[part].tobytes() + np.packbits(many[part]).tobytes()} for q, part in _split(np.lexsort((h, p)), p)]
+        return [("ask", number, q, h[part].tobytes() + np.packbits(many[part]).tobytes()) for q, part in _split(np.lexsort((h, p)), p)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, more, size = [], [], [], 0
@@ -207,8 +211,8 @@ def chunked(docs: DataFrame, units, parts: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             lens = np.fromiter(map(len, texts), np.int64, len(texts))
-            values = [number, np.array(ids, np.int64).tobytes(), lens.tobytes(), _zip(b"".join(texts)), _zip("\n".join(more).encode()), ask(texts)]
-            return _one(["chunk", "ids", "lens", "texts", "more", "asks"], values, [pa.int64()] + [pa.binary()] * 4 + [_ASK])
+            text = ("text", number, None, None, np.array(ids, np.int64).tobytes(), lens.tobytes(), _zip(b"".join(texts)), _zip("\n".join(more).encode()))
+            return _batch(_CHUNK, [text, *ask(number, texts)])
 
         for b in batches:
             for i, t, m in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
@@ -279,13 +283,10 @@ def texts_of(row: dict) -> tuple[np.ndarray, list[bytes]]:
     return np.frombuffer(row["ids"], np.int64), [data[a:b] for a, b in zip((ends - lens).tolist(), ends.tolist(), strict=True)]
 
 
-_CUT = "chunk long, uses binary, asks array<struct<p: long, blob: binary>>"
-
-
 def cut_strings(chunks: DataFrame, answers: DataFrame, units, parts: int) -> DataFrame:
-    """For each chunk the places of its shared runs (uses) and the distinct strings that these cover (asks)."""
+    """For each chunk the places of its shared runs (kind uses) and the distinct strings that these cover (kind ask)."""
 
-    def strings(ids: np.ndarray, texts: list[bytes], known: list[dict]) -> tuple[bytes, list[dict]]:
+    def strings(number: int, ids: np.ndarray, texts: list[bytes], known: list[dict]) -> list[tuple]:
         got = [read_keys(x["p"], x["blob"]) for x in known]
         code, hot = np.concatenate([c for c, _ in got]), np.concatenate([x for _, x in got])
         order = np.argsort(code)
@@ -320,19 +321,19 @@ def cut_strings(chunks: DataFrame, answers: DataFrame, units, parts: int) -> Dat
         least = np.full(len(out), NULL_ID, np.int64)
         np.minimum.at(least, use, doc)
         _, first = np.unique(use, return_index=True)  # equal strings have equal keys
-        up, uh, asks = p[first], h[first], []
+        up, uh, rows = p[first], h[first], []
         for q, part in _split(np.arange(len(out)), up):
             body = out[part[0] : part[-1] + 1]
             lens = np.fromiter(map(len, body), np.uint32, len(body))
-            asks.append({"p": q, "blob": _zip(np.uint32(len(body)).tobytes() + lens.tobytes() + np.diff(uh[part], prepend=np.uint32(0)).tobytes() + least[part].tobytes() + b"".join(body))})
-        return _zip(np.uint32(len(start)).tobytes() + start.astype(np.uint32).tobytes() + use.astype(np.uint32).tobytes() + n.astype(np.uint8).tobytes()), asks
+            rows.append(("ask", number, q, _zip(np.uint32(len(body)).tobytes() + lens.tobytes() + np.diff(uh[part], prepend=np.uint32(0)).tobytes() + least[part].tobytes() + b"".join(body))))
+        uses = np.uint32(len(start)).tobytes() + start.astype(np.uint32).tobytes() + use.astype(np.uint32).tobytes() + n.astype(np.uint8).tobytes()
+        return [("uses", number, None, _zip(uses)), *rows]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1).to_pylist()[0]
-                uses, asks = strings(*texts_of(row), row["known"])
-                yield _one(["chunk", "uses", "asks"], [row["chunk"], uses, asks], [pa.int64(), pa.binary(), _ASK])
+                yield _batch(_CUT, strings(row["chunk"], *texts_of(row), row["known"]))
 
     known = answers.groupBy("chunk").agg(F.collect_list(F.struct("p", "blob")).alias("known"))  # no more than the chunk asked
     return chunks.select("chunk", "ids", "lens", "texts").join(known, "chunk").mapInArrow(run, _CUT)
@@ -437,12 +438,15 @@ def remove_repeats(docs: DataFrame, units, solver: Solver, finish, columns: str,
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")  # rows are megabytes here
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(64, -(-total // PART))
-    chunks = settle(chunked(base, units, parts), "windows-chunks", packed=True)
-    asks = lambda t: t.select("chunk", F.explode("asks").alias("a")).select("chunk", "a.p", "a.blob")
-    known = settle(by_place(asks(chunks), shared_keys), "windows-known", packed=True)
-    cut = settle(cut_strings(chunks, known, units, parts), "windows-cut", packed=True)
+    kind = lambda t, k: t.where(F.col("kind") == k)
+    first, first_path = settle_kinds(chunked(base, units, parts), "windows-chunks")
+    known = settle(by_place(kind(first, "ask"), shared_keys), "windows-known", packed=True)
+    drop_path(spark, f"{first_path}/kind=ask")
+    chunks = kind(first, "text").select("chunk", "ids", "lens", "texts", "more")
+    cut, cut_path = settle_kinds(cut_strings(chunks, known, units, parts), "windows-cut")
     drop_tables(spark, known)
-    solved = settle(by_place(asks(cut), compare(solver)), "windows-solved", packed=True)
+    solved = settle(by_place(kind(cut, "ask"), compare(solver)), "windows-solved", packed=True)
+    drop_path(spark, f"{cut_path}/kind=ask")
     said = solved.groupBy("chunk").agg(F.collect_list(F.struct("p", "blob")).alias("said"))
     columns += ", more string" if carry else ""
     names = [c.split()[0] for c in columns.split(", ")]
@@ -460,8 +464,8 @@ def remove_repeats(docs: DataFrame, units, solver: Solver, finish, columns: str,
                     out = [(*o, m) for o, m in zip(out, _unzip(row["more"]).decode().split("\n"), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) if "string" in t else pa.array(c, pa.int64()) for c, t in zip(zip(*out, strict=True), columns.split(", "), strict=True)], names)
 
-    uses = cut.select("chunk", "uses")
-    out = chunks.drop("asks").join(uses, "chunk", "left").join(said, "chunk", "left").mapInArrow(run, columns)
+    uses = kind(cut, "uses").select("chunk", F.col("blob").alias("uses"))
+    out = chunks.join(uses, "chunk", "left").join(said, "chunk", "left").mapInArrow(run, columns)
     return out.withColumn("more", F.from_json("more", docs.select(*carry).schema)) if carry else out
 
 
