@@ -4,7 +4,8 @@ A fingerprint's 64 bits are labelled with vectors of radius + 1 bits; for every
 mask keeps the bits whose label has an odd product with v. Up to ``radius`` differing bits have labels in a space of
 smaller dimension, so some v is orthogonal to all of them and its table drops every differing bit: each pair within the
 radius meets in some bucket, without exception. A bucket of more than a few fingerprints gives a spanning
-forest of its links, never all of its pairs.
+forest of its links, not all of its pairs; links that are checked afterwards are all given, but for those inside a
+component that checked links have made already.
 A bucket with too many fingerprints for one task is covered again with other labels, on top of its own mask, so that
 its pairs meet in narrower buckets; this too loses none.
 
@@ -15,8 +16,8 @@ unless it is alone.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import partial
+from collections.abc import Callable, Iterator
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,9 @@ from .components import components
 
 #: A bucket with more fingerprints than this is covered again; levels beyond the last compare within the bucket.
 CROWDED, LEVELS = 16_384, 2
-#: A bucket of no more fingerprints than this gives all its links; up to MANY, each member's nearest.
-FEW, MANY = 16, 2048
+#: A bucket of no more fingerprints than this gives all its links at once. Where every link of a larger one is wanted, it
+#: is dense with more than DENSE of them a member; those are then sought after others have been checked.
+FEW, DENSE = 16, 8
 
 
 def shingle_hashes(text: str | None, n: int = 4) -> np.ndarray:
@@ -68,6 +70,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return picked.mapInArrow(run, "doc_id long, fp long")
 
 
+@cache
 def masks(radius: int = 4, seed: int = 0, parts: int = 1) -> list[int]:
     """Covering masks as signed longs; labels are dealt evenly over the non-zero vectors.
 
@@ -101,57 +104,35 @@ def forest(fps: np.ndarray, nodes: np.ndarray, radius: int) -> Iterator[tuple[np
                 yield nodes[hit], int(nodes[root]), int(nodes[here])
 
 
-def closest(fps: np.ndarray, nodes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each member of a bucket its nearest other member, if within the radius (a larger and a smaller node)."""
-    a, b = [], []
-    for k in range(0, len(fps), 512):
-        d = np.bitwise_count(fps[k : k + 512, None] ^ fps[None, :])
-        rows = np.arange(d.shape[0])
-        d[rows, rows + k] = 65
-        best = d.argmin(1)
-        near = d[rows, best] <= radius
-        a.append(nodes[k : k + 512][near])
-        b.append(nodes[best[near]])
-    a, b = np.concatenate(a), np.concatenate(b)
-    return np.maximum(a, b), np.minimum(a, b)
+def near_pairs(fps: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of a bucket within the radius, as positions, in blocks of bounded memory."""
+    k = 0
+    while k < len(fps) - 1:
+        n = max(1, (1 << 20) // (len(fps) - k))
+        i, j = np.nonzero(np.bitwise_count(fps[k : k + n, None] ^ fps[None, k:]) <= radius)
+        yield i[i < j] + k, j[i < j] + k
+        k += n
 
 
-def bucket_links(rows: DataFrame, radius: int, nearest: bool = False) -> DataFrame:
-    """a, b (a > b) of rows (table_id, key, fp, node), dealt by bucket and read as one sorted stream.
+def meets_first(bits: np.ndarray, table: int, radius: int, parts: int) -> np.ndarray:
+    """Positions of the differing bits of a table's pairs that meet in none of the tables before it."""
+    path, at = [], np.arange(len(bits))
+    while table >= 0:
+        table, k = divmod(table, len(masks(radius, parts=parts)))
+        path.append(k)
+        table -= 1
+    for level, k in enumerate(reversed(path)):
+        for m in masks(radius, level, parts)[:k]:
+            at = at[bits[at] & np.uint64(m & (1 << 64) - 1) != 0]
+    return at
 
-    nearest: also the link of each member to its nearest in the bucket, or to the one that it was reached from in a
-    large bucket, for links that are checked afterwards.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [np.empty(0, np.int64)] * 4
-
-        def links(t, key, fp, node) -> Iterator[pa.RecordBatch]:
-            fp = fp.view(np.uint64)  # bits are counted of absolute values otherwise
-            cut = np.flatnonzero((t[1:] != t[:-1]) | (key[1:] != key[:-1])) + 1
-            start = np.concatenate([[0], cut])
-            size = np.diff(np.concatenate([start, [len(t)]]))
-            big = np.repeat(size > FEW, size)
-            bucket = np.repeat(np.arange(len(start)), size)
-            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for o in range(1, min(FEW, int(size.max()))):  # all pairs of buckets of a few
-                i = np.flatnonzero((bucket[:-o] == bucket[o:]) & ~big[o:])
-                i = i[np.bitwise_count(fp[i] ^ fp[i + o]) <= radius]
-                a.append(np.maximum(node[i], node[i + o]))
-                b.append(np.minimum(node[i], node[i + o]))
-            for s, n in zip(start[size > FEW].tolist(), size[size > FEW].tolist(), strict=True):
-                for hit, root, via in forest(fp[s : s + n], node[s : s + n], radius):
-                    a.append(hit)
-                    b.append(np.full(len(hit), root))
-                    if nearest and via != root:
-                        a.append(np.maximum(hit, via))
-                        b.append(np.minimum(hit, via))
-                if nearest and n <= MANY:
-                    x, y = closest(fp[s : s + n], node[s : s + n], radius)
-                    a.append(x)
-                    b.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+def by_bucket(rows: DataFrame, extra: list[str], links: Callable[..., Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """links(table_id, key, fp, node, *extra) of rows, dealt by bucket and read as one sorted stream; it gets whole buckets."""
+    names = ["table_id", "key", "fp", "node", *extra]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [np.empty(0, np.int64)] * len(names)
         for batch in batches:
             if batch.num_rows:
                 kept = [np.concatenate([k, c.to_numpy(zero_copy_only=False).astype(np.int64, copy=False)]) for k, c in zip(kept, batch.columns, strict=True)]
@@ -162,12 +143,89 @@ def bucket_links(rows: DataFrame, radius: int, nearest: bool = False) -> DataFra
         if len(kept[0]) > 1:
             yield from links(*kept)
 
-    dealt = rows.select("table_id", "key", F.col("fp"), "node").repartition("table_id", "key").sortWithinPartitions("table_id", "key")
-    return dealt.mapInArrow(run, "a long, b long")
+    return rows.select(names).repartition("table_id", "key").sortWithinPartitions("table_id", "key").mapInArrow(run, schema)
 
 
-def link_fingerprints(nodes: DataFrame, radius: int = 4, parts: int = 1, nearest: bool = False) -> DataFrame:
-    """Links a, b of nodes (fp, node) such that fingerprints within the radius are connected."""
+def starts(t: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where buckets start, and their sizes."""
+    start = np.concatenate([[0], np.flatnonzero((t[1:] != t[:-1]) | (key[1:] != key[:-1])) + 1])
+    return start, np.diff(np.concatenate([start, [len(t)]]))
+
+
+def bucket_links(rows: DataFrame, radius: int, parts: int = 1, every: bool = False) -> DataFrame:
+    """a, b (a > b) of rows (table_id, key, fp, node): links that connect what is within the radius.
+
+    every: all links, for links that are checked afterwards. A dense bucket gives its forest, and its members as rows
+    with fp, table_id and key (a: the node; b is null) for ``rest_links``; of links, these three are null.
+    """
+    dense = DENSE
+
+    def links(t, key, fp, node) -> Iterator[pa.RecordBatch]:
+        fp = fp.view(np.uint64)  # bits are counted of absolute values otherwise
+        start, size = starts(t, key)
+        big = np.repeat(size > FEW, size)
+        bucket = np.repeat(np.arange(len(start)), size)
+        a, b, members = [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
+        for o in range(1, min(FEW, int(size.max()))):  # all pairs of buckets of a few
+            i = np.flatnonzero((bucket[:-o] == bucket[o:]) & ~big[o:])
+            i = i[np.bitwise_count(fp[i] ^ fp[i + o]) <= radius]
+            a.append(np.maximum(node[i], node[i + o]))
+            b.append(np.minimum(node[i], node[i + o]))
+        for s, n in zip(start[size > FEW].tolist(), size[size > FEW].tolist(), strict=True):
+            f, v = fp[s : s + n], node[s : s + n]
+            if every:
+                found, left = [], dense * n
+                for i, j in near_pairs(f, radius):
+                    if (left := left - len(i)) < 0:
+                        break
+                    found.append((i, j))
+                if left >= 0:
+                    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+                    at = meets_first(f[i] ^ f[j], int(t[s]), radius, parts)
+                    a.append(np.maximum(v[i[at]], v[j[at]]))
+                    b.append(np.minimum(v[i[at]], v[j[at]]))
+                    continue
+                members.append(np.arange(s, s + n))
+            for hit, root, via in forest(f, v, radius):
+                a.append(hit)
+                b.append(np.full(len(hit), root))
+                if every and via != root:
+                    a.append(np.maximum(hit, via))
+                    b.append(np.minimum(hit, via))
+        a, b = np.concatenate(a), np.concatenate(b)
+        if not every:
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            return
+        none = pa.nulls(len(a), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), none, none, none], ["a", "b", "fp", "table_id", "key"])
+        for m in members:
+            yield pa.RecordBatch.from_arrays([pa.array(node[m]), pa.nulls(len(m), pa.int64()), pa.array(fp[m].view(np.int64)), pa.array(t[m]), pa.array(key[m])], ["a", "b", "fp", "table_id", "key"])
+
+    return by_bucket(rows, [], links, "a long, b long" + ", fp long, table_id long, key long" * every)
+
+
+def rest_links(rows: DataFrame, radius: int, parts: int = 1) -> DataFrame:
+    """a, b (a > b) of rows (table_id, key, fp, node, root): every pair within the radius whose roots differ, once."""
+
+    def links(t, key, fp, node, root) -> Iterator[pa.RecordBatch]:
+        fp = fp.view(np.uint64)
+        for s, n in zip(*(x.tolist() for x in starts(t, key)), strict=True):
+            f, v, r = fp[s : s + n], node[s : s + n], root[s : s + n]
+            if (r == r[0]).all():
+                continue
+            for i, j in near_pairs(f, radius):
+                apart = r[i] != r[j]
+                i, j = i[apart], j[apart]
+                at = meets_first(f[i] ^ f[j], int(t[s]), radius, parts)
+                if len(at):
+                    x, y = v[i[at]], v[j[at]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
+
+    return by_bucket(rows, ["root"], links, "a long, b long")
+
+
+def bucket_tables(nodes: DataFrame, radius: int, parts: int = 1) -> DataFrame:
+    """node, fp, table_id, mask, key of nodes (fp, node): a row for each table, more where a bucket is crowded."""
 
     def tables(rows: DataFrame, base, ms: list[int], mask=None) -> DataFrame:
         out = rows.select("node", "fp", base.alias("base"), (F.lit(0).cast("long") if mask is None else mask).alias("own"), F.posexplode(F.array(*[F.lit(m).cast("long") for m in ms])).alias("k", "m"))
@@ -193,7 +251,12 @@ def link_fingerprints(nodes: DataFrame, radius: int = 4, parts: int = 1, nearest
         rows = tables(both.where("c_table is not null"), F.col("table_id") + 1, masks(radius, level, parts), F.col("mask"))
     for r in ready:
         rows = rows.unionByName(r)
-    return bucket_links(rows, radius, nearest)
+    return rows
+
+
+def link_fingerprints(nodes: DataFrame, radius: int = 4, parts: int = 1) -> DataFrame:
+    """Links a, b of nodes (fp, node) such that fingerprints within the radius are connected."""
+    return bucket_links(bucket_tables(nodes, radius, parts), radius, parts)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, n: int = 4) -> DataFrame:
@@ -236,9 +299,9 @@ def keep_one_of_each(docs: DataFrame, n: int = 5, similarity: float = 0.8, radiu
     """The rows of docs, all columns, without near-duplicates of rows with a smaller id.
 
     Equal texts are one node. Fingerprints of n-word shingles within the radius (texts of that similarity differ in about
-    a sixth of their bits at most) give candidates by covering tables over two halves: for each bucket a spanning
-    forest and each member's nearest other. Candidates are checked by the exact similarity of their shingle sets, and
-    one row of each component of the checked links stays. Rows without an id stay; of rows with one id, one stays.
+    a sixth of their bits at most) give candidates by covering tables over two halves: all pairs within the radius, but in
+    dense buckets first a spanning forest and then all pairs that the checked links haven't joined. Candidates are checked
+    by the exact similarity of their shingle sets, and one row of each component of the checked links stays. Rows without an id stay; of rows with one id, one stays.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,8 +312,14 @@ def keep_one_of_each(docs: DataFrame, n: int = 5, similarity: float = 0.8, radiu
     base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.md5(F.coalesce(text_col, F.lit("")).cast("binary")).alias("same"))
     prints = settle(base.mapInArrow(run, "doc_id long, same string, fp long"), "simhash")
     nodes = settle(prints.groupBy("same").agg(F.min("doc_id").alias("node"), F.min("fp").alias("fp")), "simhash-nodes")
-    links = settle(link_fingerprints(nodes.select("node", "fp"), radius, parts, nearest=True).where("a <> b").distinct(), "simhash-links")
-    roots = components(settle(similar_links(docs, links, n, similarity, id_col, text_col), "simhash-similar"))
+    found = settle(bucket_links(bucket_tables(nodes.select("node", "fp"), radius, parts), radius, parts, every=True).distinct(), "simhash-links")
+    check = lambda links: settle(similar_links(docs, links, n, similarity, id_col, text_col), "simhash-similar")
+    similar = check(found.where("b IS NOT NULL").select("a", "b"))
+    roots = components(similar)
+    dense = found.where("b IS NULL").select("table_id", "key", "fp", F.col("a").alias("node"))
+    if dense.limit(1).count():
+        rest = dense.join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        roots = components(similar.unionByName(check(settle(rest_links(rest, radius, parts), "simhash-rest"))))
     top = nodes.join(small(roots), "node", "left").select("same", F.coalesce("root", "node").alias("stays"))
     ids = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("same").alias("same"))
     gone = settle(ids.join(small(top), "same").where("doc_id <> stays").select(F.col("doc_id").alias("gone_id")), "simhash-gone")

@@ -1,0 +1,62 @@
+"""The near-duplicate stage and the classifier against brute force, with the limits of buckets forced small."""
+
+import itertools
+import random
+
+import pytest
+
+from corvane.llm import simhash
+
+rng = random.Random(11)
+
+
+def shingles(text, n=5):
+    w = text.lower().split()
+    return {tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))}
+
+
+def near(a, b, similarity=0.8):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) >= similarity * len(a | b)
+
+
+def stays(texts, joined):
+    """The smallest id of each component of the pairs that joined says yes to."""
+    par = {d: d for d in texts}
+
+    def find(x):
+        while par[x] != x:
+            x = par[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(texts), 2):
+        if find(a) != find(b) and joined(a, b):
+            par[max(find(a), find(b))] = min(find(a), find(b))
+    return {d for d in texts if find(d) == d}
+
+
+def edited_copies(groups=6, copies=25, words=260):
+    """Texts of which each has up to nine words changed: pairs lie on both sides of the similarity of 0.8."""
+    texts = []
+    for g in range(groups):
+        base = [f"g{g}w{rng.randint(0, 3000)}" for _ in range(words)]
+        for _ in range(copies):
+            t = list(base)
+            for k in rng.sample(range(words), rng.randint(0, 9)):
+                t[k] = f"x{rng.randint(0, 10**6)}"
+            texts.append(" ".join(t))
+    rng.shuffle(texts)
+    return dict(enumerate(texts))
+
+
+@pytest.mark.parametrize("few, crowded, dense", [(16, 16_384, 8), (2, 16_384, 1000), (2, 8, 0), (2, 8, 1)])
+def test_every_pair_within_the_radius_is_checked(spark, monkeypatch, few, crowded, dense):
+    monkeypatch.setattr(simhash, "FEW", few)
+    monkeypatch.setattr(simhash, "CROWDED", crowded)
+    monkeypatch.setattr(simhash, "DENSE", dense, raising=False)
+    texts = edited_copies()
+    fp = {d: simhash.simhash(t, 5) & (1 << 64) - 1 for d, t in texts.items()}
+    most = stays(texts, lambda a, b: (fp[a] ^ fp[b]).bit_count() <= 11 and near(texts[a], texts[b]))
+    least = stays(texts, lambda a, b: near(texts[a], texts[b]))  # a forest may also join similar texts beyond the radius
+    got = simhash.keep_one_of_each(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    assert least <= {r.doc_id for r in got.collect()} <= most
