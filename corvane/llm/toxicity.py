@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -22,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import settle
+
 _WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5)
 #: Rows that the classifier is fitted on, at most; features it keeps, at most.
 SAMPLE, FEATURES = 8_000, 512
-#: Features are known by so many bits of a hash.
-BITS = 22
+#: A feature is known from so many rows on.
+LEAST = 3
 
 # Group mentions that may be swapped within their line.
 IDENTITY = tuple(
@@ -53,7 +56,7 @@ def held_out(doc_id: Column) -> Column:
 
 def word_features(word: str) -> list[int]:
     """Hashes of a word and its beginnings."""
-    return [zlib.crc32(b"w" + word.encode()) >> (32 - BITS)] + [zlib.crc32(b"p%d" % n + word[:n].encode()) >> (32 - BITS) for n in PREFIXES if len(word) > n]
+    return [zlib.crc32(b"w" + word.encode())] + [zlib.crc32(b"p%d" % n + word[:n].encode()) for n in PREFIXES if len(word) > n]
 
 
 def text_words(text: str | None) -> set[str]:
@@ -95,20 +98,18 @@ def fit(rows: list[tuple[int, np.ndarray, list[np.ndarray]]], features: int = FE
     share = (y.sum() + 0.5) / (len(y) + 1)
     if not 0 < y.sum() < len(y):
         return Model(bias=float(np.log(share / (1 - share))))
-    count = lambda which: np.bincount(np.concatenate([r[1] for r in which]), minlength=1 << BITS)
-    n, pos = count(rows), count([r for r in rows if r[0]])
-    known = np.flatnonzero(n >= 3)
+    hashes, at = np.unique(np.concatenate([r[1] for r in rows]), return_inverse=True)
+    n = np.bincount(at, minlength=len(hashes))
+    pos = np.bincount(at, np.repeat(y, [len(r[1]) for r in rows]), len(hashes))
+    known = np.flatnonzero(n >= LEAST)
     expected = n[known] * y.mean()
     chi = (pos[known] - expected) ** 2 / (expected * (1 - y.mean()))
-    keep = np.sort(known[np.lexsort((known, -chi))[:features]])
+    keep = np.sort(hashes[known[np.lexsort((known, -chi))[:features]]])
     index = {int(k): j for j, k in enumerate(keep)}
-    place = np.full(1 << BITS, -1, np.int32)
-    place[keep] = np.arange(len(keep))
     x = np.zeros((len(rows), len(keep) + 1), np.float32)
     x[:, -1] = 1
     for i, r in enumerate(rows):
-        at = place[r[1]]
-        x[i, at[at >= 0]] = 1
+        x[i, [index[int(h)] for h in r[1] if int(h) in index]] = 1
     change = []
     for i, (_, _, others) in enumerate(rows):
         for o in others:
@@ -134,23 +135,47 @@ def fit(rows: list[tuple[int, np.ndarray, list[np.ndarray]]], features: int = FE
     return Model(index, w[:-1], float(w[-1]))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> Model:
-    """A model of the labelled rows that aren't held out: the ``sample`` of them with the smallest hashes of their id."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> Model:
+    """A model of the labelled rows that aren't held out: the ``sample`` of them with the smallest hashes of their id.
+
+    Features are counted on the executors; of each row the driver gets those that are kept.
+    """
+    ids = docs.select(F.col(id_col).alias("l_id"))
     known = (labels.select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isNotNull() & F.col("l_id").isNotNull())
-             .where(~held_out(F.col("l_id"))).groupBy("l_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("l_id"), "l_id").limit(sample))
+             .where(~held_out(F.col("l_id"))).groupBy("l_id").agg(F.max("y").alias("y")).join(ids, "l_id", "left_semi").orderBy(F.xxhash64("l_id"), "l_id").limit(sample))
+    rows = docs.select(F.col(id_col).alias("d_id"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("d_id") == F.col("l_id"))  # at most ``sample`` rows
+    rows = settle(rows.select("y", "text").limit(sample), "toxicity-sample")
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = lambda ws: np.fromiter({h for w in ws for h in word_features(w)}, np.uint32).tobytes()
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, pos = Counter(), Counter()
+            for y, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                on = {h for w in text_words(t.as_py()) for h in word_features(w)}
+                n.update(on)
+                if y:
+                    pos.update(on)
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(n.values(), pa.int64()), pa.array([pos[h] for h in n], pa.int64())], ["h", "n", "pos"])
+
+    size, toxic = rows.agg(F.count(F.lit(1)), F.sum(F.when(F.col("y") != 0, 1).otherwise(0))).first()
+    top: list[int] = []
+    if 0 < (toxic or 0) < size:
+        mean = toxic / size
+        chi = F.pow(F.col("pos") - F.col("n") * mean, 2) / (F.col("n") * mean * (1 - mean))
+        counted = rows.mapInArrow(counts, "h long, n long, pos long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+        top = [r.h for r in counted.where(F.col("n") >= LEAST).orderBy(chi.desc(), "h").limit(features).collect()]
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = set(top)
+        pack = lambda ws: np.sort(np.fromiter({h for w in ws for h in word_features(w)} & wanted, np.uint32)).tobytes()
         for b in batches:
             words = [text_words(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(pack, words), pa.binary()), pa.array([[pack(o) for o in swaps(w)] for w in words], pa.list_(pa.binary()))], ["y", "x", "others"])
 
-    rows = docs.select(F.col(id_col).alias("d_id"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("d_id") == F.col("l_id"))  # at most ``sample`` rows
-    got = rows.select("y", "text").mapInArrow(features, "y int, x binary, others array<binary>").limit(sample).toArrow()
+    got = rows.mapInArrow(kept, "y int, x binary, others array<binary>").toArrow()
     seen = lambda b: np.frombuffer(b.as_buffer(), np.uint32)
     found = [(y, seen(x), [seen(o) for o in others.values] if len(others) else []) for y, x, others in zip(got.column(0).to_pylist(), got.column(1), got.column(2), strict=True)]
-    found.sort(key=lambda r: (r[1].tobytes(), r[0]))
-    return fit(found, **options)
+    found.sort(key=lambda r: (r[1].tobytes(), r[0], [o.tobytes() for o in r[2]]))
+    return fit(found, features, **options)
 
 
 def score(docs: DataFrame, model: Model, columns: list[str], text_col: str = "text", name: str = "score") -> DataFrame:

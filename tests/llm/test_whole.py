@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from corvane.llm import simhash
+from corvane.llm import simhash, toxicity
 
 rng = random.Random(11)
 
@@ -60,3 +60,24 @@ def test_every_pair_within_the_radius_is_checked(spark, monkeypatch, few, crowde
     least = stays(texts, lambda a, b: near(texts[a], texts[b]))  # a forest may also join similar texts beyond the radius
     got = simhash.keep_one_of_each(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
     assert least <= {r.doc_id for r in got.collect()} <= most
+
+
+def test_toxicity_features_are_told_apart(spark):
+    words = [f"{''.join(rng.choice('abcdefghij') for _ in range(9))}" for _ in range(400)]
+    rows = [(i, " ".join(rng.sample(words, 40)) + (" vilething" if i % 3 == 0 else "")) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int"))
+    known = {h for _, t in rows for w in toxicity.text_words(t) for h in toxicity.word_features(w)}
+    assert set(model.index) <= known
+    unseen = {"".join(rng.choice("klmnopqrst") for _ in range(12)) for _ in range(20_000)}
+    assert not [w for w in unseen if any(h in model.index for h in toxicity.word_features(w))]
+    one = model.scorer()
+    assert one(" ".join(unseen)) == one("")
+
+
+def test_labels_without_a_document_use_no_place_in_the_sample(spark):
+    rows = [(i, "some plain words here" + (" vilething" if i % 2 else "")) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20_000)], "doc_id long, toxic int")
+    one = toxicity.train(docs, labels, sample=100).scorer()
+    assert one("vilething") > 0.9 and one("some plain words here") < 0.1
