@@ -48,6 +48,14 @@ def tokens(text: Column) -> Column:
     return F.array_except(F.filter(F.array_distinct(found), lambda t: F.char_length(t) >= 4), F.array(*[F.lit(w) for w in P.STOPWORDS]))
 
 
+def canonical(text: Column, lexicon: dict = P.LEXICON) -> Column:
+    """The text in lower case, with the canonical name in place of each word that begins with its stem."""
+    value = F.lower(text)
+    for name, (_, stem) in lexicon.items():
+        value = F.regexp_replace(value, P.word(stem) + r"[\p{L}\p{N}_]*", f"$1 {name} ")
+    return value
+
+
 def relevance(text: Column, found: Column, anchor: Column, group: Column, redacted: Column) -> Column:
     """The first gate, for recall."""
     context, action, support = has(anchor, P.names("context", "location")), has(anchor, [*P.names("action", "equipment")]), has(anchor, P.names("support"))
@@ -96,12 +104,17 @@ def prepared(items: DataFrame) -> DataFrame:
     p = p.withColumn("topic", editorial_topic(F.col("first_topic"), F.col("anchors")))
     p = p.withColumns({"major": hit(found, P.MAJOR), "material": hit(found, P.MATERIAL), "alert": hit(found, P.ALERT)})
     p = p.withColumn("strict", strict(found, F.col("anchors"), F.col("grp"), F.col("topic"), located))
-    p = p.withColumn("semantic", signature(F.col("anchors"), F.col("topic"), located, F.col("family"))).drop("body", "found")
+    p = p.withColumn("semantic", signature(F.col("anchors"), F.col("topic"), located, F.col("family")))
+    p = p.withColumn("tokens", F.when(in_cluster(), tokens(canonical(F.col("body"))))).drop("body", "found")
     return p.persist()  # what is left of an item is small, and every score reads it
 
 
+def in_cluster() -> Column:
+    return F.col("relevance").isin("relevant", "peripheral") & F.col("strict")
+
+
 def accepted(prep: DataFrame) -> DataFrame:
-    return prep.where(F.col("relevance").isin("relevant", "peripheral") & F.col("strict"))
+    return prep.where(in_cluster())
 
 
 KEY = ["local_day", "topic", "locations", "semantic"]
@@ -148,6 +161,8 @@ def clusters(prep: DataFrame) -> DataFrame:
     on = lambda d: [F.col(f"c.{k}") == F.col(f"d.{k}") for k in KEY]
     c = body.alias("c").join(evidence(family_best(acc)).alias("d"), on("d")).select("c.*", "d.evidence")
     c = c.alias("c").join(pulse(acc).alias("d"), on("d"), "left").select("c.*", F.coalesce("d.pulse", F.lit(0.0)).alias("pulse"))
+    words = acc.select(*KEY, F.explode("tokens").alias("token")).distinct().groupBy(*KEY).agg(F.collect_list("token").alias("token_union"))
+    c = c.alias("c").join(words.alias("d"), on("d"), "left").select("c.*", F.coalesce("d.token_union", F.array().cast("array<string>")).alias("token_union"))
     base = F.create_map(*[F.lit(x) for kv in P.IMPORTANCE.items() for x in kv])
     imp = F.element_at(base, F.col("topic")) + F.when(F.col("major"), 1.0).otherwise(0.0) + F.when(has(F.col("anchor_union"), ["refinery", "railway"]), 0.5).otherwise(0.0) + F.when((F.col("topic") == "civilian-harm") & has(F.col("anchor_union"), ["casualties"]), 0.5).otherwise(0.0)
     n = F.size("locations")
@@ -173,7 +188,9 @@ def temporal(c: DataFrame, days: int = 7) -> DataFrame:
     ago = F.date_diff("local_day", "h_day")
     ok = (F.col("topic") == F.col("h_topic")) | (F.col("topic").isin(*PAIRED) & F.col("h_topic").isin(*PAIRED))
     pairs = now.join(old, (F.col("place") == F.col("h_place")) & ago.between(1, days) & ok).drop("place", "h_place").dropDuplicates(["cluster_id", "h_id"])
-    score = 0.55 + 0.30 * T.jaccard(F.col("anchor_union"), F.col("h_anchors"))
+    words = c.select("cluster_id", "token_union")
+    pairs = pairs.join(words, "cluster_id").join(words.select(F.col("cluster_id").alias("h_id"), F.col("token_union").alias("h_tokens")), "h_id")
+    score = 0.55 + 0.30 * T.jaccard(F.col("anchor_union"), F.col("h_anchors")) + 0.15 * T.jaccard(F.col("token_union"), F.col("h_tokens"))
     best = pairs.groupBy("cluster_id", "h_day").agg(F.max_by("h_pulse", F.struct(F.round(score, 9), -F.col("h_pos"))).alias("day_pulse"))
     base = best.groupBy("cluster_id").agg(F.round(F.avg("day_pulse"), 9).alias("baseline"), F.count(F.lit(1)).alias("matched_days"))
     j = c.select("cluster_id", "pulse").join(base, "cluster_id", "left")
