@@ -322,8 +322,8 @@ def reattribute(spark, sf) -> DataFrame:
 
 @query("SELECT o_orderkey AS post_id, coalesce(string_agg(CASE WHEN p.p_partkey % 5 <> 0 THEN 'm/' || l_partkey END, ',' ORDER BY l_linenumber, l_partkey), '') AS media FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part p ON p_partkey = l_partkey WHERE o_orderkey % 10 = 0 GROUP BY 1")
 def media_expand(spark, sf) -> DataFrame:
-    keys = table(spark, sf, "lineitem").where("l_orderkey % 10 = 0").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"]).alias("media_keys"))
-    posts = table(spark, sf, "orders").where("o_orderkey % 10 = 0").select(F.col("o_orderkey").alias("post_id")).join(keys, F.col("post_id") == F.col("l_orderkey"), "left").select("post_id", "media_keys")
+    keys = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"]).alias("media_keys"))
+    posts = table(spark, sf, "orders").select(F.col("o_orderkey").alias("post_id")).join(keys, F.col("post_id") == F.col("l_orderkey"), "left").select("post_id", "media_keys")
     media = table(spark, sf, "part").where("p_partkey % 5 <> 0").select(F.col("p_partkey").alias("media_key"), F.concat(F.lit("m/"), F.col("p_partkey").cast("string")).alias("url"))
     return J.with_media(posts, media).select("post_id", joined(F.col("media")).alias("media"))
 

@@ -52,3 +52,9 @@ def test_clusters_carry_the_words_of_their_items(spark):
     got = {(r.local_day, r.topic, tuple(r.locations), tuple(r.semantic)): r.token_union for r in C.clusters(prep).collect()}
     assert {k: set(v) for k, v in got.items()} == want and all(len(v) == len(set(v)) for v in got.values())
     spark.catalog.clearCache()
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+def test_media_of_every_post(spark):
+    got, want = whole(spark, "media_expand", "SELECT o_orderkey AS post_id, coalesce(string_agg(CASE WHEN p.p_partkey % 5 <> 0 THEN 'm/' || l_partkey END, ',' ORDER BY l_linenumber, l_partkey), '') AS media FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part p ON p_partkey = l_partkey GROUP BY 1")
+    assert got == want
