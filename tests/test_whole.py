@@ -58,3 +58,9 @@ def test_clusters_carry_the_words_of_their_items(spark):
 def test_media_of_every_post(spark):
     got, want = whole(spark, "media_expand", "SELECT o_orderkey AS post_id, coalesce(string_agg(CASE WHEN p.p_partkey % 5 <> 0 THEN 'm/' || l_partkey END, ',' ORDER BY l_linenumber, l_partkey), '') AS media FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part p ON p_partkey = l_partkey GROUP BY 1")
     assert got == want
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+def test_period_of_every_order(spark):
+    got, want = whole(spark, "period_days", "SELECT o_orderkey, CASE WHEN o_custkey % 40 < 31 THEN o_custkey % 40 + 1 END AS days FROM orders")
+    assert got == want
