@@ -500,7 +500,7 @@ def anchors(spark, sf) -> DataFrame:
 
 @query(Q.tokens())
 def tokens(spark, sf) -> DataFrame:
-    return V.items(spark, sf).select("item_id", F.explode(C.tokens(F.col("text"))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).where("n >= 20")
+    return V.items(spark, sf).select("item_id", F.explode(C.tokens(F.col("text"))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(Q.prepared("SELECT item_id, relevance FROM prep"))

@@ -2,6 +2,7 @@
 
 import os
 import re
+from collections import Counter
 from datetime import date
 
 import duckdb
@@ -64,3 +65,11 @@ def test_media_of_every_post(spark):
 def test_period_of_every_order(spark):
     got, want = whole(spark, "period_days", "SELECT o_orderkey, CASE WHEN o_custkey % 40 < 31 THEN o_custkey % 40 + 1 END AS days FROM orders")
     assert got == want
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+def test_every_token_is_counted(spark):
+    n: Counter = Counter()
+    for r in catalog.V.items(spark, SF).select("text").collect():
+        n.update({t for t in re.findall(r"[a-z0-9][a-z0-9'-]{2,}", r.text.lower()) if len(t) >= 4 and t not in P.STOPWORDS})
+    assert {r.t: r.n for r in catalog.QUERIES["tokens"](spark, SF).collect()} == n and min(n.values()) < 20
