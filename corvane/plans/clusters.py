@@ -123,7 +123,7 @@ KEY = ["local_day", "topic", "locations", "semantic"]
 def family_best(acc: DataFrame) -> DataFrame:
     """The best item of each source family in a cluster: group, trust, stamp, then the first."""
     rank = lambda table, c: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), F.col(c)), F.lit(0))
-    best = F.max_by(F.struct("item_id", "grp", "perspective"), F.struct(rank(P.GROUP_RANK, "grp"), rank(P.TRUST_RANK, "trust"), F.col("stamp"), -F.col("item_id")))
+    best = F.max_by(F.struct("item_id", "grp", "perspective", "trust", "stamp"), F.struct(rank(P.GROUP_RANK, "grp"), rank(P.TRUST_RANK, "trust"), F.col("stamp"), -F.col("item_id")))
     return acc.groupBy(*KEY, "family").agg(best.alias("b"), F.count(F.lit(1)).alias("items")).select(*KEY, "family", "items", "b.*")
 
 
@@ -236,9 +236,9 @@ def watch(r: DataFrame, chosen: DataFrame, least: float = 4.0, most: int = 6) ->
 
 
 def samples(acc: DataFrame, most: int = 5) -> DataFrame:
-    """Diverse samples of a cluster: the best item of each group first, then by rank."""
+    """Diverse samples of a cluster, of the best items of its families: the best of each group first, then by rank."""
     rank = lambda table, c: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), F.col(c)), F.lit(0))
     order = [rank(P.GROUP_RANK, "grp").desc(), rank(P.TRUST_RANK, "trust").desc(), F.col("stamp").desc(), F.col("item_id")]
-    s = acc.withColumn("in_group", F.row_number().over(Window.partitionBy(*KEY, "grp").orderBy(*order)))
+    s = family_best(acc).withColumn("in_group", F.row_number().over(Window.partitionBy(*KEY, "grp").orderBy(*order)))
     s = s.withColumn("place", F.row_number().over(Window.partitionBy(*KEY).orderBy(F.col("in_group") > 1, *order)))
     return s.where(F.col("place") <= most)

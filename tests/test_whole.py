@@ -3,7 +3,7 @@
 import os
 import re
 from collections import Counter
-from datetime import date
+from datetime import date, datetime
 
 import duckdb
 import pytest
@@ -73,3 +73,18 @@ def test_every_token_is_counted(spark):
     for r in catalog.V.items(spark, SF).select("text").collect():
         n.update({t for t in re.findall(r"[a-z0-9][a-z0-9'-]{2,}", r.text.lower()) if len(t) >= 4 and t not in P.STOPWORDS})
     assert {r.t: r.n for r in catalog.QUERIES["tokens"](spark, SF).collect()} == n and min(n.values()) < 20
+
+
+def test_samples_are_of_different_families(spark):
+    rows = [(i, date(2024, 1, 1), "strikes", ["delta"], [], "hot" if i < 20 else f"f{i}", P.GROUPS[i % 2], "known", "high", datetime(2024, 1, 1, 23 - i % 24)) for i in range(24)]
+    acc = spark.createDataFrame(rows, "item_id long, local_day date, topic string, locations array<string>, semantic array<string>, family string, grp string, perspective string, trust string, stamp timestamp")
+    got = C.samples(acc).orderBy("place").collect()
+    rank = lambda r: (P.GROUP_RANK.get(r[6], 0), P.TRUST_RANK.get(r[8], 0), r[9], -r[0])
+    best: dict = {}
+    for r in sorted(rows, key=rank, reverse=True):
+        best.setdefault(r[5], r)
+    first, rest, seen = [], [], set()
+    for r in sorted(best.values(), key=rank, reverse=True):
+        (rest if r[6] in seen else first).append(r[0])
+        seen.add(r[6])
+    assert [r.item_id for r in got] == (first + rest)[:5] and len({r.family for r in got}) == 5
