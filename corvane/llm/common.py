@@ -1,10 +1,12 @@
-"""Helpers of the training-data operators: shared-folder tables, size-checked joins, range numbering."""
+"""Helpers of the training-data operators: tables in the shared folder, joins of checked size, settings."""
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +20,11 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where unset (tests), one of our own."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir; where unset, in local mode, one of our own."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return (found or _own_dir()).rstrip("/")
 
 
 @functools.cache
@@ -27,6 +32,22 @@ def _own_dir() -> str:
     return tempfile.mkdtemp(prefix="corvane-")
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session with these settings, which are as before afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/corvane/{name}-{uuid.uuid4().hex}"
 
@@ -38,15 +59,11 @@ def settle(df: DataFrame, name: str, packed: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with settings(spark, {CLEANUP: "true"}):
         out = df.write.option("compression", "none" if packed else "zstd")
         if packed:
             out = out.option("parquet.block.size", str(8 << 20)).option("parquet.enable.dictionary", "false")
         out.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -54,15 +71,8 @@ def settle_kinds(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """A table of packed rows of several kinds (column ``kind``), each in a folder of its own, and the folder of all."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    ours = {CLEANUP: "true", "spark.sql.maxConcurrentOutputFileWriters": "4"}
-    before = {k: spark.conf.get(k) for k in ours}
-    for k, v in ours.items():
-        spark.conf.set(k, v)
-    try:
+    with settings(spark, {CLEANUP: "true", "spark.sql.maxConcurrentOutputFileWriters": "4"}):
         df.write.option("compression", "none").option("parquet.block.size", str(8 << 20)).option("parquet.enable.dictionary", "false").partitionBy("kind").parquet(path)
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -1,13 +1,14 @@
 """Windows of a fixed length that start in a document with a smaller id: the distributed frame of both substring operators.
 
 A unit is a byte or a word, and a window is ``length`` consecutive units of one document. Documents are put into
-chunks of bounded size. Every window is known by its minimiser, the smallest hash among its shorter grams, so equal
-windows always meet: (1) chunks ask which of their minimisers other documents have, too; (2) runs of windows with a
-shared minimiser are cut out, with the units that they cover, each distinct string once per chunk; (3) strings with the
-same minimiser meet in one task, where a ``solver`` (a suffix array's or a suffix tree's) finds for each window the
-smallest document id that has it; (4) chunks mark, from the answers, the windows of smaller documents.
-Questions and answers travel as packed binary columns between Spark's shuffles. A string of a third of all documents is
-one row per chunk, not per document; a minimiser of many chunks is split by a second, longer-grammed minimiser.
+chunks of bounded size. (1) Chunks ask which of their windows' minimisers, the smallest hashes among shorter grams,
+other documents have, too: a window that repeats is always among those kept. (2) Chunks deal out what they kept, each
+distinct string once, in packed blobs; how it is dealt is the operator's. (3) Strings that may hold equal windows meet
+in one task, where a ``solver`` (a suffix array's or a suffix tree's) finds for each window the smallest document id
+that has it. (4) Chunks mark, from the answers, the windows of smaller documents.
+A string of a third of all documents is one row per chunk, not per document, and no task gathers a row of every chunk:
+where there are more than FAN chunks, groups of chunks first reduce equal strings to one with the smallest id, level by
+level, and answers go back the same way. Numbers of partitions follow from the bytes of text.
 Nothing is dropped or capped, and grouping by hashes decides only where strings are compared, not whether they are equal.
 """
 
@@ -24,17 +25,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_path, drop_tables, settle, settle_kinds
+from .common import drop_path, drop_tables, settings, settle, settle_kinds
 
-#: Bytes of text in a chunk and in a solver's block; window starts per piece of work; windows of a run.
-CHUNK, BLOCK, PIECE, RUN = 1 << 22, 1 << 19, 1 << 19, 64
-#: Bytes of text for each task that compares.
-PART = 1 << 23
+#: Bytes of text in a chunk; window starts per piece of work; windows of a run.
+CHUNK, PIECE, RUN = 1 << 22, 1 << 19, 64
+#: Bytes of text for each place that compares; bytes of text of a task, and the number of tasks beyond which they grow.
+PART, TASK, TASKS = 1 << 22, 1 << 23, 200_000
+#: Rows that one place compares at once; equal strings of more chunks are reduced before.
+FAN = 256
 #: A minimiser asked for by more chunks than this is split.
 HOT = 64
 NULL_ID = np.iinfo(np.int64).max
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD)
-Solver = Callable[[list[bytes], np.ndarray], tuple[np.ndarray, np.ndarray]]
+Solver = Callable[[list[bytes], np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -56,7 +59,7 @@ class Bytes:
 
     length: int = 50
     grams: tuple[int, int] = (16, 40)
-    sep: bytes = b""
+    block: int = 1 << 19  # bytes that the solver takes at once
 
     def stream(self, texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
         """Concatenated units, the number of units of each text, and unit codes."""
@@ -81,17 +84,14 @@ class Bytes:
     def cut(self, data, a: int, b: int) -> bytes:
         return data[a:b]
 
-    def size(self, s: bytes) -> int:
-        return len(s)
-
 
 @dataclass
 class Words:
     """Units are words without ASCII white space."""
 
     length: int = 13
-    grams: tuple[int, int] = (5, 10)
-    sep: bytes = b" "
+    grams: tuple[int, int] = (8, 10)
+    block: int = 1 << 22
 
     def stream(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         import zlib
@@ -111,9 +111,6 @@ class Words:
     def cut(self, data, a: int, b: int) -> bytes:
         return b" ".join(data[a:b])
 
-    def size(self, s: bytes) -> int:
-        return s.count(b" ") + 1
-
 
 def window_keys(units, codes: np.ndarray, sizes: np.ndarray, level: int, a: int, z: int) -> tuple[np.ndarray, np.ndarray]:
     """Minimisers of the window starts a to z of a stream, and which of them are windows of one text."""
@@ -211,13 +208,15 @@ def chunked(docs: DataFrame, units, parts: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             lens = np.fromiter(map(len, texts), np.int64, len(texts))
-            text = ("text", number, None, None, np.array(ids, np.int64).tobytes(), lens.tobytes(), _zip(b"".join(texts)), _zip("\n".join(more).encode()))
+            none = np.array([i is None for i in ids])
+            known = np.array([NULL_ID if i is None else i for i in ids], np.int64)
+            text = ("text", number, None, None, known.tobytes(), np.where(none, ~lens, lens).tobytes(), _zip(b"".join(texts)), _zip("\n".join(more).encode()))
             return _batch(_CHUNK, [text, *ask(number, texts)])
 
         for b in batches:
             for i, t, m in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
                 text = t.as_buffer().to_pybytes() if t.is_valid else b""
-                ids.append(NULL_ID if i is None else i)
+                ids.append(i)
                 texts.append(text)
                 more.append(m)
                 size += len(text)
@@ -231,7 +230,7 @@ def chunked(docs: DataFrame, units, parts: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text", "more").mapInArrow(run, _CHUNK)
 
 
-def by_place(asks: DataFrame, answer: Callable[[list[int], list[bytes]], list[bytes | None]]) -> DataFrame:
+def by_place(asks: DataFrame, tasks: int, answer: Callable[[list[int], list[bytes]], list[bytes | None]]) -> DataFrame:
     """chunk, p, blob: the answers to rows (p, chunk, blob), all questions of one p at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +251,7 @@ def by_place(asks: DataFrame, answer: Callable[[list[int], list[bytes]], list[by
         if chunks:
             yield reply()
 
-    return asks.select("p", "chunk", "blob").repartition("p").sortWithinPartitions("p").mapInArrow(run, "chunk long, p long, blob binary")
+    return asks.select("p", "chunk", "blob").repartition(tasks, "p").sortWithinPartitions("p").mapInArrow(run, "chunk long, p long, blob binary")
 
 
 def shared_keys(chunks: list[int], blobs: list[bytes]) -> list[bytes | None]:
@@ -277,27 +276,40 @@ def read_keys(p: int, blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return (np.uint64(p) << np.uint64(32)) | np.frombuffer(blob, np.uint32, n), np.unpackbits(np.frombuffer(blob, np.uint8, offset=4 * n), count=n).astype(bool)
 
 
-def texts_of(row: dict) -> tuple[np.ndarray, list[bytes]]:
+def texts_of(row: dict) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Ids, texts, and which ids are null (they count as the largest)."""
     data, lens = _unzip(row["texts"]), np.frombuffer(row["lens"], np.int64)
+    none = lens < 0
+    lens = np.where(none, ~lens, lens)
     ends = np.cumsum(lens)
-    return np.frombuffer(row["ids"], np.int64), [data[a:b] for a, b in zip((ends - lens).tolist(), ends.tolist(), strict=True)]
+    return np.frombuffer(row["ids"], np.int64), [data[a:b] for a, b in zip((ends - lens).tolist(), ends.tolist(), strict=True)], none
+
+
+def known_keys(known: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted minimisers that others have, too, and which of them many chunks have."""
+    got = [read_keys(x["p"], x["blob"]) for x in known]
+    code, hot = np.concatenate([c for c, _ in got]), np.concatenate([x for _, x in got])
+    order = np.argsort(code)
+    return code[order], hot[order]
+
 
+def found_in(code: np.ndarray, key: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are among the sorted ones, and where."""
+    p, h = place(key, parts)
+    c = (p.astype(np.uint64) << np.uint64(32)) | h
+    i = np.minimum(np.searchsorted(code, c), len(code) - 1)
+    return code[i] == c, i
 
-def cut_strings(chunks: DataFrame, answers: DataFrame, units, parts: int) -> DataFrame:
+
+def cut_strings(chunks: DataFrame, known: DataFrame, units, parts: int) -> DataFrame:
     """For each chunk the places of its shared runs (kind uses) and the distinct strings that these cover (kind ask)."""
 
     def strings(number: int, ids: np.ndarray, texts: list[bytes], known: list[dict]) -> list[tuple]:
-        got = [read_keys(x["p"], x["blob"]) for x in known]
-        code, hot = np.concatenate([c for c, _ in got]), np.concatenate([x for _, x in got])
-        order = np.argsort(code)
-        code, hot = code[order], hot[order]
+        code, hot = known_keys(known)
         data, sizes, codes = units.stream(texts)
         found = []
         for a, z, key, ok, start, n, k in all_runs(units, codes, sizes):
-            p, h = place(k, parts)
-            c = (p.astype(np.uint64) << np.uint64(32)) | h
-            i = np.minimum(np.searchsorted(code, c), len(code) - 1)
-            yes = code[i] == c
+            yes, i = found_in(code, k, parts)
             often = yes & hot[i]
             if often.any():  # these runs are cut again where a second minimiser changes
                 here = np.zeros(z - a, bool)
@@ -323,9 +335,7 @@ def cut_strings(chunks: DataFrame, answers: DataFrame, units, parts: int) -> Dat
         _, first = np.unique(use, return_index=True)  # equal strings have equal keys
         up, uh, rows = p[first], h[first], []
         for q, part in _split(np.arange(len(out)), up):
-            body = out[part[0] : part[-1] + 1]
-            lens = np.fromiter(map(len, body), np.uint32, len(body))
-            rows.append(("ask", number, q, _zip(np.uint32(len(body)).tobytes() + lens.tobytes() + np.diff(uh[part], prepend=np.uint32(0)).tobytes() + least[part].tobytes() + b"".join(body))))
+            rows.append(("ask", number, q, write_strings(out[part[0] : part[-1] + 1], uh[part], least[part])))
         uses = np.uint32(len(start)).tobytes() + start.astype(np.uint32).tobytes() + use.astype(np.uint32).tobytes() + n.astype(np.uint8).tobytes()
         return [("uses", number, None, _zip(uses)), *rows]
 
@@ -333,9 +343,9 @@ def cut_strings(chunks: DataFrame, answers: DataFrame, units, parts: int) -> Dat
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1).to_pylist()[0]
-                yield _batch(_CUT, strings(row["chunk"], *texts_of(row), row["known"]))
+                ids, texts, _ = texts_of(row)
+                yield _batch(_CUT, strings(row["chunk"], ids, texts, row["known"]))
 
-    known = answers.groupBy("chunk").agg(F.collect_list(F.struct("p", "blob")).alias("known"))  # no more than the chunk asked
     return chunks.select("chunk", "ids", "lens", "texts").join(known, "chunk").mapInArrow(run, _CUT)
 
 
@@ -344,80 +354,151 @@ def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
 
 
-def compare(solver: Solver) -> Callable[[list[int], list[bytes]], list[bytes | None]]:
+def write_strings(strings: list[bytes], h: np.ndarray, least: np.ndarray) -> bytes:
+    """Strings of one place, by rising h, with the smallest id of each."""
+    lens = np.fromiter(map(len, strings), np.uint32, len(strings))
+    return _zip(np.uint32(len(strings)).tobytes() + lens.tobytes() + np.diff(h, prepend=np.uint32(0)).tobytes() + least.tobytes() + b"".join(strings))
+
+
+def together(blobs: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The distinct strings of blobs by rising h, their h and smallest ids, and for each blob where its strings are."""
+    index: dict[bytes, int] = {}
+    asked, hs, ds = [], [], []
+    for blob in blobs:
+        data = _unzip(blob)
+        n = int(np.frombuffer(data, np.uint32, 1)[0])
+        ends = np.cumsum(np.frombuffer(data, np.uint32, n, 4), dtype=np.int64) + 4 + 16 * n
+        hs.append(np.cumsum(np.frombuffer(data, np.uint32, n, 4 + 4 * n), dtype=np.uint32))
+        ds.append(np.frombuffer(data, np.int64, n, 4 + 8 * n))
+        begin = [4 + 16 * n, *ends[:-1].tolist()]
+        asked.append(np.fromiter((index.setdefault(data[x:y], len(index)) for x, y in zip(begin, ends.tolist(), strict=True)), np.int64, n))
+    every = list(index)
+    index.clear()
+    use = np.concatenate(asked)
+    least = np.full(len(every), NULL_ID, np.int64)
+    np.minimum.at(least, use, np.concatenate(ds))
+    _, first = np.unique(use, return_index=True)
+    h = np.concatenate(hs)[first]
+    order = np.argsort(h, kind="stable")
+    where = np.empty(len(order), np.int64)
+    where[order] = np.arange(len(order))
+    return [every[i] for i in order.tolist()], h[order], least[order], [where[a] for a in asked]
+
+
+def write_answer(n_runs: np.ndarray, runs_: np.ndarray, value: np.ndarray, mine: np.ndarray) -> bytes:
+    """Of the strings ``mine`` the stretches of windows with one smallest id: how many, how long, and the ids."""
+    first = np.cumsum(n_runs) - n_runs
+    j = ragged(first[mine], n_runs[mine])
+    return _zip(np.uint32(len(mine)).tobytes() + n_runs[mine].astype(np.uint8).tobytes() + runs_[j].astype(np.uint8).tobytes() + value[j].tobytes())
+
+
+def read_answer(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    data = _unzip(blob)
+    m = int(np.frombuffer(data, np.uint32, 1)[0])
+    n_runs = np.frombuffer(data, np.uint8, m, 4)
+    r = int(n_runs.sum(dtype=np.int64))
+    return n_runs.astype(np.int64), np.frombuffer(data, np.uint8, r, 4 + m).astype(np.int64), np.frombuffer(data, np.int64, r, 4 + m + r)
+
+
+def compare(solver: Solver, block: int) -> Callable[[list[int], list[bytes]], list[bytes | None]]:
     """Answers: for each string of each chunk the smallest id of each of its windows, as lengths of equal stretches and ids."""
 
     def answer(chunks: list[int], blobs: list[bytes]) -> list[bytes | None]:
-        index: dict[bytes, int] = {}
-        asked, hs, ds = [], [], []
-        for blob in blobs:
-            data = _unzip(blob)
-            n = int(np.frombuffer(data, np.uint32, 1)[0])
-            ends = np.cumsum(np.frombuffer(data, np.uint32, n, 4), dtype=np.int64) + 4 + 16 * n
-            hs.append(np.cumsum(np.frombuffer(data, np.uint32, n, 4 + 4 * n), dtype=np.uint32))
-            ds.append(np.frombuffer(data, np.int64, n, 4 + 8 * n))
-            begin = [4 + 16 * n, *ends[:-1].tolist()]
-            asked.append(np.fromiter((index.setdefault(data[x:y], len(index)) for x, y in zip(begin, ends.tolist(), strict=True)), np.int64, n))
-        every = list(index)
-        index.clear()
-        use = np.concatenate(asked)
-        least = np.full(len(every), NULL_ID, np.int64)
-        np.minimum.at(least, use, np.concatenate(ds))
-        _, first = np.unique(use, return_index=True)
-        h = np.concatenate(hs)[first]
-        order = np.argsort(h, kind="stable")
-        size = np.cumsum(np.fromiter((len(every[i]) for i in order.tolist()), np.int64, len(order)))
-        new = np.flatnonzero(np.diff(h[order])) + 1  # whole keys in blocks of bounded size
+        strings, h, least, asked = together(blobs)
+        size = np.cumsum(np.fromiter(map(len, strings), np.int64, len(strings)))
+        new = np.flatnonzero(np.diff(h)) + 1  # whole keys in blocks of bounded size
         cuts, last = [0], 0
         for k, done in zip(new.tolist(), size[new - 1].tolist(), strict=True):
-            if done - last >= BLOCK:
+            if done - last >= block:
                 cuts.append(k)
                 last = done
-        values, windows = [], []
-        for a, z in zip(cuts, [*cuts[1:], len(order)], strict=True):
-            part = order[a:z]
-            m, n = solver([every[i] for i in part.tolist()], least[part])
-            values.append(m)
-            windows.append(n)
-        value, n = np.concatenate(values), np.concatenate(windows)  # of all windows of all strings, in order
+        solved = [solver(strings[a:z], least[a:z], h[a:z]) for a, z in zip(cuts, [*cuts[1:], len(strings)], strict=True)]
+        value, n = (np.concatenate(x) for x in zip(*solved, strict=True))  # of all windows of all strings, in order
         begin = np.cumsum(n) - n
         change = np.concatenate([[True], value[1:] != value[:-1]])
         change[begin] = True
         at = np.flatnonzero(change)
+        n_runs = np.diff(np.append(np.searchsorted(at, begin), len(at)))
         runs_ = np.diff(np.append(at, len(value)))
-        value = value[at]
-        first_run = np.searchsorted(at, begin)
-        n_runs = np.diff(np.append(first_run, len(at)))
-        where = np.empty(len(order), np.int64)
-        where[order] = np.arange(len(order))
-        out = []
-        for mine in asked:
-            i = where[mine]
-            j = ragged(first_run[i], n_runs[i])
-            out.append(_zip(np.uint32(len(mine)).tobytes() + n_runs[i].astype(np.uint8).tobytes() + runs_[j].astype(np.uint8).tobytes() + value[j].tobytes()))
-        return out
+        return [write_answer(n_runs, runs_, value[at], mine) for mine in asked]
 
     return answer
 
 
-def marked(ids: np.ndarray, sizes: np.ndarray, uses: bytes | None, answers: list[dict], length: int) -> np.ndarray:
+def solved(asks: DataFrame, nodes: int, tasks: int, answer) -> DataFrame:
+    """chunk, p, blob: the answers to all questions (chunk, p, blob) of ``nodes`` chunks; no place gets more than about FAN of them.
+
+    With more, groups of about FAN chunks put their strings of a place together first, so that an equal string counts
+    once a group, and ask as one; each level is a table, and its answers are dealt back to the chunks of the group.
+    """
+    if nodes <= FAN:
+        return settle(by_place(asks, tasks, answer), "windows-solved", packed=True)
+    groups = -(-nodes // FAN)
+    grouped = asks.select("p", F.pmod(F.xxhash64("chunk"), F.lit(groups)).alias("parent"), "chunk", "blob")
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (p, parent), chunks, blobs in _keyed(batches):
+            strings, h, least, asked = together(blobs)
+            yield _batch(_MERGED, [("up", p, parent, None, write_strings(strings, h, least)), *[("map", p, parent, c, _zip(a.astype(np.uint32).tobytes())) for c, a in zip(chunks, asked, strict=True)]])
+
+    spark = asks.sparkSession
+    merged, path = settle_kinds(grouped.repartition(tasks, "p", "parent").sortWithinPartitions("p", "parent").mapInArrow(merge, _MERGED), "windows-merged")
+    up = solved(merged.where("kind = 'up'").select(F.col("parent").alias("chunk"), "p", "blob"), groups, tasks, answer)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, said = None, None
+        for b in batches:
+            out = []
+            for p, parent, chunk, blob in zip(*(b.column(i).to_pylist() for i in range(3)), b.column(3), strict=True):
+                if chunk is None:  # the answer to the group comes before its chunks
+                    now, said = (p, parent), read_answer(blob.as_py())
+                elif now == (p, parent):
+                    out.append((chunk, p, write_answer(*said, np.frombuffer(_unzip(blob.as_py()), np.uint32).astype(np.int64))))
+            if out:
+                yield _batch("chunk long, p long, blob binary", out)
+
+    both = up.select("p", F.col("chunk").alias("parent"), F.lit(None).cast("long").alias("chunk"), "blob").unionByName(merged.where("kind = 'map'").select("p", "parent", "chunk", "blob"))
+    out = both.repartition(tasks, "p", "parent").sortWithinPartitions("p", "parent", F.col("chunk").asc_nulls_first()).mapInArrow(deal, "chunk long, p long, blob binary")
+    out = settle(out, "windows-solved", packed=True)
+    drop_tables(spark, up)
+    drop_path(spark, path)
+    return out
+
+
+_MERGED = "kind string, p long, parent long, chunk long, blob binary"
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[int], list[bytes]]]:
+    """Rows (a, b, chunk, blob) sorted by a and b, as one group at a time."""
+    now, chunks, blobs = None, [], []
+    for batch in batches:
+        for a, b, c, blob in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3), strict=True):
+            if (a, b) != now and chunks:
+                yield now, chunks, blobs
+                chunks, blobs = [], []
+            now = (a, b)
+            chunks.append(c)
+            blobs.append(blob.as_py())
+    if chunks:
+        yield now, chunks, blobs
+
+
+def read_uses(uses: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """start, string and number of windows of each use of a string in a chunk."""
+    if not uses:
+        return (np.empty(0, np.int64),) * 3
+    raw = _unzip(uses)
+    n = int(np.frombuffer(raw, np.uint32, 1)[0])
+    return np.frombuffer(raw, np.uint32, n, 4).astype(np.int64), np.frombuffer(raw, np.uint32, n, 4 + 4 * n).astype(np.int64), np.frombuffer(raw, np.uint8, n, 4 + 8 * n).astype(np.int64)
+
+
+def marked(ids: np.ndarray, sizes: np.ndarray, uses: tuple[np.ndarray, np.ndarray, np.ndarray], answers: list[dict] | None, length: int) -> np.ndarray:
     """Which units of a chunk's stream lie in a window that starts in a document with a smaller id."""
     total = int(sizes.sum())
-    if not uses or not answers:
+    start, use, wins = uses
+    if not len(start) or not answers:
         return np.zeros(total, bool)
-    raw = _unzip(uses)
-    n = int(np.frombuffer(raw, np.uint32, 1)[0])
-    start, use, wins = (np.frombuffer(raw, np.uint32, n, 4).astype(np.int64), np.frombuffer(raw, np.uint32, n, 4 + 4 * n).astype(np.int64), np.frombuffer(raw, np.uint8, n, 4 + 8 * n).astype(np.int64))
-    count, least, pieces = [], [], []
-    for x in sorted(answers, key=lambda x: x["p"]):
-        data = _unzip(x["blob"])
-        m = int(np.frombuffer(data, np.uint32, 1)[0])
-        lens = np.frombuffer(data, np.uint8, m, 4)
-        r = int(lens.sum(dtype=np.int64))
-        pieces.append(lens)
-        count.append(np.frombuffer(data, np.uint8, r, 4 + m))
-        least.append(np.frombuffer(data, np.int64, r, 4 + m + r))
-    pieces, count, least = np.concatenate(pieces).astype(np.int64), np.concatenate(count).astype(np.int64), np.concatenate(least)
+    pieces, count, least = (np.concatenate(x) for x in zip(*(read_answer(x["blob"]) for x in sorted(answers, key=lambda x: x["p"])), strict=True))
     value = np.repeat(least, count)  # of every window of every distinct string
     ends = np.cumsum(np.add.reduceat(count, np.cumsum(pieces) - pieces))
     begin = np.concatenate([[0], ends[:-1]])
@@ -427,46 +508,70 @@ def marked(ids: np.ndarray, sizes: np.ndarray, uses: bytes | None, answers: list
     return np.cumsum(edge[:-1], dtype=np.int32) > 0
 
 
-def remove_repeats(docs: DataFrame, units, solver: Solver, finish, columns: str, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+#: Carried columns travel as JSON; times keep their microseconds.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
+
+
+class Dealt:
+    """What an operator deals out: chunks (chunk, ids, lens, texts, more and the columns that ``uses`` reads) and questions."""
+
+    def __init__(self, chunks: DataFrame, asks: DataFrame, uses: Callable[[dict, np.ndarray, np.ndarray], tuple], paths: list[str]):
+        self.chunks, self.asks, self.uses, self.paths = chunks, asks, uses, paths
+
+
+def cut_by_minimiser(chunks: DataFrame, known: DataFrame, units, parts: int, tasks: int) -> Dealt:
+    """Runs of windows with a shared minimiser, with the units that they cover; each goes where its minimiser is compared."""
+    cut, path = settle_kinds(cut_strings(chunks, known, units, parts), "windows-cut")
+    uses = cut.where("kind = 'uses'").select("chunk", F.col("blob").alias("uses")).repartition(tasks, "chunk")
+    return Dealt(chunks.join(uses, "chunk", "left"), cut.where("kind = 'ask'"), lambda row, codes, sizes: read_uses(row["uses"]), [path])
+
+
+def remove_repeats(docs: DataFrame, units, deal, solver: Solver, finish, columns: str, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``columns`` of every row, made by finish(id, text, units of the text, which of them are marked).
 
-    carry: further columns of docs, which come back in a struct named more.
+    deal: how strings go to places (cut_by_minimiser or an operator's own). carry: further columns of docs, which come
+    back in a struct named more. The result is a settled table; all tables before it are deleted.
     """
-    more = F.to_json(F.struct(*carry)) if carry else F.lit("")
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), more.alias("more"))
     spark = docs.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")  # rows are megabytes here
+    more = F.to_json(F.struct(*carry), _JSON) if carry else F.lit("")
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), more.alias("more"))
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(64, -(-total // PART))
-    kind = lambda t, k: t.where(F.col("kind") == k)
-    first, first_path = settle_kinds(chunked(base, units, parts), "windows-chunks")
-    known = settle(by_place(kind(first, "ask"), shared_keys), "windows-known", packed=True)
-    drop_path(spark, f"{first_path}/kind=ask")
-    chunks = kind(first, "text").select("chunk", "ids", "lens", "texts", "more")
-    cut, cut_path = settle_kinds(cut_strings(chunks, known, units, parts), "windows-cut")
-    drop_tables(spark, known)
-    solved = settle(by_place(kind(cut, "ask"), compare(solver)), "windows-solved", packed=True)
-    drop_path(spark, f"{cut_path}/kind=ask")
-    said = solved.groupBy("chunk").agg(F.collect_list(F.struct("p", "blob")).alias("said"))
+    parts = max(8, -(-total // PART))
+    tasks = min(TASKS, max(8, -(-total // TASK)))
     columns += ", more string" if carry else ""
     names = [c.split()[0] for c in columns.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                row = b.slice(i, 1).to_pylist()[0]
-                ids, texts = texts_of(row)
-                data, sizes, _ = units.stream(texts)
-                gone = marked(ids, sizes, row["uses"], row["said"], units.length)
-                ends = np.cumsum(sizes)
-                out = [finish(None if d == NULL_ID else d, t, data[a:z], gone[a:z]) for d, t, a, z in zip(ids.tolist(), texts, (ends - sizes).tolist(), ends.tolist(), strict=True)]
-                if carry:
-                    out = [(*o, m) for o, m in zip(out, _unzip(row["more"]).decode().split("\n"), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) if "string" in t else pa.array(c, pa.int64()) for c, t in zip(zip(*out, strict=True), columns.split(", "), strict=True)], names)
-
-    uses = kind(cut, "uses").select("chunk", F.col("blob").alias("uses"))
-    out = chunks.join(uses, "chunk", "left").join(said, "chunk", "left").mapInArrow(run, columns)
-    return out.withColumn("more", F.from_json("more", docs.select(*carry).schema)) if carry else out
+    with settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}):  # rows are megabytes here
+        first, first_path = settle_kinds(chunked(base, units, parts), "windows-chunks")
+        known = settle(by_place(first.where("kind = 'ask'"), tasks, shared_keys), "windows-known", packed=True)
+        drop_path(spark, f"{first_path}/kind=ask")
+        chunks = first.where("kind = 'text'").select("chunk", "ids", "lens", "texts", "more")
+        nodes = chunks.count()
+        chunks = chunks.repartition(tasks, "chunk")
+        listed = known.repartition(tasks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("p", "blob")).alias("known"))  # no more than the chunk asked
+        dealt = deal(chunks, listed, units, parts, tasks)
+        drop_tables(spark, known)
+        answers = solved(dealt.asks, nodes, tasks, compare(solver, units.block))
+        said = answers.repartition(tasks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("p", "blob")).alias("said"))
+        uses = dealt.uses
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for i in range(b.num_rows):
+                    row = b.slice(i, 1).to_pylist()[0]
+                    ids, texts, none = texts_of(row)
+                    data, sizes, codes = units.stream(texts)
+                    gone = marked(ids, sizes, uses(row, codes, sizes), row["said"], units.length)
+                    ends = np.cumsum(sizes)
+                    out = [finish(None if x else d, t, data[a:z], gone[a:z]) for d, x, t, a, z in zip(ids.tolist(), none.tolist(), texts, (ends - sizes).tolist(), ends.tolist(), strict=True)]
+                    if carry:
+                        out = [(*o, m) for o, m in zip(out, _unzip(row["more"]).decode().split("\n"), strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) if "string" in t else pa.array(c, pa.int64()) for c, t in zip(zip(*out, strict=True), columns.split(", "), strict=True)], names)
+
+        out = settle(dealt.chunks.join(said, "chunk", "left").mapInArrow(run, columns), "windows-out")
+        for path in (first_path, *dealt.paths):
+            drop_path(spark, path)
+        drop_tables(spark, answers)
+    return out.withColumn("more", F.from_json("more", docs.select(*carry).schema, _JSON)) if carry else out
 
 
 def sha256(b: bytes) -> str:

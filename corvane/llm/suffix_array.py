@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared_windows import NULL_ID, Bytes, remove_repeats, sha256, spans
+from .shared_windows import NULL_ID, Bytes, cut_by_minimiser, remove_repeats, sha256, spans
 
 
 def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
@@ -84,7 +84,7 @@ def boundaries(t: np.ndarray, sa: np.ndarray, length: int) -> np.ndarray:
 def smallest_ids(length: int):
     """A solver: the smallest id, over all strings, of each window of each string, and the number of windows of each."""
 
-    def solve(strings: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def solve(strings: list[bytes], ids: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         t = np.frombuffer(b"\xff".join(strings) + b"\xff\xfe", np.uint8)  # never part of UTF-8; the last one is unique
         size = np.fromiter(map(len, strings), np.int64, len(strings)) + 1
         start = np.cumsum(size) - size
@@ -110,7 +110,7 @@ def dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: s
         kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if gone.any() else data
         return doc_id, len(data), int(gone.sum()), len(spans(gone)), sha256(kept)
 
-    return remove_repeats(docs, Bytes(length), smallest_ids(length), finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", id_col, text_col)
+    return remove_repeats(docs, Bytes(length), cut_by_minimiser, smallest_ids(length), finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", id_col, text_col)
 
 
 def trim(text: bytes, gone: np.ndarray) -> str:
@@ -129,7 +129,7 @@ def trimmed(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col:
     def finish(doc_id, text, data, gone):
         return doc_id, trim(data, gone)
 
-    carry = [c for c in docs.columns if c not in (id_col, text_col)]
-    out = remove_repeats(docs, Bytes(length), smallest_ids(length), finish, "doc_id long, kept string", id_col, text_col, carry or [id_col])
-    now = {id_col: F.col("doc_id"), text_col: F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
+    carry = [c for c in docs.columns if c != text_col]
+    out = remove_repeats(docs, Bytes(length), cut_by_minimiser, smallest_ids(length), finish, "doc_id long, kept string", id_col, text_col, carry)
+    now = {text_col: F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
     return out.select(*[now.get(c, F.col("more").getField(c)).alias(c) for c in docs.columns])

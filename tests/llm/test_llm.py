@@ -87,22 +87,83 @@ def test_trimmed(docs):
     assert suffix_array.trim("aéb".encode(), np.array([1, 1, 0, 0], bool)) == "éb"
 
 
-def test_suffix_tree(docs):
-    want = sorted(((d, len(u), int(g.sum()), hashlib.sha256(b" ".join(w for w, x in zip(u, g, strict=True) if not x)).hexdigest()) for d, u, g in windows(rows_of(docs), lambda t: t.encode().split(), 13)), key=str)
-    assert sorted(map(tuple, suffix_tree.dedup(docs).drop("n_spans").collect()), key=str) == want
+def words_kept(docs):
+    return sorted(((d, len(u), int(g.sum()), hashlib.sha256(b" ".join(w for w, x in zip(u, g, strict=True) if not x)).hexdigest()) for d, u, g in windows(rows_of(docs), lambda t: t.encode().split(), 13)), key=str)
 
 
-def test_solvers_agree_with_brute_force(monkeypatch):
-    monkeypatch.setattr(suffix_tree, "LEAVES", 3)
+def test_suffix_tree(docs):
+    assert sorted(map(tuple, suffix_tree.dedup(docs).drop("n_spans").collect()), key=str) == words_kept(docs)
+
+
+@pytest.mark.parametrize("leaves", [2, 40])
+def test_suffix_tree_of_many_chunks_and_groups(docs, monkeypatch, leaves):
+    """A string in every chunk, chunks put together over several levels, prefixes over the budget at any depth."""
+    for name, value in (("CHUNK", 1500), ("FAN", 3), ("PART", 4000)):
+        monkeypatch.setattr(shared_windows, name, value)
+    monkeypatch.setattr(suffix_tree, "LEAVES", leaves)
+    hot = docs.withColumn("text", F.concat(F.lit(PASSAGE + " "), F.coalesce("text", F.lit(""))))
+    assert sorted(map(tuple, suffix_tree.dedup(hot).drop("n_spans").collect()), key=str) == words_kept(hot)
+
+
+def test_prefix_groups_are_of_bounded_size():
+    r = np.random.default_rng(3)
+    codes = r.choice(np.array([5, 5, 5, 5, 7, 11, 13], np.uint64), 4000)
+    starts = np.arange(len(codes) - 13)
+    over = np.zeros((13, 1 << 12), bool)
+    for d, h in suffix_tree.prefixes(codes, starts, 13):
+        over[d] = np.bincount(suffix_tree.slot(h, 1 << 12), minlength=1 << 12) > 50
+    key = suffix_tree.groups(codes, starts, over)
+    _, which, n = np.unique(key, return_inverse=True, return_counts=True)
+    assert len(n) > 40 and n.max() <= 50
+    for g in np.unique(which)[:40]:  # equal windows are never apart
+        assert len({tuple(codes[s : s + 13]) for s in starts[which == g]} & {tuple(codes[s : s + 13]) for s in starts[which != g]}) == 0
+
+
+def test_subtrees():
+    r = random.Random(8)
+    rows = [[r.choice("ab") for _ in range(6)] for _ in range(300)]
+    codes = np.array([[ord(x) for x in row] for row in rows], np.int32)
+    group = codes[:, 0].astype(np.uint32)
+    leaves, common = suffix_tree.subtrees(codes, group, 6)
+    assert [rows[i] for i in leaves] == sorted(rows)
+    for i in range(1, len(leaves)):
+        a, b = rows[leaves[i - 1]], rows[leaves[i]]
+        assert common[i] == (0 if a[0] != b[0] else len(list(itertools.takewhile(lambda p: p[0] == p[1], zip(a, b, strict=True)))))
+
+
+def test_suffix_array_of_many_chunks(docs, monkeypatch):
+    for name, value in (("CHUNK", 1500), ("FAN", 3), ("PART", 4000), ("HOT", 4)):
+        monkeypatch.setattr(shared_windows, name, value)
+    hot = docs.withColumn("text", F.concat(F.lit(PASSAGE + " "), F.coalesce("text", F.lit(""))))
+    want = sorted(((d, len(u), int(g.sum())) for d, u, g in windows(rows_of(hot), lambda t: list(t.encode()), 50)), key=str)
+    assert sorted(map(tuple, suffix_array.dedup(hot).select("doc_id", "n_bytes", "n_removed").collect()), key=str) == want
+
+
+def test_trimmed_keeps_other_columns_as_they_are(spark):
+    rows = [(2**63 - 1, PASSAGE), (None, PASSAGE), (1, PASSAGE), (3, "z" * 120_000), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("kept", F.lit("mine")).withColumn("more", F.lit(1.5)).withColumn("at", F.lit("2024-01-02 03:04:05.678901").cast("timestamp")).withColumn("chunk", F.lit(None).cast("string"))
+    got = suffix_array.trimmed(df)
+    assert got.schema == df.schema or got.columns == df.columns
+    out = got.collect()
+    assert {r.doc_id for r in out} == {2**63 - 1, None, 1, 3} and all(r.at.microsecond == 678901 and r.kept == "mine" and r.more == 1.5 and r.chunk is None for r in out)
+    assert {r.text for r in out if r.doc_id in (None, 2**63 - 1)} == {""}
+    assert suffix_array.trimmed(df.limit(0)).count() == 0
+    assert {r.doc_id for r in suffix_array.dedup(df.select("doc_id", "text")).collect()} == {2**63 - 1, None, 1, 3}
+    assert suffix_tree.dedup(df.limit(0)).count() == 0 and suffix_tree.kept_text(df).count() == 5
+
+
+def test_solvers_agree_with_brute_force():
     r = random.Random(1)
     for _ in range(15):
         strings = [bytes(r.choice(b"ab") for _ in range(r.randint(6, 40))) for _ in range(12)]
         ids = np.array([r.randint(0, 20) for _ in strings])
         want = [min(int(i) for i, t in zip(ids, strings, strict=True) if s[k : k + 6] in t) for s in strings for k in range(len(s) - 5)]
-        value, n = suffix_array.smallest_ids(6)(strings, ids)
+        value, n = suffix_array.smallest_ids(6)(strings, ids, np.zeros(len(ids), np.uint32))
         assert value.tolist() == want and n.sum() == len(want)
-        words = [b" ".join(bytes([c]) for c in s) for s in strings]
-        assert suffix_tree.smallest_ids(6)(words, ids)[0].tolist() == want
+        starts = [(s[k : k + 6], int(i)) for s, i in zip(strings, ids, strict=True) for k in range(len(s) - 5)]
+        words = [b" ".join(bytes([c]) for c in w) for w, _ in starts]
+        keys = np.array([w[0] for w, _ in starts], np.uint32)
+        assert suffix_tree.smallest_ids(6)(words, np.array([i for _, i in starts]), keys)[0].tolist() == want
 
 
 def test_common_prefixes():
