@@ -1,16 +1,19 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
-A table hashes a vector to floor((a . x + b) / w) for a few Gaussian (2-stable) directions a; cells beyond the two in
-the middle of each side are folded into the outermost, so that the number of buckets is bounded. A query visits its own
+A table hashes a vector to floor((a . x + b) / w) for a few Gaussian (2-stable) directions a; a cell is as
+wide as twice the projections' deviation and cells are folded into CELLS for each direction, so that the number of
+buckets is bounded, and a bucket holds about 12 rows. A query visits its own
 bucket and then perturbed ones in the order of their estimated success - the squared distance, over all directions, from
 the query's projection to the bucket's cell - until it has seen a share of the rows. That share is the smallest that
-reaches ``recall`` on a bounded sample compared by brute force. Candidates of all tables are merged and reranked by
-the exact measure. The largest inner product becomes the smallest distance with one more component,
-sqrt(max norm^2 - norm^2), which is 0 for queries.
+reaches ``recall`` for a bounded sample of vectors (SAMPLE_QUERIES), whose true neighbours among all rows are found by
+brute force, in one pass: it falls as the table grows, where its vectors have directions. Candidates of all tables are
+merged and reranked by the exact measure. The largest inner product becomes the smallest distance with one more
+component, sqrt(max norm^2 - norm^2), which is 0 for queries.
 
-Buckets are cut into chunks of bounded size and dealt, by chunk, to groups; queries go in blocks to the groups of the
-chunks that they visit, and every group answers with its best k of each query, so that a hot bucket is split and a task
-holds a bounded number of vectors and queries. On directionless data no hashing is selective: the share is then large.
+Buckets are cut into chunks of bounded size and dealt, by chunk, to groups. Queries go in blocks, neighbouring buckets
+together, to the groups of the chunks that they visit, and a vector goes to those blocks that visit its chunk, no others.
+Every group answers with its best k of each query, so that a hot bucket is split and a task holds a bounded number of
+vectors and queries. On directionless data no hashing is selective: the share is then large, whatever the method.
 
 Defined cases: null, empty or zero vectors, those with null or non-finite components, null ids, and vectors whose length
 isn't the most common one, take no part; ties go to the smaller id; repeated ids are one candidate; an empty table gives
@@ -30,11 +33,11 @@ from pyspark.sql import functions as F
 
 from .common import settle
 
-TABLES, CELLS, WIDTH = 2, 4, 1.5
-#: Rows of the sample, and its queries, for the fit; vectors of a chunk, of a group, and queries of a block.
+TABLES, CELLS, WIDTH = 2, 2, 2.0
+#: Rows that widths are fitted on, and queries that the share is; vectors of a chunk, of a group, and queries of a block.
 SAMPLE, SAMPLE_QUERIES = 4000, 200
 CHUNK, GROUP, BLOCK = 512, 16_384, 8192
-MOST_CHUNKS = 1 << 22
+MOST_CHUNKS, MOST_DIRECTIONS = 1 << 22, 16
 
 
 @dataclass
@@ -76,31 +79,64 @@ class Hashes:
         return out
 
 
-def fit(x: np.ndarray, top: float, rows: int, k: int, recall: float, seed: int = 7) -> Hashes:
-    """Hashes for ``rows`` rows from the sample x: about 16 rows a bucket, and the share that reaches the recall."""
-    m = int(np.clip(round(np.log(max(rows, 64) / 16) / np.log(CELLS)), 2, 8))
+def directions(x: np.ndarray, top: float, rows: int, seed: int = 7) -> Hashes:
+    """Hashes for ``rows`` rows like those of the sample x: about 12 rows a bucket."""
+    m = int(np.clip(round(np.log2(max(rows, 64) / 12) / np.log2(CELLS)), 2, MOST_DIRECTIONS))
     rng = np.random.default_rng(seed)
     h = Hashes(top, rng.normal(size=(TABLES, x.shape[1] + 1, m)), np.zeros((TABLES, m)), np.ones((TABLES, m)))
     p = h.project(x, False)
     h.w = np.maximum(WIDTH * p.std(axis=1), 1e-9)
     h.b = rng.uniform(-0.25, 0.25, h.b.shape) * h.w - p.mean(axis=1)
-    q = x[:: max(1, len(x) // SAMPLE_QUERIES)]
-    own = np.arange(0, len(x), max(1, len(x) // SAMPLE_QUERIES))
-    s = q @ x.T
-    s[np.arange(len(q)), own] = -np.inf
-    best = np.argsort(-s, axis=1)[:, : min(k, len(x) - 1)]
-    code, pq = h.codes(h.project(x, False)), h.project(q, True)
-    rank = np.full((len(q), len(x)), 2.0)  # the share at which a query sees a row, in some table
+    return h
+
+
+def needed_share(h: Hashes, q: np.ndarray, near: list[np.ndarray], buckets: np.ndarray, counts: np.ndarray, rows: int, recall: float) -> float:
+    """The share of rows after which queries q have seen ``recall`` of their true neighbours, whose vectors are given."""
+    need = []
+    pq = h.project(q, True)
+    codes = [h.codes(h.project(x, False)) if len(x) else np.zeros((TABLES, 0), np.int64) for x in near]
     h.share = 1.0
     for t in range(TABLES):
-        buckets, inverse, counts = np.unique(code[t], return_inverse=True, return_counts=True)
-        for i, order in enumerate(h.visits(pq[t], buckets, counts, len(x), len(x))):
-            at = np.full(len(buckets), 2.0)
-            at[order] = (np.cumsum(counts[order]) - counts[order]) / len(x)
-            rank[i] = np.minimum(rank[i], at[inverse])
-    need = np.sort(np.take_along_axis(rank, best, axis=1), axis=None)
-    h.share = float(min(1.0, need[min(len(need) - 1, int(np.ceil(recall * len(need))))] + 1e-9)) if len(need) else 1.0
-    return h
+        of = np.flatnonzero(buckets // CELLS ** pq.shape[2] == t)
+        at = []
+        for i, order in enumerate(h.visits(pq[t], buckets[of], counts[of], rows, rows)):
+            seen = np.full(len(of), 2.0)  # the share at which the query comes to a bucket
+            seen[order] = (np.cumsum(counts[of][order]) - counts[of][order]) / rows
+            at.append(seen[np.searchsorted(buckets[of], codes[i][t])])
+        need.append(np.concatenate(at) if at else np.zeros(0))
+    least = np.sort(np.minimum.reduce(need))
+    return float(min(1.0, least[min(len(least) - 1, int(np.ceil(recall * len(least))))] + 1e-9)) if len(least) else 1.0
+
+
+def true_neighbours(cells: DataFrame, q: np.ndarray, own: np.ndarray, k: int) -> list[np.ndarray]:
+    """Vectors of the k rows with the largest inner products for each of a bounded number of queries."""
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, scores, ids, vecs = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros((0, q.shape[1])))
+        for b in batches:
+            if not b.num_rows:
+                continue
+            v, i = _matrix(b.column(1)), b.column(0).to_numpy()
+            s = q @ v.T
+            s[own[:, None] == i[None, :]] = -np.inf
+            top = np.argpartition(-s, min(k, s.shape[1]) - 1, axis=1)[:, :k]
+            at = np.concatenate([at, np.repeat(np.arange(len(q)), top.shape[1])])
+            scores = np.concatenate([scores, np.take_along_axis(s, top, 1).reshape(-1)])
+            ids, vecs = np.concatenate([ids, i[top.reshape(-1)]]), np.concatenate([vecs, v[top.reshape(-1)]])
+            order = np.lexsort((ids, -scores, at))
+            place = np.arange(len(order)) - np.searchsorted(at[order], at[order])
+            keep = order[place < k]
+            at, scores, ids, vecs = at[keep], scores[keep], ids[keep], vecs[keep]
+        ok = np.isfinite(scores)
+        yield pa.RecordBatch.from_arrays([pa.array(at[ok]), pa.array(scores[ok]), pa.array(ids[ok]), pa.array(list(vecs[ok]), pa.list_(pa.float64()))], ["q", "score", "id", "vec"])
+
+    found = cells.select("id", "vec").mapInArrow(best, "q long, score double, id long, vec array<double>")
+    place = F.row_number().over(Window.partitionBy("q").orderBy(F.col("score").desc(), "id"))
+    got = found.withColumn("place", place).where(F.col("place") <= k).select("q", "vec").collect()  # k rows a query
+    out: list[list] = [[] for _ in q]
+    for r in got:
+        out[r.q].append(r.vec)
+    return [np.array(v).reshape(-1, q.shape[1]) for v in out]
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -112,12 +148,17 @@ def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return out.where(F.size("vec") == (common.d if common else 0))
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(32))
+
+
 def _matrix(column) -> np.ndarray:
     """A list array of equal lengths as a matrix."""
     return np.asarray(column.flatten()).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def nearest(base: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.97, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def nearest(base: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k largest inner products found for each row of queries among other rows of base."""
     spark = base.sparkSession
     x, q = usable(base, id_col, vec_col), usable(queries, id_col, vec_col)
@@ -127,30 +168,38 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.
     if not stat.n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     got = x.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
-    h = fit(np.array([r.vec for r in got]), stat.top, stat.n, k, recall)
-
+    h = directions(np.array([r.vec for r in got]), stat.top, stat.n)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                for code in h.codes(h.project(_matrix(b.column(1)), False)):
-                    yield pa.RecordBatch.from_arrays([pa.array(code), b.column(0), b.column(1)], ["bucket", "id", "vec"])
+                codes = h.codes(h.project(_matrix(b.column(1)), False))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(codes.T), pa.list_(pa.int64()))], ["id", "vec", "buckets"])
 
-    cells = settle(x.mapInArrow(hashed, "bucket long, id long, vec array<double>"), "ann-index")
-    sizes = cells.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).orderBy("bucket").collect()  # at most TABLES * CELLS^8 rows
+    cells = settle(x.mapInArrow(hashed, "id long, vec array<double>, buckets array<long>"), "ann-index")
+    sizes = cells.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).orderBy("bucket").collect()  # at most TABLES * CELLS^MOST_DIRECTIONS rows
     buckets, counts = np.array([r.bucket for r in sizes]), np.array([r.n for r in sizes])
+    sample = got[:SAMPLE_QUERIES]
+    sv, own = np.array([r.vec for r in sample]), np.array([r.id for r in sample])
+    h.share = needed_share(h, sv, true_neighbours(cells, sv, own, k), buckets, counts, stat.n, recall)
     m = h.a.shape[2]
     of_table = [np.flatnonzero(buckets // CELLS**m == t) for t in range(TABLES)]
     chunks = np.minimum(-(-counts // CHUNK), MOST_CHUNKS)
-    groups = max(32, -(-stat.n * TABLES // GROUP))
+    groups = max(8, -(-stat.n * TABLES // GROUP))
     n_queries = q.count()
-    blocks = max(1, -(-n_queries // BLOCK))
+    # queries of neighbouring buckets of the first table are a block; a large bucket's are split by their ids
+    ranges = max(1, -(-n_queries // BLOCK))
+    mine = of_table[0]
+    first = (np.cumsum(counts[mine]) - counts[mine]) * ranges // stat.n
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
             p = h.project(_matrix(b.column(1)), True)
+            near = np.minimum(np.searchsorted(buckets[mine], h.codes(p)[0]), len(mine) - 1)
+            split = np.maximum(1, counts[mine][near] * n_queries // stat.n // BLOCK)
+            block = first[near] * (1 << 20) + (mixed(b.column(0).to_numpy().astype(np.uint64)) % split.astype(np.uint64)).astype(np.int64)
             at, units = [], []
             visits = [h.visits(p[t], buckets[of], counts[of], stat.n, k) for t, of in enumerate(of_table)]
             for i in range(b.num_rows):
@@ -161,15 +210,18 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.
                 order = np.argsort(g, kind="stable")
                 u, g = (c * MOST_CHUNKS + j)[order], g[order]
                 cut = np.flatnonzero(np.diff(g)) + 1
-                for first, part in zip([0, *cut.tolist()], np.split(u, cut), strict=True):
-                    at.append((int(g[first]), i))
+                for start, part in zip([0, *cut.tolist()], np.split(u, cut), strict=True):
+                    at.append((int(g[start]), i))
                     units.append(part.tolist())
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in at], pa.int64()), b.column(0).take(pa.array([i for _, i in at])), b.column(1).take(pa.array([i for _, i in at])), pa.array(units, pa.list_(pa.int64()))], ["g", "id", "vec", "units"])
+            rows = pa.array([i for _, i in at])
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in at], pa.int64()), pa.array(block).take(rows), b.column(0).take(rows), b.column(1).take(rows), pa.array(units, pa.list_(pa.int64()))], ["g", "block", "id", "vec", "units"])
 
-    table = F.broadcast(spark.createDataFrame(pd.DataFrame({"b": buckets, "c": chunks})))
-    at = cells.join(table, F.col("bucket") == F.col("b")).withColumn("j", F.pmod(F.xxhash64("id"), F.col("c")))
-    at = at.select(((F.col("bucket") * 7919 + F.col("j") * 104729) % groups).alias("g"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), "id", "vec", (F.col("bucket") * MOST_CHUNKS + F.col("j")).alias("unit"))
-    ask = q.mapInArrow(asked, "g long, id long, vec array<double>, units array<long>").withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
+    ask = settle(q.mapInArrow(asked, "g long, block long, id long, vec array<double>, units array<long>"), "ann-asked")
+    table = spark.createDataFrame(pd.DataFrame({"b": buckets, "c": chunks}))
+    at = cells.select("id", "vec", F.explode("buckets").alias("bucket")).join(F.broadcast(table), F.col("bucket") == F.col("b"))  # at most TABLES * CELLS^MOST_DIRECTIONS rows
+    at = at.select("id", "vec", (F.col("bucket") * MOST_CHUNKS + F.pmod(F.xxhash64("id"), F.col("c"))).alias("unit"))
+    wanted = ask.select(F.col("g").alias("w_g"), F.col("block").alias("w_block"), F.explode("units").alias("unit")).distinct()  # the directory: who visits which chunk
+    at = at.join(wanted, "unit").select(F.col("w_g").alias("at_g"), F.col("w_block").alias("at_block"), "id", "vec", "unit")
 
     def best(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
@@ -220,7 +272,7 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.
         i, j, s = (c[0] for c in kept)
         return pd.DataFrame({"query_id": own[i], "vec_id": ids[j], "score": s})
 
-    found = at.groupBy("g", "block").cogroup(ask.groupBy("g", "block")).applyInPandas(best, schema)
+    found = at.groupBy("at_g", "at_block").cogroup(ask.groupBy("g", "block")).applyInPandas(best, schema)
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
