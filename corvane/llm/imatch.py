@@ -1,18 +1,19 @@
 """I-Match document fingerprints over an inverse-document-frequency band, with randomised lexicon subsets.
 
-Terms are lower-cased runs without white space and ASCII punctuation. The lexicon holds every term whose share of
-documents lies in a band; a document keeps its distinct terms of the lexicon, sorted (by 64-bit hash), and each random
-subset of the lexicon gives one hash of the kept terms that it contains. Subsets come in three families: all of the
-lexicon, an eighth, and a sixty-fourth of it, each split at random into 64, so that some family has about one term of
-a document in each subset, whether the document is short or long. The likeness of two fingerprints is the share of equal
-hashes among the subsets that either document touches, in the sparsest family with enough such subsets.
+Terms are lower-cased runs without white space and ASCII punctuation. The lexicon holds exactly the terms whose share of
+documents lies in a band; a document keeps its distinct terms of the lexicon, sorted (by their 64-bit hash), and each
+random subset of the lexicon gives one 64-bit hash of the kept terms that it contains. Subsets hold a half, an eighth, a
+32nd, a 128th or a 512th of the lexicon. The likeness of two fingerprints is the share of equal hashes among the subsets
+that either document touches, where a subset weighs by the inverse of its share of the lexicon: large subsets tell
+whether texts are the same, small ones how much they have in common. One measure, whatever the length of the texts.
 
-A band with a lower share bounds the lexicon by (terms per document / share) whatever the corpus, so it travels as a
-bitmap of fixed size; a term outside the lexicon that falls on a set bit counts as inside, alike in every document.
-DataFrame functions only.
+A band with a lower share bounds the lexicon by (mean number of terms of a document / share), whatever the number of
+documents. It is counted; up to LITERAL terms it travels with the expressions, as sorted hashes in buckets, and a longer
+one meets the documents' terms in a join. DataFrame functions only.
 
 Defined cases: null text is empty; a text without lexicon terms keeps all its terms; a text without terms has the
-fingerprint of zeros; two fingerprints of zeros have likeness 1; repeated rows each count as a document.
+fingerprint of zeros; two fingerprints of zeros have likeness 1; repeated rows each count as a document; an empty table
+gives an empty table; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,14 +23,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_partitions
+from .common import n_partitions, settle, small
 
 SPLIT = r"[\s\p{Punct}]+"
-#: Bits of the lexicon's bitmap are 2 to this power (64 KiB), whatever the corpus.
-BITS = 19
-#: First bit of the subset number, and of the 3-bit draws that thin the lexicon, of each family.
-FAMILIES = ((0, ()), (6, (12,)), (18, (12, 15)))
-ENOUGH = 16
+#: A lexicon of no more terms than this travels with the expressions, in 2^BUCKETS buckets.
+LITERAL, BUCKETS = 1 << 17, 14
+#: Subsets of each level: (subsets hold 1 in 2^k terms of the lexicon, first bit of a term's hash that tells which, number of subsets, splits).
+LEVELS = ((1, 0, 2, 4), (3, 4, 8, 1), (5, 8, 16, 1), (7, 16, 16, 1), (9, 24, 16, 1))
 
 
 def let(value: Column, f) -> Column:
@@ -43,63 +43,72 @@ def terms(text: Column) -> Column:
     return F.transform(F.array_distinct(F.filter(words, lambda w: w != "")), lambda w: F.xxhash64(w))
 
 
-def lexicon(docs: DataFrame, text_col: str = "text", low: float = 2.0**-9, high: float = 2.0**-3, least: int = 2) -> Column:
-    """An array literal of longs: a bitmap of the terms found in at least ``low`` (and ``least`` documents) and at most ``high`` of all documents."""
-    spark = docs.sparkSession
+def lexicon(docs: DataFrame, text_col: str = "text", low: float = 2.0**-9, high: float = 2.0**-3, least: int = 2) -> DataFrame:
+    """t: hashes of the terms found in at least ``low`` (and ``least`` documents) and at most ``high`` of all documents."""
     n = docs.count()
     df = docs.select(F.explode(terms(F.col(text_col))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
-    band = df.where((F.col("df") >= max(least, low * n)) & (F.col("df") <= high * n))
-    at = F.shiftrightunsigned("t", 64 - BITS)
-    words = band.select(F.shiftright(at, 6).alias("i"), F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63).cast("int")).alias("b"))
-    every = spark.range(1 << (BITS - 6)).select(F.col("id").alias("i"), F.lit(0).cast("long").alias("b"))
-    full = words.unionByName(every).groupBy("i").agg(F.bit_or("b").alias("b")).groupBy().agg(F.array_sort(F.collect_list(F.struct("i", "b"))).alias("all"))
-    bits = full.select(F.to_json(F.transform("all", lambda x: x["b"]))).first()[0]  # 2^13 numbers
-    return F.from_json(F.lit(bits), "array<bigint>")
+    return settle(df.where((F.col("df") >= max(least, low * n)) & (F.col("df") <= high * n)).select("t"), "imatch-lexicon")
 
 
-def fingerprint(text: Column, bits: Column) -> Column:
-    """array<int> of 3 * 64 subset hashes of 16 bits, 0 for a subset without terms."""
-    def drawn(b: int):
-        return lambda t: F.shiftrightunsigned(t, b).bitwiseAND(7) == 0
+def bucketed(lex: DataFrame) -> Column:
+    """A literal of the lexicon: in each bucket, by the first bits of the hash, the hashes that fall there."""
+    at = F.shiftrightunsigned("t", 64 - BUCKETS)
+    every = lex.sparkSession.range(1 << BUCKETS).select(F.col("id").alias("i"), F.lit(None).cast("long").alias("t"))
+    found = lex.select(at.alias("i"), "t").unionByName(every).groupBy("i").agg(F.array_sort(F.collect_list("t")).alias("ts"))
+    text = found.groupBy().agg(F.array_sort(F.collect_list(F.struct("i", "ts"))).alias("all")).select(F.to_json(F.transform("all", lambda x: x["ts"]))).first()[0]
+    return F.from_json(F.lit(text), "array<array<bigint>>")
 
-    def known(t: Column, bits: Column) -> Column:
-        at = F.shiftrightunsigned(t, 64 - BITS)
-        return F.getbit(F.element_at(bits, (F.shiftright(at, 6) + 1).cast("int")), at.bitwiseAND(63).cast("int")) == 1
 
-    def split8(xs: Column, first: int) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(7)), lambda g: F.filter(xs, lambda t: F.shiftrightunsigned(t, first).bitwiseAND(7) == g))
+def with_kept(rows: DataFrame, text_col: str, lex: DataFrame, buckets: Column | None, name: str) -> DataFrame:
+    """rows with the sorted hashes of the terms that each text keeps."""
+
+    def keep(ts: Column, known: Column) -> Column:
+        return F.array_sort(F.when(F.size(known) > 0, known).otherwise(ts))
+
+    if buckets is not None:
+        inside = lambda t, b: F.array_contains(F.element_at(b, (F.shiftrightunsigned(t, 64 - BUCKETS) + 1).cast("int")), t)
+        kept = let(buckets, lambda b: let(terms(F.col(text_col)), lambda ts: let(F.filter(ts, lambda t: inside(t, b)), lambda k: keep(ts, k))))
+        return rows.withColumn(name, kept)
+    rows = settle(rows.withColumn("_row", F.monotonically_increasing_id()), "imatch-rows")
+    pairs = rows.select("_row", F.explode(terms(F.col(text_col))).alias("t")).join(small(lex), "t", "left_semi")
+    found = pairs.groupBy("_row").agg(F.collect_list("t").alias("_known"))  # no more than a document's distinct terms
+    return rows.join(found, "_row", "left").withColumn(name, keep(terms(F.col(text_col)), F.coalesce("_known", F.array().cast("array<bigint>")))).drop("_row", "_known")
 
-    def hashed(xs: Column) -> Column:
-        return F.when(F.size(xs) == 0, F.lit(0)).otherwise(F.xxhash64(xs).bitwiseAND(0x7FFF).cast("int") + 1)
 
-    def family(xs: Column, first: int, thin: tuple[int, ...]) -> Column:
-        for b in thin:
-            xs = F.filter(xs, drawn(b))
-        return let(xs, lambda ys: F.flatten(F.transform(split8(ys, first), lambda g: F.transform(split8(g, first + 3), hashed))))
+def fingerprint(kept: Column) -> Column:
+    """array<bigint>: a hash for each subset, 0 for a subset without terms."""
 
-    def keep(ts: Column, b: Column) -> Column:
-        return let(F.filter(ts, lambda t: known(t, b)), lambda k: F.array_sort(F.when(F.size(k) > 0, k).otherwise(ts)))
+    def hashed(xs: Column) -> Column:
+        return F.when(F.size(xs) == 0, F.lit(0).cast("long")).otherwise(let(F.xxhash64(xs), lambda h: F.when(h == 0, F.lit(1).cast("long")).otherwise(h)))
+
+    def level(xs: Column, k: int, bit: int, n: int) -> Column:
+        of = lambda t: F.shiftrightunsigned(t, bit).bitwiseAND((1 << k) - 1)
+        numbers = F.sequence(F.lit(0), F.lit(n - 1))
+        if n == 1 << k:
+            return F.transform(numbers, lambda g: hashed(F.filter(xs, lambda t: of(t) == g)))
+        return let(F.filter(xs, lambda t: of(t) < n), lambda ys: F.transform(numbers, lambda g: hashed(F.filter(ys, lambda t: of(t) == g))))
 
-    kept = let(bits, lambda b: let(terms(text), lambda ts: keep(ts, b)))
-    return let(kept, lambda k: F.concat(*[family(k, first, thin) for first, thin in FAMILIES]))
+    return let(kept, lambda xs: F.concat(*[level(xs, k, bit + j * k, n) for k, bit, n, splits in LEVELS for j in range(splits)]))
 
 
 def as_string(fp: Column) -> Column:
-    return F.array_join(F.transform(fp, lambda x: F.lpad(F.lower(F.hex(x)), 4, "0")), "")
+    return F.array_join(F.transform(fp, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal subset hashes, 0 to 1, from the sparsest family of which the two touch enough subsets."""
+    """Weighed share of equal subset hashes, 0 to 1, among those that either touches."""
     both = F.zip_with(a, b, lambda x, y: F.when((x == 0) & (y == 0), F.lit(0)).when(x == y, F.lit(1)).otherwise(F.lit(2)))
-    def pick(z: Column) -> Column:
-        got = F.lit(None).cast("double")
-        for k in range(len(FAMILIES)):
-            part = F.slice(z, 64 * k + 1, 64)
-            touched, equal = F.size(F.filter(part, lambda v: v > 0)), F.size(F.filter(part, lambda v: v == 1))
-            got = F.when((touched >= (ENOUGH if k else 1)), equal / touched).otherwise(got)
-        return F.coalesce(got, F.lit(1.0))
 
-    return let(both, pick)
+    def share(z: Column) -> Column:
+        equal, touched, at = F.lit(0), F.lit(0), 1
+        for k, _, n, splits in LEVELS:
+            part = F.slice(z, at, n * splits)
+            equal += F.size(F.filter(part, lambda v: v == 1)) * (1 << k)
+            touched += F.size(F.filter(part, lambda v: v > 0)) * (1 << k)
+            at += n * splits
+        return F.when(touched > 0, equal / touched).otherwise(F.lit(1.0))
+
+    return let(both, share)
 
 
 def with_next(docs: DataFrame, payload: list[str], id_col: str = "doc_id") -> DataFrame:
@@ -131,13 +140,15 @@ def with_next(docs: DataFrame, payload: list[str], id_col: str = "doc_id") -> Da
 
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **band) -> DataFrame:
     """Fingerprints of every text and of its edited text, whose last half is the start of the next document."""
-    bits = lexicon(docs, text_col, **band)
+    lex = lexicon(docs, text_col, **band)
+    buckets = bucketed(lex) if lex.count() <= LITERAL else None
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    base = base.withColumn("fp", fingerprint(F.col("text"), bits))
+    base = with_kept(base, "text", lex, buckets, "kept").select("doc_id", "text", fingerprint(F.col("kept")).alias("fp"))
     pairs = with_next(base, ["text", "fp"], "doc_id")
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     pairs = pairs.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 2) as int))"), F.substring(F.col("next.text"), 1, half)))
-    pairs = pairs.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "fp", fingerprint(F.col("edited"), bits).alias("efp"), F.col("next.fp").alias("nfp"))
+    pairs = with_kept(pairs.select("doc_id", "n_chars", "edited", "fp", F.col("next.fp").alias("nfp")), "edited", lex, buckets, "kept")
+    pairs = pairs.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "fp", fingerprint(F.col("kept")).alias("efp"), "nfp")
     return pairs.select("doc_id", "n_chars", "edited_sha256", as_string(F.col("fp")).alias("fingerprint"), as_string(F.col("efp")).alias("edited_fingerprint"),
                         likeness(F.col("fp"), F.col("efp")).alias("near_edited"), likeness(F.col("fp"), F.col("nfp")).alias("near_next"))
