@@ -53,6 +53,16 @@ def sliding_min(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(h[: max(0, len(h) - (w - span))], h[w - span :]) if w > span else h
 
 
+def planes(x: np.ndarray) -> bytes:
+    """All first bytes of numbers, all second ones, and so on: compresses better."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def from_planes(b: bytes, kind, n: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8, n * size).reshape(size, n).T).view(kind).reshape(n)
+
+
 @dataclass
 class Bytes:
     """Units are the bytes of a text."""
@@ -84,6 +94,13 @@ class Bytes:
     def cut(self, data, a: int, b: int) -> bytes:
         return data[a:b]
 
+    def encode(self, strings: list[bytes], names: list[bytes]) -> bytes:
+        return planes(np.fromiter(map(len, strings), np.uint32, len(strings))) + b"".join(strings)
+
+    def decode(self, n: int, body: bytes, number: dict[bytes, int]) -> list[bytes]:
+        ends = np.cumsum(from_planes(body, np.uint32, n), dtype=np.int64) + 4 * n
+        return [body[a:b] for a, b in zip([4 * n, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
 
 @dataclass
 class Words:
@@ -108,8 +125,20 @@ class Words:
             h ^= h >> np.uint64(31)
         return mixed(h)
 
-    def cut(self, data, a: int, b: int) -> bytes:
-        return b" ".join(data[a:b])
+    def encode(self, strings: list[bytes], names: list[bytes]) -> bytes:
+        """Strings are rows of numbers of words (of ``names``); written as the words in use, frequent ones first, and their ranks."""
+        used, at, n = np.unique(np.frombuffer(b"".join(strings), np.int32), return_inverse=True, return_counts=True)
+        order = np.argsort(-n, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order))
+        words = b" ".join([names[i] for i in used[order].tolist()])
+        return np.uint32(len(words)).tobytes() + words + planes(rank[at.reshape(-1)])
+
+    def decode(self, n: int, body: bytes, number: dict[bytes, int]) -> list[bytes]:
+        end = 4 + int(np.frombuffer(body, np.uint32, 1)[0])
+        known = np.fromiter((number.setdefault(w, len(number)) for w in body[4:end].split(b" ")), np.int32)
+        rows, size = known[from_planes(body[end:], np.uint32, n * self.length)].tobytes(), 4 * self.length
+        return [rows[k : k + size] for k in range(0, len(rows), size)]
 
 
 def window_keys(units, codes: np.ndarray, sizes: np.ndarray, level: int, a: int, z: int) -> tuple[np.ndarray, np.ndarray]:
@@ -335,7 +364,7 @@ def cut_strings(chunks: DataFrame, known: DataFrame, units, parts: int) -> DataF
         _, first = np.unique(use, return_index=True)  # equal strings have equal keys
         up, uh, rows = p[first], h[first], []
         for q, part in _split(np.arange(len(out)), up):
-            rows.append(("ask", number, q, write_strings(out[part[0] : part[-1] + 1], uh[part], least[part])))
+            rows.append(("ask", number, q, write_strings(units, out[part[0] : part[-1] + 1], uh[part], least[part])))
         uses = np.uint32(len(start)).tobytes() + start.astype(np.uint32).tobytes() + use.astype(np.uint32).tobytes() + n.astype(np.uint8).tobytes()
         return [("uses", number, None, _zip(uses)), *rows]
 
@@ -354,24 +383,22 @@ def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
 
 
-def write_strings(strings: list[bytes], h: np.ndarray, least: np.ndarray) -> bytes:
+def write_strings(units, strings: list[bytes], h: np.ndarray, least: np.ndarray, names: list[bytes] = ()) -> bytes:
     """Strings of one place, by rising h, with the smallest id of each."""
-    lens = np.fromiter(map(len, strings), np.uint32, len(strings))
-    return _zip(np.uint32(len(strings)).tobytes() + lens.tobytes() + np.diff(h, prepend=np.uint32(0)).tobytes() + least.tobytes() + b"".join(strings))
+    return _zip(np.uint32(len(strings)).tobytes() + planes(np.diff(h, prepend=np.uint32(0))) + planes(least) + units.encode(strings, names))
 
 
-def together(blobs: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, list[np.ndarray]]:
-    """The distinct strings of blobs by rising h, their h and smallest ids, and for each blob where its strings are."""
+def together(units, blobs: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, list[np.ndarray], list[bytes]]:
+    """The distinct strings of blobs by rising h, their h and smallest ids, for each blob where its strings are, and names."""
     index: dict[bytes, int] = {}
+    number: dict[bytes, int] = {}
     asked, hs, ds = [], [], []
     for blob in blobs:
         data = _unzip(blob)
         n = int(np.frombuffer(data, np.uint32, 1)[0])
-        ends = np.cumsum(np.frombuffer(data, np.uint32, n, 4), dtype=np.int64) + 4 + 16 * n
-        hs.append(np.cumsum(np.frombuffer(data, np.uint32, n, 4 + 4 * n), dtype=np.uint32))
-        ds.append(np.frombuffer(data, np.int64, n, 4 + 8 * n))
-        begin = [4 + 16 * n, *ends[:-1].tolist()]
-        asked.append(np.fromiter((index.setdefault(data[x:y], len(index)) for x, y in zip(begin, ends.tolist(), strict=True)), np.int64, n))
+        hs.append(np.cumsum(from_planes(data[4:], np.uint32, n), dtype=np.uint32))
+        ds.append(from_planes(data[4 + 4 * n :], np.int64, n))
+        asked.append(np.fromiter((index.setdefault(x, len(index)) for x in units.decode(n, data[4 + 12 * n :], number)), np.int64, n))
     every = list(index)
     index.clear()
     use = np.concatenate(asked)
@@ -382,7 +409,7 @@ def together(blobs: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, l
     order = np.argsort(h, kind="stable")
     where = np.empty(len(order), np.int64)
     where[order] = np.arange(len(order))
-    return [every[i] for i in order.tolist()], h[order], least[order], [where[a] for a in asked]
+    return [every[i] for i in order.tolist()], h[order], least[order], [where[a] for a in asked], list(number)
 
 
 def write_answer(n_runs: np.ndarray, runs_: np.ndarray, value: np.ndarray, mine: np.ndarray) -> bytes:
@@ -400,16 +427,16 @@ def read_answer(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return n_runs.astype(np.int64), np.frombuffer(data, np.uint8, r, 4 + m).astype(np.int64), np.frombuffer(data, np.int64, r, 4 + m + r)
 
 
-def compare(solver: Solver, block: int) -> Callable[[list[int], list[bytes]], list[bytes | None]]:
+def compare(solver: Solver, units) -> Callable[[list[int], list[bytes]], list[bytes | None]]:
     """Answers: for each string of each chunk the smallest id of each of its windows, as lengths of equal stretches and ids."""
 
     def answer(chunks: list[int], blobs: list[bytes]) -> list[bytes | None]:
-        strings, h, least, asked = together(blobs)
+        strings, h, least, asked, _ = together(units, blobs)
         size = np.cumsum(np.fromiter(map(len, strings), np.int64, len(strings)))
         new = np.flatnonzero(np.diff(h)) + 1  # whole keys in blocks of bounded size
         cuts, last = [0], 0
         for k, done in zip(new.tolist(), size[new - 1].tolist(), strict=True):
-            if done - last >= block:
+            if done - last >= units.block:
                 cuts.append(k)
                 last = done
         solved = [solver(strings[a:z], least[a:z], h[a:z]) for a, z in zip(cuts, [*cuts[1:], len(strings)], strict=True)]
@@ -425,7 +452,7 @@ def compare(solver: Solver, block: int) -> Callable[[list[int], list[bytes]], li
     return answer
 
 
-def solved(asks: DataFrame, nodes: int, tasks: int, answer) -> DataFrame:
+def solved(asks: DataFrame, nodes: int, tasks: int, answer, units) -> DataFrame:
     """chunk, p, blob: the answers to all questions (chunk, p, blob) of ``nodes`` chunks; no place gets more than about FAN of them.
 
     With more, groups of about FAN chunks put their strings of a place together first, so that an equal string counts
@@ -438,12 +465,12 @@ def solved(asks: DataFrame, nodes: int, tasks: int, answer) -> DataFrame:
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (p, parent), chunks, blobs in _keyed(batches):
-            strings, h, least, asked = together(blobs)
-            yield _batch(_MERGED, [("up", p, parent, None, write_strings(strings, h, least)), *[("map", p, parent, c, _zip(a.astype(np.uint32).tobytes())) for c, a in zip(chunks, asked, strict=True)]])
+            strings, h, least, asked, names = together(units, blobs)
+            yield _batch(_MERGED, [("up", p, parent, None, write_strings(units, strings, h, least, names)), *[("map", p, parent, c, _zip(a.astype(np.uint32).tobytes())) for c, a in zip(chunks, asked, strict=True)]])
 
     spark = asks.sparkSession
     merged, path = settle_kinds(grouped.repartition(tasks, "p", "parent").sortWithinPartitions("p", "parent").mapInArrow(merge, _MERGED), "windows-merged")
-    up = solved(merged.where("kind = 'up'").select(F.col("parent").alias("chunk"), "p", "blob"), groups, tasks, answer)
+    up = solved(merged.where("kind = 'up'").select(F.col("parent").alias("chunk"), "p", "blob"), groups, tasks, answer, units)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, said = None, None
@@ -550,7 +577,7 @@ def remove_repeats(docs: DataFrame, units, deal, solver: Solver, finish, columns
         listed = known.repartition(tasks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("p", "blob")).alias("known"))  # no more than the chunk asked
         dealt = deal(chunks, listed, units, parts, tasks)
         drop_tables(spark, known)
-        answers = solved(dealt.asks, nodes, tasks, compare(solver, units.block))
+        answers = solved(dealt.asks, nodes, tasks, compare(solver, units), units)
         said = answers.repartition(tasks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("p", "blob")).alias("said"))
         uses = dealt.uses
 

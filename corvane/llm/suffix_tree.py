@@ -61,6 +61,20 @@ def groups(codes: np.ndarray, starts: np.ndarray, over: np.ndarray) -> np.ndarra
     return key
 
 
+def numbered(words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """A number for each word, and the words of the numbers."""
+    number: dict[bytes, int] = {}
+    return np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)), list(number)
+
+
+def window_rows(numbers: np.ndarray, at: np.ndarray, length: int) -> list[bytes]:
+    """The numbers of the words of windows, as bytes."""
+    if not len(at):
+        return []
+    rows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(numbers, length)[at]).tobytes()
+    return [rows[k : k + 4 * length] for k in range(0, len(rows), 4 * length)]
+
+
 def find_suffixes(chunks: DataFrame, known: DataFrame, units: Words, parts: int, slots: int) -> DataFrame:
     """Chunks (kind text) with the starts of their distinct repeatable windows and all uses of these; counts of prefixes (kind count)."""
     n = units.length
@@ -75,11 +89,9 @@ def find_suffixes(chunks: DataFrame, known: DataFrame, units: Words, parts: int,
             yes, _ = found_in(code, k, parts)
             at.append(ragged(start[yes], many[yes]))
         at = np.sort(np.concatenate(at))
-        number: dict[bytes, int] = {}
-        exact = np.fromiter((number.setdefault(w, len(number)) for w in data), np.int32, len(data))
-        rows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(exact, n)[at]).tobytes()
+        rows = window_rows(numbered(data)[0], at, n)
         seen: dict[bytes, int] = {}
-        use = np.fromiter((seen.setdefault(rows[k : k + 4 * n], len(seen)) for k in range(0, len(rows), 4 * n)), np.int64, len(at))
+        use = np.fromiter((seen.setdefault(x, len(seen)) for x in rows), np.int64, len(at))
         _, first = np.unique(use, return_index=True)
         packed = np.uint32(len(first)).tobytes() + at[first].astype(np.uint32).tobytes() + np.diff(at, prepend=0).astype(np.uint32).tobytes() + use.astype(np.uint32).tobytes()
         return _zip(packed), codes, at[first]
@@ -111,9 +123,9 @@ def read_suffixes(uses: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def dealt(codes: np.ndarray, starts: np.ndarray, over: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order of suffixes by place and group, and in that order the place and 32 bits of the group."""
+    """Order of suffixes by place and group, and in that order the place and 20 bits of the group."""
     key = mixed(groups(codes, starts, over))
-    p, h = ((key >> np.uint64(32)) % np.uint64(parts)).astype(np.int64), key.astype(np.uint32)
+    p, h = ((key >> np.uint64(32)) % np.uint64(parts)).astype(np.int64), (key & np.uint64(0xFFFFF)).astype(np.uint32)
     order = np.lexsort((h, p))
     return order, p[order], h[order]
 
@@ -141,8 +153,10 @@ def deal_by_prefix(chunks: DataFrame, known: DataFrame, units: Words, parts: int
                 least = np.full(len(first), NULL_ID, np.int64)
                 np.minimum.at(least, use, ids[owner(sizes, at)])
                 order, p, h = dealt(codes, first, over, parts)
-                start, least = first[order].tolist(), least[order]
-                rows = [("ask", row["chunk"], q, write_strings([units.cut(data, start[k], start[k] + units.length) for k in part.tolist()], h[part], least[part])) for q, part in _split(np.arange(len(p)), p)]
+                least = least[order]
+                numbers, names = numbered(data)
+                every = window_rows(numbers, first[order], units.length)
+                rows = [("ask", row["chunk"], q, write_strings(units, every[part[0] : part[-1] + 1], h[part], least[part], names)) for q, part in _split(np.arange(len(p)), p)]
                 for k in range(0, len(rows), 64):
                     yield _batch("kind string, chunk long, p long, blob binary", rows[k : k + 64])
 
@@ -198,8 +212,7 @@ def smallest_ids(length: int):
     """A solver: the smallest id, over all strings, of each window of each string, and the number of windows of each."""
 
     def solve(strings: list[bytes], ids: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        number: dict[bytes, int] = {}
-        codes = np.array([number.setdefault(w, len(number)) for s in strings for w in s.split(b" ")], np.int32).reshape(-1, length)
+        codes = np.frombuffer(b"".join(strings), np.int32).reshape(-1, length)  # numbers of words
         leaves, common = subtrees(codes, keys, length)
         first, end = deep_nodes(common, length)
         least = np.empty(len(strings), np.int64)

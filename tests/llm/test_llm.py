@@ -161,7 +161,7 @@ def test_solvers_agree_with_brute_force():
         value, n = suffix_array.smallest_ids(6)(strings, ids, np.zeros(len(ids), np.uint32))
         assert value.tolist() == want and n.sum() == len(want)
         starts = [(s[k : k + 6], int(i)) for s, i in zip(strings, ids, strict=True) for k in range(len(s) - 5)]
-        words = [b" ".join(bytes([c]) for c in w) for w, _ in starts]
+        words = [np.array(list(w), np.int32).tobytes() for w, _ in starts]
         keys = np.array([w[0] for w, _ in starts], np.uint32)
         assert suffix_tree.smallest_ids(6)(words, np.array([i for _, i in starts]), keys)[0].tolist() == want
 
