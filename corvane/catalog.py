@@ -20,6 +20,7 @@ from corvane.plans import reports as R
 from corvane.plans import sql as Q
 from corvane.plans import views as V
 from corvane.session import table
+from corvane.sources.archive import duplicate_keys
 from corvane.sources import pages as W
 
 QUERIES: dict = {}
@@ -87,17 +88,18 @@ def latest_partition(spark, sf) -> DataFrame:
     return V.items(spark, sf).agg(F.max("utc_day").alias("latest"), F.count_distinct("utc_day").alias("days"))
 
 
-@query(_items("SELECT item_id, count(*) AS n FROM (SELECT item_id % 700 AS item_id FROM items) GROUP BY 1 HAVING count(*) > 1"))
+@query(_items("SELECT item_id, count(*) AS n FROM (SELECT item_id FROM items UNION ALL SELECT doc_id FROM labels) GROUP BY 1 HAVING count(*) > 1"))
 def archive_id_scan(spark, sf) -> DataFrame:
-    return V.items(spark, sf).select((F.col("item_id") % 700).alias("item_id")).groupBy("item_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    both = V.items(spark, sf).select("item_id").unionByName(table(spark, sf, "labels").select(F.col("doc_id").alias("item_id")))
+    return duplicate_keys(both, "item_id")
 
 
 # --- filters ---
 
 
-@query(_reg("SELECT source, priority FROM registry WHERE enabled AND grp IN ('osint', 'press', 'bloggers-a') AND platform IN ('telegram', 'web', 'x')"))
+@query(_reg("SELECT source, priority FROM registry WHERE enabled AND grp IN ('osint', 'international-media', 'ua-media-bloggers') AND platform IN ('telegram', 'web', 'x')"))
 def source_select(spark, sf) -> DataFrame:
-    return S.select_sources(V.registry(spark, sf), ["osint", "press", "bloggers-a"], ["telegram", "web", "x"]).orderBy(F.col("priority").desc(), "source").select("source", "priority")
+    return S.select_sources(V.registry(spark, sf), ["osint", "international-media", "ua-media-bloggers"], ["telegram", "web", "x"]).orderBy(F.col("priority").desc(), "source").select("source", "priority")
 
 
 @query(_reg("SELECT t.s AS source FROM (VALUES ('src1'), ('src77'), ('nobody')) t(s) WHERE t.s NOT IN (SELECT source FROM registry)"))
@@ -121,7 +123,7 @@ def cadence_due(spark, sf) -> DataFrame:
 
 @query(_reg("SELECT source, CASE WHEN platform = 'x' THEN 'skipped_config' ELSE 'due' END AS action FROM registry WHERE enabled"))
 def missing_credential(spark, sf) -> DataFrame:
-    return S.select_sources(V.registry(spark, sf)).select("source", F.when(F.col("platform") == "x", "skipped_config").otherwise("due").alias("action"))
+    return S.select_sources(V.registry(spark, sf)).select("source", F.when(S.lacks_credential(F.col("platform"), ["x"], []), "skipped_config").otherwise("due").alias("action"))
 
 
 @query(_items("SELECT item_id FROM items WHERE published IS NULL OR published >= TIMESTAMP '2024-01-08 00:00:00'"))
@@ -129,7 +131,7 @@ def lookback(spark, sf) -> DataFrame:
     return V.items(spark, sf).where(S.within_lookback(F.col("published"), F.lit("2024-01-08 00:00:00").cast("timestamp"))).select("item_id")
 
 
-_HOURS = "greatest(24.0, CASE WHEN grp IN ('bloggers-a', 'bloggers-b') THEN 48.0 ELSE 0 END, CASE WHEN list_contains(tags, 'precise-location') THEN 72.0 ELSE 0 END, CASE WHEN list_contains(tags, 'operational-position') THEN 96.0 ELSE 0 END, CASE WHEN source = 'src7' THEN 120.0 ELSE 0 END)"
+_HOURS = "greatest(24.0, CASE WHEN grp IN ('ua-media-bloggers', 'ru-milbloggers') THEN 48.0 ELSE 0 END, CASE WHEN list_contains(tags, 'precise-location') THEN 72.0 ELSE 0 END, CASE WHEN list_contains(tags, 'operational-position') THEN 96.0 ELSE 0 END, CASE WHEN source = 'src7' THEN 120.0 ELSE 0 END)"
 
 
 def _hours():
@@ -226,10 +228,12 @@ def excerpt_projection(spark, sf) -> DataFrame:
 
 _ID = "substr(sha256(concat_ws(chr(10), {0}, {1}, coalesce(strftime(published, '%Y-%m-%dT%H:%M:%SZ'), ''){2})), 1, 24)"
 _SCRUB = "regexp_replace(regexp_replace(url, '[?#].*$', ''), '^([a-zA-Z]+://)[^/@]*@', '\\1')"
-_SHORT = f"CASE WHEN platform IN ('telegram', 'x') THEN {_SCRUB} ELSE regexp_extract(url, '^([a-zA-Z]+://)', 1) || regexp_extract({_SCRUB}, '^[a-zA-Z]+://([^/?#]*)', 1) || '/' END"
+_PUBLIC = "regexp_matches(url, '^https?://[^/?#]')"
+_SHORT = f"CASE WHEN NOT {_PUBLIC} THEN '' WHEN platform IN ('telegram', 'x') THEN {_SCRUB} ELSE regexp_extract(url, '^([a-zA-Z]+://)', 1) || regexp_extract({_SCRUB}, '^[a-zA-Z]+://([^/?#]*)', 1) || '/' END"
+_HIDDEN = f"substr(sha256(concat_ws(chr(10), source, platform, CASE WHEN {_PUBLIC} THEN {_SCRUB} ELSE '' END, coalesce(strftime(published, '%Y-%m-%dT%H:%M:%SZ'), ''))), 1, 24)"
 
 
-@query(_items(f"SELECT item_id, CASE WHEN hide THEN {_ID.format('source', 'short', '')} ELSE {_ID.format("CASE WHEN platform = 'x' THEN 'x' ELSE source END", 'url', ", trim(regexp_replace(coalesce(nullif(text, ''), title, ''), '\\s+', ' ', 'g'))")} END AS public_id, CASE WHEN hide THEN short ELSE url END AS url, CASE WHEN hide THEN '' ELSE title END AS title, CASE WHEN hide THEN 0 ELSE length(text) END AS chars, CASE WHEN hide THEN 0 ELSE len(media) END AS n_media, hide AS redacted FROM (SELECT *, list_contains(tags, 'operational-position') AS hide, {_SHORT} AS short FROM items)"))
+@query(_items(f"SELECT item_id, CASE WHEN hide THEN {_HIDDEN} ELSE {_ID.format("CASE WHEN platform = 'x' THEN 'x' ELSE source END", 'url', ", trim(regexp_replace(coalesce(nullif(text, ''), title, ''), '\\s+', ' ', 'g'))")} END AS public_id, CASE WHEN hide THEN short ELSE url END AS url, CASE WHEN hide THEN '' ELSE title END AS title, CASE WHEN hide THEN 0 ELSE length(text) END AS chars, CASE WHEN hide THEN 0 ELSE len(media) END AS n_media, hide AS redacted FROM (SELECT *, list_contains(tags, 'operational-position') AS hide, {_SHORT} AS short FROM items)"))
 def redaction(spark, sf) -> DataFrame:
     return D.redact(V.items(spark, sf), P.REDACT_TAGS).select("item_id", "public_id", "url", "title", F.char_length("text").alias("chars"), F.size("media").alias("n_media"), "redacted")
 
@@ -244,29 +248,39 @@ def url_scrub(spark, sf) -> DataFrame:
     return V.items(spark, sf).select("item_id", T.scrubbed(F.col("url")).alias("url"))
 
 
-@query(_reg("SELECT source, '' AS handle FROM registry WHERE FALSE UNION ALL SELECT source, 'user' || n FROM registry"))
+@query(_reg("SELECT source, regexp_extract(url, '^https?://[^/]+/@?([^/?#]+)', 1) AS handle FROM registry"))
 def source_handle(spark, sf) -> DataFrame:
     return V.registry(spark, sf).select("source", T.handle(F.col("url")).alias("handle"))
 
 
-_KIND = "['HTTPError', 'Timeout', 'SSLError', 'CollectionError', 'RuntimeError', 'gaierror'][1 + event_id % 6]"
-_MSG = "['status 403 here', 'X API said 429', 'unsafe host', 'redirect to other', 'none'][1 + event_id % 5]"
+# what an error must come out as, case by case
+_ERRORS = [
+    ("Timeout", "read timed out", "timeout"), ("TooManyRedirects", "30", "redirect_error"), ("SSLError", "certificate", "tls_error"), ("ConnectionError", "refused", "connection_error"),
+    ("HTTPError", "status 403 here", "http_403"), ("HTTPError", "none", "http_error"), ("JSONDecodeError", "line 1", "invalid_json"), ("CollectionError", "X API 429: slow down", "x_api_http_429"),
+    ("CollectionError", "X API answered nothing", "x_api_error"), ("CollectionError", "said X API 429", "collection_error"), ("CollectionError", "DNS lookup failed", "dns_error"),
+    ("CollectionError", "private destination 10.0.0.1", "unsafe_destination"), ("CollectionError", "unsafe URL", "unsafe_destination"), ("CollectionError", "cross-host redirect", "cross_host_redirect"),
+    ("CollectionError", "too many redirects", "redirect_error"), ("CollectionError", "token not configured", "missing_configuration"), ("CollectionError", "something else", "collection_error"),
+    ("gaierror", "dns lookup", "unexpected_error"), ("RuntimeError", "secret", "unexpected_error"),
+]
 
 
-@query(f"SELECT event_id, k || ': ' || CASE WHEN k = 'HTTPError' AND m LIKE '%403%' THEN 'http_403' WHEN k = 'HTTPError' AND m LIKE '%429%' THEN 'http_429' WHEN k = 'HTTPError' THEN 'http_error' WHEN k = 'CollectionError' AND m LIKE '%X API%' THEN 'x_api_http_429' WHEN k = 'Timeout' THEN 'timeout' WHEN k = 'SSLError' THEN 'tls_error' WHEN k = 'gaierror' THEN 'dns_error' WHEN k = 'CollectionError' AND m LIKE '%unsafe%' THEN 'unsafe_destination' WHEN k = 'CollectionError' AND m LIKE '%redirect%' THEN 'cross_host_redirect' WHEN k = 'CollectionError' THEN 'collection_error' ELSE 'unexpected_error' END AS error FROM (SELECT event_id, {_KIND} AS k, {_MSG} AS m FROM events)")
+def _cases(k: int) -> str:
+    return "[" + ", ".join(f"'{e[k]}'" for e in _ERRORS) + f"][1 + event_id % {len(_ERRORS)}]"
+
+
+@query(f"SELECT event_id, {_cases(0)} || ': ' || {_cases(2)} AS error FROM events")
 def error_category(spark, sf) -> DataFrame:
-    i = F.col("event_id")
-    kind = V.pick(["HTTPError", "Timeout", "SSLError", "CollectionError", "RuntimeError", "gaierror"], i % 6)
-    return table(spark, sf, "events").select("event_id", D.error_category(kind, V.pick(["status 403 here", "X API said 429", "unsafe host", "redirect to other", "none"], i % 5)).alias("error"))
+    i = F.col("event_id") % len(_ERRORS)
+    return table(spark, sf, "events").select("event_id", D.error_category(V.pick([e[0] for e in _ERRORS], i), V.pick([e[1] for e in _ERRORS], i)).alias("error"))
 
 
-@query(_items("SELECT item_id, CASE WHEN list_contains(tags, 'map') THEN 'map' WHEN list_contains(tags, 'drones') THEN 'drones' WHEN list_contains(tags, 'logistics') THEN 'logistics' WHEN list_contains(tags, 'relief') THEN 'relief' WHEN grp = 'osint' THEN 'map' WHEN grp IN ('official-a', 'official-b') THEN 'official' ELSE 'other' END AS section FROM items"))
+@query(_items("SELECT item_id, CASE WHEN list_contains(tags, 'map') THEN 'map' WHEN list_contains(tags, 'drones') THEN 'drones' WHEN list_contains(tags, 'logistics') THEN 'logistics' WHEN list_contains(tags, 'relief') THEN 'relief' WHEN grp = 'osint' THEN 'map' WHEN grp IN ('official-ua', 'official-ru') THEN 'official' ELSE 'other' END AS section FROM items"))
 def section_choice(spark, sf) -> DataFrame:
     return V.items(spark, sf).select("item_id", _section().alias("section"))
 
 
 def _section():
-    return D.section(F.col("tags"), F.col("grp"), P.SECTIONS, {"osint": "map", "official-a": "official", "official-b": "official"})
+    return D.section(F.col("tags"), F.col("grp"), P.SECTIONS, {"osint": "map", "official-ua": "official", "official-ru": "official"})
 
 
 @query(_items("SELECT item_id, CASE WHEN greatest(0, (epoch_us(TIMESTAMP '2024-01-12 00:00:00') - epoch_us(coalesce(collected, published))) / 3.6e9) < CASE WHEN list_has_any(tags, ['precise-location', 'operational-position']) THEN 72.0 ELSE 24.0 END THEN 'delayed' WHEN list_contains(tags, 'operational-position') THEN 'redacted' ELSE 'full' END AS mode FROM items"))
@@ -281,9 +295,9 @@ def virtual_sources(spark, sf) -> DataFrame:
     return D.virtual_sources(spark, P.QUERIES)
 
 
-@query(_reg("SELECT coalesce(s.source, u.source) AS source, CASE WHEN u.source IS NOT NULL THEN u.status ELSE s.status END AS status, CASE WHEN u.source IS NOT NULL THEN u.added ELSE s.added END AS added, coalesce(u.last_success, s.last_success) AS last_success FROM state s FULL JOIN (SELECT source, 'error' AS status, CAST(NULL AS TIMESTAMP) AS last_success, CAST(NULL AS BIGINT) AS added FROM registry WHERE n % 3 = 0) u ON s.source = u.source"))
+@query(_reg("SELECT coalesce(s.source, u.source) AS source, CASE WHEN u.source IS NOT NULL THEN u.status ELSE s.status END AS status, CASE WHEN u.source IS NOT NULL THEN u.added ELSE s.added END AS added, coalesce(u.last_success, s.last_success) AS last_success FROM state s FULL JOIN (SELECT source, 'error' AS status, CAST(NULL AS TIMESTAMP) AS last_success, CAST(NULL AS BIGINT) AS added FROM registry) u ON s.source = u.source"))
 def state_transition(spark, sf) -> DataFrame:
-    updates = V.registry(spark, sf).where("n % 3 = 0").select("source", F.lit("error").alias("status"), F.lit(None).cast("timestamp").alias("last_success"), F.lit(None).cast("bigint").alias("added"))
+    updates = V.registry(spark, sf).select("source", F.lit("error").alias("status"), F.lit(None).cast("timestamp").alias("last_success"), F.lit(None).cast("bigint").alias("added"))
     return J.upsert(V.source_state(spark, sf).select("source", "status", "last_success", "added"), updates, "source", ["last_success"])
 
 
@@ -302,9 +316,9 @@ def stamp_parse(spark, sf) -> DataFrame:
 # --- joins and set operations ---
 
 
-@query(_items("SELECT item_id FROM items WHERE item_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 3 = 0)"))
+@query(_items("SELECT item_id FROM items WHERE item_id NOT IN (SELECT doc_id FROM labels)"))
 def anti_archive(spark, sf) -> DataFrame:
-    seen = table(spark, sf, "documents").where("doc_id % 3 = 0").select(F.col("doc_id").alias("item_id"))
+    seen = table(spark, sf, "labels").select(F.col("doc_id").alias("item_id"))
     return J.drop_seen(V.items(spark, sf), seen).select("item_id")
 
 
@@ -320,7 +334,7 @@ def reattribute(spark, sf) -> DataFrame:
     return J.reattribute(found, reg.withColumn("handle", T.handle(F.col("url"))).select("source", "handle"), "handle").select("item_id", "owner")
 
 
-@query("SELECT o_orderkey AS post_id, coalesce(string_agg(CASE WHEN p.p_partkey % 5 <> 0 THEN 'm/' || l_partkey END, ',' ORDER BY l_linenumber, l_partkey), '') AS media FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part p ON p_partkey = l_partkey WHERE o_orderkey % 10 = 0 GROUP BY 1")
+@query("SELECT o_orderkey AS post_id, coalesce(string_agg(CASE WHEN p.p_partkey % 5 <> 0 THEN 'm/' || l_partkey END, ',' ORDER BY l_linenumber, l_partkey), '') AS media FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part p ON p_partkey = l_partkey GROUP BY 1")
 def media_expand(spark, sf) -> DataFrame:
     keys = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"]).alias("media_keys"))
     posts = table(spark, sf, "orders").select(F.col("o_orderkey").alias("post_id")).join(keys, F.col("post_id") == F.col("l_orderkey"), "left").select("post_id", "media_keys")
@@ -413,12 +427,16 @@ def status_totals(spark, sf) -> DataFrame:
 
 
 _ROLL = "SELECT count(*) AS configured, count(*) FILTER (status IN ('ok', 'error')) AS attempted, count(*) FILTER (status = 'ok') AS succeeded, count(*) FILTER (status LIKE 'skipped%') AS skipped, count(*) FILTER (status = 'skipped_config') AS blocked, count(*) FILTER (status = 'error') AS errors, CAST(sum(added) AS BIGINT) AS added, CAST(sum(fetched) AS BIGINT) AS fetched FROM state"
-_RUN = "CASE WHEN errors > 0 AND succeeded = 0 THEN 'failed' WHEN blocked > 0 AND attempted = 0 THEN 'blocked' WHEN errors > 0 OR blocked > 0 THEN 'partial' WHEN attempted = 0 THEN 'idle' ELSE 'ok' END"
+_RUN = "CASE WHEN attempted > 0 AND succeeded = 0 THEN 'failed' WHEN attempted = 0 AND blocked > 0 AND (SELECT count(*) FROM registry WHERE enabled AND platform <> 'x') = 0 THEN 'blocked' WHEN errors > 0 OR blocked > 0 THEN 'partial' WHEN attempted = 0 THEN 'idle' ELSE 'ok' END"
+
+
+def _selected(spark, sf) -> DataFrame:
+    return S.select_sources(V.registry(spark, sf))
 
 
 @query(_reg(f"SELECT *, {_RUN} AS run_status FROM ({_ROLL})"))
 def run_rollup(spark, sf) -> DataFrame:
-    return A.run_rollup(V.source_state(spark, sf))
+    return A.run_rollup(V.source_state(spark, sf), _selected(spark, sf))
 
 
 _HEALTH = f"SELECT coalesce(r.source, s.source) AS source, CASE WHEN r.source IS NULL THEN 'orphan_state' WHEN NOT r.enabled THEN 'disabled' WHEN s.status IS NULL THEN 'never_seen' WHEN s.status = 'error' THEN 'current_error' WHEN s.status = 'skipped_config' THEN 'configuration_blocked' WHEN s.last_success IS NULL THEN 'never_succeeded' WHEN (epoch_us(TIMESTAMP '{P.NOW}') - epoch_us(s.last_success)) / 3.6e9 > 12 THEN 'stale_success' WHEN s.status = 'skipped_cadence' THEN 'cadence_wait' ELSE 'healthy' END AS classification FROM registry r FULL JOIN state s ON r.source = s.source"
@@ -434,11 +452,15 @@ def health_counts(spark, sf) -> DataFrame:
     return A.health(V.registry(spark, sf), V.source_state(spark, sf), now(), 12.0).groupBy("classification").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(_reg(f"SELECT run_status, FALSE AS healthy, CASE WHEN (epoch_us(TIMESTAMP '{P.NOW}') - epoch_us(last_run)) / 3.6e9 > 1 THEN 'run_' || run_status || ',state_stale' ELSE 'run_' || run_status END AS reasons FROM (SELECT {_RUN} AS run_status, (SELECT max(checked) FROM state) - INTERVAL 2 HOURS AS last_run FROM ({_ROLL}))"))
+_DEGRADED = "SELECT count(*) FILTER (s.status = 'error') AS source_errors, count(*) FILTER (s.status = 'skipped_config') AS configuration_skips, count(*) FILTER (s.status IS NULL) AS unknown_sources FROM registry r LEFT JOIN state s USING (source) WHERE r.enabled"
+_AGES = [(g, st, hours) for g, (st, hours) in enumerate([(st, h) for st in ("ok", "idle", "partial", "blocked", "failed") for h in (0, 1, 2, 9)])]
+
+
+@query(_reg(f"SELECT a.g, a.st AS run_status, a.st IN ('ok', 'idle') AND a.h <= 1 AS healthy, concat_ws(',', CASE WHEN configuration_skips > 0 THEN 'configuration_skips' END, CASE WHEN a.st NOT IN ('ok', 'idle') THEN 'run_' || a.st END, CASE WHEN source_errors > 0 THEN 'source_errors' END, CASE WHEN a.h > 1 THEN 'state_stale' END, CASE WHEN unknown_sources > 0 THEN 'unknown_sources' END) AS reasons FROM ({_DEGRADED}), (VALUES " + ", ".join(f"({g}, '{st}', {h})" for g, st, h in _AGES) + ") a(g, st, h)"))
 def health_result(spark, sf) -> DataFrame:
-    s = V.source_state(spark, sf)
-    run = A.run_rollup(s).crossJoin(s.agg((F.max("checked") - F.make_dt_interval(hours=F.lit(2))).alias("last_run")))  # one row each
-    return A.health_result(run.select("run_status", "last_run"), now(), 1.0).select("run_status", "healthy", "reasons")
+    runs = spark.createDataFrame(_AGES, "g int, run_status string, hours int").withColumn("last_run", now() - F.make_dt_interval(hours=F.col("hours")))
+    run = runs.crossJoin(A.degradation(V.registry(spark, sf), V.source_state(spark, sf)))  # twenty rows with one
+    return A.health_result(run, now(), 1.0).select("g", "run_status", "healthy", "reasons")
 
 
 @query("SELECT user_id AS id, arg_max(event_type, event_id) AS kind, arg_max(value, event_id) AS value, max(event_id) AS seq, min(event_id) AS first_seq FROM events GROUP BY 1")
@@ -452,9 +474,9 @@ def duplicate_ids(spark, sf) -> DataFrame:
     return table(spark, sf, "documents").groupBy(F.sha2("text", 256).alias("text_sha")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-@query(_reg("SELECT m.g AS grp, m.least_ AS least, count(r.source) AS n FROM (VALUES ('osint', 3), ('press', 2), ('official-a', 9)) m(g, least_) LEFT JOIN registry r ON r.grp = m.g AND r.enabled GROUP BY 1, 2 HAVING count(r.source) < m.least_"))
+@query(_reg("SELECT m.g AS grp, m.least_ AS least, count(r.source) AS n FROM (VALUES ('osint', 3), ('international-media', 2), ('official-ua', 9)) m(g, least_) LEFT JOIN registry r ON r.grp = m.g AND r.enabled GROUP BY 1, 2 HAVING count(r.source) < m.least_"))
 def group_minimums(spark, sf) -> DataFrame:
-    least = spark.sql("SELECT * FROM VALUES ('osint', 3), ('press', 2), ('official-a', 9) AS t(grp, least)")
+    least = spark.sql("SELECT * FROM VALUES ('osint', 3), ('international-media', 2), ('official-ua', 9) AS t(grp, least)")
     n = V.registry(spark, sf).where("enabled").groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     return least.join(n, "grp", "left").select("grp", "least", F.coalesce("n", F.lit(0)).alias("n")).where("n < least")
 
@@ -464,8 +486,8 @@ def group_minimums(spark, sf) -> DataFrame:
 
 @query(_items("SELECT item_id, row_number() OVER (ORDER BY stamp DESC, length(text), item_id) AS place FROM items WHERE local_day = DATE '2024-01-06'"))
 def digest_order(spark, sf) -> DataFrame:
-    day = S.local_day(V.items(spark, sf), DAY, P.ZONE)  # one day's report
-    return day.withColumn("place", F.row_number().over(Window.orderBy(F.col("stamp").desc(), F.char_length("text"), "item_id"))).select("item_id", "place")
+    day = S.local_day(V.items(spark, sf), DAY, P.ZONE).select("item_id", "stamp", F.char_length("text").alias("size"))
+    return A.placed(day, [F.col("stamp").desc(), F.col("size"), F.col("item_id")]).select("item_id", "place")
 
 
 @query(_items("SELECT source, n FROM (SELECT source, count(*) AS n, min(item_id) AS f FROM items GROUP BY 1 ORDER BY n DESC, f LIMIT 25)"))
@@ -473,7 +495,7 @@ def top_sources(spark, sf) -> DataFrame:
     return V.items(spark, sf).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min("item_id").alias("f")).orderBy(F.col("n").desc(), "f").limit(25).select("source", "n")
 
 
-@query(_items("SELECT section, item_id, place, more FROM (SELECT section, item_id, row_number() OVER (PARTITION BY section ORDER BY stamp DESC, item_id) AS place, greatest(0, count(*) OVER (PARTITION BY section) - 8) AS more FROM (SELECT *, CASE WHEN list_contains(tags, 'map') THEN 'map' WHEN list_contains(tags, 'drones') THEN 'drones' WHEN list_contains(tags, 'logistics') THEN 'logistics' WHEN list_contains(tags, 'relief') THEN 'relief' WHEN grp = 'osint' THEN 'map' WHEN grp IN ('official-a', 'official-b') THEN 'official' ELSE 'other' END AS section FROM items)) WHERE place <= 8"))
+@query(_items("SELECT section, item_id, place, more FROM (SELECT section, item_id, row_number() OVER (PARTITION BY section ORDER BY stamp DESC, item_id) AS place, greatest(0, count(*) OVER (PARTITION BY section) - 8) AS more FROM (SELECT *, CASE WHEN list_contains(tags, 'map') THEN 'map' WHEN list_contains(tags, 'drones') THEN 'drones' WHEN list_contains(tags, 'logistics') THEN 'logistics' WHEN list_contains(tags, 'relief') THEN 'relief' WHEN grp = 'osint' THEN 'map' WHEN grp IN ('official-ua', 'official-ru') THEN 'official' ELSE 'other' END AS section FROM items)) WHERE place <= 8"))
 def top_n_per_section(spark, sf) -> DataFrame:
     i = V.items(spark, sf).select("item_id", "stamp", _section().alias("section"))
     n = i.groupBy("section").agg(F.greatest(F.lit(0), F.count(F.lit(1)) - 8).alias("more"))
@@ -538,14 +560,6 @@ def gate_counts(spark, sf) -> DataFrame:
     return _prep(spark, sf).groupBy("relevance", "strict").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(Q.prepared("SELECT a.item_id AS a, b.item_id AS b, round(len(list_intersect(a.anchors, b.anchors)) / len(list_distinct(list_concat(a.anchors, b.anchors))), 9) AS similarity FROM prep a JOIN prep b ON a.source = b.source AND a.local_day = b.local_day AND a.item_id < b.item_id WHERE len(a.anchors) > 0 AND len(b.anchors) > 0"))
-def jaccard_pairs(spark, sf) -> DataFrame:
-    p = _prep(spark, sf).where(F.size("anchors") > 0).select("item_id", "source", "local_day", "anchors")
-    q = p.select(F.col("item_id").alias("b"), "source", "local_day", F.col("anchors").alias("y"))
-    j = p.withColumnRenamed("item_id", "a").join(q, ["source", "local_day"]).where("a < b")
-    return j.select("a", "b", F.round(T.jaccard(F.col("anchors"), F.col("y")), 9).alias("similarity"))
-
-
 # --- clusters ---
 
 
@@ -588,6 +602,13 @@ def sample_items(spark, sf) -> DataFrame:
     return C.samples(C.accepted(_prep(spark, sf))).select("item_id", "place")
 
 
+@query(Q.clusters("SELECT a.cluster_id AS a, b.cluster_id AS b, round(len(list_intersect(a.anchor_union, b.anchor_union)) / len(list_distinct(list_concat(a.anchor_union, b.anchor_union))), 9) AS similarity FROM clusters a JOIN clusters b ON a.local_day = b.local_day + 1 AND a.topic = b.topic AND a.locations = b.locations WHERE len(a.anchor_union) > 0 AND len(b.anchor_union) > 0"))
+def jaccard_pairs(spark, sf) -> DataFrame:
+    c = _clusters(spark, sf).where(F.size("anchor_union") > 0).select(F.col("cluster_id").alias("a"), "local_day", "topic", "locations", F.col("anchor_union").alias("x"))
+    d = c.select(F.col("a").alias("b"), F.date_add("local_day", 1).alias("local_day"), "topic", "locations", F.col("x").alias("y"))
+    return c.join(d, ["local_day", "topic", "locations"]).select("a", "b", F.round(T.jaccard(F.col("x"), F.col("y")), 9).alias("similarity"))
+
+
 @query(Q.temporal("SELECT * FROM temporal"))
 def temporal(spark, sf) -> DataFrame:
     return C.temporal(_clusters(spark, sf))
@@ -606,7 +627,7 @@ def primary_select(spark, sf) -> DataFrame:
 @query(Q.watch())
 def pulse_watch(spark, sf) -> DataFrame:
     r = C.ranked(_clusters(spark, sf))
-    return C.watch(r, C.primary(r))
+    return C.watch(r, C.primary(r), least=Q.WATCH)
 
 
 # --- quality ---
@@ -618,18 +639,17 @@ def partition_violations(spark, sf) -> DataFrame:
     return V.items(spark, sf).where(F.col("utc_day") != other).select("item_id")
 
 
-@query(_reg("SELECT source, rule FROM (SELECT source, CASE WHEN priority > 90 THEN 'priority' END AS rule FROM registry UNION ALL SELECT source, CASE WHEN perspective = 'unknown' THEN 'perspective' END FROM registry UNION ALL SELECT source, CASE WHEN cadence IS NULL THEN 'cadence' END FROM registry) WHERE rule IS NOT NULL"))
+_LEAST = {"osint": 3, "international-media": 2, "official-ua": 9}
+
+
+@query(_reg("SELECT 'registry' AS scope, source AS key, 'perspective' AS rule FROM registry WHERE perspective NOT IN ('north', 'south') UNION ALL SELECT 'registry', source, 'cadence' FROM registry WHERE cadence < 1 UNION ALL SELECT 'registry', m.g, 'group_minimum' FROM (VALUES " + ", ".join(f"('{g}', {n})" for g, n in _LEAST.items()) + ") m(g, n) WHERE m.n > (SELECT count(*) FROM registry r WHERE r.grp = m.g AND r.enabled) UNION ALL SELECT 'settings', t.s, 'unknown_source' FROM (VALUES ('src1'), ('src77')) t(s) WHERE t.s NOT IN (SELECT source FROM registry)"))
 def registry_violations(spark, sf) -> DataFrame:
-    rules = F.array_compact(F.array(F.when(F.col("priority") > 90, F.lit("priority")), F.when(F.col("perspective") == "unknown", F.lit("perspective")), F.when(F.col("cadence").isNull(), F.lit("cadence"))))
-    return V.registry(spark, sf).select("source", F.explode(rules).alias("rule"))
+    return X.registry(V.registry(spark, sf), ["north", "south"], _LEAST, ["src1", "src77"])
 
 
-@query(_reg("SELECT source, rule FROM (SELECT source, CASE WHEN last_success > checked THEN 'success_after_check' END AS rule FROM state UNION ALL SELECT source, CASE WHEN status = 'ok' AND last_success < checked THEN 'ok_but_older_success' END FROM state UNION ALL SELECT source, CASE WHEN source NOT IN (SELECT source FROM registry) THEN 'unknown_source' END FROM state) WHERE rule IS NOT NULL"))
+@query(_reg("SELECT 'state' AS scope, source AS key, unnest(list_filter([CASE WHEN last_success > checked THEN 'order' END, CASE WHEN source NOT IN (SELECT source FROM registry) THEN 'unknown_source' END, CASE WHEN checked > (SELECT avg_ts FROM run) THEN 'checked_after_run' END, CASE WHEN last_success > (SELECT avg_ts FROM run) THEN 'success_after_run' END], lambda r: r IS NOT NULL)) AS rule FROM state").replace("WITH ", "WITH run AS (SELECT TIMESTAMP '2024-01-30 20:00:00' AS avg_ts), "))
 def state_violations(spark, sf) -> DataFrame:
-    known = V.registry(spark, sf).select(F.col("source").alias("k"))
-    s = V.source_state(spark, sf).join(F.broadcast(known), F.col("source") == F.col("k"), "left")  # a row per source
-    rules = F.array_compact(F.array(F.when(F.col("last_success") > F.col("checked"), F.lit("success_after_check")), F.when((F.col("status") == "ok") & (F.col("last_success") < F.col("checked")), F.lit("ok_but_older_success")), F.when(F.col("k").isNull(), F.lit("unknown_source"))))
-    return s.select("source", F.explode(rules).alias("rule"))
+    return X.state(V.source_state(spark, sf), V.registry(spark, sf), F.lit("2024-01-30 20:00:00").cast("timestamp"))
 
 
 @query(_items(f"SELECT item_id, CASE WHEN length(substr(text, 1, {P.EXCERPT})) > 100 AND list_contains(tags, 'map') THEN 'excerpt_too_long' ELSE 'media_not_public' END AS rule FROM items WHERE (length(substr(text, 1, {P.EXCERPT})) > 100 AND list_contains(tags, 'map')) OR list_contains(media, '/relative.png')"))
@@ -640,11 +660,11 @@ def projection_violations(spark, sf) -> DataFrame:
     return p.where(long | bad).select("item_id", F.when(long, "excerpt_too_long").otherwise("media_not_public").alias("rule"))
 
 
-@query(f"SELECT event_id FROM (SELECT event_id, {_KIND} || ': ' || {_MSG} AS e FROM events) WHERE NOT regexp_matches(e, '^[A-Za-z_][A-Za-z0-9_.]*: [a-z0-9_]+$')")
+@query(f"SELECT event_id FROM (SELECT event_id, {_cases(0)} || ': ' || {_cases(1)} AS e FROM events) WHERE NOT regexp_matches(e, '^[A-Za-z_][A-Za-z0-9_.]*: [a-z0-9_]+$')")
 def safe_error_violations(spark, sf) -> DataFrame:
-    i = F.col("event_id")
-    e = F.concat(V.pick(["HTTPError", "Timeout", "SSLError", "CollectionError", "RuntimeError", "gaierror"], i % 6), F.lit(": "), V.pick(["status 403 here", "X API said 429", "unsafe host", "redirect to other", "none"], i % 5))
-    return table(spark, sf, "events").where(~e.rlike(r"^[A-Za-z_][A-Za-z0-9_.]*: [a-z0-9_]+$")).select("event_id")
+    i = F.col("event_id") % len(_ERRORS)
+    e = F.concat(V.pick([e[0] for e in _ERRORS], i), F.lit(": "), V.pick([e[1] for e in _ERRORS], i))
+    return table(spark, sf, "events").where(~e.rlike(X.SAFE_ERROR)).select("event_id")
 
 
 @query(f"WITH {V.ITEMS}, {V.REGISTRY} SELECT item_id, length(trim(regexp_replace(i.text, '\\s+', ' ', 'g'))) AS chars, len(list_distinct(media)) AS n_media, coalesce(r.grp, 'other') AS grp, coalesce(r.perspective, 'unknown') AS perspective, language FROM items i LEFT JOIN registry r ON r.source = i.source AND r.enabled")
@@ -653,17 +673,37 @@ def make_item(spark, sf) -> DataFrame:
     return made.select("item_id", F.char_length("text").alias("chars"), F.size("media").alias("n_media"), "grp", "perspective", "language")
 
 
-@query(_items("SELECT item_id, length(concat_ws(chr(10), title, text, url, array_to_string(media, chr(10)))) AS chars FROM items"))
+@query(_items("SELECT item_id, sha256(concat_ws(chr(10), title, text, url, array_to_string(media, chr(10)))) AS material FROM items"))
 def sensitive_material(spark, sf) -> DataFrame:
     i = V.items(spark, sf)
-    return i.select("item_id", F.char_length(D.material(i)).alias("chars"))
+    return i.select("item_id", F.sha2(D.material(i), 256).alias("material"))
 
 
-@query(Q.prepared("SELECT item_id, array_to_string(anchors, ',') AS anchors FROM prep"))
+@query(_items(f"SELECT item_id, CASE WHEN hide THEN {_HIDDEN} ELSE {_ID.format("CASE WHEN platform = 'x' THEN 'x' ELSE source END", 'url', ", trim(regexp_replace(coalesce(nullif(text, ''), title, ''), '\\s+', ' ', 'g'))")} END AS public_id, CASE WHEN hide THEN 'public_redacted_v1' ELSE 'public_excerpt_v1' END AS raw_policy, CASE WHEN hide THEN '' ELSE substr(text, 1, {P.EXCERPT}) END AS text, CASE WHEN hide THEN '' ELSE title END AS title, CASE WHEN hide THEN {_SHORT} ELSE url END AS url, CASE WHEN NOT hide THEN sha256(text) END AS content_sha256, CASE WHEN NOT hide THEN length(text) > {P.EXCERPT} END AS text_truncated FROM (SELECT *, list_contains(tags, 'operational-position') AS hide FROM items)"))
+def archive_projection(spark, sf) -> DataFrame:
+    bounded = D.archive_projection(V.items(spark, sf), P.REDACT_TAGS, r"(?i)\bposition|\bconvoy", P.EXCERPT, P.MEDIA_LIMIT)
+    return bounded.select("item_id", "public_id", "raw_policy", "text", "title", "url", "content_sha256", "text_truncated")
+
+
+# the second concept's pattern holds the first one's name, the third the second's
+_CONCEPTS = [("drone", [r"(^| )ering[a-z]*"]), ("raid", [r" drone +th[a-z]*", r" drone +an[a-z]*"]), ("wave", [r" raid +[a-z]*e( |$)"])]
+
+
+def _sequential() -> str:
+    step, at = "SELECT item_id, trim(regexp_replace(lower(concat_ws(' ', title, text)), '\\s+', ' ', 'g')) AS v, CAST([] AS VARCHAR[]) AS a FROM items", 0
+    out = []
+    for name, patterns in _CONCEPTS:
+        for p in patterns:
+            out.append(f"s{at} AS ({step})")
+            step = f"SELECT item_id, regexp_replace(v, '{p}', ' {name} ', 'g') AS v, CASE WHEN regexp_matches(v, '{p}') AND NOT list_contains(a, '{name}') THEN list_append(a, '{name}') ELSE a END AS a FROM s{at}"
+            at += 1
+    return f"WITH {V.ITEMS}, {', '.join(out)} SELECT item_id, array_to_string(list_sort(a), ',') AS anchors FROM ({step})"
+
+
+@query(_sequential())
 def canonicalize(spark, sf) -> DataFrame:
-    concepts = [(name, [rf"(?<![^\W_]){stem}\w*"]) for name, (_, stem) in P.LEXICON.items()]
-    found = canonicaliser(concepts)(F.concat_ws(" ", "title", "text"))
-    return V.items(spark, sf).select("item_id", joined(found["anchors"]).alias("anchors"))
+    found = canonicaliser(_CONCEPTS)(F.concat_ws(" ", "title", "text"))
+    return V.items(spark, sf).select("item_id", joined(F.array_sort(found["anchors"])).alias("anchors"))
 
 
 @query("SELECT max(try_cast(CASE WHEN event_id % 3 = 0 THEN 'soon' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS TIMESTAMP)) AS latest FROM events")
@@ -672,7 +712,7 @@ def latest_time(spark, sf) -> DataFrame:
     return table(spark, sf, "events").agg(F.max(T.parse_stamp(text)).alias("latest"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_custkey % 40 < 31 THEN o_custkey % 40 + 1 END AS days FROM orders WHERE o_orderkey % 7 = 0")
+@query("SELECT o_orderkey, CASE WHEN o_custkey % 40 < 31 THEN o_custkey % 40 + 1 END AS days FROM orders")
 def period_days(spark, sf) -> DataFrame:
     first = F.to_date("o_orderdate")
     name = F.concat(first.cast("string"), F.lit("_"), F.date_add(first, (F.col("o_custkey") % 40).cast("int")).cast("string"), F.lit(".md"))
@@ -695,9 +735,10 @@ def article_fields(spark, sf) -> DataFrame:
     return W.article_fields(table(spark, sf, "pages")).select("page_id", "title", F.sha2("text", 256).alias("text_sha"), "published")
 
 
-@query()
+@query("SELECT page_id, link, 0 AS score, place FROM (SELECT page_id, link, row_number() OVER (PARTITION BY page_id ORDER BY link) AS place FROM (SELECT DISTINCT page_id, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || href AS link FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href=\"([^\"#]*)', 1)) AS href FROM pages) WHERE rtrim(href, '/') <> rtrim(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '/'))) WHERE place <= 12")
 def link_discovery(spark, sf) -> DataFrame:
-    return W.discover(table(spark, sf, "pages")).select("page_id", "link", "score", "place")
+    # every link counts here: the tables' pages have none that is likely to be an article
+    return W.discover(table(spark, sf, "pages"), least=0).select("page_id", "link", "score", "place")
 
 
 @query("SELECT page_id, regexp_replace(url, '[?#].*$', '') AS path FROM pages")
@@ -706,15 +747,29 @@ def decode_fixed_point(spark, sf) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", T.decoded(twice).alias("path"))
 
 
-@query(_items("SELECT section, count(*) AS n FROM (SELECT section, row_number() OVER (PARTITION BY section ORDER BY stamp DESC, length(text), item_id) AS place FROM (SELECT *, CASE WHEN list_contains(tags, 'map') THEN 'map' WHEN list_contains(tags, 'drones') THEN 'drones' WHEN list_contains(tags, 'logistics') THEN 'logistics' WHEN list_contains(tags, 'relief') THEN 'relief' WHEN grp = 'osint' THEN 'map' WHEN grp IN ('official-a', 'official-b') THEN 'official' ELSE 'other' END AS section FROM items WHERE local_day = DATE '2024-01-06')) WHERE place <= 8 GROUP BY 1"))
+@query(_items("SELECT section, count(*) AS n FROM (SELECT section, row_number() OVER (PARTITION BY section ORDER BY stamp DESC, length(text), item_id) AS place FROM (SELECT *, CASE WHEN list_contains(tags, 'map') THEN 'map' WHEN list_contains(tags, 'drones') THEN 'drones' WHEN list_contains(tags, 'logistics') THEN 'logistics' WHEN list_contains(tags, 'relief') THEN 'relief' WHEN grp = 'osint' THEN 'map' WHEN grp IN ('official-ua', 'official-ru') THEN 'official' ELSE 'other' END AS section FROM items WHERE local_day = DATE '2024-01-06')) WHERE place <= 8 GROUP BY 1"))
 def digest_sections(spark, sf) -> DataFrame:
     day = S.local_day(V.items(spark, sf), DAY, P.ZONE).withColumn("section", _section())
     return R.digest_lines(day).groupBy("section").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(_reg(f"""SELECT section, key, n FROM (
+ SELECT 'run' AS section, k AS key, CAST(v AS BIGINT) AS n FROM (SELECT unnest(['attempted', 'succeeded', 'skipped', 'errors', 'added']) AS k, unnest([attempted, succeeded, skipped, errors, added]) AS v FROM ({_ROLL}))
+ UNION ALL SELECT 'registry', 'configured_total', count(*) FROM registry WHERE enabled UNION ALL SELECT 'registry', 'orphaned_state_sources', count(*) FROM state WHERE source NOT IN (SELECT source FROM registry WHERE enabled)
+ UNION ALL SELECT 'source_status_counts', t.st, count(x.source) FROM (VALUES ('ok'), ('error'), ('skipped_config'), ('skipped_cadence'), ('unknown')) t(st) LEFT JOIN (SELECT r.source, coalesce(s.status, 'unknown') AS st FROM registry r LEFT JOIN state s USING (source) WHERE r.enabled) x ON x.st = t.st GROUP BY 2
+ UNION ALL SELECT 'by_platform', platform || '.' || st, count(*) FROM (SELECT r.platform, unnest(['configured', coalesce(s.status, 'unknown')]) AS st FROM registry r LEFT JOIN state s USING (source) WHERE r.enabled) GROUP BY 2
+ UNION ALL SELECT 'by_group', grp || '.' || st, count(*) FROM (SELECT r.grp, unnest(['configured', coalesce(s.status, 'unknown')]) AS st FROM registry r LEFT JOIN state s USING (source) WHERE r.enabled) GROUP BY 2
+ UNION ALL SELECT 'degradation', k, v FROM (SELECT unnest(['source_errors', 'configuration_skips', 'unknown_sources']) AS k, unnest([source_errors, configuration_skips, unknown_sources]) AS v FROM ({_DEGRADED}))
+ UNION ALL SELECT 'withholding', t.k, count(i.item_id) FROM (VALUES ('recent', 'withheld_recent'), ('undated', 'withheld_undated')) t(k, st) LEFT JOIN (SELECT item_id, CASE WHEN published IS NULL THEN 'withheld_undated' WHEN epoch_us(TIMESTAMP '{P.NOW}') - epoch_us(published) < 24 * 3600000000 THEN 'withheld_recent' ELSE 'storable' END AS st FROM items) i ON i.st = t.st GROUP BY 2
+ UNION ALL SELECT 'freshness', 'latest_source_success_s', max(epoch_us(s.last_success)) // 1000000 FROM registry r JOIN state s USING (source) WHERE r.enabled
+ UNION ALL SELECT 'freshness', 'stale', CAST((epoch_us(TIMESTAMP '{P.NOW}') - epoch_us((SELECT max(checked) FROM state))) / 3.6e9 > 1.0 AS INT))""").replace("WITH ", f"WITH {V.ITEMS}, ", 1))
 def status_document(spark, sf) -> DataFrame:
-    return R.status_document(V.registry(spark, sf), V.source_state(spark, sf), P.NOW)
+    return R.status_tables(V.registry(spark, sf), V.source_state(spark, sf), V.items(spark, sf), now(), P.POLL_SECONDS)
+
+
+@query(_items("SELECT CASE WHEN grouping(source) = 0 THEN 'source' WHEN grouping(platform) = 0 THEN 'platform' WHEN grouping(grp) = 0 THEN 'grp' ELSE 'section' END AS dimension, coalesce(source, platform, grp, section) AS value, count(*) AS n FROM (SELECT *, CASE WHEN list_contains(tags, 'map') THEN 'map' WHEN list_contains(tags, 'drones') THEN 'drones' WHEN list_contains(tags, 'logistics') THEN 'logistics' WHEN list_contains(tags, 'relief') THEN 'relief' WHEN grp = 'osint' THEN 'map' WHEN grp IN ('official-ua', 'official-ru') THEN 'official' ELSE 'other' END AS section FROM items WHERE local_day BETWEEN DATE '2024-01-01' AND DATE '2024-01-07') GROUP BY GROUPING SETS ((source), (platform), (grp), (section)) UNION ALL SELECT 'local_day', CAST(CAST(d AS DATE) AS VARCHAR), count(i.item_id) FROM range(DATE '2024-01-01', DATE '2024-01-08', INTERVAL 1 DAY) t(d) LEFT JOIN items i ON i.local_day = CAST(d AS DATE) GROUP BY 2"))
+def weekly_report(spark, sf) -> DataFrame:
+    return R.weekly_counts(V.items(spark, sf), _section(), "2024-01-01", "2024-01-07")
 
 
 def flagship(spark, sf) -> DataFrame:

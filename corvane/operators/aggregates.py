@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvane.session import settled
+
 STATUSES = ["ok", "error", "skipped_config", "skipped_cadence", "unknown"]
 
 
@@ -50,15 +52,21 @@ def status_totals(registry: DataFrame, state: DataFrame) -> DataFrame:
     return names.join(n, "status", "left").select("status", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def run_status(attempted: Column, errors: Column, succeeded: Column, blocked: Column) -> Column:
-    """failed, blocked, partial, idle or ok, in that order."""
-    return F.when((errors > 0) & (succeeded == 0), "failed").when((blocked > 0) & (attempted == 0), "blocked").when((errors > 0) | (blocked > 0), "partial").when(attempted == 0, "idle").otherwise("ok")
+def run_status(attempted: Column, errors: Column, succeeded: Column, blocked: Column, selected_open: Column) -> Column:
+    """failed, blocked, partial, idle or ok, in that order. selected_open: selected sources that need no credential."""
+    return (F.when((attempted > 0) & (succeeded == 0), "failed").when((attempted == 0) & (blocked > 0) & (selected_open == 0), "blocked")
+            .when((errors > 0) | (blocked > 0), "partial").when(attempted == 0, "idle").otherwise("ok"))
 
 
-def run_rollup(state: DataFrame) -> DataFrame:
+def run_rollup(state: DataFrame, selected: DataFrame, withheld: DataFrame | None = None, credential: str = "x") -> DataFrame:
+    """One row: counts and status of a run over the selected sources (platform); withheld: items' states, where known."""
     s = F.col("status")
     r = state.agg(F.count(F.lit(1)).alias("configured"), F.count_if(s.isin("ok", "error")).alias("attempted"), F.count_if(s == "ok").alias("succeeded"), F.count_if(s.startswith("skipped")).alias("skipped"), F.count_if(s == "skipped_config").alias("blocked"), F.count_if(s == "error").alias("errors"), F.sum("added").alias("added"), F.sum("fetched").alias("fetched"))
-    return r.withColumn("run_status", run_status(F.col("attempted"), F.col("errors"), F.col("succeeded"), F.col("blocked")))
+    r = r.crossJoin(selected.agg(F.count_if(F.coalesce(F.col("platform"), F.lit("")) != credential).alias("selected_open")))  # one row each
+    if withheld is not None:
+        states = F.col("state")
+        r = r.crossJoin(withheld.agg(F.count_if(states == "withheld_recent").alias("withheld_recent"), F.count_if(states == "withheld_undated").alias("withheld_undated")))
+    return r.withColumn("run_status", run_status(F.col("attempted"), F.col("errors"), F.col("succeeded"), F.col("blocked"), F.col("selected_open"))).drop("selected_open")
 
 
 def health(registry: DataFrame, state: DataFrame, now: Column, threshold_hours: float) -> DataFrame:
@@ -71,9 +79,28 @@ def health(registry: DataFrame, state: DataFrame, now: Column, threshold_hours:
     return j.select("source", kind.alias("classification"))
 
 
+def degradation(registry: DataFrame, state: DataFrame) -> DataFrame:
+    """One row: enabled sources with an error, without their configuration, and without a state."""
+    j = registry.where("enabled").join(state.select("source", "status"), "source", "left")
+    return j.agg(F.count_if(F.col("status") == "error").alias("source_errors"), F.count_if(F.col("status") == "skipped_config").alias("configuration_skips"), F.count_if(F.col("status").isNull()).alias("unknown_sources"))
+
+
+def placed(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """rows with their place (from 1) in an order: ranges are sorted each, and numbered on from those before them."""
+    ranged = settled(rows.repartitionByRange(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_part", F.spark_partition_id()), "placed")
+    n = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = n.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")  # a row per range
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return ranged.join(F.broadcast(before), "_part").withColumn("place", F.col("_before") + within).drop("_part", "_before")
+
+
 def health_result(run: DataFrame, now: Column, stale_hours: float) -> DataFrame:
-    """healthy, and sorted reasons; withheld counts and waiting aren't failures."""
-    stale = (F.unix_micros(now) - F.unix_micros("last_run")) / 3.6e9 > stale_hours
+    """healthy, and sorted reasons, of rows (run_status, last_run, source_errors, configuration_skips, unknown_sources).
+
+    Only the run's status and its age decide whether it is healthy; degraded sources are reasons without being failures.
+    A run that never was is stale."""
+    stale = F.coalesce((F.unix_micros(now) - F.unix_micros("last_run")) / 3.6e9 > stale_hours, F.lit(True))
     bad = ~F.col("run_status").isin("ok", "idle")
-    reasons = F.array_sort(F.array_compact(F.array(F.when(bad, F.concat(F.lit("run_"), "run_status")), F.when(stale, F.lit("state_stale")), F.when(F.col("last_run").isNull(), F.lit("never_ran")))))
-    return run.select("*", (~bad & F.coalesce(~stale, F.lit(False))).alias("healthy"), F.array_join(reasons, ",").alias("reasons"))
+    some = [F.when(F.col(c) > 0, F.lit(c)) for c in ("source_errors", "configuration_skips", "unknown_sources")]
+    reasons = F.array_sort(F.array_compact(F.array(F.when(bad, F.concat(F.lit("run_"), "run_status")), F.when(stale, F.lit("state_stale")), *some)))
+    return run.select("*", (~bad & ~stale).alias("healthy"), F.array_join(reasons, ",").alias("reasons"))

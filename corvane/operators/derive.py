@@ -57,16 +57,52 @@ def public_projection(items: DataFrame, chars: int, media: int) -> DataFrame:
     return items.withColumns({"original_chars": n, "truncated": n > chars, "media_count": F.size("media"), "excerpt": F.substring("text", 1, chars), "kept_media": F.slice(safe_media(F.col("media")), 1, media), "html": F.lit("")})
 
 
+def redacted_url(url: Column, platform: Column) -> Column:
+    """Scheme and host, and the path on message platforms only; nothing of other schemes."""
+    path = F.when(platform.isin("telegram", "x"), F.coalesce(F.nullif(F.regexp_extract(url, r"^[a-zA-Z]+://[^/?#]*(/[^?#]*)", 1), F.lit("")), F.lit("/"))).otherwise("/")
+    origin = F.concat(F.regexp_extract(url, r"^([a-zA-Z]+://)", 1), F.regexp_extract(T.scrubbed(url), r"^[a-zA-Z]+://([^/?#]*)", 1))
+    return F.when(url.rlike(r"^https?://[^/?#]"), F.concat(origin, path)).otherwise("")
+
+
+def redacted_id(items: DataFrame) -> Column:
+    """An id of where a publication was, not of what it said."""
+    where = F.when(F.col("url").rlike(r"^https?://[^/?#]"), T.scrubbed(F.col("url"))).otherwise("")
+    return T.sha_id(F.col("source"), F.col("platform"), where, F.date_format("published", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+
+
 def redact(items: DataFrame, tags: list[str]) -> DataFrame:
     """Tagged items keep an address (its path only on message platforms) and an id that doesn't depend on their text."""
     hide = F.coalesce(F.arrays_overlap("tags", F.array(*[F.lit(t) for t in tags])), F.lit(False))
-    origin = F.regexp_extract("url", r"^([a-zA-Z]+://)", 1)
-    host = F.regexp_extract(T.scrubbed(F.col("url")), r"^[a-zA-Z]+://([^/?#]*)", 1)
-    short = F.when(F.col("platform").isin("telegram", "x"), T.scrubbed(F.col("url"))).otherwise(F.concat(origin, host, F.lit("/")))
     blank = lambda c: F.when(hide, F.lit("")).otherwise(F.col(c)).alias(c)
-    url = F.when(hide, short).otherwise(F.col("url"))
-    rid = T.sha_id(F.col("source"), short, F.date_format("published", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    return items.select("item_id", F.when(hide, rid).otherwise(stable_id(items)).alias("public_id"), url.alias("url"), blank("title"), blank("text"), F.when(hide, F.array().cast("array<string>")).otherwise(F.col("media")).alias("media"), hide.alias("redacted"))
+    url = F.when(hide, redacted_url(F.col("url"), F.col("platform"))).otherwise(F.col("url"))
+    return items.select("item_id", F.when(hide, redacted_id(items)).otherwise(stable_id(items)).alias("public_id"), url.alias("url"), blank("title"), blank("text"), F.when(hide, F.array().cast("array<string>")).otherwise(F.col("media")).alias("media"), hide.alias("redacted"))
+
+
+def classified(items: DataFrame, context: str) -> DataFrame:
+    """Items with the tags that their title, text, address and media give away merged into their own."""
+    return items.withColumn("tags", merge_tags(F.coalesce("tags", F.array().cast("array<string>")), sensitive_tags(material(items), context)))
+
+
+def archive_projection(items: DataFrame, redact_tags: list[str], context: str, chars: int = 1200, media: int = 8) -> DataFrame:
+    """The only form in which an item enters the public archive: detected tags merged, text and media bounded, what was
+    cut on record, and all content of redacted items gone. raw_policy names the form that a row has."""
+    c = classified(items, context)
+    hide = F.coalesce(F.arrays_overlap("tags", F.array(*[F.lit(t) for t in redact_tags])), F.lit(False))
+    safe = safe_media(F.slice(F.coalesce("media", F.array().cast("array<string>")), 1, media))
+    text = F.coalesce("text", F.lit(""))
+    new = {
+        "redacted": hide, "raw_policy": F.when(hide, "public_redacted_v1").otherwise("public_excerpt_v1"), "public_id": F.when(hide, redacted_id(c)).otherwise(stable_id(c)),
+        "content_sha256": F.when(~hide, F.sha2(text.cast("binary"), 256)), "original_text_chars": F.when(~hide, F.char_length(text)), "text_truncated": F.when(~hide, F.char_length(text) > chars),
+        "media_count": F.when(~hide, F.coalesce(F.size("media"), F.lit(0))), "excerpt": F.when(hide, "").otherwise(F.substring(text, 1, chars)), "kept_media": F.when(hide, F.array().cast("array<string>")).otherwise(safe),
+        "public_url": F.when(hide, redacted_url(F.col("url"), F.col("platform"))).otherwise(F.col("url")), "public_title": F.when(hide, "").otherwise(F.coalesce("title", F.lit(""))),
+    }
+    out = c.withColumns(new).withColumns({"text": F.col("excerpt"), "media": F.col("kept_media"), "url": F.col("public_url"), "title": F.col("public_title")})
+    out = out.drop("excerpt", "kept_media", "public_url", "public_title")
+    if "author" in items.columns:
+        out = out.withColumn("author", F.when(F.col("redacted"), F.lit("")).otherwise(F.col("author")))
+    if "html" in items.columns:
+        out = out.withColumn("html", F.lit(""))
+    return out
 
 
 def section(tags: Column, group: Column, order: list[str], by_group: dict[str, str]) -> Column:
@@ -83,28 +119,28 @@ def publication_mode(collected: Column, published: Column, redacted: Column, sen
     return F.when(age < need, "delayed").when(redacted, "redacted").otherwise("full")
 
 
-ERRORS = [
-    (("Timeout", "ReadTimeout", "ConnectTimeout"), None, "timeout"),
-    (("TooManyRedirects",), None, "redirect_error"),
-    (("SSLError",), None, "tls_error"),
-    (("ConnectionError",), None, "connection_error"),
-    (("JSONDecodeError",), None, "invalid_json"),
-    (("gaierror",), None, "dns_error"),
-    (("CollectionError",), "unsafe", "unsafe_destination"),
-    (("CollectionError",), "redirect", "cross_host_redirect"),
-    (("CollectionError",), "missing", "missing_configuration"),
-]
+# The public codes of errors. A kind of exception has one code; a collection error's follows from its message.
+ERROR_KINDS = {
+    "Timeout": "timeout", "ReadTimeout": "timeout", "ConnectTimeout": "timeout", "TooManyRedirects": "redirect_error", "SSLError": "tls_error",
+    "ConnectionError": "connection_error", "ProxyError": "connection_error", "JSONDecodeError": "invalid_json",
+}
+ERROR_MESSAGES = {
+    "dns lookup": "dns_error", "private destination": "unsafe_destination", "unsafe url": "unsafe_destination", "cross-host redirect": "cross_host_redirect",
+    "too many redirects": "redirect_error", "not configured": "missing_configuration",
+}
 
 
-def error_category(kind: Column, message: Column) -> Column:
-    """`Type: code`, without anything of the message but a status number."""
-    code = F.regexp_extract(message, r"\b([1-5]\d\d)\b", 1)
-    out = F.when((kind == "HTTPError") & (code != ""), F.concat(F.lit("http_"), code)).when(kind == "HTTPError", "http_error")
-    out = out.when((kind == "CollectionError") & message.contains("X API") & (code != ""), F.concat(F.lit("x_api_http_"), code)).when((kind == "CollectionError") & message.contains("X API"), "x_api_error")
-    for kinds, needle, name in ERRORS:
-        cond = kind.isin(*kinds)
-        out = out.when(cond & F.contains(F.lower(message), F.lit(needle)) if needle else cond, name)
-    return F.concat(kind, F.lit(": "), out.when(kind == "CollectionError", "collection_error").otherwise("unexpected_error"))
+def error_category(kind: Column, message: Column, status: Column | None = None) -> Column:
+    """`Type: code`, without anything of the message but a status number. status: of the response, where there is one;
+    without the argument, the status is the first number of three digits in the message."""
+    code = status.cast("string") if status is not None else F.nullif(F.regexp_extract(message, r"\b([1-5]\d\d)\b", 1), F.lit(""))
+    said = F.lower(message)
+    api = F.regexp_extract(said, r"^x api (\d{3})", 1)
+    known = F.when(said.startswith("x api "), F.when(api != "", F.concat(F.lit("x_api_http_"), api)).otherwise("x_api_error"))
+    for needle, name in ERROR_MESSAGES.items():
+        known = known.when(said.contains(needle), name)
+    out = F.when(kind == "HTTPError", F.coalesce(F.concat(F.lit("http_"), code), F.lit("http_error"))).when(kind == "CollectionError", F.coalesce(known.otherwise("collection_error"), F.lit("collection_error")))
+    return F.concat(kind, F.lit(": "), out.otherwise(lookup(ERROR_KINDS, kind, "unexpected_error")))
 
 
 @F.pandas_udf(StringType())
@@ -120,10 +156,6 @@ def virtual_sources(spark, queries: list[str]) -> DataFrame:
     return q.where(F.trim("query") != "").select(F.concat(F.lit("discovery-"), (F.col("i") + 1).cast("string")).alias("source"), "query", F.lit("x").alias("platform"))
 
 
-def media_tags(tags: Column) -> Column:
-    return F.array_contains(tags, "map")
-
-
 def make_item(found: DataFrame, registry: DataFrame) -> DataFrame:
     """Found posts as items: clean texts, media once each in order, and the source's attributes with their defaults."""
     r = registry.select("source", F.col("grp").alias("r_grp"), F.col("perspective").alias("r_perspective"))

@@ -90,6 +90,11 @@ def publisher_allowed(url: Column, domains: Column) -> Column:
     return url.startswith("https://") & ~url.rlike("^https://[^/?#]*@") & F.exists(domains, lambda d: (h == d) | h.endswith(F.concat(F.lit("."), d)))
 
 
+def lacks_credential(platform: Column, needs: list[str], configured: list[str]) -> Column:
+    """Whether a source's platform asks for a credential that isn't configured."""
+    return platform.isin(*[p for p in needs if p not in configured]) if set(needs) - set(configured) else F.lit(False)
+
+
 def artifact_allowed(path: Column) -> Column:
     """Paths of an artifact: relative, within the payload roots, of the expected kinds."""
     return path.rlike(r"^(data/(raw|errors)/\d{4}-\d{2}-\d{2}\.ndjson|data/state\.json|reports/(daily|weekly)/[0-9_-]+\.md)$") & ~F.contains(path, F.lit(".."))

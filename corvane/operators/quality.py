@@ -13,6 +13,9 @@ from corvane.functions import text as T
 
 PLATFORMS, TRUST = ("telegram", "x", "rss", "web"), ("primary", "high", "medium", "low", "unknown")
 STATUSES = ("ok", "error", "skipped_config", "skipped_cadence")
+#: The platform that the end of a source's id promises.
+SUFFIXES = {"-tg": "telegram", "-x": "x", "-rss": "rss", "-web": "web"}
+SAFE_ERROR = r"^[A-Za-z_][A-Za-z0-9_.]*: [a-z0-9_]+$"
 
 
 def check(rows: DataFrame, scope: str, key: str, rules: dict[str, Column]) -> DataFrame:
@@ -26,13 +29,49 @@ def repeated(rows: DataFrame, scope: str, key: str) -> DataFrame:
     return n.select(F.lit(scope).alias("scope"), F.col(key).cast("string").alias("key"), F.lit("repeated").alias("rule"))
 
 
-def registry(rows: DataFrame) -> DataFrame:
-    return check(rows, "registry", "source", {"empty_id": F.coalesce(F.col("source"), F.lit("")) == "", "platform": ~F.col("platform").isin(*PLATFORMS), "priority": ~F.col("priority").between(0, 100), "url": ~(T.public_url(F.col("url")) & F.col("url").startswith("https://")), "enabled": F.col("enabled").isNull(), "cadence": F.col("cadence") < 1})
-
-
-def state(rows: DataFrame, known: DataFrame) -> DataFrame:
+def registry(rows: DataFrame, perspectives: list[str] | None = None, minimums: dict[str, int] | None = None, mentioned: list[str] | None = None) -> DataFrame:
+    """Rules of single sources, repeated ids, groups below their minimum, and ids that settings mention but nobody has."""
+    have, id_ = set(rows.columns), F.col("source")
+    more = {f"suffix{end}": id_.endswith(end) & (F.col("platform") != p) for end, p in SUFFIXES.items()}
+    if "trust" in have:
+        more["trust"] = ~F.coalesce(F.col("trust").isin(*TRUST), F.lit(False))
+    if perspectives:
+        more["perspective"] = ~F.coalesce(F.col("perspective").isin(*perspectives), F.lit(False))
+    out = [_sources(rows, more), repeated(rows, "registry", "source")]
+    if minimums:
+        least = rows.sparkSession.createDataFrame(list(minimums.items()), "grp string, least int")
+        n = rows.where("enabled").groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+        short = least.join(n, "grp", "left").where(F.coalesce("n", F.lit(0)) < F.col("least"))
+        out.append(short.select(F.lit("registry").alias("scope"), F.col("grp").alias("key"), F.lit("group_minimum").alias("rule")))
+    if mentioned:
+        asked = rows.sparkSession.createDataFrame([(m,) for m in mentioned], "source string").join(rows, "source", "left_anti")
+        out.append(asked.select(F.lit("settings").alias("scope"), F.col("source").alias("key"), F.lit("unknown_source").alias("rule")))
+    return violations(*out)
+
+
+def _sources(rows: DataFrame, more: dict[str, Column]) -> DataFrame:
+    return check(rows, "registry", "source", more | {"empty_id": F.coalesce(F.col("source"), F.lit("")) == "", "platform": ~F.col("platform").isin(*PLATFORMS), "priority": ~F.col("priority").between(0, 100), "url": ~(T.public_url(F.col("url")) & F.col("url").startswith("https://")), "enabled": F.col("enabled").isNull(), "cadence": F.col("cadence") < 1})
+
+
+def state(rows: DataFrame, known: DataFrame, last_run: Column | None = None) -> DataFrame:
+    """Rules of the state of sources; last_run: nothing may have been checked after it."""
     s = rows.join(known.select(F.col("source").alias("known")).distinct(), F.col("source") == F.col("known"), "left")
-    return check(s, "state", "source", {"status": ~F.col("status").isin(*STATUSES), "negative": (F.col("added") < 0) | (F.col("fetched") < 0), "order": F.col("last_success") > F.col("checked"), "unknown_source": F.col("known").isNull()})
+    rules = {"status": ~F.coalesce(F.col("status").isin(*STATUSES), F.lit(False)), "negative": (F.col("added") < 0) | (F.col("fetched") < 0), "order": F.col("last_success") > F.col("checked"), "unknown_source": F.col("known").isNull()}
+    if last_run is not None:
+        rules |= {"checked_after_run": F.col("checked") > last_run, "success_after_run": F.col("last_success") > last_run}
+    if "next_due" in rows.columns:
+        rules["next_due"] = (F.col("status") == "skipped_cadence") & F.col("next_due").isNull()
+    if "error" in rows.columns:
+        rules["error"] = (F.col("status") == "error") & ~F.coalesce(F.col("error").rlike(SAFE_ERROR), F.lit(False))
+    return check(s, "state", "source", rules)
+
+
+def run_state(run: DataFrame) -> DataFrame:
+    """Rules of the run's own row (status, last_run, last_clean, since)."""
+    clean = F.col("status").isin("ok", "idle")
+    return check(run.withColumn("k", F.lit("run")), "state", "k", {
+        "status": ~F.coalesce(F.col("status").isin("ok", "idle", "partial", "blocked", "failed"), F.lit(False)), "clean_without_run": F.col("last_clean").isNotNull() & F.col("last_run").isNull(),
+        "clean_after_run": F.col("last_clean") > F.col("last_run"), "since_after_run": F.col("since") > F.col("last_run"), "clean_not_set": clean & F.col("last_run").isNotNull() & ~F.col("last_clean").eqNullSafe(F.col("last_run"))})
 
 
 def archive(items: DataFrame, known: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import text as T
 from corvane.plans import policy as P
+from corvane.session import drop, settled
 
 
 def stems(*groups: str) -> list[str]:
@@ -44,7 +45,7 @@ def only(arr: Column, values: list[str]) -> Column:
 
 def tokens(text: Column) -> Column:
     """Distinct words of four letters or more, without stop words."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(r"([a-z0-9][a-z0-9'-]{2,})"), F.lit(1))
+    found = F.regexp_extract_all(F.lower(text), F.lit(P.TOKEN), F.lit(1))
     return F.array_except(F.filter(F.array_distinct(found), lambda t: F.char_length(t) >= 4), F.array(*[F.lit(w) for w in P.STOPWORDS]))
 
 
@@ -59,7 +60,7 @@ def canonical(text: Column, lexicon: dict = P.LEXICON) -> Column:
 def relevance(text: Column, found: Column, anchor: Column, group: Column, redacted: Column) -> Column:
     """The first gate, for recall."""
     context, action, support = has(anchor, P.names("context", "location")), has(anchor, [*P.names("action", "equipment")]), has(anchor, P.names("support"))
-    return (F.when(redacted, "redacted").when(text == "", "irrelevant").when((group == "official-a") & (action | support), "relevant").when(context & (action | support), "relevant")
+    return (F.when(redacted, "redacted").when(text == "", "irrelevant").when((group == "official-ua") & (action | support), "relevant").when(context & (action | support), "relevant")
             .when(context & hit(found, P.POLITICAL), "peripheral").otherwise("irrelevant"))
 
 
@@ -70,18 +71,18 @@ def topic(found: Column, anchor: Column) -> Column:
 
 
 def editorial_topic(first: Column, anchor: Column) -> Column:
-    """Mentions of harm decide, then whether there was a strike."""
-    return F.when(has(anchor, ["casualties"]), F.when(has(anchor, ["strike"]), "strikes").otherwise("civilian-harm")).otherwise(first)
+    """Mentions of harm decide, then whether there was a strike (drones count as one)."""
+    return F.when(has(anchor, ["casualties"]), F.when(has(anchor, P.STRIKES), "strikes").otherwise("civilian-harm")).otherwise(first)
 
 
 def strict(found: Column, anchor: Column, group: Column, topic_: Column, located: Column) -> Column:
     """The second gate, for precision: a rule for each topic, and a veto for memorial texts."""
     a = lambda *n: has(anchor, list(n))
     current = a("homeland")
-    ctx = located | current | (group == "official-a")
-    rule = (F.when(topic_ == "civilian-harm", a("casualties") & ctx & (located | current | a("strike"))).when(topic_ == "strikes", ctx & a("strike", "drone")).when(topic_ == "air-defence", ctx & a("air-defence"))
+    ctx = located | current | (group == "official-ua")
+    rule = (F.when(topic_ == "civilian-harm", a("casualties") & ctx & (located | current | a(*P.STRIKES))).when(topic_ == "strikes", ctx & a(*P.STRIKES)).when(topic_ == "air-defence", ctx & a("air-defence"))
             .when(topic_ == "frontline", ctx & a("frontline")).when(topic_ == "energy", ctx & a("refinery", "railway")).when(topic_ == "naval", ctx & a("naval"))
-            .when(topic_ == "support", a("sanctions", "aid") & (current | group.isin("official-a", "press", "analysts"))).when(topic_ == "investigations", group.isin("osint", "analysts") & (ctx | a("strike", "frontline"))).otherwise(F.lit(False)))
+            .when(topic_ == "support", a("sanctions", "aid") & (current | group.isin("official-ua", "international-media", "analysts"))).when(topic_ == "investigations", group.isin("osint", "analysts") & (ctx | a(*P.STRIKES, "frontline"))).otherwise(F.lit(False)))
     return rule & ~hit(found, P.MEMORIAL)
 
 
@@ -106,7 +107,7 @@ def prepared(items: DataFrame) -> DataFrame:
     p = p.withColumn("strict", strict(found, F.col("anchors"), F.col("grp"), F.col("topic"), located))
     p = p.withColumn("semantic", signature(F.col("anchors"), F.col("topic"), located, F.col("family")))
     p = p.withColumn("tokens", F.when(in_cluster(), tokens(canonical(F.col("body"))))).drop("body", "found")
-    return p.persist()  # what is left of an item is small, and every score reads it
+    return p
 
 
 def in_cluster() -> Column:
@@ -152,14 +153,16 @@ def pulse(acc: DataFrame) -> DataFrame:
 
 def clusters(prep: DataFrame) -> DataFrame:
     """One row per cluster of a local day, with its scores and predicates."""
-    acc = accepted(prep)
-    place = Window.partitionBy(*KEY).orderBy("item_id")
-    early = acc.withColumn("place", F.row_number().over(place))
-    body = early.groupBy(*KEY).agg(
-        F.count(F.lit(1)).alias("items"), F.min("item_id").alias("first_pos"), F.count_distinct("family").alias("families"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("anchors")))).alias("anchor_union"),
-        F.bool_or((F.col("place") <= 20) & F.col("major")).alias("major"), F.bool_or("material").alias("material"), F.avg(F.col("alert").cast("double")).alias("alerts"))
+    acc = settled(accepted(prep).drop("relevance", "first_topic", "strict", "redacted"), "accepted")  # small columns of the items that are in clusters; four aggregations read it
+    body = acc.groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("items"), F.min("item_id").alias("first_pos"), F.count_distinct("family").alias("families"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("anchors")))).alias("anchor_union"),
+        F.bool_or("material").alias("material"), F.avg(F.col("alert").cast("double")).alias("alerts"))
+    place = F.row_number().over(Window.partitionBy(*KEY).orderBy("item_id"))
+    early = acc.select(*KEY, "item_id", "major").withColumn("place", place).where(F.col("place") <= 20)  # cut on the map side, too
+    major = early.groupBy(*KEY).agg(F.bool_or("major").alias("major"))
     on = lambda d: [F.col(f"c.{k}") == F.col(f"d.{k}") for k in KEY]
     c = body.alias("c").join(evidence(family_best(acc)).alias("d"), on("d")).select("c.*", "d.evidence")
+    c = c.alias("c").join(major.alias("d"), on("d")).select("c.*", "d.major")
     c = c.alias("c").join(pulse(acc).alias("d"), on("d"), "left").select("c.*", F.coalesce("d.pulse", F.lit(0.0)).alias("pulse"))
     words = acc.select(*KEY, F.explode("tokens").alias("token")).distinct().groupBy(*KEY).agg(F.collect_list("token").alias("token_union"))
     c = c.alias("c").join(words.alias("d"), on("d"), "left").select("c.*", F.coalesce("d.token_union", F.array().cast("array<string>")).alias("token_union"))
@@ -171,7 +174,9 @@ def clusters(prep: DataFrame) -> DataFrame:
         "importance": F.least(F.lit(10.0), imp), "routine": t.isin("strikes", "air-defence") & ~F.col("material") & (F.col("alerts") >= 0.5) & (F.col("families") <= 3), "broad": n >= F.when(t == "civilian-harm", 2).otherwise(3),
         "weak": (n == 0) & ~t.isin("support", "investigations"), "thin": F.when(t.isin("frontline", "air-defence", "naval", "support"), F.col("evidence") < 3.0).when(t == "energy", F.col("evidence") < 1.5).otherwise(F.lit(False)),
         "cluster_id": F.concat_ws("|", F.col("local_day").cast("string"), t, F.array_join("locations", ","), F.array_join("semantic", ","))})
-    return c.persist()  # a few hundred rows a day, read by history, rank and selection
+    out = settled(c, "clusters")  # a few hundred rows a day, read by history, rank and selection
+    drop(acc)
+    return out
 
 
 PAIRED = ["strikes", "civilian-harm", "air-defence", "energy"]
@@ -181,15 +186,17 @@ def temporal(c: DataFrame, days: int = 7) -> DataFrame:
     """cluster_id, change, novelty, baseline, matched_days.
 
     Two clusters match exactly if their topics are compatible and they share a place (a pair without one can't reach the
-    threshold of the score), so history is an equi-join on places; the score only picks the best match of a day.
+    threshold of the score), so history is an equi-join on place and day, each cluster asking for the days before its
+    own; the score only picks the best match of a day. Pairs are ids alone until they are distinct.
     """
-    now = c.select("cluster_id", "local_day", "topic", "anchor_union", "pulse", F.explode("locations").alias("place"))
-    old = c.select(F.col("cluster_id").alias("h_id"), F.col("local_day").alias("h_day"), F.col("topic").alias("h_topic"), F.col("anchor_union").alias("h_anchors"), F.col("pulse").alias("h_pulse"), F.col("first_pos").alias("h_pos"), F.explode("locations").alias("h_place"))
-    ago = F.date_diff("local_day", "h_day")
+    ago = F.sequence(F.date_sub("local_day", days), F.date_sub("local_day", 1))
+    now = c.select("cluster_id", "topic", F.explode("locations").alias("place"), ago.alias("ago")).select("cluster_id", "topic", "place", F.explode("ago").alias("day"))
+    old = c.select(F.col("cluster_id").alias("h_id"), F.col("topic").alias("h_topic"), F.explode("locations").alias("place"), F.col("local_day").alias("day"))
     ok = (F.col("topic") == F.col("h_topic")) | (F.col("topic").isin(*PAIRED) & F.col("h_topic").isin(*PAIRED))
-    pairs = now.join(old, (F.col("place") == F.col("h_place")) & ago.between(1, days) & ok).drop("place", "h_place").dropDuplicates(["cluster_id", "h_id"])
-    words = c.select("cluster_id", "token_union")
-    pairs = pairs.join(words, "cluster_id").join(words.select(F.col("cluster_id").alias("h_id"), F.col("token_union").alias("h_tokens")), "h_id")
+    pairs = now.join(old, ["place", "day"]).where(ok).select("cluster_id", "h_id").distinct()
+    what = c.select("cluster_id", "anchor_union", "token_union")
+    past = c.select(F.col("cluster_id").alias("h_id"), F.col("local_day").alias("h_day"), F.col("anchor_union").alias("h_anchors"), F.col("token_union").alias("h_tokens"), F.col("pulse").alias("h_pulse"), F.col("first_pos").alias("h_pos"))
+    pairs = pairs.join(what, "cluster_id").join(past, "h_id")
     score = 0.55 + 0.30 * T.jaccard(F.col("anchor_union"), F.col("h_anchors")) + 0.15 * T.jaccard(F.col("token_union"), F.col("h_tokens"))
     best = pairs.groupBy("cluster_id", "h_day").agg(F.max_by("h_pulse", F.struct(F.round(score, 9), -F.col("h_pos"))).alias("day_pulse"))
     base = best.groupBy("cluster_id").agg(F.round(F.avg("day_pulse"), 9).alias("baseline"), F.count(F.lit(1)).alias("matched_days"))

@@ -49,24 +49,42 @@ def duplicate_keys(archive: DataFrame, key: str = "id") -> DataFrame:
     return archive.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def append_unique(spark: SparkSession, items: DataFrame, path: str, key: str = "id", day: str = "utc_day") -> int:
+#: A batch with no more new keys than this is sent to the archive's files, instead of shuffling the archive.
+FEW_KEYS = 1_000_000
+
+
+def append_unique(spark: SparkSession, items: DataFrame, path: str, key: str = "id", day: str = "utc_day", verify: bool = False) -> int:
     """Append items whose key the archive lacks, into day partitions; nothing is written if nothing is new. Returns how many.
 
-    Existing rows are never rewritten. A repeated or empty key in the archive, or an empty one in items, is an error.
+    Existing rows are never rewritten; of rows with one key the first stays. An empty key is an error; with verify, so is
+    a repeated or empty key in the archive, which takes a pass over all of it and belongs into a check of its own.
+    Of the archive only the keys are read, and matched against the batch's, which are broadcast where they are few.
     """
-    if items.where(F.coalesce(F.col(key), F.lit("")) == "").limit(1).count():
+    if items.where(F.coalesce(F.col(key).cast("string"), F.lit("")) == "").limit(1).count():
         raise ArchiveError("an item has no key")
-    new = items.dropDuplicates([key])
-    if existing(spark, [path]):
-        old = spark.read.parquet(path).select(key)
-        if old.where(F.coalesce(F.col(key), F.lit("")) == "").limit(1).count() or duplicate_keys(old, key).limit(1).count():
-            raise ArchiveError("the archive holds an empty or repeated key")
-        new = new.join(old, key, "left_anti")
-    new = new.persist()
-    n = new.count()
-    if n:
-        new.write.mode("append").partitionBy(day).parquet(path)
-    new.unpersist()
+    first = items.withColumn("_at", F.monotonically_increasing_id()).groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*items.columns), "_at").alias("_row"))
+    new = first.select("_row.*").persist()
+    try:
+        if existing(spark, [path]):
+            old = spark.read.parquet(path).select(F.col(key).alias("_old"))
+            if verify and (old.where(F.coalesce(F.col("_old").cast("string"), F.lit("")) == "").limit(1).count() or duplicate_keys(old, "_old").limit(1).count()):
+                raise ArchiveError("the archive holds an empty or repeated key")
+            keys = new.select(F.col(key).alias("_new"))
+            if keys.count() <= FEW_KEYS:
+                keys = F.broadcast(keys)
+            seen = old.join(keys, F.col("_old") == F.col("_new"), "left_semi").distinct()
+            fresh = new.join(seen, F.col(key) == F.col("_old"), "left_anti")
+        else:
+            fresh = new
+        fresh = fresh.persist()
+        try:
+            n = fresh.count()
+            if n:
+                fresh.write.mode("append").partitionBy(day).parquet(path)
+        finally:
+            fresh.unpersist()
+    finally:
+        new.unpersist()
     return n
 
 
@@ -108,8 +126,8 @@ def atomic_json(path: str, value) -> None:
 def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """path (relative), bytes and SHA-256 of every file below a root."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    base = root.rstrip("/").removeprefix("file://")
-    return files.select(F.regexp_replace("path", f"^.*{base}/", "").alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("digest"))
+    base = root.rstrip("/").removeprefix("file://") + "/"
+    return files.select(F.substring_index("path", base, -1).alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("digest"))
 
 
 def manifest(files: DataFrame) -> DataFrame:

@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from corvane.functions import text as T
 from corvane.sources import pages
 
-ITEM = "source string, platform string, seq long, post_id string, url string, published string, title string, text string, media array<string>, author string, more string"
+ITEM = "source string, platform string, seq long, post_id string, url string, published string, title string, text string, media array<string>, author string, more string, error string"
 
 
 def _stamp(value: str | None) -> str | None:
@@ -34,7 +35,9 @@ def _stamp(value: str | None) -> str | None:
 
 
 def rss(payload: str) -> Iterator[dict]:
-    """RSS items and Atom entries; the longer of summary and content is the text."""
+    """RSS items and Atom entries; the longer of summary and content is the text. Documents with entities of their own are refused."""
+    if "<!DOCTYPE" in payload[:4096] or "<!ENTITY" in payload:
+        raise ValueError("a feed with a document type")
     root = ET.fromstring(payload)
     name = lambda e: e.tag.rsplit("}", 1)[-1]
     for entry in (e for e in root.iter() if name(e) in ("item", "entry")):
@@ -80,17 +83,22 @@ PARSERS: dict[str, Callable[[str], Iterator[dict]]] = {"rss": rss, "telegram": m
 
 
 def parse(payloads: DataFrame) -> DataFrame:
-    """Items of payloads (source, platform, seq, payload); an unknown platform is an error."""
+    """Items of payloads (source, platform, seq, payload). A payload that its parser can't read gives one row with an
+    error and no item; an unknown platform fails the query."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["source", "platform", "seq", "post_id", "url", "published", "title", "text", "media", "author", "more"]
-        kinds = [pa.string(), pa.string(), pa.int64()] + [pa.string()] * 5 + [pa.list_(pa.string()), pa.string(), pa.string()]
+        names = ["source", "platform", "seq", "post_id", "url", "published", "title", "text", "media", "author", "more", "error"]
+        kinds = [pa.string(), pa.string(), pa.int64()] + [pa.string()] * 5 + [pa.list_(pa.string()), pa.string(), pa.string(), pa.string()]
         for b in batches:
             rows = []
             for source, platform, seq, payload in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if platform not in PARSERS:
                     raise ValueError(f"no connector for platform {platform!r}")
-                for item in PARSERS[platform](payload or ""):
+                try:
+                    found = list(PARSERS[platform](payload or ""))
+                except (ET.ParseError, ValueError, KeyError, TypeError, AttributeError) as e:
+                    found = [{"error": f"{type(e).__name__}: invalid_payload"}]
+                for item in found:
                     rows.append((source, platform, seq, *(item.get(n, [] if n == "media" else None) for n in names[3:])))
             cols = zip(*rows, strict=True) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
@@ -99,16 +107,32 @@ def parse(payloads: DataFrame) -> DataFrame:
 
 
 def until_known(items: DataFrame, since: str, most_pages: int) -> DataFrame:
-    """Pages of a source in order, as far as a poller would have read them: up to the page cap, and no page after the
-    first that reaches ``since`` or brings no new post. Dated posts before ``since`` and repeated posts go."""
-    per_page = items.groupBy("source", "seq").agg(F.min("published").alias("oldest"), F.min("post_id").alias("least"))
-    w = Window.partitionBy("source").orderBy("seq")
-    stop = (F.coalesce(F.lag("oldest").over(w) < since, F.lit(False)) | F.coalesce(F.lag("least").over(w) == F.col("least"), F.lit(False))).cast("int")
-    kept = per_page.withColumn("stop", stop).withColumn("stopped", F.sum("stop").over(w)).withColumn("page", F.row_number().over(w)).where((F.col("stopped") == 0) & (F.col("page") <= most_pages)).select("source", "seq")
-    out = items.join(kept, ["source", "seq"], "left_semi").where(F.col("published").isNull() | (F.col("published") >= since))
+    """Posts of paged sources, as far as a poller would have read them: page after page, up to the cap, until one reaches
+    ``since``, brings no post that earlier pages lacked, or has no number below those before it. Numbers are compared as
+    numbers and times as times. Of a repeated post the first page's copy stays; dated posts before ``since`` go."""
+    when = T.parse_stamp(F.col("published"))
+    limit = T.parse_stamp(F.lit(since))
+    number = F.col("post_id").try_cast("long")
+    known = items.withColumn("first_seq", F.min("seq").over(Window.partitionBy("source", "post_id")))
+    own = F.when(F.col("first_seq") == F.col("seq"), number)
+    per_page = known.groupBy("source", "seq").agg(F.min(when).alias("oldest"), F.min(own).alias("least"))
+    w = Window.partitionBy("source").orderBy("seq")  # a row per page
+    last = F.coalesce(F.col("oldest") < limit, F.lit(False)) | F.col("least").isNull() | F.coalesce(F.col("least") >= F.lag("least").over(w), F.lit(False))
+    pages_ = per_page.withColumn("last", last.cast("int")).withColumn("stopped", F.coalesce(F.sum("last").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("page", F.row_number().over(w))
+    read = pages_.where((F.col("stopped") == 0) & (F.col("page") <= most_pages)).select("source", "seq")
+    out = known.where(F.col("first_seq") == F.col("seq")).drop("first_seq").join(read, ["source", "seq"], "left_semi").where(when.isNull() | (when >= limit))
     return out.dropDuplicates(["source", "post_id"])
 
 
+def by_token(items: DataFrame, most_pages: int) -> DataFrame:
+    """Posts of an API whose pages follow each other by token: up to the first page without one, and to the cap."""
+    pages_ = items.groupBy("source", "seq").agg(F.max("more").alias("more"))
+    w = Window.partitionBy("source").orderBy("seq")  # a row per page
+    ended = F.sum(F.when(F.coalesce(F.col("more"), F.lit("")) == "", 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    read = pages_.withColumn("ended", F.coalesce(ended, F.lit(0))).withColumn("page", F.row_number().over(w)).where((F.col("ended") == 0) & (F.col("page") <= most_pages)).select("source", "seq")
+    return items.join(read, ["source", "seq"], "left_semi").dropDuplicates(["source", "post_id"])
+
+
 class CapturedSource(DataSource):
     """format("captured"): payload files as (source, platform, seq, payload), a partition per file.
 

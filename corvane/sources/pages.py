@@ -23,7 +23,7 @@ STAMP = re.compile(r"\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d
 class _Reader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.links: list[tuple[str, str]] = []
+        self.links: list[tuple[str, str, bool, bool]] = []  # address, label, in a heading or an article, in main
         self.media: list[str] = []
         self.metas: list[tuple[str, str]] = []
         self.times: list[str] = []
@@ -39,7 +39,7 @@ class _Reader(HTMLParser):
             self.open.append(tag)
             self.hidden += tag in DROPPED
         if tag == "a" and a.get("href"):
-            self.links.append((a["href"], ""))
+            self.links.append((a["href"], "", not {"article", "h2", "h3"}.isdisjoint(self.open), "main" in self.open))
         elif tag == "img" and a.get("src") and not self.hidden:
             self.media.append(a["src"])
         elif tag == "meta":
@@ -70,8 +70,8 @@ class _Reader(HTMLParser):
         elif not self.hidden:
             self.text.append(data)
         if "a" in self.open and self.links:
-            href, t = self.links[-1]
-            self.links[-1] = (href, t + data)
+            href, t, *where = self.links[-1]
+            self.links[-1] = (href, t + data, *where)
 
 
 def read(html: str | None) -> _Reader:
@@ -120,30 +120,47 @@ def article_fields(pages: DataFrame) -> DataFrame:
 
 
 def links(pages: DataFrame) -> DataFrame:
-    """page_id, base, link (absolute, without fragment), label of every link."""
+    """page_id, base, link (absolute, without fragment), label, framed (in an article or a heading) of every link; of a
+    page with a main element, of those in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
             for page, url, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                for href, label in read(html.as_py()).links:
+                found = read(html.as_py()).links
+                in_main = [x for x in found if x[3]]
+                for href, label, framed, _ in in_main or found:
+                    if href.strip().startswith(("#", "mailto:", "javascript:")):
+                        continue
                     try:
                         link = urlsplit(urljoin(url or "", href.strip()))._replace(fragment="").geturl()
                     except ValueError:
                         continue
-                    out.append((page, url, link, " ".join(label.split())))
-            cols = zip(*out, strict=True) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.string()), strict=True)], ["page_id", "base", "link", "label"])
+                    out.append((page, url, link, " ".join(label.split()), framed))
+            cols = zip(*out, strict=True) if out else ((), (), (), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_()), strict=True)], ["page_id", "base", "link", "label", "framed"])
+
+    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, base string, link string, label string, framed boolean")
+
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, base string, link string, label string")
+# Paths that speak for an article, and those that speak against it.
+DATE_PATH = r"/(?:19|20)\d{2}/(?:0?[1-9]|1[0-2])(?:/|-)"
+HINT_PATH = r"(?i)/(news|novyny|article|analysis|posts?|press|blog|events?|content)/"
+BLOCKED_PATH = r"(?i)/(search|login|signin|tags?|topics?|authors?|categories?)(?:/|$)"
+BINARY_PATH = r"(?i)\.(?:jpg|jpeg|png|gif|webp|svg|pdf|zip)$"
 
 
 def discover(pages: DataFrame, limit: int = 12, least: int = 2) -> DataFrame:
-    """Likely articles on the same host, the best ``limit`` of each page by score, then address."""
-    host = lambda c: F.lower(F.try_parse_url(F.col(c), F.lit("HOST")))
-    path = F.coalesce(F.try_parse_url("link", F.lit("PATH")), F.lit(""))
-    found = links(pages).where(host("link") == host("base")).where("link <> base").where(~path.rlike(r"(?i)\.(pdf|jpe?g|png|gif|zip|mp[34]|css|js)$")).where(~path.rlike(r"(?i)/(tag|login|about|privacy|search)(/|$)"))
-    score = (F.when(path.rlike(r"/\d{4}/\d{1,2}"), 3).otherwise(0) + F.when(path.rlike(r"(?i)/(news|article|story|post)s?/"), 2).otherwise(0) + F.when(F.length(path) > 6, 1).otherwise(0) + F.when(F.char_length("label") >= 4, 1).otherwise(0) + F.when(path.rlike("-.*-"), 1).otherwise(0))
+    """Likely articles on the same host, the best ``limit`` of each page by score, then address.
+
+    A path with a hint counts 3, one with a date 3, a link in an article or a heading 2, a label of 24 characters 1.
+    """
+    part = lambda c, what: F.coalesce(F.try_parse_url(F.col(c), F.lit(what)), F.lit(""))
+    bare = lambda c: F.regexp_replace(part(c, "PATH"), "/+$", "")
+    path = part("link", "PATH")
+    found = links(pages).where(part("link", "PROTOCOL").isin("http", "https") & (F.lower(part("link", "HOST")) == F.lower(part("base", "HOST"))) & (bare("link") != bare("base")))
+    found = found.where(~path.rlike(BLOCKED_PATH) & ~path.rlike(BINARY_PATH))
+    score = F.when(path.rlike(HINT_PATH), 3).otherwise(0) + F.when(path.rlike(DATE_PATH), 3).otherwise(0) + F.when(F.col("framed"), 2).otherwise(0) + F.when(F.char_length("label") >= 24, 1).otherwise(0)
     best = found.groupBy("page_id", "link").agg(F.max(score).alias("score")).where(F.col("score") >= least)
     place = F.row_number().over(Window.partitionBy("page_id").orderBy(F.col("score").desc(), "link"))
     return best.withColumn("place", place).where(F.col("place") <= max(1, limit))

@@ -6,22 +6,29 @@ staging table and are released by a batch query once their delay is over.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corvane.operators import filters as S
+from corvane.session import drop, drop_folder, settled
 from corvane.sources.archive import append_unique, existing
 
 
-def ingest(stream: DataFrame, archive: str, staging: str, checkpoint: str, now: Column, delay: Column, key: str = "id", **trigger) -> StreamingQuery:
+def ingest(stream: DataFrame, archive: str, staging: str, checkpoint: str, now: Column, delay: Column, key: str = "id", boundary: Callable[[DataFrame], DataFrame] | None = None, **trigger) -> StreamingQuery:
     """Start a query that stores what may be stored and stages what must wait. Undated items wait for a date.
 
-    Storable items go to the archive's day partitions, others to staging; both by key, once.
+    Storable items go to the archive's day partitions, others to staging; both by key, once. boundary: the form in which
+    items are stored (derive.archive_projection with its policy); rows with a text aren't stored without one, and what
+    is staged has passed it, too. Its delay sees the tags that it found.
     """
+    if boundary is None and "text" in stream.columns:
+        raise ValueError("items with texts need a boundary")
 
     def batch(df: DataFrame, _: int) -> None:
-        state = df.withColumn("_state", S.embargo_state(F.col("published"), now, delay)).persist()
+        state = (boundary(df) if boundary else df).withColumn("_state", S.embargo_state(F.col("published"), now, delay)).persist()
         append_unique(df.sparkSession, state.where("_state = 'storable'").drop("_state"), archive, key)
         append_unique(df.sparkSession, state.where("_state <> 'storable'").drop("_state"), staging, key)
         state.unpersist()
@@ -30,11 +37,23 @@ def ingest(stream: DataFrame, archive: str, staging: str, checkpoint: str, now:
 
 
 def release(spark: SparkSession, archive: str, staging: str, now: Column, delay: Column, key: str = "id") -> int:
-    """Move staged items whose delay is over into the archive; again and again without repeats. Returns how many."""
+    """Move staged items whose delay is over into the archive; again and again without repeats. Returns how many.
+
+    Staging keeps what still waits, as a new generation of its day partitions; rows go only once the archive has them.
+    """
     if not existing(spark, [staging]):
         return 0
-    ready = spark.read.parquet(staging).where(S.embargo_state(F.col("published"), now, delay) == "storable")
-    return append_unique(spark, ready, archive, key)
+    state = spark.read.parquet(staging).withColumn("_state", S.embargo_state(F.col("published"), now, delay))
+    n = append_unique(spark, state.where("_state = 'storable'").drop("_state"), archive, key)
+    days = [r.utc_day for r in state.where("_state = 'storable'").select("utc_day").distinct().collect()]  # partitions, not rows
+    if days:
+        rest = settled(state.where(F.col("utc_day").isin(days) & (F.col("_state") != "storable")).drop("_state"), "staging")
+        rest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("utc_day").parquet(staging)
+        kept = {r.utc_day for r in rest.select("utc_day").distinct().collect()}
+        for d in set(days) - kept:
+            drop_folder(spark, f"{staging.rstrip('/')}/utc_day={d}")
+        drop(rest)
+    return n
 
 
 def last_clean(status: Column, completed: Column, previous: Column) -> Column:
