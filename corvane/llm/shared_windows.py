@@ -70,6 +70,8 @@ class Bytes:
     length: int = 50
     grams: tuple[int, int] = (16, 40)
     block: int = 1 << 19  # bytes that the solver takes at once
+    chunks: int = 1  # of CHUNK bytes in a chunk
+    places: int = 1  # of PART bytes for a place
 
     def stream(self, texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
         """Concatenated units, the number of units of each text, and unit codes."""
@@ -109,6 +111,8 @@ class Words:
     length: int = 13
     grams: tuple[int, int] = (8, 10)
     block: int = 1 << 22
+    chunks: int = 2
+    places: int = 4
 
     def stream(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         import zlib
@@ -249,7 +253,7 @@ def chunked(docs: DataFrame, units, parts: int) -> DataFrame:
                 texts.append(text)
                 more.append(m)
                 size += len(text)
-                if size >= CHUNK or len(ids) >= 50_000:
+                if size >= CHUNK * units.chunks or len(ids) >= 50_000:
                     yield flush()
                     ids, texts, more, size = [], [], [], 0
                     number += 1
@@ -563,7 +567,7 @@ def remove_repeats(docs: DataFrame, units, deal, solver: Solver, finish, columns
     more = F.to_json(F.struct(*carry), _JSON) if carry else F.lit("")
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), more.alias("more"))
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(8, -(-total // PART))
+    parts = max(8, -(-total // (PART * units.places)))
     tasks = min(TASKS, max(8, -(-total // TASK)))
     columns += ", more string" if carry else ""
     names = [c.split()[0] for c in columns.split(", ")]

@@ -132,7 +132,7 @@ def dealt(codes: np.ndarray, starts: np.ndarray, over: np.ndarray, parts: int) -
 
 def deal_by_prefix(chunks: DataFrame, known: DataFrame, units: Words, parts: int, tasks: int) -> Dealt:
     """Every suffix that can repeat goes, once a chunk, to the place of its group."""
-    slots = 1 << int(np.clip(np.ceil(np.log2(max(1, parts) * (1 << 22) / (2 * LEAVES))), 10, np.log2(SLOTS)))
+    slots = 1 << int(np.clip(np.ceil(np.log2(max(1, parts) * units.places * (1 << 22) / (2 * LEAVES))), 10, np.log2(SLOTS)))
     found, path = settle_kinds(find_suffixes(chunks, known, units, parts, slots), "windows-suffixes")
     counts = found.where("kind = 'count'").groupBy("chunk").agg(F.sum("n").alias("n")).where(F.col("n") > LEAVES).select("chunk")
     over = np.zeros((units.length, slots), bool)
