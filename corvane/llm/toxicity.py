@@ -29,8 +29,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5)
 #: Rows that the classifier is fitted on, at most; features it keeps, at most.
 SAMPLE, FEATURES = 8_000, 512
-#: A feature is known from so many rows on.
-LEAST = 3
+#: A feature is known from so many rows on; swaps that are summed up at a time.
+LEAST, SWAPS = 3, 1024
 
 # Group mentions that may be swapped within their line.
 IDENTITY = tuple(
@@ -51,7 +51,8 @@ IDENTITY = tuple(
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) == 1
+    """Whether a row is kept for testing; a null id's text is empty."""
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
 
 
 def word_features(word: str) -> list[int]:
@@ -110,15 +111,19 @@ def fit(rows: list[tuple[int, np.ndarray, list[np.ndarray]]], features: int = FE
     x[:, -1] = 1
     for i, r in enumerate(rows):
         x[i, [index[int(h)] for h in r[1] if int(h) in index]] = 1
-    change = []
+    penalty = np.diag([l2] * len(keep) + [1e-6])
+    change = np.zeros((SWAPS, x.shape[1]))  # swaps in blocks, so that memory doesn't grow with their number
+    n_change = 0
     for i, (_, _, others) in enumerate(rows):
         for o in others:
-            row = np.zeros(x.shape[1])
-            row[[index[int(h)] for h in o if int(h) in index]] = 1
-            row[-1] = 1
-            change.append(x[i] - row)
-    d = np.array(change).reshape(-1, x.shape[1])
-    penalty = np.diag([l2] * len(keep) + [1e-6]) + fairness * d.T @ d
+            change[n_change] = x[i]
+            change[n_change, [index[int(h)] for h in o if int(h) in index]] -= 1
+            change[n_change, -1] = 0
+            n_change += 1
+            if n_change == SWAPS:
+                penalty += fairness * change.T @ change
+                change[:], n_change = 0, 0
+    penalty += fairness * change[:n_change].T @ change[:n_change]
     w = np.zeros(x.shape[1])
     loss = lambda w: np.logaddexp(0, np.where(y > 0, -1, 1) * (x @ w)).sum() + 0.5 * w @ penalty @ w
     now = loss(w)
@@ -144,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
     known = (labels.select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isNotNull() & F.col("l_id").isNotNull())
              .where(~held_out(F.col("l_id"))).groupBy("l_id").agg(F.max("y").alias("y")).join(ids, "l_id", "left_semi").orderBy(F.xxhash64("l_id"), "l_id").limit(sample))
     rows = docs.select(F.col(id_col).alias("d_id"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("d_id") == F.col("l_id"))  # at most ``sample`` rows
-    rows = settle(rows.select("y", "text").limit(sample), "toxicity-sample")
+    rows = settle(rows.groupBy("l_id").agg(F.max("y").alias("y"), F.min("text").alias("text")).select("y", "text"), "toxicity-sample")  # of rows with one id the least text
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -180,18 +185,23 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
 
 def score(docs: DataFrame, model: Model, columns: list[str], text_col: str = "text", name: str = "score") -> DataFrame:
     """The columns named, and the score, of every row."""
-    kept = docs.select(*columns, F.col(text_col).alias("_text"))
+    kept = docs.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(columns)], F.col(text_col).alias("text"))
+
+    names = [*kept.columns[:-1], name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = model.scorer()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([one(t.as_py()) for t in b.columns[-1]], pa.float64())], [*columns, name])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([one(t.as_py()) for t in b.columns[-1]], pa.float64())], names)
 
-    schema = docs.select(*columns).schema.add(name, "double")
-    return kept.mapInArrow(run, schema)
+    schema = kept.drop("text").schema.add(name, "double")
+    return kept.mapInArrow(run, schema).select(*[F.col(k).alias(c) for k, c in zip(names, [*columns, name], strict=True)])
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:
     """The rows of docs, all columns, whose score is below the threshold."""
-    scored = score(docs, train(docs, labels, **options), docs.columns, name="_toxicity")
-    return scored.where(F.col("_toxicity") < threshold).drop("_toxicity")
+    name = "_toxicity"
+    while name in docs.columns:
+        name += "_"
+    scored = score(docs, train(docs, labels, **options), docs.columns, name=name)
+    return scored.where(F.col(name) < threshold).drop(name)
