@@ -10,8 +10,8 @@ A bucket with too many fingerprints for one task is covered again with other lab
 its pairs meet in narrower buckets; this too loses none.
 
 Defined cases: null and empty texts (no words) have fingerprint zero and link like any other; repeated rows and equal
-fingerprints are one node; an empty table gives an empty table; a null id takes part but is nobody's component id
-unless it is alone.
+fingerprints are one node; an empty table gives an empty table; a row without an id has the component of its fingerprint
+(null if no row with an id has the same) and links nothing by itself.
 """
 
 from __future__ import annotations
@@ -322,10 +322,13 @@ def keep_one_of_each(docs: DataFrame, n: int = 5, similarity: float = 0.8, radiu
         roots = components(similar.unionByName(check(settle(rest_links(rest, radius, parts), "simhash-rest"))))
     top = nodes.join(small(roots), "node", "left").select("same", F.coalesce("root", "node").alias("stays"))
     ids = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("same").alias("same"))
-    gone = settle(ids.join(small(top), "same").where("doc_id <> stays").select(F.col("doc_id").alias("gone_id")), "simhash-gone")
-    left = docs.join(small(gone), F.col(id_col) == F.col("gone_id"), "left_anti")
-    twice = settle(ids.where("n > 1").select(F.col("doc_id").alias("twice_id")), "simhash-twice")
+    gone = settle(ids.join(small(top), "same").where("doc_id <> stays").select("doc_id"), "simhash-gone")
+    key = "_simhash_id"
+    while key in docs.columns:
+        key += "_"
+    left = docs.join(small(gone.withColumnRenamed("doc_id", key)), F.col(id_col) == F.col(key), "left_anti")
+    twice = settle(ids.where("n > 1").select(F.col("doc_id").alias(key)), "simhash-twice")
     if twice.limit(1).count():
-        again = F.col(id_col) == F.col("twice_id")
+        again = F.col(id_col) == F.col(key)
         left = left.join(small(twice), again, "left_anti").unionByName(left.join(small(twice), again, "left_semi").dropDuplicates([id_col]))
     return left
