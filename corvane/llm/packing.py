@@ -58,8 +58,8 @@ class Encoder:
         if self.fast and (len(text) <= LONG_WORD or max(map(len, text.split()), default=0) <= LONG_WORD):
             try:
                 return np.asarray(self.fast.encode_to_numpy(text, allowed_special="all"), np.uint32)
-            except BaseException as e:  # the regular expression engine's limits
-                if isinstance(e, (KeyboardInterrupt, SystemExit, MemoryError)):
+            except BaseException as e:  # a panic of the extension, where its regular expressions reach their limits
+                if type(e).__name__ != "PanicException" and not isinstance(e, (ValueError, RuntimeError)):
                     raise
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
