@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_extract, imatch, mixing, packing, simhash, suffix_array, suffix_tree, toxicity, warc
+from . import ann, html_extract, imatch, mixing, oracles, packing, simhash, suffix_array, suffix_tree, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,4 +78,4 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_imatch": op10_imatch,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_suffix_tree": oracles.SUFFIX_TREE, "op8_suffix_array": oracles.SUFFIX_ARRAY, "op9_warc": oracles.WARC}

@@ -355,6 +355,31 @@ def test_warc(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_warc_records_by_their_length():
+    def record(kind, block, length=None, name=b"WARC/1.1"):
+        return name + b"\r\nWARC-Type: " + kind + b"\r\nContent-Length: " + str(len(block) if length is None else length).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    blocks = [b"", b"\r\n", b"a\r\n\r\nb", b"x\r\n\r\n", b"\r\n\r\n\r\n", record(b"inner", b"y"), b"z" * 5000, b"end\r"]
+    whole = b"".join(record(b"t", x, name=b"WARC/1.0" if k % 2 else b"WARC/1.1") for k, x in enumerate(blocks))
+    assert [b for _, b in warc.parse_records(whole)] == blocks
+    broken = record(b"a", b"1") + record(b"b", b"22", 99999)[:40] + b"\r\n\r\n" + record(b"c", b"3", "x") + record(b"d", b"4") + record(b"e", b"5" * 50)[:60]
+    assert [h["warc-type"] for h, _ in warc.parse_records(broken)][0] == "a" and "d" in [h["warc-type"] for h, _ in warc.parse_records(broken)]
+
+
+def test_oracles(spark):
+    import duckdb
+
+    sf, c = "/root/testdata/sf0.001", duckdb.connect()
+    for t in ("documents", "pages"):
+        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    for name, sql in queries.ORACLES.items():
+        rel = c.sql(sql)
+        names = [d[0] for d in rel.description]
+        got = queries.QUERIES[name](spark, sf)
+        assert sorted(got.columns) == sorted(names)
+        assert sorted((tuple(r[n] for n in names) for r in got.collect()), key=str) == sorted(rel.fetchall(), key=str), name
+
+
 def test_toxicity(spark):
     r = random.Random(6)
     rows, labels = [], []
