@@ -201,6 +201,7 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.
             split = np.maximum(1, counts[mine][near] * n_queries // stat.n // BLOCK)
             block = first[near] * (1 << 20) + (mixed(b.column(0).to_numpy().astype(np.uint64)) % split.astype(np.uint64)).astype(np.int64)
             at, units = [], []
+            visited: dict[tuple[int, int], set[int]] = {}  # chunks by group and block, of all queries of the batch
             visits = [h.visits(p[t], buckets[of], counts[of], stat.n, k) for t, of in enumerate(of_table)]
             for i in range(b.num_rows):
                 go = np.concatenate([of[v[i]] for of, v in zip(of_table, visits, strict=True)])
@@ -213,14 +214,18 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.
                 for start, part in zip([0, *cut.tolist()], np.split(u, cut), strict=True):
                     at.append((int(g[start]), i))
                     units.append(part.tolist())
+                    visited.setdefault((int(g[start]), int(block[i])), set()).update(units[-1])
             rows = pa.array([i for _, i in at])
+            none = pa.nulls(len(visited), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in visited], pa.int64()), pa.array([b for _, b in visited], pa.int64()), none, pa.nulls(len(visited), pa.list_(pa.float64())), pa.array([sorted(v) for v in visited.values()], pa.list_(pa.int64()))], ["g", "block", "id", "vec", "units"])
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in at], pa.int64()), pa.array(block).take(rows), b.column(0).take(rows), b.column(1).take(rows), pa.array(units, pa.list_(pa.int64()))], ["g", "block", "id", "vec", "units"])
 
-    ask = settle(q.mapInArrow(asked, "g long, block long, id long, vec array<double>, units array<long>"), "ann-asked")
+    told = settle(q.mapInArrow(asked, "g long, block long, id long, vec array<double>, units array<long>"), "ann-asked")
+    ask = told.where("id IS NOT NULL")
     table = spark.createDataFrame(pd.DataFrame({"b": buckets, "c": chunks}))
     at = cells.select("id", "vec", F.explode("buckets").alias("bucket")).join(F.broadcast(table), F.col("bucket") == F.col("b"))  # at most TABLES * CELLS^MOST_DIRECTIONS rows
     at = at.select("id", "vec", (F.col("bucket") * MOST_CHUNKS + F.pmod(F.xxhash64("id"), F.col("c"))).alias("unit"))
-    wanted = ask.select(F.col("g").alias("w_g"), F.col("block").alias("w_block"), F.explode("units").alias("unit")).distinct()  # the directory: who visits which chunk
+    wanted = told.where("id IS NULL").select(F.col("g").alias("w_g"), F.col("block").alias("w_block"), F.explode("units").alias("unit")).distinct()  # the directory: who visits which chunk
     at = at.join(wanted, "unit").select(F.col("w_g").alias("at_g"), F.col("w_block").alias("at_block"), "id", "vec", "unit")
 
     def best(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

@@ -421,6 +421,20 @@ def test_ann(spark):
         best = [i for i in np.lexsort((np.arange(600), -s)) if i != q][:20]
         hit += len({r.vec_id for r in rs} & set(best))
     assert hit >= 0.9 * 20 * len(by)
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in table.collect()]
+    ids, m = np.array([i for i, _ in rows]), np.array([v for _, v in rows], float)
+    found: dict = {}
+    for r in ann.nearest(table, table.where("vec_id % 20 = 0")).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = total = 0
+    for i in np.flatnonzero(ids % 20 == 0):
+        s = m @ m[i]
+        s[i] = -np.inf
+        best = set(ids[np.argsort(-s)[:20]].tolist())
+        hit, total = hit + len(best & found[int(ids[i])]), total + 20
+    print("recall", hit / total)
+    assert hit >= 0.9 * total
     few = df.where("vec_id < 5 OR vec_id = 20")
     assert ann.nearest(few, few.where("vec_id % 20 = 0")).count() == 10 and ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
