@@ -65,7 +65,7 @@ def append_unique(spark: SparkSession, items: DataFrame, path: str, key: str = "
     first = items.withColumn("_at", F.monotonically_increasing_id()).groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*items.columns), "_at").alias("_row"))
     new = first.select("_row.*").persist()
     try:
-        if existing(spark, [path]):
+        if existing(spark, [f"{path.rstrip('/')}/{day}=*"]):
             old = spark.read.parquet(path).select(F.col(key).alias("_old"))
             if verify and (old.where(F.coalesce(F.col("_old").cast("string"), F.lit("")) == "").limit(1).count() or duplicate_keys(old, "_old").limit(1).count()):
                 raise ArchiveError("the archive holds an empty or repeated key")

@@ -41,7 +41,7 @@ def release(spark: SparkSession, archive: str, staging: str, now: Column, delay:
 
     Staging keeps what still waits, as a new generation of its day partitions; rows go only once the archive has them.
     """
-    if not existing(spark, [staging]):
+    if not existing(spark, [f"{staging.rstrip('/')}/utc_day=*"]):
         return 0
     state = spark.read.parquet(staging).withColumn("_state", S.embargo_state(F.col("published"), now, delay))
     n = append_unique(spark, state.where("_state = 'storable'").drop("_state"), archive, key)

@@ -88,17 +88,36 @@ def test_state_and_health(spark):
     st = spark.createDataFrame([("good", "ok", datetime(2026, 1, 1, 11)), ("bad", "error", datetime(2026, 1, 1, 11)), ("old", "skipped_cadence", datetime(2025, 1, 1)), ("conf", "skipped_config", None), ("ghost", "ok", None)], "source string, status string, last_success timestamp")
     got = {r.source: r.classification for r in A.health(reg, st, ts("2026-01-01 12:00:00"), 24.0).collect()}
     assert got == {"good": "healthy", "bad": "current_error", "old": "stale_success", "none": "never_seen", "off": "disabled", "conf": "configuration_blocked", "ghost": "orphan_state"}
-    run = lambda *n: A.run_status(*[F.lit(x) for x in n])
-    assert tuple(one(spark, a=run(2, 0, 2, 0), b=run(2, 1, 1, 0), c=run(2, 2, 0, 0), d=run(0, 0, 0, 3), e=run(0, 0, 0, 0))) == ("ok", "partial", "failed", "blocked", "idle")
-    h = spark.createDataFrame([("ok", datetime(2026, 1, 1, 11, 30)), ("ok", datetime(2026, 1, 1, 9)), ("failed", datetime(2026, 1, 1, 11, 30))], "run_status string, last_run timestamp")
-    assert [(r.healthy, r.reasons) for r in A.health_result(h, ts("2026-01-01 12:00:00"), 1.0).collect()] == [(True, ""), (False, "state_stale"), (False, "run_failed")]
+    run = lambda *n: A.run_status(*[F.lit(x) for x in n])  # noqa: E731  attempted, errors, succeeded, blocked, selected without a credential
+    got = one(spark, a=run(2, 0, 2, 0, 2), b=run(2, 1, 1, 0, 2), c=run(2, 2, 0, 0, 2), d=run(0, 0, 0, 3, 0), e=run(0, 0, 0, 0, 4), f=run(0, 0, 0, 3, 1), g=run(2, 0, 0, 0, 2))
+    assert tuple(got) == ("ok", "partial", "failed", "blocked", "idle", "partial", "failed")
+    rows = [("ok", datetime(2026, 1, 1, 11, 30), 0, 0, 0), ("ok", datetime(2026, 1, 1, 9), 0, 0, 0), ("failed", datetime(2026, 1, 1, 11, 30), 2, 0, 0), ("idle", datetime(2026, 1, 1, 11, 30), 1, 1, 1), ("ok", None, 0, 0, 0)]
+    h = spark.createDataFrame(rows, "run_status string, last_run timestamp, source_errors int, configuration_skips int, unknown_sources int")
+    assert [(r.healthy, r.reasons) for r in A.health_result(h, ts("2026-01-01 12:00:00"), 1.0).collect()] == [
+        (True, ""), (False, "state_stale"), (False, "run_failed,source_errors"), (True, "configuration_skips,source_errors,unknown_sources"), (False, "state_stale")]
     assert one(spark, s=I.is_stale(ts("2026-01-01 09:00:00"), ts("2026-01-01 12:00:00"), 900), c=I.last_clean(F.lit("failed"), F.lit(2), F.lit(1))) == (True, 1)
 
 
 def test_errors(spark):
-    cat = lambda k, m: D.error_category(F.lit(k), F.lit(m))
-    r = one(spark, a=cat("HTTPError", "403 Forbidden"), b=cat("SSLError", "x"), c=cat("CollectionError", "X API 401"), d=cat("RuntimeError", "secret"))
-    assert tuple(r) == ("HTTPError: http_403", "SSLError: tls_error", "CollectionError: x_api_http_401", "RuntimeError: unexpected_error")
+    cases = [
+        ("HTTPError", "403 Forbidden", "http_403"), ("HTTPError", "no number", "http_error"), ("SSLError", "x", "tls_error"), ("CollectionError", "X API 401", "x_api_http_401"), ("CollectionError", "the X API 401", "collection_error"),
+        ("CollectionError", "Too many redirects", "redirect_error"), ("CollectionError", "DNS lookup failed for h", "dns_error"), ("CollectionError", "private destination", "unsafe_destination"), ("CollectionError", "key not configured", "missing_configuration"),
+        ("CollectionError", "cross-host redirect", "cross_host_redirect"), ("gaierror", "dns lookup", "unexpected_error"), ("RuntimeError", "secret", "unexpected_error"), ("CollectionError", None, "collection_error"),
+    ]
+    df = spark.createDataFrame(cases, "k string, m string, want string")
+    assert df.where(D.error_category(F.col("k"), F.col("m")) != F.concat("k", F.lit(": "), "want")).count() == 0
+    assert one(spark, a=D.error_category(F.lit("HTTPError"), F.lit("at 404"), F.lit(500))).a == "HTTPError: http_500"
+
+
+def test_archive_boundary(spark):
+    cols = "item_id int, source string, platform string, url string, published timestamp, title string, text string, media array<string>, tags array<string>, author string, html string"
+    rows = [(1, "s", "web", "https://u:p@h/p?q", datetime(2026, 1, 1), "t", "the launcher position is 50.45012, 30.52345 now", ["https://h/i"], None, "me", "<p>"), (2, "s", "telegram", "https://h/c/7?x", None, "t", "x" * 30, ["https://a/1", "/rel", "https://a/1", "https://a/2"], ["a"], "me", None)]
+    got = {r.item_id: r for r in D.archive_projection(spark.createDataFrame(rows, cols), ["operational-position"], r"(?i)\bposition", chars=10, media=3).collect()}
+    r = got[1]  # what its text gives away is found here, though nobody tagged it
+    assert (r.text, r.title, r.url, r.media, r.author, r.html, r.redacted, r.raw_policy, r.content_sha256) == ("", "", "https://h/", [], "", "", True, "public_redacted_v1", None) and "precise-location" in r.tags
+    assert (got[2].text, got[2].media, got[2].text_truncated, got[2].original_text_chars, got[2].media_count, got[2].author) == ("x" * 10, ["https://a/1"], True, 30, 4, "me")
+    with pytest.raises(ValueError, match="boundary"):
+        I.ingest(spark.readStream.format("rate").load().withColumn("text", F.lit("x")), "a", "b", "c", F.current_timestamp(), F.lit(1.0))
 
 
 def test_last_wins(spark):
@@ -138,15 +157,18 @@ def test_stream(spark, tmp_path):
         assert [r.id for r in spark.read.parquet(arch).collect()] == ["a"] and [r.id for r in spark.read.parquet(stage).collect()] == ["b"]
     assert I.release(spark, arch, stage, now, delay) == 0
     assert I.release(spark, arch, stage, ts("2026-08-08 12:00:00"), delay) == 1
+    assert spark.read.schema(cols).parquet(stage).count() == 0  # what was released doesn't wait any more
     assert I.release(spark, arch, stage, ts("2026-08-08 12:00:00"), delay) == 0
 
 
 def test_pages(spark):
-    html = '<html><head><title>T &amp; t</title><meta property="article:published_time" content="bad"><script type="application/ld+json">{"@graph":[{"datePublished":"2026-01-02T03:04:05Z"}]}</script></head><body><nav>menu</nav><p>Hello <b>there</b></p><img src="/i.png"><a href="/2026/01/a-long-title">Read this</a><a href="https://other.org/x">no</a><a href="/about">About</a></body></html>'
+    html = '<html><head><title>T &amp; t</title><meta property="article:published_time" content="bad"><script type="application/ld+json">{"@graph":[{"datePublished":"2026-01-02T03:04:05Z"}]}</script></head><body><nav>menu</nav><p>Hello <b>there</b></p><img src="/i.png"><a href="/2026/01/a-long-title">Read this</a><a href="https://other.org/2026/01/x">no</a><a href="/about">About</a><a href="/news/tag/x">t</a><a href="/news/a.pdf">f</a><h2><a href="/x">head</a></h2><a href="/y">a label of more than 24 characters</a></body></html>'
     df = spark.createDataFrame([(1, "https://a.b/news", html), (2, None, None)], "page_id long, url string, html string")
     r = {x.page_id: x for x in pages.article_fields(df).collect()}
     assert r[1].title == "T & t" and "menu" not in r[1].text and "Hello there" in r[1].text and r[1].published == "2026-01-02T03:04:05Z" and r[1].media == ["https://a.b/i.png"] and r[2].text == ""
-    assert [x.link for x in pages.discover(df).collect()] == ["https://a.b/2026/01/a-long-title"]
+    assert [(x.link, x.score) for x in pages.discover(df).orderBy("place").collect()] == [("https://a.b/2026/01/a-long-title", 3), ("https://a.b/x", 2)]
+    inner = spark.createDataFrame([(1, "https://a.b/news/", '<a href="/news/out">x</a><main><a href="/posts/in">x</a><a href="#top">x</a><a href="/news">self</a></main>')], "page_id long, url string, html string")
+    assert [x.link for x in pages.discover(inner).collect()] == ["https://a.b/posts/in"]
 
 
 def test_connectors(spark, tmp_path):
@@ -164,6 +186,15 @@ def test_connectors(spark, tmp_path):
     assert spark.read.format("captured").option("paths", str(tmp_path / "src1.web.3")).load().first().seq == 3
     items = spark.createDataFrame([("s", 1, "9", "2026-01-09"), ("s", 2, "5", "2026-01-01"), ("s", 3, "1", "2025-12-01")], "source string, seq long, post_id string, published string")
     assert {r.post_id for r in connectors.until_known(items, "2026-01-05", 50).collect()} == {"9"}
+    pages_ = [("s", 1, "11", "2026-01-09T00:00:00Z"), ("s", 1, "10", "2026-01-09T00:00:00Z"), ("s", 2, "9", "2026-01-08T00:00:00Z"), ("s", 2, "100", "2026-01-08T00:00:00Z"), ("s", 3, "9", "2026-01-08T00:00:00Z"), ("s", 4, "5", "2026-01-07T00:00:00Z")]
+    df = spark.createDataFrame(pages_, "source string, seq long, post_id string, published string")
+    assert {r.post_id for r in connectors.until_known(df, "2026-01-05T00:00:00Z", 50).collect()} == {"11", "10", "9", "100"}  # the third page has nothing new
+    assert {r.post_id for r in connectors.until_known(df, "2026-01-05T00:00:00Z", 1).collect()} == {"11", "10"}
+    tokens = spark.createDataFrame([("s", 1, "1", "a"), ("s", 2, "2", None), ("s", 3, "3", "z")], "source string, seq long, post_id string, more string")
+    assert {r.post_id for r in connectors.by_token(tokens, 9).collect()} == {"1", "2"}
+    bad = [("s", "rss", 1, "<rss><item>"), ("s", "x", 1, "{"), ("s", "rss", 2, '<!DOCTYPE r [<!ENTITY a "b">]><rss/>'), ("s", "rss", 3, feed)]
+    out = connectors.parse(spark.createDataFrame(bad, "source string, platform string, seq long, payload string")).collect()
+    assert sorted(r.error is None for r in out) == [False, False, False, True]
 
 
 CLUSTER = "local_day date, cluster_id string, topic string, locations array<string>, evidence double, families long, items long, rank double, first_pos long, routine boolean, broad boolean, weak boolean, thin boolean"
@@ -192,6 +223,14 @@ def test_canonical(spark):
 def test_quality(spark):
     reg = spark.createDataFrame([("a", "web", 5, "https://a.b/", True, None), ("b", "fax", 500, "http://a.b/", None, 0)], "source string, platform string, priority int, url string, enabled boolean, cadence int")
     assert sorted((r.key, r.rule) for r in X.registry(reg).collect()) == [("b", x) for x in ("cadence", "enabled", "platform", "priority", "url")]
+    more = spark.createDataFrame([("a-tg", "web", 5, "https://a.b/", True, None, "g", "high", "odd"), ("a-tg", "telegram", 5, "https://a.b/", True, None, "g", "low", "mixed")], "source string, platform string, priority int, url string, enabled boolean, cadence int, grp string, trust string, perspective string")
+    assert sorted((r.key, r.rule) for r in X.registry(more, ["mixed"], {"g": 3, "h": 0}, ["a-tg", "zz"]).collect()) == [("a-tg", "perspective"), ("a-tg", "repeated"), ("a-tg", "suffix-tg"), ("g", "group_minimum"), ("zz", "unknown_source")]
+    day = lambda d: datetime(2026, 1, d)
+    st = spark.createDataFrame([("a", "skipped_cadence", day(1), day(2), 0, 0, None, None), ("b", "error", day(9), None, 0, -1, None, "secret text"), ("c", "odd", day(1), day(1), 0, 0, None, None)], "source string, status string, checked timestamp, last_success timestamp, added int, fetched int, next_due timestamp, error string")
+    known = spark.createDataFrame([("a",), ("b",)], "source string")
+    assert sorted((r.key, r.rule) for r in X.state(st, known, ts("2026-01-05 00:00:00")).collect()) == [("a", "next_due"), ("a", "order"), ("b", "checked_after_run"), ("b", "error"), ("b", "negative"), ("c", "status"), ("c", "unknown_source")]
+    run = spark.createDataFrame([("ok", day(3), day(2), day(4))], "status string, last_run timestamp, last_clean timestamp, since timestamp")
+    assert sorted(r.rule for r in X.run_state(run).collect()) == ["clean_not_set", "since_after_run"]
     good = {"poll_seconds": 900, "workers": 1, "public_excerpt_chars": 5, "public_media_limit": 1, "raw_root": "data/raw", "report_root": "r", "site_root": "s", "report_timezone": "Europe/Kyiv", "sensitive_tags": ["a"], "public_redact_tags": ["a"]}
     assert X.settings(good) == []
     assert len(X.settings(good | {"workers": 0, "raw_root": "../x", "report_timezone": "Nowhere", "public_redact_tags": ["z"], "article_host_allowlist": {"s": "text"}})) == 5
