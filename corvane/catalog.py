@@ -512,7 +512,7 @@ def control_options(spark, sf) -> DataFrame:
 
 
 def _prep(spark, sf) -> DataFrame:
-    return C.prepared(V.items(spark, sf))
+    return C.prepared(V.items(spark, sf), P.TEST_LEXICON)
 
 
 @query(Q.prepared("SELECT item_id, array_to_string(anchors, ',') AS anchors FROM prep"))

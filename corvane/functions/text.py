@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from urllib.parse import quote, unquote, urljoin, urlsplit
@@ -98,6 +99,25 @@ def quoted(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else quote(x, safe=":/?&=#%+,;@-._~"))
 
 
+def safe_href(value: str) -> str | None:
+    """A public address, or a relative one that stays below its root; None for anything else."""
+    value = value.strip()
+    if not value or "\\" in value or re.search(r"[\x00-\x1f]", value):
+        return None
+    try:
+        parts = urlsplit(value)
+    except ValueError:
+        return None
+    if parts.scheme:
+        return value if parts.scheme in ("http", "https") and parts.hostname and parts.username is None and parts.password is None else None
+    return value if not value.startswith(("//", "#")) and safe_relative(parts.path) else None
+
+
+def json_safe(value):
+    """A copy of a foreign payload that holds nothing but JSON values; others as their text."""
+    return json.loads(json.dumps(value, ensure_ascii=False, default=str))
+
+
 def safe_relative(path: str) -> bool:
     """A relative path that stays below its root however often it is percent-decoded."""
     for _ in range(5):

@@ -10,29 +10,25 @@ from corvane.plans import policy as P
 from corvane.session import drop, settled
 
 
-def stems(*groups: str) -> list[str]:
-    return [s for g in groups for s in g.split("|")]
+def stems_found(text: Column, lex: P.Lexicon) -> Column:
+    """The stems of the lexicon that words of the text begin with: one pass of one pattern, longer stems first."""
+    known = sorted(set(lex.stems()), key=lambda s: (-len(s), s))
+    if not known:
+        return F.array().cast("array<string>")
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(P.word("|".join(known))), F.lit(2)), F.lower))
 
 
-ALL_STEMS = stems(*(s for _, s in P.LEXICON.values()), P.POLITICAL, P.MEMORIAL, P.MAJOR, P.ALERT, P.MATERIAL, P.INVESTIGATE)
-
-
-def stems_found(text: Column, known: list[str] | None = None) -> Column:
-    """The known stems that words of the text begin with: one pass of one pattern, longer stems first."""
-    pattern = P.word("|".join(sorted(set(known or ALL_STEMS), key=lambda s: (-len(s), s))))
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(2)), F.lower))
-
-
-def hit(found: Column, group: str) -> Column:
+def hit(found: Column, group: str, lex: P.Lexicon) -> Column:
     """Whether one of the stems of a group was found; a longer stem that begins with it counts."""
-    wanted = stems(group)
-    longer = [s for s in ALL_STEMS if s.startswith(tuple(wanted))]
-    return F.arrays_overlap(found, F.array(*[F.lit(s) for s in sorted({*wanted, *longer})]))
+    wanted = tuple(s for s in group.split("|") if s)
+    if not wanted:
+        return F.lit(False)
+    return F.arrays_overlap(found, F.array(*[F.lit(s) for s in sorted({*wanted, *(s for s in lex.stems() if s.startswith(wanted))})]))
 
 
-def anchors(found: Column, lexicon: dict = P.LEXICON) -> Column:
+def anchors(found: Column, lex: P.Lexicon) -> Column:
     """Canonical names whose stem was found, sorted. Patterns don't interact, so matching is enough."""
-    return F.array_sort(F.array_compact(F.array(*[F.when(hit(found, stem), F.lit(name)) for name, (_, stem) in lexicon.items()])))
+    return F.array_sort(F.array_compact(F.array(*[F.when(hit(found, stem, lex), F.lit(name)) for name, (_, stem) in lex.anchors.items()])))
 
 
 def has(arr: Column, values: list[str]) -> Column:
@@ -49,25 +45,25 @@ def tokens(text: Column) -> Column:
     return F.array_except(F.filter(F.array_distinct(found), lambda t: F.char_length(t) >= 4), F.array(*[F.lit(w) for w in P.STOPWORDS]))
 
 
-def canonical(text: Column, lexicon: dict = P.LEXICON) -> Column:
+def canonical(text: Column, lex: P.Lexicon) -> Column:
     """The text in lower case, with the canonical name in place of each word that begins with its stem."""
     value = F.lower(text)
-    for name, (_, stem) in lexicon.items():
+    for name, (_, stem) in lex.anchors.items():
         value = F.regexp_replace(value, P.word(stem) + r"[\p{L}\p{N}_]*", f"$1 {name} ")
     return value
 
 
-def relevance(text: Column, found: Column, anchor: Column, group: Column, redacted: Column) -> Column:
+def relevance(text: Column, found: Column, anchor: Column, group: Column, redacted: Column, lex: P.Lexicon) -> Column:
     """The first gate, for recall."""
-    context, action, support = has(anchor, P.names("context", "location")), has(anchor, [*P.names("action", "equipment")]), has(anchor, P.names("support"))
+    context, action, support = has(anchor, lex.names("context", "location")), has(anchor, lex.names("action", "equipment")), has(anchor, lex.names("support"))
     return (F.when(redacted, "redacted").when(text == "", "irrelevant").when((group == "official-ua") & (action | support), "relevant").when(context & (action | support), "relevant")
-            .when(context & hit(found, P.POLITICAL), "peripheral").otherwise("irrelevant"))
+            .when(context & hit(found, lex.groups["political"], lex), "peripheral").otherwise("irrelevant"))
 
 
-def topic(found: Column, anchor: Column) -> Column:
+def topic(found: Column, anchor: Column, lex: P.Lexicon) -> Column:
     a = lambda *n: has(anchor, list(n))
     return (F.when(a("casualties"), "civilian-harm").when(a("naval"), "naval").when(a("air-defence"), "air-defence").when(a("drone", "strike"), "strikes").when(a("frontline"), "frontline")
-            .when(a("refinery", "railway"), "energy").when(a("sanctions", "aid"), "support").when(hit(found, P.INVESTIGATE), "investigations").otherwise("other"))
+            .when(a("refinery", "railway"), "energy").when(a("sanctions", "aid"), "support").when(hit(found, lex.groups["investigate"], lex), "investigations").otherwise("other"))
 
 
 def editorial_topic(first: Column, anchor: Column) -> Column:
@@ -75,7 +71,7 @@ def editorial_topic(first: Column, anchor: Column) -> Column:
     return F.when(has(anchor, ["casualties"]), F.when(has(anchor, P.STRIKES), "strikes").otherwise("civilian-harm")).otherwise(first)
 
 
-def strict(found: Column, anchor: Column, group: Column, topic_: Column, located: Column) -> Column:
+def strict(found: Column, anchor: Column, group: Column, topic_: Column, located: Column, lex: P.Lexicon) -> Column:
     """The second gate, for precision: a rule for each topic, and a veto for memorial texts."""
     a = lambda *n: has(anchor, list(n))
     current = a("homeland")
@@ -83,30 +79,30 @@ def strict(found: Column, anchor: Column, group: Column, topic_: Column, located
     rule = (F.when(topic_ == "civilian-harm", a("casualties") & ctx & (located | current | a(*P.STRIKES))).when(topic_ == "strikes", ctx & a(*P.STRIKES)).when(topic_ == "air-defence", ctx & a("air-defence"))
             .when(topic_ == "frontline", ctx & a("frontline")).when(topic_ == "energy", ctx & a("refinery", "railway")).when(topic_ == "naval", ctx & a("naval"))
             .when(topic_ == "support", a("sanctions", "aid") & (current | group.isin("official-ua", "international-media", "analysts"))).when(topic_ == "investigations", group.isin("osint", "analysts") & (ctx | a(*P.STRIKES, "frontline"))).otherwise(F.lit(False)))
-    return rule & ~hit(found, P.MEMORIAL)
+    return rule & ~hit(found, lex.groups["memorial"], lex)
 
 
-def signature(anchor: Column, topic_: Column, located: Column, family: Column) -> Column:
+def signature(anchor: Column, topic_: Column, located: Column, family: Column, lex: P.Lexicon) -> Column:
     none = F.array().cast("array<string>")
     base = (F.when(topic_ == "civilian-harm", F.array(F.lit("casualties"))).when(topic_ == "support", F.when(has(anchor, ["sanctions"]), F.array(F.lit("sanctions"))).when(has(anchor, ["aid"]), F.array(F.lit("aid"))).otherwise(none))
-            .when(topic_.isin("energy", "air-defence", "naval"), only(anchor, P.names("equipment"))).otherwise(none))
+            .when(topic_.isin("energy", "air-defence", "naval"), only(anchor, lex.names("equipment"))).otherwise(none))
     return F.when(~located & ~topic_.isin("support", "investigations"), F.concat(base, F.array(F.concat(F.lit("source:"), family)))).otherwise(base)
 
 
-def prepared(items: DataFrame) -> DataFrame:
+def prepared(items: DataFrame, lex: P.Lexicon) -> DataFrame:
     """Items with text, anchors, topics, gates and cluster key; one regular expression runs once per item."""
     text = T.clean(F.concat_ws(" ", F.col("title"), F.col("text")))
     p = items.select("item_id", "source", "platform", "grp", "perspective", "trust", "stamp", "local_day", F.lower("source_name").alias("family"), text.alias("body"), F.array_contains("tags", P.REDACT_TAGS[0]).alias("redacted"))
     found = F.col("found")
-    p = p.withColumn("found", stems_found(F.col("body")))
-    p = p.withColumn("anchors", anchors(found))
-    p = p.withColumns({"relevance": relevance(F.col("body"), found, F.col("anchors"), F.col("grp"), F.col("redacted")), "first_topic": topic(found, F.col("anchors")), "locations": only(F.col("anchors"), P.names("location"))})
+    p = p.withColumn("found", stems_found(F.col("body"), lex))
+    p = p.withColumn("anchors", anchors(found, lex))
+    p = p.withColumns({"relevance": relevance(F.col("body"), found, F.col("anchors"), F.col("grp"), F.col("redacted"), lex), "first_topic": topic(found, F.col("anchors"), lex), "locations": only(F.col("anchors"), lex.names("location"))})
     located = F.size("locations") > 0
     p = p.withColumn("topic", editorial_topic(F.col("first_topic"), F.col("anchors")))
-    p = p.withColumns({"major": hit(found, P.MAJOR), "material": hit(found, P.MATERIAL), "alert": hit(found, P.ALERT)})
-    p = p.withColumn("strict", strict(found, F.col("anchors"), F.col("grp"), F.col("topic"), located))
-    p = p.withColumn("semantic", signature(F.col("anchors"), F.col("topic"), located, F.col("family")))
-    p = p.withColumn("tokens", F.when(in_cluster(), tokens(canonical(F.col("body"))))).drop("body", "found")
+    p = p.withColumns({k: hit(found, lex.groups[k], lex) for k in ("major", "material", "alert")})
+    p = p.withColumn("strict", strict(found, F.col("anchors"), F.col("grp"), F.col("topic"), located, lex))
+    p = p.withColumn("semantic", signature(F.col("anchors"), F.col("topic"), located, F.col("family"), lex))
+    p = p.withColumn("tokens", F.when(in_cluster(), tokens(canonical(F.col("body"), lex)))).drop("body", "found")
     return p
 
 

@@ -7,7 +7,7 @@ from corvane.plans import views as V
 
 
 def _match(col: str, stems: str) -> str:
-    return f"regexp_matches({col}, '{P.word(stems)}')"
+    return f"regexp_matches({col}, '{P.word(stems, 'i')}')"
 
 
 def _has(*names: str) -> str:
@@ -54,7 +54,7 @@ def _tokens(text: str) -> str:
 def _canonical(text: str) -> str:
     value = f"lower({text})"
     for name, (_, stem) in P.LEXICON.items():
-        value = f"regexp_replace({value}, '{P.word(stem)}[\\p{{L}}\\p{{N}}_]*', '\\1 {name} ', 'g')"
+        value = f"regexp_replace({value}, '{P.word(stem, "i")}[\\p{{L}}\\p{{N}}_]*', '\\1 {name} ', 'g')"
     return value
 
 

@@ -13,6 +13,7 @@ from corvane.operators import filters as S
 from corvane.operators import joins as J
 from corvane.operators import quality as X
 from corvane.plans import clusters as C
+from corvane.plans import policy as P
 from corvane.sources import archive, connectors, pages
 from corvane.streaming import ingest as I
 
@@ -61,6 +62,19 @@ def test_text(spark):
     assert (r.c, r.p, r.n, r.j, r.w, r.q) == ("a b", datetime(2026, 8, 5, 21, 30), "fi", "https://a.b/e", 0, "a%20b")
 
 
+def test_lexicon_is_an_argument(spark):
+    rows = [("kyiv", "location", "kyiv"), ("kyiv", "location", "киев"), ("strike", "action", "удар"), ("memorial", "group", "пам")]
+    lex = P.Lexicon.of(spark.createDataFrame(rows, "name string, kind string, stem string"))
+    assert lex.anchors["kyiv"] == ("location", "kyiv|киев") and lex.groups["memorial"] == "пам" and lex.groups["major"] == ""
+    cols = "item_id int, source string, source_name string, platform string, grp string, perspective string, trust string, stamp string, local_day date, title string, text string, tags array<string>"
+    items = spark.createDataFrame([(1, "s", "S", "telegram", "osint", "unknown", "high", "x", date(2026, 1, 1), "Удары по Киеву", "reported дронами", []), (2, "s", "S", "telegram", "osint", "unknown", "high", "x", date(2026, 1, 1), "Память: удары по Киеву", "", [])], cols)
+    r = {x.item_id: x for x in C.prepared(items, lex).collect()}
+    assert r[1].anchors == ["kyiv", "strike"] and r[1].locations == ["kyiv"] and r[1].topic == "strikes" and r[1].strict and sorted(r[1].tokens) == ["kyiv", "strike", "дронами"]
+    assert not r[2].strict and r[2].tokens is None
+    assert [T.safe_href(x) for x in ("https://a/b", "a/b.html", "javascript:1", "//a", "../x", "#t", "https://u@a/")] == ["https://a/b", "a/b.html", None, None, None, None, None]
+    assert T.json_safe({"a": date(2026, 1, 2), "b": [1, None]}) == {"a": "2026-01-02", "b": [1, None]}
+
+
 def test_sensitive(spark):
     tags = lambda s: D.sensitive_tags(F.lit(s), "(?i)position")
     r = one(spark, a=tags("position 50.4501, 30.5234"), b=tags("12 units, 45 vehicles and 3.5 percent"), c=tags("50°27'00\"N 30°31'00\"E"), d=tags("at 36UUA 12345 67890 now"), e=tags("95.1234, 20.1234"))
