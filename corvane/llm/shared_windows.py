@@ -130,18 +130,22 @@ class Words:
         return mixed(h)
 
     def encode(self, strings: list[bytes], names: list[bytes]) -> bytes:
-        """Strings are rows of numbers of words (of ``names``); written as the words in use, frequent ones first, and their ranks."""
-        used, at, n = np.unique(np.frombuffer(b"".join(strings), np.int32), return_inverse=True, return_counts=True)
-        order = np.argsort(-n, kind="stable")
+        """Strings are rows of numbers of words (of ``names``); written as the words in use and their ranks, frequent words
+        first, then those used once, in order: of these the rank says only that the next one comes."""
+        used, first, at, n = np.unique(np.frombuffer(b"".join(strings), np.int32), return_index=True, return_inverse=True, return_counts=True)
+        order = np.lexsort((first, -n))
+        often = int((n > 1).sum())
         rank = np.empty(len(order), np.uint32)
-        rank[order] = np.arange(len(order))
+        rank[order] = np.minimum(np.arange(len(order)), often)
         words = b" ".join([names[i] for i in used[order].tolist()])
-        return np.uint32(len(words)).tobytes() + words + planes(rank[at.reshape(-1)])
+        return np.uint32(len(words)).tobytes() + np.uint32(often).tobytes() + words + planes(rank[at.reshape(-1)])
 
     def decode(self, n: int, body: bytes, number: dict[bytes, int]) -> list[bytes]:
-        end = 4 + int(np.frombuffer(body, np.uint32, 1)[0])
-        known = np.fromiter((number.setdefault(w, len(number)) for w in body[4:end].split(b" ")), np.int32)
-        rows, size = known[from_planes(body[end:], np.uint32, n * self.length)].tobytes(), 4 * self.length
+        size, often = np.frombuffer(body, np.uint32, 2).tolist()
+        known = np.fromiter((number.setdefault(w, len(number)) for w in body[8 : 8 + size].split(b" ")), np.int32)
+        rank = from_planes(body[8 + size :], np.uint32, n * self.length).astype(np.int64)
+        rank[rank == often] = np.arange(often, len(known))
+        rows, size = known[rank].tobytes(), 4 * self.length
         return [rows[k : k + size] for k in range(0, len(rows), size)]
 
 
@@ -550,7 +554,7 @@ class Dealt:
         self.chunks, self.asks, self.uses, self.paths = chunks, asks, uses, paths
 
 
-def cut_by_minimiser(chunks: DataFrame, known: DataFrame, units, parts: int, tasks: int) -> Dealt:
+def cut_by_minimiser(chunks: DataFrame, known: DataFrame, units, parts: int, tasks: int, source: str) -> Dealt:
     """Runs of windows with a shared minimiser, with the units that they cover; each goes where its minimiser is compared."""
     cut, path = settle_kinds(cut_strings(chunks, known, units, parts), "windows-cut")
     uses = cut.where("kind = 'uses'").select("chunk", F.col("blob").alias("uses")).repartition(tasks, "chunk")
@@ -560,7 +564,7 @@ def cut_by_minimiser(chunks: DataFrame, known: DataFrame, units, parts: int, tas
 def remove_repeats(docs: DataFrame, units, deal, solver: Solver, finish, columns: str, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``columns`` of every row, made by finish(id, text, units of the text, which of them are marked).
 
-    deal: how strings go to places (cut_by_minimiser or an operator's own). carry: further columns of docs, which come
+    deal: how strings go to places (cut_by_minimiser or an operator's own; it may drop the folder of the chunks that it copies). carry: further columns of docs, which come
     back in a struct named more. The result is a settled table; all tables before it are deleted.
     """
     spark = docs.sparkSession
@@ -579,7 +583,7 @@ def remove_repeats(docs: DataFrame, units, deal, solver: Solver, finish, columns
         nodes = chunks.count()
         chunks = chunks.repartition(tasks, "chunk")
         listed = known.repartition(tasks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("p", "blob")).alias("known"))  # no more than the chunk asked
-        dealt = deal(chunks, listed, units, parts, tasks)
+        dealt = deal(chunks, listed, units, parts, tasks, first_path)
         drop_tables(spark, known)
         answers = solved(dealt.asks, nodes, tasks, compare(solver, units), units)
         said = answers.repartition(tasks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("p", "blob")).alias("said"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle_kinds
+from .common import drop_path, settle_kinds
 from .shared_windows import _C1, NULL_ID, Dealt, Words, _batch, _split, _unzip, _zip, all_runs, found_in, known_keys, mixed, owner, ragged, remove_repeats, sha256, spans, texts_of, write_strings
 
 #: Leaves of a subtree, unless they share a whole window; words that undecided leaves read at a time; slots of a depth.
@@ -130,10 +130,11 @@ def dealt(codes: np.ndarray, starts: np.ndarray, over: np.ndarray, parts: int) -
     return order, p[order], h[order]
 
 
-def deal_by_prefix(chunks: DataFrame, known: DataFrame, units: Words, parts: int, tasks: int) -> Dealt:
+def deal_by_prefix(chunks: DataFrame, known: DataFrame, units: Words, parts: int, tasks: int, source: str) -> Dealt:
     """Every suffix that can repeat goes, once a chunk, to the place of its group."""
     slots = 1 << int(np.clip(np.ceil(np.log2(max(1, parts) * units.places * (1 << 22) / (2 * LEAVES))), 10, np.log2(SLOTS)))
     found, path = settle_kinds(find_suffixes(chunks, known, units, parts, slots), "windows-suffixes")
+    drop_path(chunks.sparkSession, source)  # the texts are in the new table, too
     counts = found.where("kind = 'count'").groupBy("chunk").agg(F.sum("n").alias("n")).where(F.col("n") > LEAVES).select("chunk")
     over = np.zeros((units.length, slots), bool)
     over.reshape(-1)[counts.toArrow().column(0).to_numpy()] = True  # at most length * SLOTS numbers
