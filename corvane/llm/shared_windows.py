@@ -132,13 +132,14 @@ class Words:
     def encode(self, strings: list[bytes], names: list[bytes]) -> bytes:
         """Strings are rows of numbers of words (of ``names``); written as the words in use and their ranks, frequent words
         first, then those used once, in order: of these the rank says only that the next one comes."""
-        used, first, at, n = np.unique(np.frombuffer(b"".join(strings), np.int32), return_index=True, return_inverse=True, return_counts=True)
-        order = np.lexsort((first, -n))
-        often = int((n > 1).sum())
-        rank = np.empty(len(order), np.uint32)
-        rank[order] = np.minimum(np.arange(len(order)), often)
-        words = b" ".join([names[i] for i in used[order].tolist()])
-        return np.uint32(len(words)).tobytes() + np.uint32(often).tobytes() + words + planes(rank[at.reshape(-1)])
+        codes = np.frombuffer(b"".join(strings), np.int32)
+        n = np.bincount(codes, minlength=len(names))
+        often = np.flatnonzero(n > 1)
+        often = often[np.argsort(-n[often], kind="stable")]
+        rank = np.full(len(names), len(often), np.uint32)
+        rank[often] = np.arange(len(often))
+        words = b" ".join([names[i] for i in (*often.tolist(), *codes[n[codes] == 1].tolist())])
+        return np.uint32(len(words)).tobytes() + np.uint32(len(often)).tobytes() + words + planes(rank[codes])
 
     def decode(self, n: int, body: bytes, number: dict[bytes, int]) -> list[bytes]:
         size, often = np.frombuffer(body, np.uint32, 2).tolist()

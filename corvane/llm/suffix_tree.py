@@ -10,7 +10,8 @@ below such a node is the smallest of all its leaves. Marked at successive starts
 that are removed, whose number is n_spans.
 
 Counts of prefixes are kept in a table of slots, whose number grows with the text up to SLOTS; prefixes that share a
-slot count together, which can only make prefixes longer and groups smaller.
+slot count together, which can only make prefixes longer and groups smaller. A task leaves out counts that, added up
+over all tasks, stay below an eighth of LEAVES, so a group has at most that much more.
 
 Defined cases: null text has no words; texts shorter than a window keep everything; repeated rows and equal ids aren't
 smaller than each other; a null id is larger than any other; an empty table gives an empty table; further columns are ignored.
@@ -75,8 +76,9 @@ def window_rows(numbers: np.ndarray, at: np.ndarray, length: int) -> list[bytes]
     return [rows[k : k + 4 * length] for k in range(0, len(rows), 4 * length)]
 
 
-def find_suffixes(chunks: DataFrame, known: DataFrame, units: Words, parts: int, slots: int) -> DataFrame:
-    """Chunks (kind text) with the starts of their distinct repeatable windows and all uses of these; counts of prefixes (kind count)."""
+def find_suffixes(chunks: DataFrame, known: DataFrame, units: Words, parts: int, slots: int, least: int) -> DataFrame:
+    """Chunks (kind text) with the starts of their distinct repeatable windows and all uses of these; each task's counts of prefixes
+    from ``least`` on (kind count)."""
     n = units.length
 
     def uses(texts: list[bytes], known: list[dict] | None) -> tuple[bytes | None, np.ndarray, np.ndarray]:
@@ -106,7 +108,7 @@ def find_suffixes(chunks: DataFrame, known: DataFrame, units: Words, parts: int,
                     counts[d] += np.bincount(slot(h, slots), minlength=slots)
                 yield _batch(_SUFFIXES, [("text", row["chunk"], None, row["ids"], row["lens"], row["texts"], row["more"], found)])
         flat = counts.reshape(-1)
-        some = np.flatnonzero(flat)
+        some = np.flatnonzero(flat >= least)
         for k in range(0, len(some), 1 << 16):
             part, none = some[k : k + (1 << 16)], pa.nulls(len(some[k : k + (1 << 16)]), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(["count"] * len(part)), pa.array(part), pa.array(flat[part]), *[none] * 5], ["kind", "chunk", "n", "ids", "lens", "texts", "more", "uses"])
@@ -133,7 +135,7 @@ def dealt(codes: np.ndarray, starts: np.ndarray, over: np.ndarray, parts: int) -
 def deal_by_prefix(chunks: DataFrame, known: DataFrame, units: Words, parts: int, tasks: int, source: str) -> Dealt:
     """Every suffix that can repeat goes, once a chunk, to the place of its group."""
     slots = 1 << int(np.clip(np.ceil(np.log2(max(1, parts) * units.places * (1 << 22) / (2 * LEAVES))), 10, np.log2(SLOTS)))
-    found, path = settle_kinds(find_suffixes(chunks, known, units, parts, slots), "windows-suffixes")
+    found, path = settle_kinds(find_suffixes(chunks, known, units, parts, slots, max(1, LEAVES // (8 * tasks))), "windows-suffixes")
     drop_path(chunks.sparkSession, source)  # the texts are in the new table, too
     counts = found.where("kind = 'count'").groupBy("chunk").agg(F.sum("n").alias("n")).where(F.col("n") > LEAVES).select("chunk")
     over = np.zeros((units.length, slots), bool)
