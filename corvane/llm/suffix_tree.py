@@ -10,8 +10,9 @@ below such a node is the smallest of all its leaves. Marked at successive starts
 that are removed, whose number is n_spans.
 
 Counts of prefixes are kept in a table of slots, whose number grows with the text up to SLOTS; prefixes that share a
-slot count together, which can only make prefixes longer and groups smaller. A task leaves out counts that, added up
-over all tasks, stay below an eighth of LEAVES, so a group has at most that much more.
+slot count together, which can only make prefixes longer and groups smaller. A task tells only
+counts from LEAVES / 8 tasks on, or from LEAST on where that is more: their number is in proportion to the text, and a
+group can have at most an eighth of LEAVES, or LEAST for each task, more than its budget.
 
 Defined cases: null text has no words; texts shorter than a window keep everything; repeated rows and equal ids aren't
 smaller than each other; a null id is larger than any other; an empty table gives an empty table; further columns are ignored.
@@ -30,7 +31,9 @@ from .common import drop_path, settle_kinds
 from .shared_windows import _C1, NULL_ID, Dealt, Words, _batch, _split, _unzip, _zip, all_runs, found_in, known_keys, mixed, owner, ragged, remove_repeats, sha256, spans, texts_of, write_strings
 
 #: Leaves of a subtree, unless they share a whole window; words that undecided leaves read at a time; slots of a depth.
-LEAVES, RANGE, SLOTS = 1 << 15, 4, 1 << 20
+LEAVES, RANGE, SLOTS = 1 << 17, 4, 1 << 20
+#: Counts of a task below this aren't told.
+LEAST = 16
 
 _SUFFIXES = "kind string, chunk long, n long, ids binary, lens binary, texts binary, more binary, uses binary"
 
@@ -135,7 +138,7 @@ def dealt(codes: np.ndarray, starts: np.ndarray, over: np.ndarray, parts: int) -
 def deal_by_prefix(chunks: DataFrame, known: DataFrame, units: Words, parts: int, tasks: int, source: str) -> Dealt:
     """Every suffix that can repeat goes, once a chunk, to the place of its group."""
     slots = 1 << int(np.clip(np.ceil(np.log2(max(1, parts) * units.places * (1 << 22) / (2 * LEAVES))), 10, np.log2(SLOTS)))
-    found, path = settle_kinds(find_suffixes(chunks, known, units, parts, slots, max(1, LEAVES // (8 * tasks))), "windows-suffixes")
+    found, path = settle_kinds(find_suffixes(chunks, known, units, parts, slots, min(LEAVES, max(LEAST, LEAVES // (8 * tasks)))), "windows-suffixes")
     drop_path(chunks.sparkSession, source)  # the texts are in the new table, too
     counts = found.where("kind = 'count'").groupBy("chunk").agg(F.sum("n").alias("n")).where(F.col("n") > LEAVES).select("chunk")
     over = np.zeros((units.length, slots), bool)
