@@ -33,3 +33,15 @@ WARC = f"""WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM
  d AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, CAST(CAST(unhex(sha1(payload)) AS BIT) AS VARCHAR) AS b, max(page_id) OVER (PARTITION BY payload) AS top FROM p)
 SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {_FIVE}, 1)), '') AS payload_digest,
  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to FROM d"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+DECONTAMINATION = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS u FROM documents),
+ b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS u FROM benchmark),
+ iw AS (SELECT DISTINCT item, least(len(u), 10) AS m, array_to_string(u[k : k + least(len(u), 10) - 1], ' ') AS w FROM (SELECT item, u, unnest(range(1, greatest(2, len(u) - 8))) AS k FROM b WHERE len(u) > 0)),
+ dw AS (SELECT r, k, m, array_to_string(u[k : k + m - 1], ' ') AS w FROM (SELECT r, u, m, unnest(range(1, len(u) - m + 2)) AS k FROM d JOIN (SELECT DISTINCT m FROM iw) ON len(u) >= m)),
+ hits AS (SELECT r, k, m, item FROM dw JOIN iw USING (m, w)),
+ hit AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(k, k + m)) AS p FROM hits) GROUP BY 1),
+ its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT r, item FROM hits) GROUP BY 1)
+SELECT doc_id, len(u) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_extract, imatch, mixing, oracles, packing, simhash, suffix_array, suffix_tree, toxicity, warc
+from . import ann, html_extract, imatch, mixing, oracles, packing, positional_index, simhash, suffix_array, suffix_tree, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,12 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.edited_pairs(_table(spark, sf_dir, "documents"))
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in windows of 10 words of benchmark items, and those items."""
+    found = positional_index.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 QUERIES = {
     "op1_ann": op1_ann,
     "op2_suffix_tree": op2_suffix_tree,
@@ -77,5 +83,6 @@ QUERIES = {
     "op8_suffix_array": op8_suffix_array,
     "op9_warc": op9_warc,
     "op10_imatch": op10_imatch,
+    "op12_decontaminate": op12_decontaminate,
 }
-ORACLES: dict[str, str] = {"op2_suffix_tree": oracles.SUFFIX_TREE, "op8_suffix_array": oracles.SUFFIX_ARRAY, "op9_warc": oracles.WARC}
+ORACLES: dict[str, str] = {"op2_suffix_tree": oracles.SUFFIX_TREE, "op8_suffix_array": oracles.SUFFIX_ARRAY, "op9_warc": oracles.WARC, "op12_decontaminate": oracles.DECONTAMINATION}
