@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_extract, imatch, mixing, oracles, packing, positional_index, simhash, suffix_array, suffix_tree, toxicity, warc
+from . import ann, conversation_repair, html_extract, imatch, mixing, oracles, packing, positional_index, simhash, suffix_array, suffix_tree, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,12 @@ def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and the cheapest repair of every damaged conversation."""
+    talks = _table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damaged(talks), talks)
+
+
 QUERIES = {
     "op1_ann": op1_ann,
     "op2_suffix_tree": op2_suffix_tree,
@@ -84,5 +90,6 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_imatch": op10_imatch,
     "op12_decontaminate": op12_decontaminate,
+    "op13_repair": op13_repair,
 }
 ORACLES: dict[str, str] = {"op2_suffix_tree": oracles.SUFFIX_TREE, "op8_suffix_array": oracles.SUFFIX_ARRAY, "op9_warc": oracles.WARC, "op12_decontaminate": oracles.DECONTAMINATION}
