@@ -45,3 +45,16 @@ DECONTAMINATION = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WOR
  its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT r, item FROM hits) GROUP BY 1)
 SELECT doc_id, len(u) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)"""
+
+COLLOCATIONS = f"""WITH p AS (SELECT lang, row_number() OVER () AS r, piece FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+ q AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS u FROM p),
+ g AS (SELECT lang, u, unnest(range(1, len(u) + 1)) AS k FROM q WHERE len(u) > 0),
+ f AS (SELECT lang, m, array_to_string(u[k : k + m - 1], ' ') AS s, count(*) AS f FROM g, (SELECT unnest([1, 2, 3]) AS m) WHERE k + m - 1 <= len(u) GROUP BY ALL),
+ t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY 1),
+ c AS (SELECT lang, m, s, f AS a, string_split(s, ' ') AS u FROM f WHERE m > 1 AND f >= 10),
+ cuts AS (SELECT c.lang, c.m, s, a, u, k, x.f AS l, y.f AS r, (CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.f AS HUGEINT) * y.f) AS score FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c
+  JOIN (SELECT lang, s AS xs, f FROM f) x ON x.lang = c.lang AND xs = array_to_string(u[1:k], ' ') JOIN (SELECT lang, s AS ys, f FROM f) y ON y.lang = c.lang AND ys = array_to_string(u[k + 1:], ' ')),
+ best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, k) = 1),
+ held AS (SELECT lang, s, max(a) AS a FROM (SELECT lang, a, unnest([array_to_string(u[1:2], ' '), array_to_string(u[2:3], ' ')]) AS s FROM c WHERE m = 3) GROUP BY 1, 2),
+ kept AS (SELECT b.* FROM best b LEFT JOIN held h ON h.lang = b.lang AND h.s = b.s AND b.m = 2 WHERE h.a IS NULL OR 100 * h.a < 50 * b.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s) AS rank, s AS phrase, a, l, r, CAST(score AS BIGINT) AS score FROM kept) JOIN t USING (lang) WHERE rank <= 2000"""

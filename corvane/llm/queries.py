@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, conversation_repair, html_extract, imatch, mixing, oracles, packing, positional_index, simhash, suffix_array, suffix_tree, toxicity, warc
+from . import ann, collocations, conversation_repair, html_extract, imatch, mixing, oracles, packing, positional_index, simhash, suffix_array, suffix_tree, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,11 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.edited_pairs(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 phrases of two and three words of each language that hold together best."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in windows of 10 words of benchmark items, and those items."""
     found = positional_index.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -89,7 +94,8 @@ QUERIES = {
     "op8_suffix_array": op8_suffix_array,
     "op9_warc": op9_warc,
     "op10_imatch": op10_imatch,
+    "op11_collocations": op11_collocations,
     "op12_decontaminate": op12_decontaminate,
     "op13_repair": op13_repair,
 }
-ORACLES: dict[str, str] = {"op2_suffix_tree": oracles.SUFFIX_TREE, "op8_suffix_array": oracles.SUFFIX_ARRAY, "op9_warc": oracles.WARC, "op12_decontaminate": oracles.DECONTAMINATION}
+ORACLES: dict[str, str] = {"op2_suffix_tree": oracles.SUFFIX_TREE, "op8_suffix_array": oracles.SUFFIX_ARRAY, "op9_warc": oracles.WARC, "op11_collocations": oracles.COLLOCATIONS, "op12_decontaminate": oracles.DECONTAMINATION}
