@@ -6,31 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions import text as T
+from corvane.functions.lexicon import matched
 from corvane.plans import policy as P
 from corvane.session import drop, settled
 
 
-def stems_found(text: Column, lex: P.Lexicon) -> Column:
-    """The stems of the lexicon that words of the text begin with: one pass of one pattern, longer stems first."""
-    known = sorted(set(lex.stems()), key=lambda s: (-len(s), s))
-    if not known:
-        return F.array().cast("array<string>")
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(P.word("|".join(known))), F.lit(2)), F.lower))
-
-
-def hit(found: Column, group: str, lex: P.Lexicon) -> Column:
-    """Whether one of the stems of a group was found; a longer stem that begins with it counts."""
-    wanted = tuple(s for s in group.split("|") if s)
-    if not wanted:
-        return F.lit(False)
-    return F.arrays_overlap(found, F.array(*[F.lit(s) for s in sorted({*wanted, *(s for s in lex.stems() if s.startswith(wanted))})]))
-
-
-def anchors(found: Column, lex: P.Lexicon) -> Column:
-    """Canonical names whose stem was found, sorted. Patterns don't interact, so matching is enough."""
-    return F.array_sort(F.array_compact(F.array(*[F.when(hit(found, stem, lex), F.lit(name)) for name, (_, stem) in lex.anchors.items()])))
-
-
 def has(arr: Column, values: list[str]) -> Column:
     return F.arrays_overlap(arr, F.array(*[F.lit(v) for v in values]))
 
@@ -45,25 +25,17 @@ def tokens(text: Column) -> Column:
     return F.array_except(F.filter(F.array_distinct(found), lambda t: F.char_length(t) >= 4), F.array(*[F.lit(w) for w in P.STOPWORDS]))
 
 
-def canonical(text: Column, lex: P.Lexicon) -> Column:
-    """The text in lower case, with the canonical name in place of each word that begins with its stem."""
-    value = F.lower(text)
-    for name, (_, stem) in lex.anchors.items():
-        value = F.regexp_replace(value, P.word(stem) + r"[\p{L}\p{N}_]*", f"$1 {name} ")
-    return value
-
-
 def relevance(text: Column, found: Column, anchor: Column, group: Column, redacted: Column, lex: P.Lexicon) -> Column:
-    """The first gate, for recall."""
+    """The first gate, for recall. found: groups of stems in the canonical text."""
     context, action, support = has(anchor, lex.names("context", "location")), has(anchor, lex.names("action", "equipment")), has(anchor, lex.names("support"))
     return (F.when(redacted, "redacted").when(text == "", "irrelevant").when((group == "official-ua") & (action | support), "relevant").when(context & (action | support), "relevant")
-            .when(context & hit(found, lex.groups["political"], lex), "peripheral").otherwise("irrelevant"))
+            .when(context & F.array_contains(found, "political"), "peripheral").otherwise("irrelevant"))
 
 
-def topic(found: Column, anchor: Column, lex: P.Lexicon) -> Column:
+def topic(found: Column, anchor: Column) -> Column:
     a = lambda *n: has(anchor, list(n))
     return (F.when(a("casualties"), "civilian-harm").when(a("naval"), "naval").when(a("air-defence"), "air-defence").when(a("drone", "strike"), "strikes").when(a("frontline"), "frontline")
-            .when(a("refinery", "railway"), "energy").when(a("sanctions", "aid"), "support").when(hit(found, lex.groups["investigate"], lex), "investigations").otherwise("other"))
+            .when(a("refinery", "railway"), "energy").when(a("sanctions", "aid"), "support").when(F.array_contains(found, "investigate"), "investigations").otherwise("other"))
 
 
 def editorial_topic(first: Column, anchor: Column) -> Column:
@@ -71,7 +43,7 @@ def editorial_topic(first: Column, anchor: Column) -> Column:
     return F.when(has(anchor, ["casualties"]), F.when(has(anchor, P.STRIKES), "strikes").otherwise("civilian-harm")).otherwise(first)
 
 
-def strict(found: Column, anchor: Column, group: Column, topic_: Column, located: Column, lex: P.Lexicon) -> Column:
+def strict(found: Column, anchor: Column, group: Column, topic_: Column, located: Column) -> Column:
     """The second gate, for precision: a rule for each topic, and a veto for memorial texts."""
     a = lambda *n: has(anchor, list(n))
     current = a("homeland")
@@ -79,7 +51,7 @@ def strict(found: Column, anchor: Column, group: Column, topic_: Column, located
     rule = (F.when(topic_ == "civilian-harm", a("casualties") & ctx & (located | current | a(*P.STRIKES))).when(topic_ == "strikes", ctx & a(*P.STRIKES)).when(topic_ == "air-defence", ctx & a("air-defence"))
             .when(topic_ == "frontline", ctx & a("frontline")).when(topic_ == "energy", ctx & a("refinery", "railway")).when(topic_ == "naval", ctx & a("naval"))
             .when(topic_ == "support", a("sanctions", "aid") & (current | group.isin("official-ua", "international-media", "analysts"))).when(topic_ == "investigations", group.isin("osint", "analysts") & (ctx | a(*P.STRIKES, "frontline"))).otherwise(F.lit(False)))
-    return rule & ~hit(found, lex.groups["memorial"], lex)
+    return rule & ~F.array_contains(found, "memorial")
 
 
 def signature(anchor: Column, topic_: Column, located: Column, family: Column, lex: P.Lexicon) -> Column:
@@ -90,20 +62,22 @@ def signature(anchor: Column, topic_: Column, located: Column, family: Column, l
 
 
 def prepared(items: DataFrame, lex: P.Lexicon) -> DataFrame:
-    """Items with text, anchors, topics, gates and cluster key; one regular expression runs once per item."""
+    """Items with anchors, topics, gates and cluster key. Each text is matched once, by words; rules read what was found.
+
+    locations: display places of the text as written (cluster key); places: places among the anchors (change over time
+    and dominance).
+    """
     text = T.clean(F.concat_ws(" ", F.col("title"), F.col("text")))
     p = items.select("item_id", "source", "platform", "grp", "perspective", "trust", "stamp", "local_day", F.lower("source_name").alias("family"), text.alias("body"), F.array_contains("tags", P.REDACT_TAGS[0]).alias("redacted"))
-    found = F.col("found")
-    p = p.withColumn("found", stems_found(F.col("body"), lex))
-    p = p.withColumn("anchors", anchors(found, lex))
-    p = p.withColumns({"relevance": relevance(F.col("body"), found, F.col("anchors"), F.col("grp"), F.col("redacted"), lex), "first_topic": topic(found, F.col("anchors"), lex), "locations": only(F.col("anchors"), lex.names("location"))})
+    p = matched(p, "body", {n: stems for n, (_, stems) in lex.anchors.items()}, lex.as_written(), {k: lex.groups[k] for k in P.CANONICAL_GROUPS})
+    found, anchor = F.col("as_written"), F.col("anchors")
+    p = p.withColumns({"relevance": relevance(F.col("body"), F.col("in_canonical"), anchor, F.col("grp"), F.col("redacted"), lex), "first_topic": topic(F.col("in_canonical"), anchor), "places": only(anchor, lex.names("location")), "locations": F.transform(F.filter(found, lambda n: n.startswith(P.DISPLAY)), lambda n: F.substring(n, len(P.DISPLAY) + 1, 1 << 20))})
     located = F.size("locations") > 0
-    p = p.withColumn("topic", editorial_topic(F.col("first_topic"), F.col("anchors")))
-    p = p.withColumns({k: hit(found, lex.groups[k], lex) for k in ("major", "material", "alert")})
-    p = p.withColumn("strict", strict(found, F.col("anchors"), F.col("grp"), F.col("topic"), located, lex))
-    p = p.withColumn("semantic", signature(F.col("anchors"), F.col("topic"), located, F.col("family"), lex))
-    p = p.withColumn("tokens", F.when(in_cluster(), tokens(canonical(F.col("body"), lex)))).drop("body", "found")
-    return p
+    p = p.withColumn("topic", editorial_topic(F.col("first_topic"), anchor))
+    p = p.withColumns({k: F.array_contains(found, k) for k in ("major", "material", "alert")})
+    p = p.withColumn("strict", strict(found, anchor, F.col("grp"), F.col("topic"), located))
+    p = p.withColumn("semantic", signature(anchor, F.col("topic"), located, F.col("family"), lex))
+    return p.withColumn("tokens", F.when(in_cluster(), tokens(F.col("canonical")))).drop("body", "as_written", "in_canonical", "canonical")
 
 
 def in_cluster() -> Column:
@@ -125,14 +99,13 @@ def family_best(acc: DataFrame) -> DataFrame:
 
 
 def evidence(best: DataFrame) -> DataFrame:
-    """Weight of each group times at most two families, one more for two known perspectives, at most 10."""
-    n = {g: F.count_if(F.col("grp") == g) for g in P.GROUPS}
-    score = F.lit(0.0)
-    for g in P.GROUPS:
-        score = score + F.lit(P.WEIGHT[g]) * F.least(n[g], F.lit(2))
-    seen = F.count_distinct(F.when(~F.col("perspective").isin("", "unknown"), F.col("perspective")))
-    score = F.least(F.lit(10.0), score + F.when(seen >= 2, 1.0).otherwise(0.0))
-    return best.groupBy(*KEY).agg(score.alias("evidence"))
+    """Weight of each group (of a group that the table hasn't, 0.5) times at most two families, one more for two known
+    perspectives, at most 10."""
+    weight = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in P.WEIGHT.items() for x in kv]), F.col("grp")), F.lit(P.WEIGHT_OTHER))
+    known = F.when(~F.col("perspective").isin("", "unknown"), F.col("perspective"))
+    g = best.groupBy(*KEY, "grp").agg(F.count(F.lit(1)).alias("n"), F.collect_set(known).alias("seen"))
+    g = g.groupBy(*KEY).agg(F.round(F.sum(weight * F.least("n", F.lit(2))), 9).alias("score"), F.size(F.array_distinct(F.flatten(F.collect_list("seen")))).alias("seen"))
+    return g.select(*KEY, F.least(F.lit(10.0), F.col("score") + F.when(F.col("seen") >= 2, 1.0).otherwise(0.0)).alias("evidence"))
 
 
 def label(score: Column, high: float, middle: float, names: tuple[str, str, str]) -> Column:
@@ -151,7 +124,7 @@ def clusters(prep: DataFrame) -> DataFrame:
     """One row per cluster of a local day, with its scores and predicates."""
     acc = settled(accepted(prep).drop("relevance", "first_topic", "strict", "redacted"), "accepted")  # small columns of the items that are in clusters; four aggregations read it
     body = acc.groupBy(*KEY).agg(
-        F.count(F.lit(1)).alias("items"), F.min("item_id").alias("first_pos"), F.count_distinct("family").alias("families"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("anchors")))).alias("anchor_union"),
+        F.count(F.lit(1)).alias("items"), F.min("item_id").alias("first_pos"), F.count_distinct("family").alias("families"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("anchors")))).alias("anchor_union"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("places")))).alias("place_union"),
         F.bool_or("material").alias("material"), F.avg(F.col("alert").cast("double")).alias("alerts"))
     place = F.row_number().over(Window.partitionBy(*KEY).orderBy("item_id"))
     early = acc.select(*KEY, "item_id", "major").withColumn("place", place).where(F.col("place") <= 20)  # cut on the map side, too
@@ -186,8 +159,8 @@ def temporal(c: DataFrame, days: int = 7) -> DataFrame:
     own; the score only picks the best match of a day. Pairs are ids alone until they are distinct.
     """
     ago = F.sequence(F.date_sub("local_day", days), F.date_sub("local_day", 1))
-    now = c.select("cluster_id", "topic", F.explode("locations").alias("place"), ago.alias("ago")).select("cluster_id", "topic", "place", F.explode("ago").alias("day"))
-    old = c.select(F.col("cluster_id").alias("h_id"), F.col("topic").alias("h_topic"), F.explode("locations").alias("place"), F.col("local_day").alias("day"))
+    now = c.select("cluster_id", "topic", F.explode("place_union").alias("place"), ago.alias("ago")).select("cluster_id", "topic", "place", F.explode("ago").alias("day"))
+    old = c.select(F.col("cluster_id").alias("h_id"), F.col("topic").alias("h_topic"), F.explode("place_union").alias("place"), F.col("local_day").alias("day"))
     ok = (F.col("topic") == F.col("h_topic")) | (F.col("topic").isin(*PAIRED) & F.col("h_topic").isin(*PAIRED))
     pairs = now.join(old, ["place", "day"]).where(ok).select("cluster_id", "h_id").distinct()
     what = c.select("cluster_id", "anchor_union", "token_union")
@@ -218,7 +191,7 @@ def primary(r: DataFrame, most: int = 14, per_topic: int = 4) -> DataFrame:
 
     Each choice depends on those before, so it is a fold over the sorted clusters of a day - a few hundred at most.
     """
-    row = F.struct((-F.col("rank")).alias("o"), "first_pos", "cluster_id", "topic", "locations", "evidence", "families", "items")
+    row = F.struct((-F.col("rank")).alias("o"), "first_pos", "cluster_id", "topic", F.col("place_union").alias("locations"), "evidence", "families", "items")
     days = r.where("NOT (routine OR broad OR weak OR thin)").groupBy("local_day").agg(F.array_sort(F.collect_list(row)).alias("xs"))
 
     def step(acc: Column, x: Column) -> Column:

@@ -29,23 +29,6 @@ _STRIKE = "(list_contains(anchors, 'drone') OR list_contains(anchors, 'missile')
 _TOKEN = "([a-zа-яіїєґ0-9][a-zа-яіїєґ0-9''-]{2,})"
 _CTX = f"({_LOCATED} OR {_CURRENT} OR grp = 'official-ua')"
 
-PREP = f"""p0 AS (SELECT item_id, source, platform, grp, perspective, trust, stamp, local_day, lower(source_name) AS family, trim(regexp_replace(concat_ws(' ', title, text), '\\s+', ' ', 'g')) AS body, list_contains(tags, 'operational-position') AS redacted FROM items),
-p1 AS (SELECT *, {_ANCHORS} AS anchors FROM p0),
-p2 AS (SELECT *, CASE WHEN redacted THEN 'redacted' WHEN body = '' THEN 'irrelevant' WHEN grp = 'official-ua' AND ({_ACTION} OR {_SUPPORT}) THEN 'relevant' WHEN {_CONTEXT} AND ({_ACTION} OR {_SUPPORT}) THEN 'relevant' WHEN {_CONTEXT} AND {_match('body', P.POLITICAL)} THEN 'peripheral' ELSE 'irrelevant' END AS relevance,
- CASE WHEN {_has('casualties')} THEN 'civilian-harm' WHEN {_has('naval')} THEN 'naval' WHEN {_has('air-defence')} THEN 'air-defence' WHEN {_has('drone', 'strike')} THEN 'strikes' WHEN {_has('frontline')} THEN 'frontline' WHEN {_has('refinery', 'railway')} THEN 'energy' WHEN {_has('sanctions', 'aid')} THEN 'support' WHEN {_match('body', P.INVESTIGATE)} THEN 'investigations' ELSE 'other' END AS first_topic,
- {_only(*P.names('location'))} AS locations FROM p1),
-p3 AS (SELECT *, CASE WHEN {_has('casualties')} THEN CASE WHEN {_STRIKE} THEN 'strikes' ELSE 'civilian-harm' END ELSE first_topic END AS topic FROM p2),
-p4 AS (SELECT *, NOT {_match('body', P.MEMORIAL)} AND CASE topic WHEN 'civilian-harm' THEN {_has('casualties')} AND {_CTX} AND ({_LOCATED} OR {_CURRENT} OR {_STRIKE}) WHEN 'strikes' THEN {_CTX} AND {_STRIKE} WHEN 'air-defence' THEN {_CTX} AND {_has('air-defence')} WHEN 'frontline' THEN {_CTX} AND {_has('frontline')}
- WHEN 'energy' THEN {_CTX} AND {_has('refinery', 'railway')} WHEN 'naval' THEN {_CTX} AND {_has('naval')} WHEN 'support' THEN {_has('sanctions', 'aid')} AND ({_CURRENT} OR grp IN ('official-ua', 'international-media', 'analysts')) WHEN 'investigations' THEN grp IN ('osint', 'analysts') AND ({_CTX} OR {_STRIKE} OR {_has('frontline')}) ELSE FALSE END AS strict,
- CASE WHEN topic = 'civilian-harm' THEN ['casualties'] WHEN topic = 'support' THEN CASE WHEN {_has('sanctions')} THEN ['sanctions'] WHEN {_has('aid')} THEN ['aid'] ELSE CAST([] AS VARCHAR[]) END WHEN topic IN ('energy', 'air-defence', 'naval') THEN {_only(*P.names('equipment'))} ELSE CAST([] AS VARCHAR[]) END AS sem FROM p3),
-prep AS (SELECT *, CASE WHEN NOT ({_LOCATED}) AND topic NOT IN ('support', 'investigations') THEN list_concat(sem, ['source:' || family]) ELSE sem END AS semantic FROM p4)"""
-
-_KEY = "local_day, topic, locations, semantic"
-_GROUPS = " + ".join(f"CAST({P.WEIGHT[g]} AS DOUBLE) * least(count(*) FILTER (grp = '{g}'), 2)" for g in P.GROUPS)
-_RANKS = f"{_case('grp', P.GROUP_RANK)} DESC, {_case('trust', P.TRUST_RANK)} DESC, stamp DESC, item_id"
-
-
-
 def _tokens(text: str) -> str:
     stop = ", ".join(f"'{w}'" for w in P.STOPWORDS)
     return f"list_filter(list_distinct(regexp_extract_all({text}, '{_TOKEN}', 1)), lambda t: length(t) >= 4 AND t NOT IN ({stop}))"
@@ -58,14 +41,34 @@ def _canonical(text: str) -> str:
     return value
 
 
+_DISPLAY = "list_sort(list_filter([" + ", ".join(f"CASE WHEN {_match('body', stem)} THEN '{name}' END" for name, stem in P.DISPLAYED.items()) + "], lambda a: a IS NOT NULL))"
+
+PREP = f"""p0 AS (SELECT item_id, source, platform, grp, perspective, trust, stamp, local_day, lower(source_name) AS family, trim(regexp_replace(concat_ws(' ', title, text), '\\s+', ' ', 'g')) AS body, list_contains(tags, 'operational-position') AS redacted FROM items),
+p1 AS (SELECT *, {_ANCHORS} AS anchors, {_canonical('body')} AS canon FROM p0),
+p2 AS (SELECT *, CASE WHEN redacted THEN 'redacted' WHEN body = '' THEN 'irrelevant' WHEN grp = 'official-ua' AND ({_ACTION} OR {_SUPPORT}) THEN 'relevant' WHEN {_CONTEXT} AND ({_ACTION} OR {_SUPPORT}) THEN 'relevant' WHEN {_CONTEXT} AND {_match('canon', P.POLITICAL)} THEN 'peripheral' ELSE 'irrelevant' END AS relevance,
+ CASE WHEN {_has('casualties')} THEN 'civilian-harm' WHEN {_has('naval')} THEN 'naval' WHEN {_has('air-defence')} THEN 'air-defence' WHEN {_has('drone', 'strike')} THEN 'strikes' WHEN {_has('frontline')} THEN 'frontline' WHEN {_has('refinery', 'railway')} THEN 'energy' WHEN {_has('sanctions', 'aid')} THEN 'support' WHEN {_match('canon', P.INVESTIGATE)} THEN 'investigations' ELSE 'other' END AS first_topic,
+ {_only(*P.names('location'))} AS places, {_DISPLAY} AS locations FROM p1),
+p3 AS (SELECT *, CASE WHEN {_has('casualties')} THEN CASE WHEN {_STRIKE} THEN 'strikes' ELSE 'civilian-harm' END ELSE first_topic END AS topic FROM p2),
+p4 AS (SELECT *, NOT {_match('body', P.MEMORIAL)} AND CASE topic WHEN 'civilian-harm' THEN {_has('casualties')} AND {_CTX} AND ({_LOCATED} OR {_CURRENT} OR {_STRIKE}) WHEN 'strikes' THEN {_CTX} AND {_STRIKE} WHEN 'air-defence' THEN {_CTX} AND {_has('air-defence')} WHEN 'frontline' THEN {_CTX} AND {_has('frontline')}
+ WHEN 'energy' THEN {_CTX} AND {_has('refinery', 'railway')} WHEN 'naval' THEN {_CTX} AND {_has('naval')} WHEN 'support' THEN {_has('sanctions', 'aid')} AND ({_CURRENT} OR grp IN ('official-ua', 'international-media', 'analysts')) WHEN 'investigations' THEN grp IN ('osint', 'analysts') AND ({_CTX} OR {_STRIKE} OR {_has('frontline')}) ELSE FALSE END AS strict,
+ CASE WHEN topic = 'civilian-harm' THEN ['casualties'] WHEN topic = 'support' THEN CASE WHEN {_has('sanctions')} THEN ['sanctions'] WHEN {_has('aid')} THEN ['aid'] ELSE CAST([] AS VARCHAR[]) END WHEN topic IN ('energy', 'air-defence', 'naval') THEN {_only(*P.names('equipment'))} ELSE CAST([] AS VARCHAR[]) END AS sem FROM p3),
+prep AS (SELECT *, CASE WHEN NOT ({_LOCATED}) AND topic NOT IN ('support', 'investigations') THEN list_concat(sem, ['source:' || family]) ELSE sem END AS semantic FROM p4)"""
+
+_KEY = "local_day, topic, locations, semantic"
+_WEIGHT = "CASE grp " + " ".join(f"WHEN '{g}' THEN {w}" for g, w in P.WEIGHT.items()) + f" ELSE {P.WEIGHT_OTHER} END"
+_RANKS = f"{_case('grp', P.GROUP_RANK)} DESC, {_case('trust', P.TRUST_RANK)} DESC, stamp DESC, item_id"
+
+
 CLUSTERS = f"""acc AS (SELECT * FROM prep WHERE relevance IN ('relevant', 'peripheral') AND strict),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_KEY}, family ORDER BY {_RANKS}) AS r FROM acc) WHERE r = 1),
-ev AS (SELECT {_KEY}, least(10.0, CAST(0.0 AS DOUBLE) + {_GROUPS} + CASE WHEN count(DISTINCT CASE WHEN perspective NOT IN ('', 'unknown') THEN perspective END) >= 2 THEN 1.0 ELSE 0.0 END) AS evidence FROM best GROUP BY {_KEY}),
+eg AS (SELECT {_KEY}, sum(CAST({_WEIGHT} AS DOUBLE) * least(n, 2)) AS score FROM (SELECT {_KEY}, grp, count(*) AS n FROM best GROUP BY {_KEY}, grp) GROUP BY {_KEY}),
+ep AS (SELECT {_KEY}, count(DISTINCT CASE WHEN perspective NOT IN ('', 'unknown') THEN perspective END) AS seen FROM best GROUP BY {_KEY}),
+ev AS (SELECT {_KEY}, least(10.0, round(score, 9) + CASE WHEN seen >= 2 THEN 1.0 ELSE 0.0 END) AS evidence FROM eg JOIN ep USING ({_KEY})),
 tg AS (SELECT {_KEY}, family, count(*) AS n FROM acc WHERE platform = 'telegram' GROUP BY {_KEY}, family),
 tp AS (SELECT {_KEY}, count(DISTINCT perspective) FILTER (perspective NOT IN ('', 'unknown')) AS seen FROM acc WHERE platform = 'telegram' GROUP BY {_KEY}),
 pu AS (SELECT {_KEY}, round(least(10.0, CAST(1.8 AS DOUBLE) * log2(1 + count(*)) + CAST(0.35 AS DOUBLE) * sum(least(3, n)) + CAST(0.7 AS DOUBLE) * greatest(0, any_value(seen) - 1)), 9) AS pulse FROM tg JOIN tp USING ({_KEY}) GROUP BY {_KEY}),
-wo AS (SELECT {_KEY}, list_distinct(flatten(list(toks))) AS token_union FROM (SELECT {_KEY}, {_tokens(_canonical('body'))} AS toks FROM acc) GROUP BY {_KEY}),
-body AS (SELECT {_KEY}, count(*) AS items, min(item_id) AS first_pos, count(DISTINCT family) AS families, list_sort(list_distinct(flatten(list(anchors)))) AS anchor_union, bool_or(place <= 20 AND {_match('body', P.MAJOR)}) AS major, bool_or({_match('body', P.MATERIAL)}) AS material, avg(CAST({_match('body', P.ALERT)} AS INT)) AS alerts
+wo AS (SELECT {_KEY}, list_distinct(flatten(list(toks))) AS token_union FROM (SELECT {_KEY}, {_tokens('canon')} AS toks FROM acc) GROUP BY {_KEY}),
+body AS (SELECT {_KEY}, count(*) AS items, min(item_id) AS first_pos, count(DISTINCT family) AS families, list_sort(list_distinct(flatten(list(anchors)))) AS anchor_union, list_sort(list_distinct(flatten(list(places)))) AS place_union, bool_or(place <= 20 AND {_match('body', P.MAJOR)}) AS major, bool_or({_match('body', P.MATERIAL)}) AS material, avg(CAST({_match('body', P.ALERT)} AS INT)) AS alerts
  FROM (SELECT *, row_number() OVER (PARTITION BY {_KEY} ORDER BY item_id) AS place FROM acc) GROUP BY {_KEY}),
 clusters AS (SELECT b.*, w.token_union, e.evidence, coalesce(p.pulse, 0.0) AS pulse,
  least(10.0, {_case('b.topic', P.IMPORTANCE)} + CASE WHEN major THEN 1.0 ELSE 0.0 END + CASE WHEN list_has_any(anchor_union, ['refinery', 'railway']) THEN 0.5 ELSE 0.0 END + CASE WHEN b.topic = 'civilian-harm' AND list_contains(anchor_union, 'casualties') THEN 0.5 ELSE 0.0 END)::DOUBLE AS importance,
@@ -76,7 +79,7 @@ clusters AS (SELECT b.*, w.token_union, e.evidence, coalesce(p.pulse, 0.0) AS pu
 
 _PAIRED = "('strikes', 'civilian-harm', 'air-defence', 'energy')"
 TEMPORAL = f"""pairs AS (SELECT c.cluster_id, h.local_day AS h_day, h.pulse AS h_pulse, h.first_pos AS h_pos, round(0.55 + 0.30 * (len(list_intersect(c.anchor_union, h.anchor_union)) / len(list_distinct(list_concat(c.anchor_union, h.anchor_union)))) + CASE WHEN len(c.token_union) > 0 AND len(h.token_union) > 0 THEN 0.15 * (len(list_intersect(c.token_union, h.token_union)) / len(list_distinct(list_concat(c.token_union, h.token_union)))) ELSE 0 END, 9) AS score
- FROM clusters c JOIN clusters h ON date_diff('day', h.local_day, c.local_day) BETWEEN 1 AND 7 AND (c.topic = h.topic OR (c.topic IN {_PAIRED} AND h.topic IN {_PAIRED})) AND list_has_any(c.locations, h.locations)),
+ FROM clusters c JOIN clusters h ON date_diff('day', h.local_day, c.local_day) BETWEEN 1 AND 7 AND (c.topic = h.topic OR (c.topic IN {_PAIRED} AND h.topic IN {_PAIRED})) AND list_has_any(c.place_union, h.place_union)),
 bestday AS (SELECT cluster_id, h_day, h_pulse FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id, h_day ORDER BY score DESC, h_pos) AS r FROM pairs) WHERE r = 1),
 base AS (SELECT cluster_id, round(avg(h_pulse), 9) AS baseline, count(*) AS matched_days FROM bestday GROUP BY 1),
 ch AS (SELECT c.cluster_id, b.baseline, coalesce(b.matched_days, 0) AS matched_days, CASE WHEN b.baseline IS NULL THEN 'NEW' WHEN b.baseline > 0 AND c.pulse >= b.baseline * CAST(1.8 AS DOUBLE) AND c.pulse - b.baseline >= 1.0 THEN 'ESCALATING' WHEN b.baseline > 0 AND c.pulse <= b.baseline * CAST(0.55 AS DOUBLE) AND b.baseline - c.pulse >= 1.0 THEN 'DECLINING' ELSE 'CONTINUING' END AS change FROM clusters c LEFT JOIN base b USING (cluster_id)),
@@ -86,8 +89,8 @@ ranked AS (SELECT c.*, round(greatest(0.0, least(10.0, CAST(0.42 AS DOUBLE) * im
 # a day's clusters by rank, one a step; the chosen ones travel as lists of structs
 PRIMARY = """cand AS (SELECT *, row_number() OVER (PARTITION BY local_day ORDER BY rank DESC, first_pos) AS rn FROM ranked WHERE NOT (routine OR broad OR weak OR thin)),
 fold AS (SELECT DISTINCT local_day, CAST(0 AS BIGINT) AS rn, CAST([] AS STRUCT(id VARCHAR, topic VARCHAR, locs VARCHAR[], ev DOUBLE, fam BIGINT, items BIGINT, rank DOUBLE)[]) AS sel FROM cand
- UNION ALL SELECT f.local_day, c.rn, CASE WHEN len(f.sel) >= 14 OR len(list_filter(f.sel, lambda s: s.topic = c.topic)) >= 4 OR len(list_filter(f.sel, lambda s: s.topic = c.topic AND len(s.locs) > 0 AND len(s.locs) < len(c.locations) AND list_has_all(c.locations, s.locs) AND s.ev >= c.evidence AND (s.fam >= c.families + 2 OR s.items >= greatest(3, 2 * c.items)))) > 0 THEN f.sel
-  ELSE list_append(f.sel, struct_pack(id := c.cluster_id, topic := c.topic, locs := c.locations, ev := c.evidence, fam := c.families, items := c.items, rank := c.rank)) END FROM fold f JOIN cand c ON c.local_day = f.local_day AND c.rn = f.rn + 1),
+ UNION ALL SELECT f.local_day, c.rn, CASE WHEN len(f.sel) >= 14 OR len(list_filter(f.sel, lambda s: s.topic = c.topic)) >= 4 OR len(list_filter(f.sel, lambda s: s.topic = c.topic AND len(s.locs) > 0 AND len(s.locs) < len(c.place_union) AND list_has_all(c.place_union, s.locs) AND s.ev >= c.evidence AND (s.fam >= c.families + 2 OR s.items >= greatest(3, 2 * c.items)))) > 0 THEN f.sel
+  ELSE list_append(f.sel, struct_pack(id := c.cluster_id, topic := c.topic, locs := c.place_union, ev := c.evidence, fam := c.families, items := c.items, rank := c.rank)) END FROM fold f JOIN cand c ON c.local_day = f.local_day AND c.rn = f.rn + 1),
 chosen AS (SELECT local_day, unnest(range(1, len(sel) + 1)) AS place, unnest(sel) AS s FROM (SELECT local_day, arg_max(sel, rn) AS sel FROM fold GROUP BY 1))"""
 
 
