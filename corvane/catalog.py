@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, Window
@@ -19,9 +20,11 @@ from corvane.plans import policy as P
 from corvane.plans import reports as R
 from corvane.plans import sql as Q
 from corvane.plans import views as V
-from corvane.session import table
-from corvane.sources.archive import duplicate_keys
+from corvane.session import settled, shared_dir, table
 from corvane.sources import pages as W
+from corvane.sources import store
+from corvane.sources.archive import duplicate_keys
+from corvane.sources.key_index import KeyIndex
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -322,6 +325,19 @@ def anti_archive(spark, sf) -> DataFrame:
     return J.drop_seen(V.items(spark, sf), seen).select("item_id")
 
 
+@query(_items("SELECT item_id, utc_day FROM items WHERE utc_day >= DATE '2024-01-06'"))
+def anti_archive_indexed(spark, sf) -> DataFrame:
+    # the archive holds the days before; the batch is everything
+    i, folder = V.items(spark, sf), f"{shared_dir(spark)}/corvane-plans/keys-{uuid.uuid4().hex}"
+    index = KeyIndex(spark, folder)
+    index.rebuild(i.where(F.col("utc_day") < F.lit(DAY)).select("item_id"))
+    try:
+        seen = settled(index.seen(i.select(F.col("item_id").cast("string").alias("key")), "key"), "seen")
+    finally:
+        store.delete(spark, folder)
+    return J.drop_seen(i, seen.select(F.col("key").cast("long").alias("item_id"))).select("item_id", "utc_day")
+
+
 @query(f"WITH {V.ITEMS}, {V.REGISTRY} SELECT i.item_id, r.priority, r.enabled FROM items i LEFT JOIN registry r USING (source)")
 def lookup_enrich(spark, sf) -> DataFrame:
     return V.items(spark, sf).join(V.registry(spark, sf).select("source", "priority", "enabled"), "source", "left").select("item_id", "priority", "enabled")

@@ -148,6 +148,11 @@ def clusters(prep: DataFrame) -> DataFrame:
     return out
 
 
+def places_of(c: DataFrame) -> Column:
+    """Places among the anchors; where clusters have but one list of places, that one."""
+    return F.col("place_union" if "place_union" in c.columns else "locations")
+
+
 PAIRED = ["strikes", "civilian-harm", "air-defence", "energy"]
 
 
@@ -159,8 +164,8 @@ def temporal(c: DataFrame, days: int = 7) -> DataFrame:
     own; the score only picks the best match of a day. Pairs are ids alone until they are distinct.
     """
     ago = F.sequence(F.date_sub("local_day", days), F.date_sub("local_day", 1))
-    now = c.select("cluster_id", "topic", F.explode("place_union").alias("place"), ago.alias("ago")).select("cluster_id", "topic", "place", F.explode("ago").alias("day"))
-    old = c.select(F.col("cluster_id").alias("h_id"), F.col("topic").alias("h_topic"), F.explode("place_union").alias("place"), F.col("local_day").alias("day"))
+    now = c.select("cluster_id", "topic", F.explode(places_of(c)).alias("place"), ago.alias("ago")).select("cluster_id", "topic", "place", F.explode("ago").alias("day"))
+    old = c.select(F.col("cluster_id").alias("h_id"), F.col("topic").alias("h_topic"), F.explode(places_of(c)).alias("place"), F.col("local_day").alias("day"))
     ok = (F.col("topic") == F.col("h_topic")) | (F.col("topic").isin(*PAIRED) & F.col("h_topic").isin(*PAIRED))
     pairs = now.join(old, ["place", "day"]).where(ok).select("cluster_id", "h_id").distinct()
     what = c.select("cluster_id", "anchor_union", "token_union")
@@ -191,7 +196,7 @@ def primary(r: DataFrame, most: int = 14, per_topic: int = 4) -> DataFrame:
 
     Each choice depends on those before, so it is a fold over the sorted clusters of a day - a few hundred at most.
     """
-    row = F.struct((-F.col("rank")).alias("o"), "first_pos", "cluster_id", "topic", F.col("place_union").alias("locations"), "evidence", "families", "items")
+    row = F.struct((-F.col("rank")).alias("o"), "first_pos", "cluster_id", "topic", places_of(r).alias("locations"), "evidence", "families", "items")
     days = r.where("NOT (routine OR broad OR weak OR thin)").groupBy("local_day").agg(F.array_sort(F.collect_list(row)).alias("xs"))
 
     def step(acc: Column, x: Column) -> Column:
