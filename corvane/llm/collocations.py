@@ -161,8 +161,13 @@ def adjacent(over: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     """Merge-join of each list with those that stand one position on: first, second, count and positions of every pair."""
     at = np.flatnonzero((over[:-1] >= 0) & (over[1:] >= 0))
     key = over[at] * n + over[at + 1]
-    order = np.argsort(key, kind="stable")
-    key, at = key[order], at[order]
+    bits = len(over).bit_length()
+    if n * n < 1 << (63 - bits):  # pair and position in one number, which sorts faster
+        key = np.sort(key << bits | at)
+        key, at = key >> bits, key & ((1 << bits) - 1)
+    else:
+        order = np.argsort(key, kind="stable")
+        key, at = key[order], at[order]
     begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
     return key[begin] // max(1, n), key[begin] % max(1, n), np.diff(np.append(begin, len(key))), at
 
@@ -179,9 +184,7 @@ def pairs(level1: DataFrame, frequent: DataFrame) -> DataFrame:
         schema = pa.schema([("seg", pa.int64()), *[(c, pa.binary()) for c in ("ids", "first", "second", "counts", "positions")]])
         rows = []
         if right.num_rows:
-            place = right["place"].to_numpy()
-            order = np.argsort(place)
-            place, ids = place[order], right["id"].to_numpy()[order]
+            place, ids = right["place"].to_numpy(), right["id"].to_numpy()
             for r in left.to_pylist():
                 over = laid_out(r["positions"], np.frombuffer(r["counts"], "<i4"), place)
                 first, second, n, at = adjacent(over, len(place))
@@ -199,9 +202,7 @@ def triples(level2: DataFrame, frequent: DataFrame) -> DataFrame:
     def extend(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [np.zeros(0, np.int64)] * 3
         if right.num_rows and left.num_rows:
-            place = right["place"].to_numpy()
-            order = np.argsort(place)
-            place, ids = place[order], right["id"].to_numpy()[order]
+            place, ids = right["place"].to_numpy(), right["id"].to_numpy()
             r = left.to_pylist()[0]
             first, second, n, _ = adjacent(laid_out(r["positions"], np.frombuffer(r["counts"], "<i4"), place), len(place))
             out = [ids[first], ids[second], n]
@@ -225,14 +226,13 @@ def candidates(docs: DataFrame, least: int = 10) -> tuple[DataFrame, DataFrame]:
     level1 = segments(docs)
     with settings(spark, FEW_ROWS):
         words = frequent_words(level1, least)
-        level2 = pairs(level1, words)
-        total = settle(level1.groupBy("lang").agg(F.sum("total").alias("n")), "totals")
-        drop_tables(spark, level1)
+    level2 = pairs(level1, words)
+    total = settle(level1.groupBy("lang").agg(F.sum("total").alias("n")), "totals")
+    drop_tables(spark, level1)
     with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "100000"}):
         known = frequent_pairs(level2, least)
-    with settings(spark, FEW_ROWS):
-        three = settle(triples(level2, known).where(F.col("f") >= least), "triples")
-        drop_tables(spark, level2)
+    three = settle(triples(level2, known).where(F.col("f") >= least), "triples")
+    drop_tables(spark, level2)
     word = words.where("code = id").select("id", "lang", "word", F.col("f").alias("n"))
     first, second = (word.select(F.col("id").alias(k), *[F.col(c).alias(f"{k}_{c}") for c in ("lang", "word", "n")]) for k in ("a", "b"))
     two = known.where("code = id").select("id", "a", "b", "f").join(first, "a").join(second, "b")
