@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvane.functions import payload as N
 from corvane.functions import text as T
 from corvane.functions.canonical import canonicaliser
 from corvane.operators import aggregates as A
@@ -179,15 +180,16 @@ def card_search(spark, sf) -> DataFrame:
     return S.card_search(V.items(spark, sf), "Ering", "rss").select("item_id")
 
 
-_PATHS = "CASE p_partkey % 5 WHEN 0 THEN 'data/raw/2024-01-' || lpad(CAST(1 + p_partkey % 28 AS VARCHAR), 2, '0') || '.ndjson' WHEN 1 THEN 'data/state.json' WHEN 2 THEN '../etc/passwd' WHEN 3 THEN 'reports/daily/2024-01-01.md' ELSE 'data/raw/x.exe' END"
+_PATHS = ["data/raw/2024/01/{0}/items.ndjson", "data/state.json", "../etc/passwd", "reports/daily/2024-01-{0}.md", "data/raw/2024-01-{0}.ndjson", "data/errors/2024/01/{0}/errors.ndjson", "data/raw/2024/01/{0}/errors.ndjson", "reports/weekly/2024-01-{0}.md", "data//state.json", "/data/state.json", "reports/./summary/{0}.md", "reports/daily/2024-01-{0}.md/", "data/raw/./2024/01/{0}/items.ndjson"]
+_PATH = "[" + ", ".join("'" + p.replace("{0}", "' || lpad(CAST(1 + p_partkey % 28 AS VARCHAR), 2, '0') || '") + "'" for p in _PATHS) + f"][1 + p_partkey % {len(_PATHS)}]"
+_SAFE_PATH = "CASE WHEN NOT regexp_matches(path, '^/') AND NOT list_contains(string_split(path, '/'), '..') THEN array_to_string(list_filter(string_split(path, '/'), lambda p: p NOT IN ('', '.')), '/') END"
 
 
-@query(f"SELECT p_partkey, path, regexp_matches(path, '^(data/(raw|errors)/\\d{{4}}-\\d{{2}}-\\d{{2}}\\.ndjson|data/state\\.json|reports/(daily|weekly)/[0-9_-]+\\.md)$') AND NOT contains(path, '..') AS allowed FROM (SELECT p_partkey, {_PATHS} AS path FROM part)")
+@query(f"SELECT p_partkey, path, coalesce(regexp_matches(safe, '^(data/raw/\\d{{4}}/\\d\\d/\\d\\d/items\\.ndjson|data/errors/\\d{{4}}/\\d\\d/\\d\\d/errors\\.ndjson|data/state\\.json|reports/daily/\\d{{4}}-\\d\\d-\\d\\d\\.md)$'), FALSE) AS allowed, coalesce(regexp_matches(safe, '^(reports/summary|reports/weekly)(/|$)'), FALSE) AS ignored FROM (SELECT *, {_SAFE_PATH} AS safe FROM (SELECT p_partkey, {_PATH} AS path FROM part))")
 def artifact_path_allowed(spark, sf) -> DataFrame:
-    k = F.col("p_partkey") % 5
     day = F.lpad((1 + F.col("p_partkey") % 28).cast("string"), 2, "0")
-    path = F.when(k == 0, F.concat(F.lit("data/raw/2024-01-"), day, F.lit(".ndjson"))).when(k == 1, "data/state.json").when(k == 2, "../etc/passwd").when(k == 3, "reports/daily/2024-01-01.md").otherwise("data/raw/x.exe")
-    return table(spark, sf, "part").select("p_partkey", path.alias("path")).withColumn("allowed", S.artifact_allowed(F.col("path")))
+    path = F.element_at(F.array(*[F.replace(F.lit(p), F.lit("{0}"), day) for p in _PATHS]), (1 + F.col("p_partkey") % len(_PATHS)).cast("int"))
+    return table(spark, sf, "part").select("p_partkey", path.alias("path")).withColumns({"allowed": S.artifact_allowed(F.col("path")), "ignored": S.artifact_ignored(F.col("path"))})
 
 
 @query(_items("SELECT DISTINCT d AS day FROM (SELECT CAST(DATE '2024-01-12' - CAST(k AS INT) AS DATE) AS d, k FROM range(0, 8) t(k)) WHERE k <= 1 OR (day(d) % 3 <> 0 AND d IN (SELECT utc_day FROM items))"))
@@ -668,25 +670,33 @@ def state_violations(spark, sf) -> DataFrame:
     return X.state(V.source_state(spark, sf), V.registry(spark, sf), F.lit("2024-01-30 20:00:00").cast("timestamp"))
 
 
-@query(_items(f"SELECT item_id, CASE WHEN length(substr(text, 1, {P.EXCERPT})) > 100 AND list_contains(tags, 'map') THEN 'excerpt_too_long' ELSE 'media_not_public' END AS rule FROM items WHERE (length(substr(text, 1, {P.EXCERPT})) > 100 AND list_contains(tags, 'map')) OR list_contains(media, '/relative.png')"))
+# the public form of the tables' captures with faults put in: a relative address, HTML left, a short digest, content of a redacted item, a field too many
+@query(_items("SELECT 'projection' AS scope, CAST(item_id AS VARCHAR) AS key, unnest(list_filter([CASE WHEN item_id % 10 = 1 THEN 'html' END, CASE WHEN item_id % 10 = 2 THEN 'media_not_public' END, CASE WHEN item_id % 10 = 3 AND NOT hide THEN 'digest' END, CASE WHEN item_id % 10 = 4 AND hide THEN 'redacted_content' END, CASE WHEN item_id % 10 = 1 AND hide THEN 'redacted_content' END, CASE WHEN item_id % 10 = 2 AND hide THEN 'redacted_content' END, CASE WHEN item_id % 10 = 5 THEN CASE WHEN hide THEN 'redacted_fields' ELSE 'excerpt_fields' END END, CASE WHEN item_id % 10 = 6 THEN 'policy' END], lambda r: r IS NOT NULL)) AS rule FROM (SELECT *, list_contains(tags, 'operational-position') AS hide FROM items)"))
 def projection_violations(spark, sf) -> DataFrame:
-    p = D.public_projection(V.items(spark, sf), P.EXCERPT, P.MEDIA_LIMIT)
-    long = (F.char_length("excerpt") > 100) & S.tagged(F.col("tags"), ["map"])
-    bad = F.exists("media", lambda u: ~T.public_url(u))
-    return p.where(long | bad).select("item_id", F.when(long, "excerpt_too_long").otherwise("media_not_public").alias("rule"))
+    p = D.archive_projection(V.captures(spark, sf), P.REDACT_TAGS, r"(?i)\bposition|\bconvoy", P.EXCERPT, P.MEDIA_LIMIT)
+    k, text = F.col("item_id") % 10, F.to_json("raw")
+    raw = F.when(k == 3, F.regexp_replace(text, '"content_sha256":"....', '"content_sha256":"')).when(k == 5, F.regexp_replace(text, r"^\{", '{"more":1,')).when(k == 6, F.regexp_replace(text, "_v1", "_v9")).otherwise(text)
+    media = F.when(k == 2, F.concat("media", F.array(F.lit("/relative.png")))).otherwise(F.col("media"))
+    broken = p.withColumns({"html": F.when(k == 1, "<p>").otherwise(F.col("html")), "media": media, "title": F.when(k == 4, "left").otherwise(F.col("title")), "raw": F.parse_json(raw)})
+    return X.projection(broken)
 
 
-@query(f"SELECT event_id FROM (SELECT event_id, {_cases(0)} || ': ' || {_cases(1)} AS e FROM events) WHERE NOT regexp_matches(e, '^[A-Za-z_][A-Za-z0-9_.]*: [a-z0-9_]+$')")
+_ERROR_ROWS = f"(SELECT event_id, 'src' || (event_id % 25) AS source, {_cases(0)} || ': ' || {_cases(1)} AS e, CASE WHEN event_id % 4 = 1 THEN 'https://h/p?q=1' WHEN event_id % 4 = 2 THEN 'ftp://h/' ELSE 'https://h/p' END AS url, CASE WHEN event_id % 6 <> 0 THEN ts END AS collected FROM events)"
+
+
+@query(_reg(f"SELECT 'errors' AS scope, CAST(event_id AS VARCHAR) AS key, unnest(list_filter([CASE WHEN source NOT IN (SELECT source FROM registry) THEN 'unknown_source' END, CASE WHEN url LIKE 'ftp%' THEN 'url' END, CASE WHEN url LIKE '%?q=1' THEN 'url_query' END, CASE WHEN NOT regexp_matches(e, '^[A-Za-z_][A-Za-z0-9_.]*: [a-z0-9_]+$') THEN 'error' END, CASE WHEN collected IS NULL THEN 'collected' END], lambda r: r IS NOT NULL)) AS rule FROM {_ERROR_ROWS}"))
 def safe_error_violations(spark, sf) -> DataFrame:
-    i = F.col("event_id") % len(_ERRORS)
-    e = F.concat(V.pick([e[0] for e in _ERRORS], i), F.lit(": "), V.pick([e[1] for e in _ERRORS], i))
-    return table(spark, sf, "events").where(~e.rlike(X.SAFE_ERROR)).select("event_id")
+    i = F.col("event_id")
+    error = F.concat(V.pick([e[0] for e in _ERRORS], i % len(_ERRORS)), F.lit(": "), V.pick([e[1] for e in _ERRORS], i % len(_ERRORS)))
+    rows = table(spark, sf, "events").select(i, F.concat(F.lit("src"), (i % 25).cast("string")).alias("source"), error.alias("error"), F.when(i % 4 == 1, "https://h/p?q=1").when(i % 4 == 2, "ftp://h/").otherwise("https://h/p").alias("url"), F.when(i % 6 != 0, F.col("ts")).alias("collected"))
+    return X.errors(rows, V.registry(spark, sf), "event_id")
 
 
-@query(f"WITH {V.ITEMS}, {V.REGISTRY} SELECT item_id, length(trim(regexp_replace(i.text, '\\s+', ' ', 'g'))) AS chars, len(list_distinct(media)) AS n_media, coalesce(r.grp, 'other') AS grp, coalesce(r.perspective, 'unknown') AS perspective, language FROM items i LEFT JOIN registry r ON r.source = i.source AND r.enabled")
+@query(f"WITH {V.ITEMS}, {V.CAPTURES}, {V.REGISTRY} SELECT item_id, {_ID.format("CASE WHEN c.platform = 'x' THEN 'x' ELSE c.source END", 'c.url', ", coalesce(nullif(trim(regexp_replace(c.text, '\\s+', ' ', 'g')), ''), trim(regexp_replace(c.title, '\\s+', ' ', 'g')))").replace('published', 'c.published')} AS id, length(trim(regexp_replace(c.text, '\\s+', ' ', 'g'))) AS chars, len(list_distinct(media)) AS n_media, coalesce(r.grp, 'other') AS grp, coalesce(r.perspective, 'unknown') AS perspective, c.language, c.author, c.html, canon AS raw, 'unknown' AS trust, coalesce('Source ' || r.n, c.source) AS source_name FROM captures c LEFT JOIN registry r ON r.source = c.source AND r.enabled")
 def make_item(spark, sf) -> DataFrame:
-    made = D.make_item(V.items(spark, sf), V.registry(spark, sf).where("enabled"))
-    return made.select("item_id", F.char_length("text").alias("chars"), F.size("media").alias("n_media"), "grp", "perspective", "language")
+    registry = V.registry(spark, sf).where("enabled").select("source", "grp", "perspective", F.concat(F.lit("Source "), F.col("n").cast("string")).alias("name"))
+    made = D.make_item(V.captures(spark, sf), registry)
+    return made.select("item_id", "id", F.char_length("text").alias("chars"), F.size("media").alias("n_media"), "grp", "perspective", "language", "author", "html", "raw", "trust", "source_name")
 
 
 @query(_items("SELECT item_id, sha256(concat_ws(chr(10), title, text, url, array_to_string(media, chr(10)))) AS material FROM items"))
@@ -695,10 +705,20 @@ def sensitive_material(spark, sf) -> DataFrame:
     return i.select("item_id", F.sha2(D.material(i), 256).alias("material"))
 
 
-@query(_items(f"SELECT item_id, CASE WHEN hide THEN {_HIDDEN} ELSE {_ID.format("CASE WHEN platform = 'x' THEN 'x' ELSE source END", 'url', ", trim(regexp_replace(coalesce(nullif(text, ''), title, ''), '\\s+', ' ', 'g'))")} END AS public_id, CASE WHEN hide THEN 'public_redacted_v1' ELSE 'public_excerpt_v1' END AS raw_policy, CASE WHEN hide THEN '' ELSE substr(text, 1, {P.EXCERPT}) END AS text, CASE WHEN hide THEN '' ELSE title END AS title, CASE WHEN hide THEN {_SHORT} ELSE url END AS url, CASE WHEN NOT hide THEN sha256(text) END AS content_sha256, CASE WHEN NOT hide THEN length(text) > {P.EXCERPT} END AS text_truncated FROM (SELECT *, list_contains(tags, 'operational-position') AS hide FROM items)"))
+_PRINT = "sha256('{\"html\":' || to_json(html) || ',\"raw\":' || canon || ',\"text\":' || to_json(text) || '}')"
+_EXCERPT_RAW = f"""'{{"archive_policy":"public_excerpt_v1","content_sha256":"' || {_PRINT} || '","media_count":' || len(media) || ',"original_html_chars":' || length(html) || ',"original_text_chars":' || length(text) || ',"platform":' || identity || ',"text_truncated":' || (length(text) > {P.EXCERPT}) || '}}'"""
+_REDACTED_RAW = """'{"archive_policy":"public_redacted_v1","platform":' || CASE WHEN platform = 'rss' THEN '{}' ELSE identity END || ',"redacted":true}'"""
+
+
+@query(f"WITH {V.ITEMS}, {V.CAPTURES} SELECT item_id, CASE WHEN hide THEN {_HIDDEN} ELSE {_ID.format("CASE WHEN platform = 'x' THEN 'x' ELSE source END", 'url', ", trim(regexp_replace(coalesce(nullif(text, ''), title, ''), '\\s+', ' ', 'g'))")} END AS public_id, CASE WHEN hide THEN 'public_redacted_v1' ELSE 'public_excerpt_v1' END AS raw_policy, CASE WHEN hide THEN '' ELSE substr(text, 1, {P.EXCERPT}) END AS text, CASE WHEN hide THEN '' ELSE title END AS title, CASE WHEN hide THEN {_SHORT} ELSE url END AS url, CASE WHEN NOT hide THEN {_PRINT} END AS content_sha256, CASE WHEN NOT hide THEN length(text) > {P.EXCERPT} END AS text_truncated, CASE WHEN hide THEN {_REDACTED_RAW} ELSE {_EXCERPT_RAW} END AS raw, CASE WHEN hide THEN '' ELSE author END AS author, '' AS html FROM (SELECT *, list_contains(tags, 'operational-position') AS hide FROM captures)")
 def archive_projection(spark, sf) -> DataFrame:
-    bounded = D.archive_projection(V.items(spark, sf), P.REDACT_TAGS, r"(?i)\bposition|\bconvoy", P.EXCERPT, P.MEDIA_LIMIT)
-    return bounded.select("item_id", "public_id", "raw_policy", "text", "title", "url", "content_sha256", "text_truncated")
+    bounded = D.archive_projection(V.captures(spark, sf), P.REDACT_TAGS, r"(?i)\bposition|\bconvoy", P.EXCERPT, P.MEDIA_LIMIT)
+    return bounded.select("item_id", "public_id", "raw_policy", "text", "title", "url", "content_sha256", "text_truncated", F.to_json("raw").alias("raw"), "author", "html")
+
+
+@query(f"WITH {V.ITEMS}, {V.CAPTURES} SELECT item_id, {_PRINT} AS fingerprint FROM captures")
+def content_fingerprint(spark, sf) -> DataFrame:
+    return V.captures(spark, sf).select("item_id", N.fingerprint(F.col("text"), F.col("html"), F.col("raw")).alias("fingerprint"))
 
 
 # the second concept's pattern holds the first one's name, the third the second's

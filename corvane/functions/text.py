@@ -96,7 +96,7 @@ def joined_url(base: pd.Series, link: pd.Series) -> pd.Series:
 
 @F.pandas_udf(StringType())
 def quoted(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else quote(x, safe=":/?&=#%+,;@-._~"))
+    return s.map(lambda x: None if x is None else quote(x, safe=":/?&=#%+,;@-._~!$'*"))
 
 
 def safe_href(value: str) -> str | None:

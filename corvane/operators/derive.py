@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
+from corvane.functions import payload as J
 from corvane.functions import text as T
 
 
@@ -85,19 +81,28 @@ def classified(items: DataFrame, context: str) -> DataFrame:
 
 def archive_projection(items: DataFrame, redact_tags: list[str], context: str, chars: int = 1200, media: int = 8) -> DataFrame:
     """The only form in which an item enters the public archive: detected tags merged, text and media bounded, what was
-    cut on record, and all content of redacted items gone. raw_policy names the form that a row has."""
+    cut on record, and all content of redacted items gone.
+
+    raw becomes a VARIANT with one of two shapes. public_excerpt_v1: content_sha256 (fingerprint of the captured text,
+    HTML and payload), lengths, text_truncated, media_count, platform. public_redacted_v1: redacted and platform, where
+    feeds keep nothing. raw_policy names the shape; the fields of an excerpt are columns, too. Items without html or raw
+    (the payload's JSON text) have none.
+    """
     c = classified(items, context)
+    html = F.coalesce("html", F.lit("")) if "html" in items.columns else F.lit("")
+    payload = F.col("raw") if "raw" in items.columns else F.lit(None).cast("string")
     hide = F.coalesce(F.arrays_overlap("tags", F.array(*[F.lit(t) for t in redact_tags])), F.lit(False))
     safe = safe_media(F.slice(F.coalesce("media", F.array().cast("array<string>")), 1, media))
     text = F.coalesce("text", F.lit(""))
     new = {
         "redacted": hide, "raw_policy": F.when(hide, "public_redacted_v1").otherwise("public_excerpt_v1"), "public_id": F.when(hide, redacted_id(c)).otherwise(stable_id(c)),
-        "content_sha256": F.when(~hide, F.sha2(text.cast("binary"), 256)), "original_text_chars": F.when(~hide, F.char_length(text)), "text_truncated": F.when(~hide, F.char_length(text) > chars),
+        "content_sha256": F.when(~hide, J.fingerprint(text, html, payload)), "original_text_chars": F.when(~hide, F.char_length(text)), "original_html_chars": F.when(~hide, F.char_length(html)), "text_truncated": F.when(~hide, F.char_length(text) > chars),
         "media_count": F.when(~hide, F.coalesce(F.size("media"), F.lit(0))), "excerpt": F.when(hide, "").otherwise(F.substring(text, 1, chars)), "kept_media": F.when(hide, F.array().cast("array<string>")).otherwise(safe),
         "public_url": F.when(hide, redacted_url(F.col("url"), F.col("platform"))).otherwise(F.col("url")), "public_title": F.when(hide, "").otherwise(F.coalesce("title", F.lit(""))),
+        "identity": F.when(hide & (F.col("platform") == "rss"), "{}").otherwise(J.identity(F.col("platform"), payload)),
     }
-    out = c.withColumns(new).withColumns({"text": F.col("excerpt"), "media": F.col("kept_media"), "url": F.col("public_url"), "title": F.col("public_title")})
-    out = out.drop("excerpt", "kept_media", "public_url", "public_title")
+    out = c.withColumns(new).withColumns({"text": F.col("excerpt"), "media": F.col("kept_media"), "url": F.col("public_url"), "title": F.col("public_title"), "raw": tagged_union()})
+    out = out.drop("excerpt", "kept_media", "public_url", "public_title", "identity")
     if "author" in items.columns:
         out = out.withColumn("author", F.when(F.col("redacted"), F.lit("")).otherwise(F.col("author")))
     if "html" in items.columns:
@@ -105,6 +110,14 @@ def archive_projection(items: DataFrame, redact_tags: list[str], context: str, c
     return out
 
 
+def tagged_union() -> Column:
+    """raw of the archive, from the columns of archive_projection."""
+    numbers = {k: F.col(k).cast("string") for k in ("original_text_chars", "original_html_chars", "text_truncated", "media_count")}
+    excerpt = J.obj(numbers | {"content_sha256": F.concat(F.lit('"'), "content_sha256", F.lit('"')), "archive_policy": F.lit('"public_excerpt_v1"'), "platform": F.col("identity")})
+    redacted = J.obj({"archive_policy": F.lit('"public_redacted_v1"'), "redacted": F.lit("true"), "platform": F.col("identity")})
+    return F.parse_json(F.when(F.col("redacted"), redacted).otherwise(excerpt))
+
+
 def section(tags: Column, group: Column, order: list[str], by_group: dict[str, str]) -> Column:
     out = F.when(F.lit(False), F.lit(""))
     for name in order:
@@ -143,24 +156,31 @@ def error_category(kind: Column, message: Column, status: Column | None = None)
     return F.concat(kind, F.lit(": "), out.otherwise(lookup(ERROR_KINDS, kind, "unexpected_error")))
 
 
-@F.pandas_udf(StringType())
-def content_fingerprint(title: pd.Series, text: pd.Series, author: pd.Series) -> pd.Series:
-    """SHA-256 of canonical JSON: sorted keys, compact, non-ASCII kept, nulls kept."""
-    dump = lambda t, x, a: json.dumps({"author": a, "text": x, "title": t}, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
-    return pd.Series([hashlib.sha256(dump(t, x, a).encode()).hexdigest() for t, x, a in zip(title, text, author, strict=True)], dtype=object)
-
-
 def virtual_sources(spark, queries: list[str]) -> DataFrame:
     """A source per query that isn't blank; ids keep the query's place."""
     q = spark.range(1).select(F.posexplode(F.array(*[F.lit(x) for x in queries])).alias("i", "query"))
     return q.where(F.trim("query") != "").select(F.concat(F.lit("discovery-"), (F.col("i") + 1).cast("string")).alias("source"), "query", F.lit("x").alias("platform"))
 
 
-def make_item(found: DataFrame, registry: DataFrame) -> DataFrame:
-    """Found posts as items: clean texts, media once each in order, and the source's attributes with their defaults."""
-    r = registry.select("source", F.col("grp").alias("r_grp"), F.col("perspective").alias("r_perspective"))
-    j = found.join(r, "source", "left")
-    return j.select("item_id", "source", T.clean(F.coalesce("title", F.lit(""))).alias("title"), T.clean(F.coalesce("text", F.lit(""))).alias("text"), F.array_distinct("media").alias("media"), T.nonblank(F.col("r_grp"), "other").alias("grp"), T.nonblank(F.col("r_perspective"), "unknown").alias("perspective"), T.nonblank(F.col("language"), "und").alias("language"))
+def make_item(found: DataFrame, registry: DataFrame, now: Column | None = None) -> DataFrame:
+    """Found posts as items: an id that copies share, clean texts, media once each in order, the payload as JSON, and the
+    source's attributes with their defaults. Posts without a column of an item have its default; registry may have name,
+    trust, tags and languages (the first counts) beside source, grp and perspective."""
+    have, known = set(found.columns), set(registry.columns)
+    col = lambda c, default: F.coalesce(F.col(c), default) if c in have else default
+    own = {c: f"r_{c}" for c in ("grp", "perspective", "name", "trust", "tags", "languages", "platform") if c in known}
+    j = found.join(registry.select("source", *[F.col(c).alias(n) for c, n in own.items()]), "source", "left")
+    of = lambda c, default: T.nonblank(F.col(own[c]), default) if c in own else F.lit(default)
+    none = F.array().cast("array<string>")
+    language = F.try_element_at(F.col("r_languages"), F.lit(1)) if "languages" in own else (F.col("language") if "language" in have else F.lit(None))
+    platform = F.col("platform") if "platform" in have else F.col("r_platform") if "platform" in own else F.lit("")
+    text, title = T.clean(col("text", F.lit(""))), T.clean(col("title", F.lit("")))
+    published = F.col("published") if "published" in have else F.lit(None).cast("timestamp")
+    j = j.withColumns({"platform": platform, "published": published, "url": col("url", F.lit("")), "text": text, "title": title})
+    return j.select(
+        "item_id" if "item_id" in have else F.monotonically_increasing_id().alias("item_id"), stable_id(j).alias("id"), "source", (F.coalesce(F.col("r_name"), F.col("source")) if "name" in own else F.col("source")).alias("source_name"), "platform", "url", "published",
+        (now if now is not None else col("collected", F.current_timestamp())).alias("collected"), "title", "text", col("html", F.lit("")).alias("html"), F.array_distinct(col("media", none)).alias("media"), T.clean(col("author", F.lit(""))).alias("author"),
+        T.nonblank(language, "und").alias("language"), of("grp", "other").alias("grp"), of("perspective", "unknown").alias("perspective"), of("trust", "unknown").alias("trust"), (F.coalesce(F.col("r_tags"), none) if "tags" in own else none).alias("tags"), (J.canonical_json(F.col("raw")) if "raw" in have else F.lit("null")).alias("raw"))
 
 
 def material(items: DataFrame) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime, timedelta
 from zoneinfo import ZoneInfo
 
@@ -95,9 +96,32 @@ def lacks_credential(platform: Column, needs: list[str], configured: list[str])
     return platform.isin(*[p for p in needs if p not in configured]) if set(needs) - set(configured) else F.lit(False)
 
 
-def artifact_allowed(path: Column) -> Column:
-    """Paths of an artifact: relative, within the payload roots, of the expected kinds."""
-    return path.rlike(r"^(data/(raw|errors)/\d{4}-\d{2}-\d{2}\.ndjson|data/state\.json|reports/(daily|weekly)/[0-9_-]+\.md)$") & ~F.contains(path, F.lit(".."))
+# Where the files of an artifact lie, and what else a checkout may hold beside them.
+ARTIFACT_ROOTS = {"raw_root": "data/raw", "error_root": "data/errors", "state_file": "data/state.json", "report_root": "reports/daily"}
+NOT_OF_AN_ARTIFACT = ("reports/summary", "reports/weekly")
+
+
+def safe_path(path: Column) -> Column:
+    """A relative path that stays below its root, without empty and dot parts; null for others."""
+    parts = F.filter(F.split(path, "/"), lambda p: ~p.isin("", "."))
+    return F.when(~path.rlike(r"^/|\\") & (F.size(parts) > 0) & ~F.array_contains(parts, ".."), F.array_join(parts, "/"))
+
+
+def artifact_allowed(path: Column, roots: dict[str, str] | None = None) -> Column:
+    """Paths of an artifact: the state file, items and errors by day below their roots, and daily reports."""
+    r = ARTIFACT_ROOTS | (roots or {})
+    day = r"[0-9]{4}/[0-9]{2}/[0-9]{2}"
+    kinds = [rf"{re.escape(r['raw_root'])}/{day}/items\.ndjson", rf"{re.escape(r['error_root'])}/{day}/errors\.ndjson", rf"{re.escape(r['report_root'])}/[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}\.md"]
+    p = safe_path(path)
+    return F.coalesce((p == r["state_file"]) | p.rlike(rf"^({'|'.join(kinds)})\z"), F.lit(False))
+
+
+def artifact_ignored(path: Column, prefixes: tuple[str, ...] = NOT_OF_AN_ARTIFACT) -> Column:
+    """Files that belong to the repository, not to an artifact."""
+    p, below = safe_path(path), F.lit(False)
+    for prefix in prefixes:
+        below = below | (p == prefix) | p.startswith(prefix + "/")
+    return F.coalesce(below, F.lit(False))
 
 
 def recovery_days(reports: DataFrame, archive_days: DataFrame, today: date, back: int = 7) -> DataFrame:

@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 
 from corvane.functions import text as T
 
+# What may stand in the columns of sources, state and items, and the fields of the two shapes of raw.
 PLATFORMS, TRUST = ("telegram", "x", "rss", "web"), ("primary", "high", "medium", "low", "unknown")
 STATUSES = ("ok", "error", "skipped_config", "skipped_cadence")
 #: The platform that the end of a source's id promises.
 SUFFIXES = {"-tg": "telegram", "-x": "x", "-rss": "rss", "-web": "web"}
 SAFE_ERROR = r"^[A-Za-z_][A-Za-z0-9_.]*: [a-z0-9_]+$"
+SHAPES = {
+    "public_excerpt_v1": ("archive_policy", "content_sha256", "media_count", "original_html_chars", "original_text_chars", "platform", "text_truncated"),
+    "public_redacted_v1": ("archive_policy", "platform", "redacted"),
+}
 
 
 def check(rows: DataFrame, scope: str, key: str, rules: dict[str, Column]) -> DataFrame:
@@ -79,6 +84,32 @@ def archive(items: DataFrame, known: DataFrame) -> DataFrame:
     return check(s, "archive", "item_id", {"unknown_source": F.col("known").isNull(), "platform": ~F.col("platform").isin(*PLATFORMS), "trust": ~F.col("trust").isin(*TRUST), "url": ~T.public_url(F.col("url")), "undated": F.col("event_ts").isNull(), "partition": F.col("utc_day") != F.to_date("event_ts")})
 
 
+def projection(items: DataFrame, key: str = "item_id") -> DataFrame:
+    """Rules of the public form: no HTML, public media, raw (VARIANT) in one of its shapes with exactly its fields, and no
+    content in redacted items."""
+    raw = F.col("raw")
+    of = lambda path, kind="string": F.try_variant_get(raw, f"$.{path}", kind)
+    policy, fields = of("archive_policy"), F.array_sort(F.json_object_keys(F.to_json(raw)))
+    shape = lambda name: ~fields.eqNullSafe(F.array(*[F.lit(f) for f in SHAPES[name]]))
+    kind = lambda path: F.coalesce(F.schema_of_variant(F.try_variant_get(raw, f"$.{path}", "variant")), F.lit("VOID"))
+    count = lambda path: ~(kind(path) == "BIGINT") | (of(path, "bigint") < 0)
+    excerpt, redacted = policy == "public_excerpt_v1", policy == "public_redacted_v1"
+    content = (F.coalesce("title", F.lit("")) != "") | (F.coalesce("text", F.lit("")) != "") | (F.coalesce("html", F.lit("")) != "") | (F.size(F.coalesce("media", F.array().cast("array<string>"))) > 0)
+    rules = {
+        "title": F.col("title").isNull(), "text": F.col("text").isNull(), "html": ~F.col("html").eqNullSafe(F.lit("")), "media": F.col("media").isNull(), "media_not_public": F.exists("media", lambda u: ~T.public_url(u)), "tags": F.col("tags").isNull(),
+        "raw": ~F.coalesce(F.schema_of_variant(raw).startswith("OBJECT"), F.lit(False)), "policy": raw.isNotNull() & ~F.coalesce(policy.isin(*SHAPES), F.lit(False)),
+        "excerpt_fields": excerpt & shape("public_excerpt_v1"), "digest": excerpt & ~F.coalesce(of("content_sha256").rlike("^[0-9a-f]{64}$"), F.lit(False)), "counts": excerpt & (count("original_text_chars") | count("original_html_chars") | count("media_count")),
+        "truncated": excerpt & (kind("text_truncated") != "BOOLEAN"), "platform": (excerpt | redacted) & ~kind("platform").startswith("OBJECT"), "redacted_fields": redacted & shape("public_redacted_v1"), "redacted": redacted & ~of("redacted", "boolean").eqNullSafe(F.lit(True)), "redacted_content": redacted & content,
+    }
+    return check(items, "projection", key, rules)
+
+
+def errors(rows: DataFrame, known: DataFrame, key: str = "source") -> DataFrame:
+    """Rules of the error archive: a known source, an address without query and fragment, a safe error, a time."""
+    s = rows.join(known.select(F.col("source").alias("known")).distinct(), F.col("source") == F.col("known"), "left")
+    return check(s, "errors", key, {"unknown_source": F.col("known").isNull(), "url": ~F.coalesce(T.public_url(F.col("url")), F.lit(False)), "url_query": T.public_url(F.col("url")) & F.col("url").rlike("[?#]."), "error": ~F.coalesce(F.col("error").rlike(SAFE_ERROR), F.lit(False)), "collected": F.col("collected").isNull()})
+
+
 def violations(*parts: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

@@ -42,6 +42,17 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumns({"event_ts": stamp, "stamp": F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss'Z'"), "utc_day": F.to_date(stamp), "local_day": F.to_date(F.from_utc_timestamp(stamp, P.ZONE))})
 
 
+def captures(spark: SparkSession, sf: str) -> DataFrame:
+    """Items as they were captured: with HTML, author and the payload that their platform sent (keys in no order)."""
+    i, quoted = F.col("item_id"), lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    n = i.cast("string")
+    payload = (F.when(F.col("platform") == "telegram", F.concat(F.lit('{"views": '), n, F.lit(', "post": '), quoted(F.concat("source", F.lit("/"), n)), F.lit("}")))
+               .when(F.col("platform") == "x", F.concat(F.lit('{"tweet": {"text": null, "id": '), quoted(n), F.lit('}, "collected_via": '), F.when(i % 3 == 0, F.lit("null")).otherwise(F.lit('"search"')), F.lit("}")))
+               .when(F.col("platform") == "rss", F.concat(F.lit('{"link": "https://feed/'), n, F.lit('", "id": '), F.when(i % 4 == 2, F.lit('""')).otherwise(quoted(n)), F.lit(', "guid": '), quoted(F.concat(F.lit("g"), n)), F.lit("}"))))
+    web = F.when(i % 8 == 3, F.lit('{"content_type": "text/html", "Étag": [1, {"b": true, "a": null}]}'))
+    return items(spark, sf).withColumns({"raw": F.coalesce(payload, web), "html": F.concat(F.lit("<p>"), F.substring("text", 1, 20), F.lit("</p>")), "author": F.concat(F.lit("Author "), (i % 7).cast("string"))})
+
+
 def registry(spark: SparkSession, sf: str) -> DataFrame:
     """The source dimension: one row per source of documents."""
     n = number(F.col("source"))
@@ -80,6 +91,17 @@ ITEMS = f"""items AS (
   list_filter(['https://img.example.net/' || d.doc_id, CASE WHEN d.doc_id % 3 = 0 THEN 'https://img.example.net/' || d.doc_id END, CASE WHEN d.doc_id % 4 = 0 THEN '/relative.png' END, CASE WHEN d.doc_id % 2 = 0 THEN 'http://cdn.example.org/v/' || d.doc_id END, CASE WHEN d.doc_id % 5 = 0 THEN 'https://img.example.net/last' END], lambda t: t IS NOT NULL) AS media
   FROM documents d JOIN events e ON e.event_id = d.doc_id * 5 LEFT JOIN labels l ON l.doc_id = d.doc_id))"""
 
+#: The payload's canonical JSON, and what of it is public.
+CAPTURES = """captures AS (SELECT *, '<p>' || substr(text, 1, 20) || '</p>' AS html, 'Author ' || (item_id % 7) AS author,
+ CASE platform WHEN 'telegram' THEN '{"post":"' || source || '/' || item_id || '","views":' || item_id || '}'
+  WHEN 'x' THEN '{"collected_via":' || CASE WHEN item_id % 3 = 0 THEN 'null' ELSE '"search"' END || ',"tweet":{"id":"' || item_id || '","text":null}}'
+  WHEN 'rss' THEN '{"guid":"g' || item_id || '","id":"' || CASE WHEN item_id % 4 = 2 THEN '' ELSE CAST(item_id AS VARCHAR) END || '","link":"https://feed/' || item_id || '"}'
+  ELSE CASE WHEN item_id % 8 = 3 THEN '{"content_type":"text/html","Étag":[1,{"a":null,"b":true}]}' ELSE 'null' END END AS canon,
+ CASE platform WHEN 'telegram' THEN '{"post":"' || source || '/' || item_id || '"}'
+  WHEN 'x' THEN CASE WHEN item_id % 3 = 0 THEN '{' ELSE '{"collected_via":"search",' END || '"tweet_id":"' || item_id || '"}'
+  WHEN 'rss' THEN '{"entry_id":"' || CASE WHEN item_id % 4 = 2 THEN 'g' ELSE '' END || item_id || '","entry_link":"https://feed/' || item_id || '"}'
+  ELSE CASE WHEN item_id % 8 = 3 THEN '{"content_type":"text/html"}' ELSE '{}' END END AS identity FROM items)"""
+
 REGISTRY = f"""registry AS (
  SELECT source, n, {_list(P.PLATFORMS)}[1 + n % 4] AS platform, {_list(P.GROUPS)}[1 + n % 7] AS grp, {_list(P.PERSPECTIVES)}[1 + n % 3] AS perspective, n * 5 % 101 AS priority, n % 10 <> 0 AS enabled,
   CASE WHEN n % 5 <> 0 THEN n % 5 * 10 END AS cadence, 'https://www.' || source || '.example.com/@user' || n || '/?x=1#y' AS url

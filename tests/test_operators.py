@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from corvane.functions import canonical
+from corvane.functions import canonical, payload
 from corvane.functions import text as T
 from corvane.operators import aggregates as A
 from corvane.operators import derive as D
@@ -90,7 +90,7 @@ def test_identity(spark):
     assert ids[1] == ids[2] and ids[3] != ids[4] and len(ids[1]) == 24
     red = {r.item_id: r for r in D.redact(df, ["secret"]).collect()}
     assert red[5].public_id == red[6].public_id and red[5].url == "https://h/" and red[7].url == "https://t/p" and red[5].text == "" and red[5].media == []
-    fp = df.select(D.content_fingerprint("title", "text", F.lit(None).cast("string")).alias("f")).collect()
+    fp = df.select(payload.fingerprint(F.col("text"), F.lit(""), F.lit(None).cast("string")).alias("f")).collect()
     assert fp[0].f == fp[1].f != fp[4].f
 
 
