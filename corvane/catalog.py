@@ -16,9 +16,11 @@ from corvane.operators import derive as D
 from corvane.operators import filters as S
 from corvane.operators import joins as J
 from corvane.operators import quality as X
+from corvane.operators import schema as Y
 from corvane.plans import clusters as C
 from corvane.plans import policy as P
 from corvane.plans import reports as R
+from corvane.plans import schemas as K
 from corvane.plans import sql as Q
 from corvane.plans import views as V
 from corvane.session import settled, shared_dir, table
@@ -681,6 +683,19 @@ def projection_violations(spark, sf) -> DataFrame:
     return X.projection(broken)
 
 
+# stored items as documents, with faults put in: no id, another platform, a text where none may be, a relative address, a day that isn't one
+@query(_items("SELECT 'schema' AS scope, CAST(item_id AS VARCHAR) AS key, unnest(list_filter([CASE WHEN item_id % 10 = 1 THEN '$.id: required' END, CASE WHEN item_id % 10 = 2 THEN '$.platform: enum' END, CASE WHEN item_id % 10 = 3 AND hide THEN '$.text: const' END, CASE WHEN item_id % 10 = 4 THEN '$.media[]: format' END, CASE WHEN item_id % 10 = 4 AND hide THEN '$.media: maxItems' END, CASE WHEN item_id % 10 = 5 THEN '$.collected_at: format' END, CASE WHEN item_id % 10 = 6 THEN '$.raw: oneOf' END], lambda r: r IS NOT NULL)) AS rule FROM (SELECT *, list_contains(tags, 'operational-position') AS hide FROM items)"))
+def schema_violations(spark, sf) -> DataFrame:
+    p = D.archive_projection(V.captures(spark, sf), P.REDACT_TAGS, r"(?i)\bposition|\bconvoy", P.EXCERPT, P.MEDIA_LIMIT)
+    k, time = F.col("item_id") % 10, F.date_format("collected", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    fields = {
+        "id": F.when(k != 1, F.col("public_id")), "source": F.col("source"), "platform": F.when(k == 2, "fax").otherwise(F.col("platform")), "url": F.when((F.col("url") == "") & F.col("redacted"), "https://none/").otherwise(F.regexp_replace("url", "user:pw@", "")), "collected_at": F.when(k == 5, "2024-13-01T00:00:00Z").otherwise(time),
+        "title": F.col("title"), "text": F.when(k == 3, "left").otherwise(F.col("text")), "html": F.col("html"), "media": F.when(k == 4, F.concat("media", F.array(F.lit("rel")))).otherwise(F.col("media")), "author": F.col("author"), "tags": F.col("tags"), "raw": F.when(k == 6, F.parse_json(F.lit("{}"))).otherwise(F.col("raw")),
+    }
+    text = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
+    return Y.conforming(p.select("item_id", F.parse_json(text).alias("document")), K.ITEM, "document", "item_id")
+
+
 _ERROR_ROWS = f"(SELECT event_id, 'src' || (event_id % 25) AS source, {_cases(0)} || ': ' || {_cases(1)} AS e, CASE WHEN event_id % 4 = 1 THEN 'https://h/p?q=1' WHEN event_id % 4 = 2 THEN 'ftp://h/' ELSE 'https://h/p' END AS url, CASE WHEN event_id % 6 <> 0 THEN ts END AS collected FROM events)"
 
 
