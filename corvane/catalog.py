@@ -28,6 +28,7 @@ from corvane.sources import pages as W
 from corvane.sources import store
 from corvane.sources.archive import duplicate_keys
 from corvane.sources.key_index import KeyIndex
+from corvane.streaming import source_state as Z
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -308,6 +309,18 @@ def state_transition(spark, sf) -> DataFrame:
     return J.upsert(V.source_state(spark, sf).select("source", "status", "last_success", "added"), updates, "source", ["last_success"])
 
 
+@query("SELECT source, l.at AS at, l.seq AS seq, l.status AS status, l.fetched AS fetched, last_success, last_success + to_minutes(30) AS next_due FROM (SELECT 'src' || (user_id % 20) AS source, arg_max(struct_pack(at := ts, seq := event_id, status := CASE event_type WHEN 'error' THEN 'error' WHEN 'signup' THEN 'skipped_config' ELSE 'ok' END, fetched := CASE WHEN event_type NOT IN ('error', 'signup') THEN event_id % 10 END), struct_pack(a := ts, b := event_id)) AS l, max(ts) FILTER (event_type NOT IN ('error', 'signup')) AS last_success FROM events GROUP BY 1)")
+def source_state_stream(spark, sf) -> DataFrame:
+    # events as attempts of sources, through the stream's keyed state
+    path, folder = f"{sf.rstrip('/')}/events.parquet", f"{shared_dir(spark)}/corvane-plans/stream-{uuid.uuid4().hex}"
+    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    ok = ~F.col("event_type").isin("error", "signup")
+    attempts = events.select(F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string")).alias("source"), F.col("ts").cast("timestamp").alias("at"), F.col("event_id").cast("long").alias("seq"), F.when(F.col("event_type") == "error", "error").when(F.col("event_type") == "signup", "skipped_config").otherwise("ok").alias("status"), F.when(ok, F.col("event_id") % 10).cast("long").alias("fetched"), F.lit(None).cast("long").alias("added"), F.lit(None).cast("string").alias("error"), F.lit(30).alias("cadence"))
+    out = settled(Z.latest(Z.replayed(attempts, folder)).select("source", "at", "seq", "status", "fetched", "last_success", "next_due"), "states")
+    store.delete(spark, folder)
+    return out
+
+
 @query(_items("SELECT item_id, regexp_replace(title, '([\\\\`*_\\[\\]<>])', '\\\\\\1', 'g') AS title FROM items"))
 def markdown_escape(spark, sf) -> DataFrame:
     return V.items(spark, sf).select("item_id", T.markdown(F.col("title")).alias("title"))

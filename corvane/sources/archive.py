@@ -116,10 +116,6 @@ def append_unique(spark: SparkSession, items: DataFrame, path: str, key: str = "
     return n
 
 
-def append_errors(errors: DataFrame, path: str, day: str = "utc_day") -> None:
-    errors.write.mode("append").partitionBy(day).parquet(path)
-
-
 def load_json(path: str, default):
     """A driver-side document, or the default if there is none."""
     if not os.path.exists(path):
