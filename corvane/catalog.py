@@ -313,7 +313,7 @@ def state_transition(spark, sf) -> DataFrame:
 def source_state_stream(spark, sf) -> DataFrame:
     # events as attempts of sources, through the stream's keyed state
     path, folder = f"{sf.rstrip('/')}/events.parquet", f"{shared_dir(spark)}/corvane-plans/stream-{uuid.uuid4().hex}"
-    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path[:-1] + "[t]")  # a pattern: the table may be one file
     ok = ~F.col("event_type").isin("error", "signup")
     attempts = events.select(F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string")).alias("source"), F.col("ts").cast("timestamp").alias("at"), F.col("event_id").cast("long").alias("seq"), F.when(F.col("event_type") == "error", "error").when(F.col("event_type") == "signup", "skipped_config").otherwise("ok").alias("status"), F.when(ok, F.col("event_id") % 10).cast("long").alias("fetched"), F.lit(None).cast("long").alias("added"), F.lit(None).cast("string").alias("error"), F.lit(30).alias("cadence"))
     out = settled(Z.latest(Z.replayed(attempts, folder)).select("source", "at", "seq", "status", "fetched", "last_success", "next_due"), "states")
