@@ -18,6 +18,7 @@ from corvane.operators import joins as J
 from corvane.operators import quality as X
 from corvane.operators import schema as Y
 from corvane.plans import clusters as C
+from corvane.plans import documents as B
 from corvane.plans import policy as P
 from corvane.plans import reports as R
 from corvane.plans import schemas as K
@@ -817,6 +818,39 @@ def digest_sections(spark, sf) -> DataFrame:
     return R.digest_lines(day).groupBy("section").agg(F.count(F.lit(1)).alias("n"))
 
 
+_MD = "regexp_replace({0}, '([\\\\`*_\\[\\]<>])', '\\\\\\1', 'g')"
+_SECTIONED = "(SELECT *, CASE WHEN list_contains(tags, 'map') THEN 'map' WHEN list_contains(tags, 'drones') THEN 'drones' WHEN list_contains(tags, 'logistics') THEN 'logistics' WHEN list_contains(tags, 'relief') THEN 'relief' WHEN grp = 'osint' THEN 'map' WHEN grp IN ('official-ua', 'official-ru') THEN 'official' ELSE 'other' END AS section, trim(regexp_replace(coalesce(title, ''), '\\s+', ' ', 'g')) AS t, trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')) AS x, coalesce(strftime(published, '%Y-%m-%dT%H:%M:%SZ'), 'undated') AS pub FROM items)"
+_LABEL = "coalesce(nullif(t, ''), nullif(substr(x, 1, 280), ''), '(no text)')"
+_LINE = f"'- **' || {_MD.format('source_name')} || '** · ' || {_MD.format('pub')} || ' — ' || {_MD.format(_LABEL)} || ' · ' || CASE WHEN regexp_matches(url, '^https?://[^/?#]') THEN '[original](' || url || ')' ELSE 'no original' END"
+_ORDER = "coalesce(list_position([" + ", ".join(f"'{x}'" for x in P.SECTIONS) + "], section), 99)"
+
+
+def _documents(by: str, more: str, source: str, extra: str = "") -> str:
+    """The assembled documents of each value of by, as one text a field."""
+    counts = lambda c, n="": f"(SELECT {by}, string_agg(name || ': ' || n, ', ' ORDER BY n DESC, name) AS s FROM (SELECT {by}, name, n, row_number() OVER (PARTITION BY {by} ORDER BY n DESC, name) AS r FROM (SELECT {by}, {c} AS name, count(*) AS n FROM d GROUP BY ALL)) {n} GROUP BY 1)"
+    return _items(f"""SELECT w.*, p.s AS platforms, g.s AS grps, a.s AS source_names, z.s AS sections{more} FROM (SELECT {by}, count(*) AS items, count(DISTINCT source) AS n_sources, count(*) FILTER (list_contains(tags, 'operational-position')) AS redacted FROM d GROUP BY 1) w
+ JOIN {counts('platform')} p USING ({by}) JOIN {counts('grp')} g USING ({by}) JOIN {counts('source_name', 'WHERE r <= 25')} a USING ({by})
+ JOIN (SELECT {by}, string_agg(section || ' ' || n || ' ' || greatest(0, n - 8) || chr(10) || lines, chr(10) ORDER BY o, section) AS s FROM (SELECT {by}, section, {_ORDER} AS o, count(*) AS n, string_agg(line, chr(10) ORDER BY place) FILTER (place <= 8) AS lines FROM (SELECT *, {_LINE} AS line, row_number() OVER (PARTITION BY {by}, section ORDER BY stamp DESC, item_id) AS place FROM d) GROUP BY ALL) GROUP BY 1) z USING ({by}) {extra}""").replace("WITH ", "WITH ", 1).replace(" SELECT w.*", f", d AS (SELECT * FROM {source}) SELECT w.*", 1)
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    """Nested parts of documents as text, for comparison."""
+    counts = {c: F.array_join(F.transform(c, lambda e: F.concat(e["name"], F.lit(": "), e["n"].cast("string"))), ", ") for c in ("platforms", "grps", "source_names")}
+    lines = F.transform("sections", lambda s: F.concat(s["section"], F.lit(" "), s["n"].cast("string"), F.lit(" "), s["more"].cast("string"), F.lit("\n"), F.array_join(s["lines"], "\n")))
+    return df.withColumns({**counts, "sections": F.array_join(lines, "\n")})
+
+
+@query(_documents("local_day", ", previous_day, next_day", f"{_SECTIONED} WHERE local_day IS NOT NULL", "JOIN (SELECT local_day, lag(local_day) OVER (ORDER BY local_day) AS previous_day, lead(local_day) OVER (ORDER BY local_day) AS next_day FROM (SELECT DISTINCT local_day FROM d)) n USING (local_day)"))
+def daily_documents(spark, sf) -> DataFrame:
+    return _flat(B.daily(V.items(spark, sf).withColumn("section", _section()), P.SECTIONS, P.REDACT_TAGS))
+
+
+@query(_documents("start", ", c.s AS per_day, start + 6 AS \"end\"", f"(SELECT *, CAST(date_trunc('week', local_day) AS DATE) AS start FROM {_SECTIONED} WHERE local_day IS NOT NULL)", "JOIN (SELECT start, string_agg(day || ' ' || n, ',' ORDER BY day) AS s FROM (SELECT start, CAST(start + CAST(k AS INT) AS DATE) AS day, (SELECT count(*) FROM d WHERE d.local_day = t.start + CAST(k AS INT)) AS n FROM (SELECT start, unnest(range(7)) AS k FROM (SELECT DISTINCT start FROM d)) t) GROUP BY 1) c USING (start)"))
+def weekly_documents(spark, sf) -> DataFrame:
+    made = B.periods(V.items(spark, sf).withColumn("section", _section()), F.to_date(F.date_trunc("week", "local_day")), 7, P.SECTIONS, P.REDACT_TAGS)
+    return _flat(made).withColumn("per_day", F.array_join(F.transform("per_day", lambda d: F.concat(d["day"].cast("string"), F.lit(" "), d["n"].cast("string"))), ","))
+
+
 @query(_reg(f"""SELECT section, key, n FROM (
  SELECT 'run' AS section, k AS key, CAST(v AS BIGINT) AS n FROM (SELECT unnest(['attempted', 'succeeded', 'skipped', 'errors', 'added']) AS k, unnest([attempted, succeeded, skipped, errors, added]) AS v FROM ({_ROLL}))
  UNION ALL SELECT 'registry', 'configured_total', count(*) FROM registry WHERE enabled UNION ALL SELECT 'registry', 'orphaned_state_sources', count(*) FROM state WHERE source NOT IN (SELECT source FROM registry WHERE enabled)
