@@ -25,6 +25,7 @@ from corvane.plans import schemas as K
 from corvane.plans import sql as Q
 from corvane.plans import views as V
 from corvane.session import settled, shared_dir, table
+from corvane.sources import captures as G
 from corvane.sources import pages as W
 from corvane.sources import store
 from corvane.sources.archive import duplicate_keys
@@ -800,6 +801,29 @@ def article_fields(spark, sf) -> DataFrame:
     return W.article_fields(table(spark, sf, "pages")).select("page_id", "title", F.sha2("text", 256).alias("text_sha"), "published")
 
 
+def _captured(spark, sf):
+    """The tables' pages as captured responses, each behind up to nine redirects of its own; every seventh request is of
+    a source that has another domain."""
+    p = table(spark, sf, "pages").select("page_id", F.regexp_replace("url", "#.*$", "").alias("url"), "html").withColumn("root", F.concat(F.lit("https://"), T.host(F.col("url")), F.lit("/hop/"), F.col("page_id").cast("string"), F.lit("/")))
+    own = p.select("url", F.lit(200).alias("status"), F.lit(None).cast("string").alias("location"), "html")
+    hop = p.select("root", "url", F.explode(F.sequence(F.lit(0), (F.col("page_id") % 9).cast("int"))).alias("k"))
+    hops = hop.select(F.concat("root", F.col("k").cast("string")).alias("url"), F.lit(302).alias("status"), F.when(F.col("k") == 0, F.col("url")).otherwise((F.col("k") - 1).cast("string")).alias("location"), F.lit(None).cast("string").alias("html"))
+    asked = p.select(F.col("page_id").cast("string").alias("request"), F.col("page_id").cast("string").alias("source"), F.concat("root", (F.col("page_id") % 9).cast("string")).alias("url"), F.when(F.col("page_id") % 7 == 0, F.array(F.lit("other.org"))).otherwise(F.array(T.host(F.col("url")))).alias("domains"))
+    return asked, own.unionByName(hops)
+
+
+@query("SELECT page_id, CASE WHEN page_id % 7 = 0 THEN root || k WHEN k >= 6 THEN root || (k - 6) ELSE url END AS final, CASE WHEN page_id % 7 = 0 THEN 0 ELSE least(6, k + 1) END AS hops, CASE WHEN page_id % 7 = 0 THEN 'unsafe_destination' WHEN k >= 5 THEN 'redirect_error' WHEN url NOT LIKE 'https://%' THEN 'unsafe_destination' END AS error FROM (SELECT page_id, page_id % 9 AS k, regexp_replace(url, '#.*$', '') AS url, 'https://' || lower(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1)) || '/hop/' || page_id || '/' AS root FROM pages)")
+def fetch_guard(spark, sf) -> DataFrame:
+    return G.followed(*_captured(spark, sf)).select(F.col("request").cast("long").alias("page_id"), "final", "hops", "error")
+
+
+@query()
+def web_collect(spark, sf) -> DataFrame:
+    asked, captured = _captured(spark, sf)
+    sources = asked.select("source", "url", F.lit(None).cast("array<string>").alias("article_hosts"), F.lit(None).cast("array<string>").alias("tags"), F.lit(None).cast("string").alias("web_mode"))
+    return G.collected(sources, captured, F.lit("2000-01-01").cast("timestamp"), least=0).select("source", "kind", "url", F.sha2("text", 256).alias("text_sha"), "error")
+
+
 @query("SELECT page_id, link, 0 AS score, place FROM (SELECT page_id, link, row_number() OVER (PARTITION BY page_id ORDER BY link) AS place FROM (SELECT DISTINCT page_id, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || href AS link FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href=\"([^\"#]*)', 1)) AS href FROM pages) WHERE rtrim(href, '/') <> rtrim(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '/'))) WHERE place <= 12")
 def link_discovery(spark, sf) -> DataFrame:
     # every link counts here: the tables' pages have none that is likely to be an article
