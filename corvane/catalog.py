@@ -25,6 +25,7 @@ from corvane.plans import schemas as K
 from corvane.plans import sql as Q
 from corvane.plans import views as V
 from corvane.session import settled, shared_dir, table
+from corvane.sources import artifact as L
 from corvane.sources import captures as G
 from corvane.sources import pages as W
 from corvane.sources import store
@@ -300,9 +301,14 @@ def publication_mode(spark, sf) -> DataFrame:
     return V.items(spark, sf).select("item_id", mode.alias("mode"))
 
 
-@query("SELECT 'discovery-' || i AS source, q AS query, 'x' AS platform FROM (VALUES (1, 'harbour lights'), (2, ' '), (3, 'delta crossing')) t(i, q) WHERE trim(q) <> ''")
+# first turns of conversations as queries, in their order; two sources of the registry have such an id already
+@query("SELECT 'x-discovery-' || (conv_id + 1) AS source, trim(q) AS query, 'x' AS platform, conv_id IN (3, 5) AS collides FROM (SELECT conv_id, CASE WHEN conv_id % 4 = 1 THEN '  ' ELSE substr(text, 1, 30) END AS q FROM conversations WHERE turn = 0) WHERE trim(q) <> ''")
 def virtual_sources(spark, sf) -> DataFrame:
-    return D.virtual_sources(spark, P.QUERIES)
+    asked = table(spark, sf, "conversations").where("turn = 0").select((F.col("conv_id") + 1).alias("place"), F.when(F.col("conv_id") % 4 == 1, "  ").otherwise(F.substring("text", 1, 30)).alias("query"))
+    made = D.virtual_sources(asked)
+    known = V.registry(spark, sf).select("source").unionByName(spark.createDataFrame([("x-discovery-4",), ("x-discovery-6",)], "source string"))
+    odd = X.collisions(known, made).select(F.col("key").alias("source"), F.lit(True).alias("collides"))
+    return made.join(odd, "source", "left").withColumn("collides", F.coalesce("collides", F.lit(False)))
 
 
 @query(_reg("SELECT coalesce(s.source, u.source) AS source, CASE WHEN u.source IS NOT NULL THEN u.status ELSE s.status END AS status, CASE WHEN u.source IS NOT NULL THEN u.added ELSE s.added END AS added, coalesce(u.last_success, s.last_success) AS last_success FROM state s FULL JOIN (SELECT source, 'error' AS status, CAST(NULL AS TIMESTAMP) AS last_success, CAST(NULL AS BIGINT) AS added FROM registry) u ON s.source = u.source"))
@@ -793,6 +799,32 @@ def violations(spark, sf) -> DataFrame:
     return X.violations(X.archive(V.items(spark, sf), known), X.state(V.source_state(spark, sf), known), X.registry(V.registry(spark, sf)), X.repeated(same, "documents", "h"))
 
 
+_ART = "CASE WHEN doc_id % 23 = 0 THEN 'data/raw/x' || doc_id ELSE 'data/raw/' || (1000 + doc_id // 336) || '/' || lpad(CAST(1 + doc_id // 28 % 12 AS VARCHAR), 2, '0') || '/' || lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0') || '/items.ndjson' END"
+
+
+# documents as files of an artifact and of its manifest, with faults put in: files left out on either side, other sizes and digests, links, paths that may not be
+@query(f"""WITH d AS (SELECT doc_id AS i, {_ART} AS path, n_chars AS b, sha256(text) AS s FROM documents),
+ man AS (SELECT i, path, b + CASE WHEN i % 13 = 0 THEN 1 ELSE 0 END AS b, CASE WHEN i % 17 = 0 THEN repeat('0', 64) ELSE s END AS s FROM d WHERE i % 10 <> 1 UNION ALL SELECT -1, 'data/state.json', 5, sha256('state')),
+ fnd AS (SELECT i, path, b, s, i % 19 = 0 AS link FROM d WHERE i % 10 <> 2 UNION ALL SELECT -1, 'data/state.json', 5, sha256('state'), FALSE),
+ diff AS (SELECT coalesce(m.path, f.path) AS path, CASE WHEN f.path IS NULL THEN 'missing' WHEN m.path IS NULL THEN 'unexpected' WHEN m.b <> f.b THEN 'size' WHEN m.s <> f.s THEN 'digest' END AS rule FROM (SELECT * FROM man WHERE i % 23 <> 0) m FULL JOIN (SELECT * FROM fnd WHERE NOT link AND i % 23 <> 0) f USING (path)),
+ n AS (SELECT (SELECT count(*) FROM man) AS mc, (SELECT sum(b) FROM man) AS mb, count(*) AS fc, sum(b) AS fb FROM fnd WHERE NOT link AND i % 23 <> 0)
+SELECT 'manifest' AS scope, path AS key, 'path' AS rule FROM man WHERE i % 23 = 0 UNION ALL SELECT 'artifact', path, CASE WHEN link THEN 'link' ELSE 'unexpected_path' END FROM fnd WHERE link OR i % 23 = 0 UNION ALL SELECT 'artifact', path, rule FROM diff WHERE rule IS NOT NULL
+ UNION ALL SELECT 'manifest', 'manifest', 'file_count' FROM n WHERE mc <> fc UNION ALL SELECT 'manifest', 'manifest', 'total_bytes' FROM n WHERE mb <> fb""")
+def artifact_violations(spark, sf) -> DataFrame:
+    i = F.col("doc_id")
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    whole = F.concat(F.lit("data/raw/"), (1000 + F.floor(i / 336)).cast("string"), F.lit("/"), two(1 + F.floor(i / 28) % 12), F.lit("/"), two(1 + i % 28), F.lit("/items.ndjson"))
+    d = table(spark, sf, "documents").select(i.alias("i"), F.when(i % 23 == 0, F.concat(F.lit("data/raw/x"), i.cast("string"))).otherwise(whole).alias("path"), F.col("n_chars").alias("bytes"), F.sha2("text", 256).alias("digest"))
+    i = F.col("i")
+    state_file = spark.range(1).select(F.lit("data/state.json").alias("path"), F.lit(5).cast("long").alias("bytes"), F.sha2(F.lit("state"), 256).alias("digest"))
+    listed = d.where(i % 10 != 1).select("path", F.when(i % 13 == 0, F.col("bytes") + 1).otherwise(F.col("bytes")).alias("bytes"), F.when(i % 17 == 0, F.lit("0" * 64)).otherwise(F.col("digest")).alias("digest")).unionByName(state_file)
+    found = d.where(i % 10 != 2).select("path", F.when(i % 19 == 0, "link").otherwise("file").alias("kind"), "bytes", "digest").unionByName(state_file.withColumn("kind", F.lit("file")))
+    doc = listed.agg(F.lit(L.SCHEMA).alias("schema"), F.lit("ok").alias("state_status"), F.lit("2024-01-31T00:00:00Z").alias("last_run_at"), F.collect_list(F.struct("path", "bytes", F.col("digest").alias("sha256"))).alias("files"), F.count(F.lit(1)).alias("file_count"), F.sum("bytes").alias("total_bytes"))
+    manifest = settled(L.document(doc.select(F.to_json(F.struct("*")))), "manifest")
+    state = L.document(spark.range(1).select(F.lit('{"status": "ok", "last_run_at": "2024-01-31T00:00:00Z"}')))
+    return L.violations(manifest, found, state)
+
+
 # --- html, reports ---
 
 
@@ -824,10 +856,17 @@ def web_collect(spark, sf) -> DataFrame:
     return G.collected(sources, captured, F.lit("2000-01-01").cast("timestamp"), least=0).select("source", "kind", "url", F.sha2("text", 256).alias("text_sha"), "error")
 
 
-@query("SELECT page_id, link, 0 AS score, place FROM (SELECT page_id, link, row_number() OVER (PARTITION BY page_id ORDER BY link) AS place FROM (SELECT DISTINCT page_id, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || href AS link FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href=\"([^\"#]*)', 1)) AS href FROM pages) WHERE rtrim(href, '/') <> rtrim(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '/'))) WHERE place <= 12")
+# an index of links for each page, made of its number: paths with a hint or a date, headings, long labels, blocked and foreign ones
+@query("""SELECT page_id, link, score, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, link) AS place FROM (SELECT page_id, 'https://' || host || path AS link, CASE WHEN regexp_matches(path, '/news/') THEN 3 ELSE 0 END + CASE WHEN regexp_matches(path, '/20[0-9][0-9]/0[1-9]/') THEN 3 ELSE 0 END + CASE WHEN heading THEN 2 ELSE 0 END + CASE WHEN long THEN 1 ELSE 0 END AS score
+ FROM (SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1)) AS host, k, (page_id + k) % 3 = 0 AS heading, (page_id + k) % 4 = 0 AS long, CASE k % 5 WHEN 0 THEN '/news/' WHEN 1 THEN '/2024/0' || (1 + page_id % 9) || '/' WHEN 2 THEN '/news/2023/05/' WHEN 3 THEN '/x/' ELSE '/tag/' END || page_id || '-' || k AS path FROM (SELECT page_id, url, unnest(range(20)) AS k FROM pages)) WHERE k % 5 <> 4) WHERE score >= 2 QUALIFY place <= 12""")
 def link_discovery(spark, sf) -> DataFrame:
-    # every link counts here: the tables' pages have none that is likely to be an article
-    return W.discover(table(spark, sf, "pages"), least=0).select("page_id", "link", "score", "place")
+    i, k = F.col("page_id"), F.col("k")
+    path = F.concat(F.when(k % 5 == 0, "/news/").when(k % 5 == 1, F.concat(F.lit("/2024/0"), (1 + i % 9).cast("string"), F.lit("/"))).when(k % 5 == 2, "/news/2023/05/").when(k % 5 == 3, "/x/").otherwise("/tag/"), i.cast("string"), F.lit("-"), k.cast("string"))
+    label = F.when((i + k) % 4 == 0, "a label of more than twenty-four characters").otherwise("short")
+    a = F.concat(F.lit('<a href="'), path, F.lit('#top">'), label, F.lit('</a><a href="https://other.example.org'), path, F.lit('">x</a>'))
+    each = table(spark, sf, "pages").select("page_id", T.host(F.col("url")).alias("host"), F.explode(F.sequence(F.lit(0), F.lit(19))).alias("k")).select("page_id", "host", "k", F.when((i + k) % 3 == 0, F.concat(F.lit("<h2>"), a, F.lit("</h2>"))).otherwise(a).alias("a"))
+    index = each.groupBy("page_id", "host").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "a"))), lambda x: x["a"]), "\n").alias("html"))  # twenty links
+    return W.discover(index.select("page_id", F.concat(F.lit("https://"), "host", F.lit("/")).alias("url"), "html")).select("page_id", "link", "score", "place")
 
 
 @query("SELECT page_id, regexp_replace(url, '[?#].*$', '') AS path FROM pages")

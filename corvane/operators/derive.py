@@ -156,10 +156,10 @@ def error_category(kind: Column, message: Column, status: Column | None = None)
     return F.concat(kind, F.lit(": "), out.otherwise(lookup(ERROR_KINDS, kind, "unexpected_error")))
 
 
-def virtual_sources(spark, queries: list[str]) -> DataFrame:
-    """A source per query that isn't blank; ids keep the query's place."""
-    q = spark.range(1).select(F.posexplode(F.array(*[F.lit(x) for x in queries])).alias("i", "query"))
-    return q.where(F.trim("query") != "").select(F.concat(F.lit("discovery-"), (F.col("i") + 1).cast("string")).alias("source"), "query", F.lit("x").alias("platform"))
+def virtual_sources(queries: DataFrame) -> DataFrame:
+    """A source for each query (place, query) that isn't blank; ids keep the query's place, from 1."""
+    q = queries.select(F.col("place").cast("long").alias("place"), F.trim("query").alias("query")).where("query <> ''")
+    return q.select(F.concat(F.lit("x-discovery-"), F.col("place").cast("string")).alias("source"), "query", F.lit("x").alias("platform"))
 
 
 def make_item(found: DataFrame, registry: DataFrame, now: Column | None = None) -> DataFrame:

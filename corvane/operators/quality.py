@@ -114,27 +114,86 @@ def violations(*parts: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def settings(s: dict) -> list[str]:
-    """Rules that a settings document breaks; it is one small document, so this is plain Python."""
-    bad = []
-    for k in ("poll_seconds", "workers", "public_excerpt_chars", "public_media_limit"):
-        v = s.get(k)
-        if not isinstance(v, int) or isinstance(v, bool) or v < 1:
-            bad.append(f"{k}: not a positive whole number")
-    for k in ("collection_delay_hours", "site_publication_delay_hours"):
-        v = s.get(k, 0)
-        if not isinstance(v, (int, float)) or isinstance(v, bool) or v < 0:
-            bad.append(f"{k}: negative or not a number")
-    for k in ("raw_root", "report_root", "site_root"):
-        if not isinstance(s.get(k), str) or not T.safe_relative(s[k]):
-            bad.append(f"{k}: unsafe path")
+def collisions(rows: DataFrame, virtual: DataFrame) -> DataFrame:
+    """Generated ids that a source of the registry has, too."""
+    both = virtual.join(rows.select(F.col("source").alias("known")).distinct(), F.col("source") == F.col("known"))
+    return both.select(F.lit("registry").alias("scope"), F.col("source").alias("key"), F.lit("generated_id").alias("rule"))
+
+
+# Keys of the settings document by what they must hold.
+POSITIVE = ("poll_seconds", "workers", "request_timeout_seconds", "default_lookback_hours", "telegram_max_pages", "x_max_pages", "web_max_links", "public_excerpt_chars", "public_media_limit")
+NOT_NEGATIVE = ("collection_delay_hours", "site_publication_delay_hours", "site_sensitive_delay_hours")
+DELAYS = ("collection_delay_by_group", "collection_delay_by_tag", "collection_delay_by_source")
+PATHS = ("raw_root", "error_root", "state_file", "report_root", "site_root")
+LISTS = ("sensitive_tags", "public_redact_tags", "x_search_queries")
+DOMAIN = r"(?=.{1,253}$)(?:[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?\.)+[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?"
+
+
+def _number(value) -> float | None:
+    try:
+        return None if isinstance(value, bool) else float(value)
+    except (TypeError, ValueError):
+        return None
+
+
+def _whole(value) -> int | None:
+    try:
+        return None if isinstance(value, bool) or (isinstance(value, float) and value % 1) else int(value)
+    except (TypeError, ValueError):
+        return None
+
+
+def settings(s: dict, whole: bool = False) -> list[str]:
+    """Rules that a settings document breaks; it is one small document, so this is plain Python. whole: keys that are
+    missing break their rules, too."""
+    bad: list[str] = []
+    there = lambda keys: [k for k in keys if whole or k in s]
+
+    def rule(ok: bool, text: str) -> None:
+        if not ok:
+            bad.append(text)
+
+    must = ("poll_seconds", "workers", "public_excerpt_chars", "public_media_limit")
+    for k in POSITIVE if whole else [*must, *(x for x in there(POSITIVE) if x not in must)]:
+        rule((_whole(s.get(k)) or 0) >= 1, f"{k}: not a positive whole number")
+    for k in there(NOT_NEGATIVE):
+        n = _number(s.get(k))
+        rule(n is not None and n >= 0, f"{k}: negative or not a number")
+    if s.get("status_stale_after_hours") is not None:
+        rule((_number(s["status_stale_after_hours"]) or 0) > 0, "status_stale_after_hours: not a positive number")
+    for k in there(DELAYS):
+        if not isinstance(s.get(k), dict):
+            bad.append(f"{k}: not an object")
+            continue
+        for name, value in s[k].items():
+            n = _number(value)
+            rule(n is not None and n >= 0, f"{k}.{name}: negative or not a number")
+    for k in PATHS if whole else ("raw_root", "report_root", "site_root", *(x for x in ("error_root", "state_file") if x in s)):
+        rule(isinstance(s.get(k), str) and T.safe_relative(s[k]), f"{k}: unsafe path")
     try:
         ZoneInfo(s.get("report_timezone", ""))
     except Exception:  # noqa: BLE001  any unknown or malformed name
         bad.append("report_timezone: unknown")
-    if not set(s.get("public_redact_tags", [])) <= set(s.get("sensitive_tags", [])):
-        bad.append("public_redact_tags: not among sensitive_tags")
-    for source, hosts in (s.get("article_host_allowlist") or {}).items():
-        if not isinstance(hosts, list) or not all(re.fullmatch(r"[a-z0-9-]+(\.[a-z0-9-]+)+", h) for h in hosts):
-            bad.append(f"article_host_allowlist: {source}")
+    for k in there(LISTS):
+        rule(isinstance(s.get(k), list), f"{k}: not an array")
+    for n, q in enumerate(s["x_search_queries"] if isinstance(s.get("x_search_queries"), list) else []):
+        rule(isinstance(q, str) and bool(q.strip()), f"x_search_queries[{n}]: blank or no text")
+    redact, sensitive = s.get("public_redact_tags") or [], s.get("sensitive_tags") or []
+    if isinstance(redact, list) and isinstance(sensitive, list):
+        rule(set(map(str, redact)) <= set(map(str, sensitive)), "public_redact_tags: not among sensitive_tags")
+    for k in there(("platform_cadence_minutes", "minimum_group_counts")):
+        if not isinstance(s.get(k), dict):
+            bad.append(f"{k}: not an object")
+            continue
+        for name, value in s[k].items():
+            n = _whole(value)
+            rule(k != "platform_cadence_minutes" or name in PLATFORMS, f"{k}.{name}: unknown platform")
+            rule(n is not None and (n >= 1 or k != "platform_cadence_minutes"), f"{k}.{name}: not a whole number" if n is None else f"{k}.{name}: less than 1")
+    allowed = s.get("article_host_allowlist")
+    if allowed is not None and not isinstance(allowed, dict):
+        bad.append("article_host_allowlist: not an object")
+        allowed = None
+    for source, hosts in (allowed or {}).items():
+        ok = isinstance(hosts, list) and bool(hosts) and all(isinstance(h, str) and re.fullmatch(DOMAIN, h) for h in hosts)
+        rule(ok and bool(source), f"article_host_allowlist: {source}")
     return bad
