@@ -933,5 +933,13 @@ def weekly_report(spark, sf) -> DataFrame:
     return R.weekly_counts(V.items(spark, sf), _section(), "2024-01-01", "2024-01-07")
 
 
+@query(Q.summary())
+def summary_documents(spark, sf) -> DataFrame:
+    parts = lambda x: [x["place"], x["cluster_id"], x["change"], x["matched_days"], x["evidence_label"], x["pulse_label"], x["items"], x["families"], F.array_join(F.transform(x["samples"], lambda i: i.cast("string")), ",")]
+    row = lambda x: F.concat_ws(" ", *[p.cast("string") for p in parts(x)])
+    s = B.summary(_prep(spark, sf), Q.WATCH)
+    return s.withColumns({c: F.array_join(F.transform(c, row), "\n") for c in ("primary", "watched")})
+
+
 def flagship(spark, sf) -> DataFrame:
     return editorial_rank(spark, sf)

@@ -172,3 +172,24 @@ def written(parts: DataFrame, root: str) -> DataFrame:
 
     ordered = parts.select("name", "at", "text").repartition("name").sortWithinPartitions("name", "at")
     return ordered.select("name", "text").mapInArrow(run, "name string, bytes long, digest string")
+
+
+def summary(prep: DataFrame, least: float = 4.0) -> DataFrame:
+    """A row per local day: how items fared at the gates, clusters, and the day's primary and watched clusters in order,
+    each with its scores, labels and samples. prep: clusters.prepared; it is matched once and written once."""
+    from corvane.plans import clusters as C
+    from corvane.session import settled
+
+    prep = settled(prep.where("local_day IS NOT NULL"), "prepared")
+    candidate = F.col("relevance").isin("relevant", "peripheral")
+    gates = prep.groupBy("local_day").agg(F.count(F.lit(1)).alias("items"), F.count_if(candidate & F.col("strict")).alias("accepted"), F.count_if(candidate & ~F.col("strict")).alias("strict_filtered"), *[F.count_if(F.col("relevance") == k).alias(k) for k in ("relevant", "peripheral", "irrelevant", "redacted")])
+    r = settled(C.ranked(C.clusters(prep)), "ranked")  # a row per cluster
+    chosen = C.primary(r)
+    watched = C.watch(r, chosen, least)
+    ids = C.samples(C.accepted(prep)).groupBy(*C.KEY).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "item_id"))), lambda s: s["item_id"]).alias("samples"))  # five a cluster
+    named = r.select("cluster_id", *C.KEY).join(ids, C.KEY).select("cluster_id", "samples")
+    what = r.select("cluster_id", "topic", "locations", "change", "matched_days", "rank", "importance", "novelty", "evidence", C.label(F.col("evidence"), 6.0, 3.2, ("strong", "mixed", "thin")).alias("evidence_label"), "pulse", C.label(F.col("pulse"), 6.0, 3.0, ("high", "medium", "low")).alias("pulse_label"), "items", "families").join(named, "cluster_id")
+    of = lambda places, name: places.select("local_day", "place", "cluster_id").join(what, "cluster_id").groupBy("local_day").agg(F.array_sort(F.collect_list(F.struct("place", *[c for c in what.columns]))).alias(name))  # noqa: E731, C416  at most 14 and 6 a day
+    n = r.groupBy("local_day").agg(F.count(F.lit(1)).alias("clusters"))
+    out = gates.join(n, "local_day", "left").join(of(chosen, "primary"), "local_day", "left").join(of(watched, "watched"), "local_day", "left")
+    return out.withColumn("clusters", F.coalesce("clusters", F.lit(0).cast("long")))

@@ -124,3 +124,16 @@ def samples() -> str:
 
 def tokens() -> str:
     return f"WITH {V.ITEMS} SELECT t, count(*) AS n FROM (SELECT unnest({_tokens('lower(text)')}) AS t FROM items) GROUP BY 1"
+
+
+def summary() -> str:
+    """Each day's counters and, as text, its primary and watched clusters with their labels and samples."""
+    row = "place || ' ' || x.cluster_id || ' ' || change || ' ' || matched_days || ' ' || CASE WHEN evidence >= 6.0 THEN 'strong' WHEN evidence >= 3.2 THEN 'mixed' ELSE 'thin' END || ' ' || CASE WHEN pulse >= 6.0 THEN 'high' WHEN pulse >= 3.0 THEN 'medium' ELSE 'low' END || ' ' || items || ' ' || families || ' ' || ids"
+    named = f"SELECT {', '.join('c.' + k for k in _KEY.split(', '))}, c.cluster_id, c.evidence, c.pulse, c.items, c.families, t.change, t.matched_days, s.ids FROM clusters c JOIN temporal t USING (cluster_id) JOIN sampled s USING ({_KEY})"
+    return f"""WITH RECURSIVE {V.ITEMS}, {PREP}, {CLUSTERS}, {TEMPORAL}, {PRIMARY},
+ firsts AS (SELECT {_KEY}, item_id, row_number() OVER (PARTITION BY {_KEY} ORDER BY g > 1, {_RANKS}) AS place FROM (SELECT *, row_number() OVER (PARTITION BY {_KEY}, grp ORDER BY {_RANKS}) AS g FROM best)),
+ sampled AS (SELECT {_KEY}, string_agg(item_id, ',' ORDER BY place) AS ids FROM firsts WHERE place <= 5 GROUP BY {_KEY}), named AS ({named}),
+ pri AS (SELECT c.local_day, string_agg({row}, chr(10) ORDER BY place) AS primary_ FROM (SELECT local_day, place, s.id AS id FROM chosen) c JOIN named x ON x.cluster_id = c.id GROUP BY 1),
+ wat AS (SELECT c.local_day, string_agg({row}, chr(10) ORDER BY place) AS watched FROM (SELECT local_day, cluster_id AS id, row_number() OVER (PARTITION BY local_day ORDER BY pulse DESC, rank DESC, first_pos) AS place FROM ranked WHERE pulse >= {WATCH} AND cluster_id NOT IN (SELECT s.id FROM chosen)) c JOIN named x ON x.cluster_id = c.id WHERE place <= 6 GROUP BY 1),
+ gates AS (SELECT local_day, count(*) AS items, count(*) FILTER (relevance IN ('relevant', 'peripheral') AND strict) AS accepted, count(*) FILTER (relevance IN ('relevant', 'peripheral') AND NOT strict) AS strict_filtered, count(*) FILTER (relevance = 'relevant') AS relevant, count(*) FILTER (relevance = 'peripheral') AS peripheral, count(*) FILTER (relevance = 'irrelevant') AS irrelevant, count(*) FILTER (relevance = 'redacted') AS redacted FROM prep WHERE local_day IS NOT NULL GROUP BY 1)
+ SELECT g.*, coalesce(n.clusters, 0) AS clusters, p.primary_ AS "primary", w.watched FROM gates g LEFT JOIN (SELECT local_day, count(*) AS clusters FROM clusters GROUP BY 1) n USING (local_day) LEFT JOIN pri p USING (local_day) LEFT JOIN wat w USING (local_day)"""
