@@ -100,3 +100,25 @@ def _read(rows: DataFrame) -> DataFrame:
     """rows (url, html, ...) with the fields of their pages."""
     numbered = settled(rows.withColumn("page_id", F.monotonically_increasing_id()), "pages")
     return numbered.drop("html").join(W.article_fields(numbered), "page_id").drop("page_id")
+
+
+def feed_items(entries: DataFrame, sources: DataFrame, captured: DataFrame, since: Column) -> DataFrame:
+    """source, post_id, url, title, text, media, published, author: the entries of feeds (rows of connectors.parse) from
+    since on, undated ones too, each with its article where the publisher's allowlist lets it be read.
+
+    The longer text counts; the feed's own title and time come first. An entry whose address isn't the publisher's keeps
+    its text and points to the feed; one whose article can't be read stays as it is.
+    """
+    s = sources.select("source", F.col("url").alias("feed"), _domains().alias("domains"))
+    e = entries.where("error IS NULL").join(s, "source").withColumn("when", T.parse_stamp(F.col("published"))).where(F.col("when").isNull() | (F.col("when") >= since))
+    e = e.withColumn("link", F.coalesce(F.nullif(F.trim("url"), F.lit("")), F.col("feed")))
+    e = settled(e.withColumn("own", F.coalesce(S.publisher_allowed(F.col("link"), F.col("domains")), F.lit(False))).select("source", "post_id", "link", "feed", "domains", "own", "title", "text", "media", "published", "author"), "entries")
+    ask = e.where("own").select(F.concat_ws(" ", "source", "link").alias("request"), "source", F.col("link").alias("url"), "domains").dropDuplicates(["request"])
+    got = followed(ask, captured).where("error IS NULL").join(ask.select("request", F.col("url").alias("link")), "request")
+    read = _read(got.select(F.col("final").alias("url"), "html", "source", "link")).select("source", "link", F.col("url").alias("a_url"), F.col("title").alias("a_title"), F.col("text").alias("a_text"), F.col("media").alias("a_media"), F.col("published").alias("a_published"))
+    j = e.join(read, ["source", "link"], "left")
+    text, article = T.clean(F.coalesce("text", F.lit(""))), T.clean(F.coalesce("a_text", F.lit("")))
+    blank = lambda c: F.nullif(T.clean(F.coalesce(c, F.lit(""))), F.lit(""))
+    return j.select(
+        "source", "post_id", F.coalesce("a_url", F.when(F.col("own"), F.col("link")).otherwise(F.col("feed"))).alias("url"), F.coalesce(blank("title"), blank("a_title"), F.lit("")).alias("title"), F.when(F.char_length(article) > F.char_length(text), article).otherwise(text).alias("text"),
+        F.coalesce("a_media", "media").alias("media"), F.coalesce("published", "a_published").alias("published"), "author")

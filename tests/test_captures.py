@@ -47,3 +47,17 @@ def test_articles_or_snapshot(spark):
     ]
     maps = K.collected(s.where("source = 'm'"), spark.createDataFrame(rows, CAPTURE), F.lit("2026-01-01").cast("timestamp")).collect()
     assert [(r.kind, r.url) for r in maps] == [("web_snapshot", "https://m.b/")]
+
+
+def test_feeds_with_their_articles(spark):
+    entry = lambda k, **kw: {"source": "f", "post_id": str(k), "url": f"https://a.b/{k}", "published": "2026-01-05T00:00:00Z", "title": f"t{k}", "text": "short", "media": [], "author": "me", "error": None} | kw
+    rows = [entry(1), entry(2, published="2025-01-01T00:00:00Z"), entry(3, url="https://evil.c/3"), entry(4, text="a text that is longer than its article"), entry(5, title="", published=None), entry(6), entry(7, error="ParseError: invalid_payload"), entry(8, url=None)]
+    entries = spark.createDataFrame([tuple(r.values()) for r in rows], "source string, post_id string, url string, published string, title string, text string, media array<string>, author string, error string")
+    sources = spark.createDataFrame([("f", "https://feed.a.b/rss", None)], "source string, url string, article_hosts array<string>")
+    article = "<title>from the page</title><time datetime='2026-01-06T00:00:00Z'></time><main><p>the article, which says more</p><img src='/i.png'></main>"
+    captured = [("https://a.b/1", 301, "/one", None), ("https://a.b/one", 200, None, article), ("https://a.b/4", 200, None, "<p>less</p>"), ("https://a.b/5", 200, None, article), ("https://evil.c/3", 200, None, article)]
+    got = {r.post_id: r for r in K.feed_items(entries, sources, spark.createDataFrame(captured, CAPTURE), F.lit("2026-01-01").cast("timestamp")).collect()}
+    assert sorted(got) == ["1", "3", "4", "5", "6", "8"]
+    assert (got["1"].url, got["1"].title, got["1"].media) == ("https://a.b/one", "t1", ["https://a.b/i.png"]) and "says more" in got["1"].text
+    assert (got["3"].url, got["3"].text) == ("https://feed.a.b/rss", "short") and got["4"].text.startswith("a text") and (got["5"].title, got["5"].published) == ("from the page", "2026-01-06T00:00:00Z")
+    assert (got["6"].url, got["6"].text) == ("https://a.b/6", "short") and got["8"].url == "https://feed.a.b/rss"
