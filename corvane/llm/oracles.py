@@ -58,3 +58,40 @@ COLLOCATIONS = f"""WITH p AS (SELECT lang, row_number() OVER () AS r, piece FROM
  held AS (SELECT lang, s, max(a) AS a FROM (SELECT lang, a, unnest([array_to_string(u[1:2], ' '), array_to_string(u[2:3], ' ')]) AS s FROM c WHERE m = 3) GROUP BY 1, 2),
  kept AS (SELECT b.* FROM best b LEFT JOIN held h ON h.lang = b.lang AND h.s = b.s AND b.m = 2 WHERE h.a IS NULL OR 100 * h.a < 50 * b.a)
 SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s) AS rank, s AS phrase, a, l, r, CAST(score AS BIGINT) AS score FROM kept) JOIN t USING (lang) WHERE rank <= 2000"""
+
+
+def _repair() -> str:
+    """Damage by checksum, faults by windows, and the cheapest audits turn by turn: for each state what the roles end in,
+    the least (cost, audit, repaired) of all macros, with audits and texts as they are."""
+    after, name = (lambda s: 3 if s == 2 else 2), {2: "user", 3: "assistant"}
+    to: dict[int, list[str]] = {t: [f"{{'c': s[{t + 1}].c + 3, 'a': s[{t + 1}].a || 'D', 'r': s[{t + 1}].r}}"] for t in range(4)}
+    for s in range(4):
+        at, put = s, ""
+        for k in range(3):
+            made = lambda e, t, cost, text, s=s, k=k, put=put: to[t].append(f"{{'c': s[{s + 1}].c + {2 * k} + (f = 3)::INT + {cost} + CASE WHEN f IN (1, 2) THEN 1000000000 ELSE 0 END, 'a': s[{s + 1}].a || '{'I' * k}{e}', 'r': s[{s + 1}].r || {put or chr(39) * 2} || {text}}}")
+            kept = {"s": 1} if at == 0 and k == 0 else {}
+            kept |= {"u": 2} if at != 2 else {"a": 3}
+            for i, t in kept.items():
+                made("K", t, f"CASE WHEN i = '{i}' THEN 0 ELSE 1000000000 END", "chr(10) || role || ':' || text")
+            made("R", after(at), 2, f"chr(10) || '{name[after(at)]}:' || text")
+            at = after(at)
+            put = (put + " || " if put else "") + f"chr(10) || '{name[at]}:'"
+    best = ", ".join(f"list_sort([{', '.join(to[t])}])[1]" for t in range(4))
+    ends = "[s[1], s[4], {'c': s[3].c + 2, 'a': s[3].a || 'I', 'r': s[3].r || chr(10) || 'assistant:'}, {'c': s[2].c + 4, 'a': s[2].a || 'II', 'r': s[2].r || chr(10) || 'user:' || chr(10) || 'assistant:'}]"
+    kind = "STRUCT(c BIGINT, a VARCHAR, r VARCHAR)[]"
+    return f"""WITH RECURSIVE tbl AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_concat([i], range(8)), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) x(i))),
+ keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda ch: CAST(ord(ch) AS BIGINT)) AS codes FROM conversations),
+ crc AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_concat([4294967295], codes), lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 20 AS k FROM keyed, tbl),
+ dam AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy FROM crc WHERE k <> 0),
+ num AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS rn FROM dam),
+ rows_ AS (SELECT conv_id, turn, role, text, rn, substr(role, 1, 1) AS i, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1 THEN 2 WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 3 ELSE 0 END AS f, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY rn) AS before FROM num),
+ facts AS (SELECT conv_id, CASE WHEN count(turn) = 0 THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps, count(*) FILTER (f = 1) AS blank, count(*) FILTER (f = 2) AS duplicate, count(*) FILTER (f = 3) AS truncated, count(*) FILTER (rn > 1 AND before || i NOT IN ('su', 'ua', 'au')) AS illegal, max(rn) AS n FROM rows_ GROUP BY 1),
+ fold AS (SELECT conv_id, CAST(0 AS BIGINT) AS rn, CAST([{{'c': 0, 'a': '', 'r': ''}}, {{'c': 1000000000, 'a': '', 'r': ''}}, {{'c': 1000000000, 'a': '', 'r': ''}}, {{'c': 1000000000, 'a': '', 'r': ''}}] AS {kind}) AS s FROM facts
+  UNION ALL SELECT d.conv_id, d.rn, CAST([{best}] AS {kind}) FROM fold o JOIN rows_ d ON d.conv_id IS NOT DISTINCT FROM o.conv_id AND d.rn = o.rn + 1),
+ done AS (SELECT f.conv_id, f.gaps, f.blank, f.duplicate, f.truncated, f.illegal, list_sort({ends})[1] AS e FROM facts f JOIN fold o ON o.conv_id IS NOT DISTINCT FROM f.conv_id AND o.rn = f.n),
+ every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT e.conv_id, CAST(coalesce(d.gaps, 0) AS BIGINT) AS gaps, coalesce(d.blank, 0) AS blank, coalesce(d.duplicate, 0) AS duplicate, coalesce(d.truncated, 0) AS truncated, coalesce(d.illegal, 0) AS illegal, CAST(coalesce(d.e.c, 0) AS BIGINT) AS cost, coalesce(d.e.a, '') AS audit, sha256(coalesce(substr(d.e.r, 2), '')) AS repaired_sha256
+FROM every e LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
+REPAIR = _repair()

@@ -98,4 +98,4 @@ QUERIES = {
     "op12_decontaminate": op12_decontaminate,
     "op13_repair": op13_repair,
 }
-ORACLES: dict[str, str] = {"op2_suffix_tree": oracles.SUFFIX_TREE, "op8_suffix_array": oracles.SUFFIX_ARRAY, "op9_warc": oracles.WARC, "op11_collocations": oracles.COLLOCATIONS, "op12_decontaminate": oracles.DECONTAMINATION}
+ORACLES: dict[str, str] = {"op2_suffix_tree": oracles.SUFFIX_TREE, "op8_suffix_array": oracles.SUFFIX_ARRAY, "op9_warc": oracles.WARC, "op11_collocations": oracles.COLLOCATIONS, "op12_decontaminate": oracles.DECONTAMINATION, "op13_repair": oracles.REPAIR}
