@@ -370,7 +370,7 @@ def test_oracles(spark):
     import duckdb
 
     sf, c = "/root/testdata/sf0.001", duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     for name, sql in queries.ORACLES.items():
         rel = c.sql(sql)
