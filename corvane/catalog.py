@@ -304,8 +304,7 @@ def publication_mode(spark, sf) -> DataFrame:
 # first turns of conversations as queries, in their order; two sources of the registry have such an id already
 @query("SELECT 'x-discovery-' || (conv_id + 1) AS source, trim(q) AS query, 'x' AS platform, conv_id IN (3, 5) AS collides FROM (SELECT conv_id, CASE WHEN conv_id % 4 = 1 THEN '  ' ELSE substr(text, 1, 30) END AS q FROM conversations WHERE turn = 0) WHERE trim(q) <> ''")
 def virtual_sources(spark, sf) -> DataFrame:
-    asked = table(spark, sf, "conversations").where("turn = 0").select((F.col("conv_id") + 1).alias("place"), F.when(F.col("conv_id") % 4 == 1, "  ").otherwise(F.substring("text", 1, 30)).alias("query"))
-    made = D.virtual_sources(asked)
+    made = D.virtual_sources(_asked(spark, sf))
     known = V.registry(spark, sf).select("source").unionByName(spark.createDataFrame([("x-discovery-4",), ("x-discovery-6",)], "source string"))
     odd = X.collisions(known, made).select(F.col("key").alias("source"), F.lit(True).alias("collides"))
     return made.join(odd, "source", "left").withColumn("collides", F.coalesce("collides", F.lit(False)))
@@ -425,9 +424,13 @@ def fk_violations(spark, sf) -> DataFrame:
     return J.missing_keys(V.items(spark, sf), V.registry(spark, sf).where("enabled"), "source").select("item_id")
 
 
-@query(_reg("SELECT source, platform FROM registry UNION ALL SELECT 'discovery-1', 'x' UNION ALL SELECT 'discovery-3', 'x'"))
+def _asked(spark, sf) -> DataFrame:
+    return table(spark, sf, "conversations").where("turn = 0").select((F.col("conv_id") + 1).alias("place"), F.when(F.col("conv_id") % 4 == 1, "  ").otherwise(F.substring("text", 1, 30)).alias("query"))
+
+
+@query(_reg("SELECT source, platform FROM registry UNION ALL SELECT 'x-discovery-' || (conv_id + 1), 'x' FROM (SELECT conv_id, CASE WHEN conv_id % 4 = 1 THEN '  ' ELSE substr(text, 1, 30) END AS q FROM conversations WHERE turn = 0) WHERE trim(q) <> ''"))
 def source_union(spark, sf) -> DataFrame:
-    return V.registry(spark, sf).select("source", "platform").unionByName(D.virtual_sources(spark, P.QUERIES).select("source", "platform"))
+    return V.registry(spark, sf).select("source", "platform").unionByName(D.virtual_sources(_asked(spark, sf)).select("source", "platform"))
 
 
 # --- aggregation ---
