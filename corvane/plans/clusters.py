@@ -168,10 +168,14 @@ def temporal(c: DataFrame, days: int = 7) -> DataFrame:
     old = c.select(F.col("cluster_id").alias("h_id"), F.col("topic").alias("h_topic"), F.explode(places_of(c)).alias("place"), F.col("local_day").alias("day"))
     ok = (F.col("topic") == F.col("h_topic")) | (F.col("topic").isin(*PAIRED) & F.col("h_topic").isin(*PAIRED))
     pairs = now.join(old, ["place", "day"]).where(ok).select("cluster_id", "h_id").distinct()
-    what = c.select("cluster_id", "anchor_union", "token_union")
-    past = c.select(F.col("cluster_id").alias("h_id"), F.col("local_day").alias("h_day"), F.col("anchor_union").alias("h_anchors"), F.col("token_union").alias("h_tokens"), F.col("pulse").alias("h_pulse"), F.col("first_pos").alias("h_pos"))
+    words = F.transform("token_union", lambda t: F.xxhash64(t))  # pairs carry and compare numbers; two words of a pair of clusters share one once in 10^12
+    what = c.select("cluster_id", "anchor_union", words.alias("words"))
+    past = c.select(F.col("cluster_id").alias("h_id"), F.col("local_day").alias("h_day"), F.col("anchor_union").alias("h_anchors"), words.alias("h_words"), F.col("pulse").alias("h_pulse"), F.col("first_pos").alias("h_pos"))
     pairs = pairs.join(what, "cluster_id").join(past, "h_id")
-    score = 0.55 + 0.30 * T.jaccard(F.col("anchor_union"), F.col("h_anchors")) + 0.15 * T.jaccard(F.col("token_union"), F.col("h_tokens"))
+    pairs = pairs.withColumn("both", F.size(F.array_intersect("words", "h_words")))  # a column of its own is computed once
+    some = (F.size("words") > 0) & (F.size("h_words") > 0)
+    alike = F.when(some, F.col("both") / (F.size("words") + F.size("h_words") - F.col("both"))).otherwise(F.lit(0.0))
+    score = 0.55 + 0.30 * T.jaccard(F.col("anchor_union"), F.col("h_anchors")) + 0.15 * alike
     best = pairs.groupBy("cluster_id", "h_day").agg(F.max_by("h_pulse", F.struct(F.round(score, 9), -F.col("h_pos"))).alias("day_pulse"))
     base = best.groupBy("cluster_id").agg(F.round(F.avg("day_pulse"), 9).alias("baseline"), F.count(F.lit(1)).alias("matched_days"))
     j = c.select("cluster_id", "pulse").join(base, "cluster_id", "left")
