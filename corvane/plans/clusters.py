@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -154,28 +157,89 @@ def places_of(c: DataFrame) -> Column:
 
 
 PAIRED = ["strikes", "civilian-harm", "air-defence", "energy"]
+#: Words of a block of a day's clusters, clusters of one, and columns of a matrix of them.
+BLOCK_WORDS, BLOCK_CLUSTERS, COLUMNS = 1 << 21, 1024, 8192
+#: Pairs whose scores are this near to a block's best are left for the exact rule to choose from.
+NEAR = 1e-8
+
+
+def common(a: pa.Array, b: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values that each list of a shares with each of b, as a matrix; and how many each of a, and of b, has."""
+    n, m = len(a), len(b)
+    rows = np.concatenate([pc.list_parent_indices(a).to_numpy(), n + pc.list_parent_indices(b).to_numpy()]).astype(np.int64)
+    code = pc.dictionary_encode(pa.concat_arrays([a.flatten(), b.flatten()]), null_encoding="encode").indices.to_numpy().astype(np.int64)
+    key = np.unique(code * (n + m) + rows)  # by value, each list once
+    code, rows = key // (n + m), key % (n + m)
+    size = np.bincount(rows, minlength=n + m)
+    left = rows < n
+    kinds = int(code[-1]) + 1 if len(code) else 0
+    shared = (np.bincount(code[left], minlength=kinds) > 0) & (np.bincount(code[~left], minlength=kinds) > 0)
+    keep = shared[code]
+    code, rows = (np.cumsum(shared) - 1)[code[keep]], rows[keep]
+    both = np.zeros((n, m), np.int64)
+    for k in range(0, int(shared.sum()), COLUMNS):
+        at = slice(*np.searchsorted(code, [k, k + COLUMNS]))
+        x = np.zeros((n + m, COLUMNS), np.float32)
+        x[rows[at], code[at] - k] = 1
+        both += (x[:n] @ x[n:].T).astype(np.int64)  # exact: at most COLUMNS
+    return both, size[:n], size[n:]
+
+
+MATCHED = "cluster_id string, h_day date, h_pulse double, h_pos long, anchors_both long, anchors_all long, words_both long, words_all long"
+
+
+def block_matches(key: tuple, now: pa.Table, old: pa.Table) -> pa.Table:
+    """Of two blocks of clusters, one of an earlier day: for each later cluster the matches whose score is the best, or
+    so near to it that rounding may decide; of equal ones the first."""
+    names = [f.split()[0] for f in MATCHED.split(", ")]
+    empty = pa.table({n: pa.array([], t) for n, t in zip(names, [pa.string(), pa.date32(), pa.float64(), *[pa.int64()] * 5], strict=True)})
+    if not now.num_rows or not old.num_rows:
+        return empty
+    of = lambda t, c: t[c].combine_chunks()
+    topic, h_topic = (np.array(t["topic"].to_pylist(), object)[:, None] for t in (now, old))
+    known = lambda t: np.array([x is not None for x in t[:, 0]])
+    ok = (topic == h_topic.T) & known(topic)[:, None] & known(h_topic)[None, :] | (np.isin(topic.astype(str), PAIRED) & np.isin(h_topic.astype(str), PAIRED).T)
+    ok &= common(of(now, "places"), of(old, "places"))[0] > 0
+    if not ok.any():
+        return empty
+    share = lambda part, whole: np.where(whole > 0, part / np.maximum(whole, 1), 0.0)
+    a_both, a_n, a_m = common(of(now, "anchors"), of(old, "anchors"))
+    a_all = np.where((a_n[:, None] > 0) & (a_m[None, :] > 0), a_n[:, None] + a_m[None, :] - a_both, 0)
+    w_both, w_n, w_m = common(of(now, "words"), of(old, "words"))
+    w_all = np.where((w_n[:, None] > 0) & (w_m[None, :] > 0), w_n[:, None] + w_m[None, :] - w_both, 0)
+    score = np.where(ok, 0.55 + 0.30 * share(a_both, a_all) + 0.15 * share(w_both, w_all), -1.0)
+    i, j = np.nonzero(ok & (score >= score.max(axis=1, keepdims=True) - NEAR))
+    pos = old["first_pos"].to_numpy()
+    order = np.lexsort((pos[j], score[i, j], i))
+    i, j = i[order], j[order]
+    first = np.append(True, (i[1:] != i[:-1]) | (score[i[1:], j[1:]] != score[i[:-1], j[:-1]]))
+    i, j = i[first], j[first]
+    counts = [pa.array(x[i, j].astype(np.int64)) for x in (a_both, a_all, w_both, w_all)]
+    day = of(old, "day").take(pa.array(j))
+    return pa.Table.from_arrays([of(now, "cluster_id").take(pa.array(i)), day, of(old, "pulse").take(pa.array(j)), of(old, "first_pos").take(pa.array(j)), *counts], names)
 
 
 def temporal(c: DataFrame, days: int = 7) -> DataFrame:
     """cluster_id, change, novelty, baseline, matched_days.
 
     Two clusters match exactly if their topics are compatible and they share a place (a pair without one can't reach the
-    threshold of the score), so history is an equi-join on place and day, each cluster asking for the days before its
-    own; the score only picks the best match of a day. Pairs are ids alone until they are distinct.
+    threshold of the score); the score only picks the best match of a day. The clusters of a day are cut into blocks of
+    bounded size, and each block meets those of the seven days before: a cluster travels once for each block that it
+    meets, not for each cluster, and nothing is written for a pair that isn't the best of its block.
     """
-    ago = F.sequence(F.date_sub("local_day", days), F.date_sub("local_day", 1))
-    now = c.select("cluster_id", "topic", F.explode(places_of(c)).alias("place"), ago.alias("ago")).select("cluster_id", "topic", "place", F.explode("ago").alias("day"))
-    old = c.select(F.col("cluster_id").alias("h_id"), F.col("topic").alias("h_topic"), F.explode(places_of(c)).alias("place"), F.col("local_day").alias("day"))
-    ok = (F.col("topic") == F.col("h_topic")) | (F.col("topic").isin(*PAIRED) & F.col("h_topic").isin(*PAIRED))
-    pairs = now.join(old, ["place", "day"]).where(ok).select("cluster_id", "h_id").distinct()
-    words = F.transform("token_union", lambda t: F.xxhash64(t))  # pairs carry and compare numbers; two words of a pair of clusters share one once in 10^12
-    what = c.select("cluster_id", "anchor_union", words.alias("words"))
-    past = c.select(F.col("cluster_id").alias("h_id"), F.col("local_day").alias("h_day"), F.col("anchor_union").alias("h_anchors"), words.alias("h_words"), F.col("pulse").alias("h_pulse"), F.col("first_pos").alias("h_pos"))
-    pairs = pairs.join(what, "cluster_id").join(past, "h_id")
-    pairs = pairs.withColumn("both", F.size(F.array_intersect("words", "h_words")))  # a column of its own is computed once
-    some = (F.size("words") > 0) & (F.size("h_words") > 0)
-    alike = F.when(some, F.col("both") / (F.size("words") + F.size("h_words") - F.col("both"))).otherwise(F.lit(0.0))
-    score = 0.55 + 0.30 * T.jaccard(F.col("anchor_union"), F.col("h_anchors")) + 0.15 * alike
+    none = F.array().cast("array<string>")
+    words = F.transform(F.coalesce("token_union", none), lambda t: F.xxhash64(t))  # as numbers; two words of a pair of clusters share one once in 10^12
+    what = c.where(F.size(places_of(c)) > 0).select("cluster_id", "topic", F.col("local_day").alias("day"), F.filter(places_of(c), lambda p: p.isNotNull()).alias("places"), F.coalesce("anchor_union", none).alias("anchors"), words.alias("words"), F.col("pulse").cast("double").alias("pulse"), F.col("first_pos").cast("long").alias("first_pos"))
+    load = F.greatest(F.sum(F.size("words")) / BLOCK_WORDS, F.count(F.lit(1)) / BLOCK_CLUSTERS)
+    blocks = what.groupBy("day").agg(F.ceil(load).cast("int").alias("n"))
+    what = what.join(blocks, "day").withColumn("block", F.pmod(F.xxhash64("cluster_id"), F.col("n")).cast("int")).drop("n")
+    met = blocks.select(F.col("day").alias("met_day"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("met_block"))
+    near = lambda first, last: what.withColumn("met_day", F.explode(F.sequence(F.date_add("day", first), F.date_add("day", last)))).join(met, "met_day")
+    now, old = near(-days, -1), near(1, days)
+    old = old.select([F.col(k).alias(k) for k in old.columns])  # columns of its own
+    pairs = now.groupBy("day", "block", "met_day", "met_block").cogroup(old.groupBy("met_day", "met_block", "day", "block")).applyInArrow(block_matches, MATCHED)
+    share = lambda part, whole: F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(F.lit(0.0))
+    score = 0.55 + 0.30 * share("anchors_both", "anchors_all") + 0.15 * share("words_both", "words_all")
     best = pairs.groupBy("cluster_id", "h_day").agg(F.max_by("h_pulse", F.struct(F.round(score, 9), -F.col("h_pos"))).alias("day_pulse"))
     base = best.groupBy("cluster_id").agg(F.round(F.avg("day_pulse"), 9).alias("baseline"), F.count(F.lit(1)).alias("matched_days"))
     j = c.select("cluster_id", "pulse").join(base, "cluster_id", "left")

@@ -1,6 +1,7 @@
 """Queries over whole tables and whole scores, against brute force and SQL without cuts."""
 
 import os
+import random
 import re
 from collections import Counter
 from datetime import date, datetime
@@ -36,6 +37,24 @@ def test_words_decide_between_clusters_of_a_day(spark):
     assert (got["c5"].baseline, got["c5"].matched_days, got["c5"].change) == (2.0, 2, "CONTINUING")
 
 
+def test_blocks_of_clusters_give_the_best_match_of_a_day(spark, monkeypatch):
+    monkeypatch.setattr(C, "BLOCK_CLUSTERS", 4)
+    monkeypatch.setattr(C, "COLUMNS", 8)
+    rng = random.Random(3)
+    some = lambda of, most: rng.sample(of, rng.randint(0, most))
+    rows = [(f"c{k}", date(2024, 1, 1 + k % 9), rng.choice(["strikes", "energy", "naval", "support"]), some(["a", "b", "c", "d"], 3), rng.random(), some(["p", "q", "r"], 3), k, some([f"w{j}" for j in range(40)], 25)) for k in range(150)]
+    c = spark.createDataFrame(rows, "cluster_id string, local_day date, topic string, anchor_union array<string>, pulse double, place_union array<string>, first_pos long, token_union array<string>").withColumn("locations", F.col("place_union"))
+    share = lambda x, y: len({*x} & {*y}) / len({*x} | {*y}) if x and y else 0.0
+    want = {}
+    for i, day, topic, anchors, _, places, _, words in rows:
+        best: dict = {}
+        for _, h_day, h_topic, h_anchors, h_pulse, h_places, h_pos, h_words in rows:
+            if 1 <= (day - h_day).days <= 7 and {*places} & {*h_places} and (topic == h_topic or {topic, h_topic} <= {*C.PAIRED}):
+                best[h_day] = max(best.get(h_day, (-1.0, 0, 0.0)), (round(0.55 + 0.30 * share(anchors, h_anchors) + 0.15 * share(words, h_words), 9), -h_pos, h_pulse))
+        want[i] = (pytest.approx(sum(b[2] for b in best.values()) / len(best), abs=1e-8) if best else None, len(best))
+    assert {r.cluster_id: (r.baseline, r.matched_days) for r in C.temporal(c).collect()} == want
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 def test_clusters_carry_the_words_of_their_items(spark):
     prep = catalog._prep(spark, SF)
