@@ -6,10 +6,12 @@ import re
 from html import escape
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from corvane.functions.text import by_slices
+
 RESULT = StructType([StructField("text", StringType()), StructField("anchors", ArrayType(StringType()))])
 
 
@@ -27,9 +29,13 @@ def canonicaliser(concepts: list[tuple[str, list[str]]]):
                     found.add(name)
         return " ".join(value.split()), sorted(found)
 
-    @F.pandas_udf(RESULT)
-    def canonical(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(t) for t in text], columns=["text", "anchors"])
+    def some(texts: list[str | None]) -> pa.Array:
+        found = [one(t) for t in texts]
+        return pa.StructArray.from_arrays([pa.array([t for t, _ in found], pa.string()), pa.array([a for _, a in found], pa.list_(pa.string()))], ["text", "anchors"])
+
+    @F.arrow_udf(RESULT)
+    def canonical(text: pa.Array) -> pa.Array:
+        return by_slices(some, text)
 
     return canonical
 

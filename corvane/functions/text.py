@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from collections.abc import Callable
 from urllib.parse import quote, unquote, urljoin, urlsplit
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -76,9 +78,24 @@ def decoded(text: Column, rounds: int = 5) -> Column:
     return F.when(once == seen, seen)
 
 
-@F.pandas_udf(StringType())
-def nfkc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+#: Texts that a task holds as Python objects, whatever the size of a batch.
+TEXTS = 256
+
+
+def by_slices(f: Callable[[list], pa.Array], texts: pa.Array) -> pa.Array:
+    """f over a few texts at a time, as one array."""
+    return pa.concat_arrays([f(texts.slice(k, TEXTS).to_pylist()) for k in range(0, max(1, len(texts)), TEXTS)])
+
+
+@F.arrow_udf(StringType())
+def _nfkc(texts: pa.Array) -> pa.Array:
+    return by_slices(lambda xs: pa.array([None if x is None else unicodedata.normalize("NFKC", x) for x in xs], pa.string()), texts)
+
+
+def nfkc(text: Column) -> Column:
+    """Compatibility form. That of ASCII is the text itself, which doesn't leave the JVM."""
+    other = F.octet_length(text) > F.char_length(text)
+    return F.when(other, _nfkc(F.when(other, text))).otherwise(text)
 
 
 @F.pandas_udf(StringType())

@@ -2,6 +2,7 @@
 
 from datetime import date, datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -249,3 +250,14 @@ def test_quality(spark):
     assert X.settings(good) == []
     assert len(X.settings(good | {"workers": 0, "raw_root": "../x", "report_timezone": "Nowhere", "public_redact_tags": ["z"], "article_host_allowlist": {"s": "text"}})) == 5
     assert D.name_set("a, ,b") == {"a", "b"} and D.name_set(None) is None
+
+
+def test_texts_of_a_batch_are_objects_a_few_at_a_time(spark):
+    held = []
+    out = T.by_slices(lambda xs: held.append(len(xs)) or pa.array(xs, pa.string()), pa.array(["x"] * 1000 + [None]))
+    assert max(held) <= 256 and len(out) == 1001 and out[1000].as_py() is None and len(T.by_slices(lambda xs: pa.array(xs, pa.string()), pa.array([], pa.string()))) == 0
+    rows = [(k, "① ﬁ" if k % 2 else "plain" if k % 3 else None) for k in range(700)]
+    got = {r.k: r.t for r in spark.createDataFrame(rows, "k long, t string").select("k", T.nfkc(F.col("t")).alias("t")).collect()}
+    assert got == {k: "1 fi" if k % 2 else "plain" if k % 3 else None for k in range(700)}
+    f = canonical.canonicaliser([("drone", [r"\buav\w*"])])
+    assert [r.c.anchors for r in spark.range(600).select(f(F.when(F.col("id") % 2 == 0, F.lit("an UAV"))).alias("c")).collect()] == [["drone"], []] * 300
