@@ -53,6 +53,13 @@ def test_a_large_lexicon_costs_little_more():
     assert took[1] < 10 * took[0] + 1  # a hundred times the stems
 
 
+def test_words_that_begin_like_no_stem_are_not_remembered():
+    p = Patterns({"x": "zab|zabc de$", "y": "qq"})
+    words, gaps = split(" ".join(f"a{k}" for k in range(5000)) + " zabcd de zzz")
+    assert p.found(words, gaps) == p.substituted(words, gaps)[2] == {"x"}
+    assert len(p.known) <= 2
+
+
 def test_stems_that_are_no_words_are_refused():
     with pytest.raises(ValueError, match="not stems"):
         Patterns({"x": "a.*"})
