@@ -37,6 +37,7 @@ OF_TASK, OF_LIST = 12, 24
 FEW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4"}
 
 WORDS = "seg long, lang string, total long, words binary, counts binary, positions binary"
+FREQUENT_PAIRS = ["id", "f", "a", "b", "seg", "places", "ids"]
 PAIRS = "seg long, ids binary, first binary, second binary, counts binary, positions binary"
 
 
@@ -106,8 +107,9 @@ def frequent_words(level1: DataFrame, least: int) -> DataFrame:
 
 
 def frequent_pairs(level2: DataFrame, least: int) -> DataFrame:
-    """code, id, f, a, b: the lists of two words that are frequent, settled. Rows come sorted, and a batch is summed by
-    runs of equal pairs; the last run waits for the next batch."""
+    """id, f, a, b of every frequent pair of words; and, for each segment that holds some of a batch's pairs, one row of
+    seg, places and ids (the others are null), settled. Rows come sorted, and a batch is summed by runs of equal pairs;
+    the last run waits for the next batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = np.zeros((4, 0), np.int64)
@@ -115,21 +117,32 @@ def frequent_pairs(level2: DataFrame, least: int) -> DataFrame:
             rows = np.concatenate([rest, np.stack([c.to_numpy() for c in b.columns])], axis=1)
             new = np.flatnonzero((rows[0, 1:] != rows[0, :-1]) | (rows[1, 1:] != rows[1, :-1])) + 1
             cut = int(new[-1]) if len(new) else 0
-            yield table(rows[:, :cut])
+            yield from tables(rows[:, :cut])
             rest = rows[:, cut:]
-        yield table(rest)
+        yield from tables(rest)
 
-    def table(rows: np.ndarray) -> pa.RecordBatch:
+    def tables(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         a, b, code, n = rows
-        begin = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, np.int64)
+        if not len(a):
+            return
+        begin = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
         size = np.diff(np.append(begin, len(a)))
-        f = np.add.reduceat(n, begin) if len(a) else n
-        least_code = np.minimum.reduceat(code, begin) if len(a) else n
-        keep = np.repeat(f >= least, size)
-        return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (code, np.repeat(least_code, size), np.repeat(f, size), a, b)], ["code", "id", "f", "a", "b"])
+        f, id_ = np.add.reduceat(n, begin), np.minimum.reduceat(code, begin)
+        often = f >= least
+        none, empty = pa.nulls(int(often.sum()), pa.int64()), pa.nulls(int(often.sum()), pa.binary())
+        yield pa.RecordBatch.from_arrays([*[pa.array(x[often]) for x in (id_, f, a[begin], b[begin])], none, empty, empty], FREQUENT_PAIRS)
+        keep = np.repeat(often, size)
+        code, ids = code[keep], np.repeat(id_, size)[keep]
+        order = np.argsort(code, kind="stable")
+        code, ids = code[order], ids[order]
+        seg, place = code >> OF_LIST, code & ((1 << OF_LIST) - 1)
+        at = np.flatnonzero(np.append(True, seg[1:] != seg[:-1])) if len(seg) else np.zeros(0, np.int64)
+        cut = lambda x, t: pa.array([part.astype(t).tobytes() for part in np.split(x, at[1:])] if len(at) else [], pa.binary())
+        none = pa.nulls(len(at), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(seg[at]), cut(place, "<i4"), cut(ids, "<i8")], FREQUENT_PAIRS)
 
     rows = pair_rows(level2).repartition("a", "b").sortWithinPartitions("a", "b")
-    return settle(rows.mapInArrow(run, "code long, id long, f long, a long, b long"), "frequent-pairs")
+    return settle(rows.mapInArrow(run, "id long, f long, a long, b long, seg long, places binary, ids binary"), "frequent-pairs")
 
 
 def pair_rows(level2: DataFrame) -> DataFrame:
@@ -202,14 +215,15 @@ def triples(level2: DataFrame, frequent: DataFrame) -> DataFrame:
     def extend(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [np.zeros(0, np.int64)] * 3
         if right.num_rows and left.num_rows:
-            place, ids = right["place"].to_numpy(), right["id"].to_numpy()
+            place, ids = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in right[c]]) for c, t in (("places", "<i4"), ("ids", "<i8")))
             r = left.to_pylist()[0]
             first, second, n, _ = adjacent(laid_out(r["positions"], np.frombuffer(r["counts"], "<i4"), place), len(place))
             out = [ids[first], ids[second], n]
         return pa.table({k: pa.array(x.astype(np.int64)) for k, x in zip(("left", "right", "n"), out, strict=True)})
 
     lists = level2.select("seg", "counts", "positions")
-    rows = lists.groupBy("seg").cogroup(told(frequent).groupBy("seg")).applyInArrow(extend, "left long, right long, n long")
+    held = frequent.where("seg IS NOT NULL").select("seg", "places", "ids")
+    rows = lists.groupBy("seg").cogroup(held.groupBy("seg")).applyInArrow(extend, "left long, right long, n long")
     return rows.groupBy("left", "right").agg(F.sum("n").alias("f"))
 
 
@@ -235,7 +249,7 @@ def candidates(docs: DataFrame, least: int = 10) -> tuple[DataFrame, DataFrame]:
     drop_tables(spark, level2)
     word = words.where("code = id").select("id", "lang", "word", F.col("f").alias("n"))
     first, second = (word.select(F.col("id").alias(k), *[F.col(c).alias(f"{k}_{c}") for c in ("lang", "word", "n")]) for k in ("a", "b"))
-    two = known.where("code = id").select("id", "a", "b", "f").join(first, "a").join(second, "b")
+    two = known.where("id IS NOT NULL").select("id", "a", "b", "f").join(first, "a").join(second, "b")
     two = two.select("id", F.col("a_lang").alias("lang"), F.col("a_word").alias("w1"), F.col("b_word").alias("w2"), F.col("a_n").alias("n1"), F.col("b_n").alias("n2"), "f")
     two = settle(two, "two-words")
     held = three.select(F.col("left").alias("id"), "f").unionAll(three.select(F.col("right").alias("id"), "f")).groupBy("id").agg(F.max("f").alias("covered"))

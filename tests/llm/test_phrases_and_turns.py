@@ -261,3 +261,16 @@ def test_repair_of_odd_tables(spark):
 def test_macros_are_ordered_and_prefix_free():
     assert conversation_repair.CODES == sorted(conversation_repair.CODES)
     assert not any(a != b and b.startswith(a) for a in conversation_repair.CODES for b in conversation_repair.CODES)
+
+
+def test_segments_are_told_their_frequent_pairs_in_one_row_a_batch(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "SEGMENT", 2000)
+    docs = spark.createDataFrame([(k, "en", "aa bb cc dd ee ff. " * 3 + f"w{k} aa") for k in range(400)], "doc_id long, lang string, text string").coalesce(2)
+    level2 = collocations.pairs(level1 := collocations.segments(docs), collocations.frequent_words(level1, 10))
+    lists = collocations.pair_rows(level2)
+    often = {(r.a, r.b): (r.id, r.f) for r in lists.groupBy("a", "b").agg(F.min("code").alias("id"), F.sum("n").alias("f")).where("f >= 10").collect()}
+    known = collocations.frequent_pairs(level2, 10).collect()
+    assert {(r.a, r.b): (r.id, r.f) for r in known if r.id is not None} == often
+    told = {(r.seg << collocations.OF_LIST) + p: i for r in known if r.id is None for p, i in zip(memoryview(r.places).cast("i"), memoryview(r.ids).cast("q"), strict=True)}
+    want = {r.code: often[r.a, r.b][0] for r in lists.collect() if (r.a, r.b) in often}
+    assert told == want and len(known) < len(want)
