@@ -38,6 +38,8 @@ TABLES, CELLS, WIDTH = 2, 2, 2.0
 SAMPLE, SAMPLE_QUERIES = 4000, 200
 CHUNK, GROUP, BLOCK = 512, 16_384, 8192
 MOST_CHUNKS, MOST_DIRECTIONS = 1 << 22, 16
+#: Queries whose lists of chunks are in memory at once.
+ASKED = 64
 
 
 @dataclass
@@ -158,6 +160,12 @@ def _matrix(column) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    """Arrays of whole numbers as a list array, without Python objects."""
+    ends = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64()))
+
+
 def nearest(base: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k largest inner products found for each row of queries among other rows of base."""
     spark = base.sparkSession
@@ -193,32 +201,34 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.
     first = (np.cumsum(counts[mine]) - counts[mine]) * ranges // stat.n
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            p = h.project(_matrix(b.column(1)), True)
-            near = np.minimum(np.searchsorted(buckets[mine], h.codes(p)[0]), len(mine) - 1)
-            split = np.maximum(1, counts[mine][near] * n_queries // stat.n // BLOCK)
-            block = first[near] * (1 << 20) + (mixed(b.column(0).to_numpy().astype(np.uint64)) % split.astype(np.uint64)).astype(np.int64)
-            at, units = [], []
-            visited: dict[tuple[int, int], set[int]] = {}  # chunks by group and block, of all queries of the batch
-            visits = [h.visits(p[t], buckets[of], counts[of], stat.n, k) for t, of in enumerate(of_table)]
-            for i in range(b.num_rows):
-                go = np.concatenate([of[v[i]] for of, v in zip(of_table, visits, strict=True)])
-                c = np.repeat(buckets[go], chunks[go])
-                j = np.arange(len(c)) - np.repeat(np.cumsum(chunks[go]) - chunks[go], chunks[go])
-                g = (c * 7919 + j * 104729) % groups
-                order = np.argsort(g, kind="stable")
-                u, g = (c * MOST_CHUNKS + j)[order], g[order]
-                cut = np.flatnonzero(np.diff(g)) + 1
-                for start, part in zip([0, *cut.tolist()], np.split(u, cut), strict=True):
-                    at.append((int(g[start]), i))
-                    units.append(part.tolist())
-                    visited.setdefault((int(g[start]), int(block[i])), set()).update(units[-1])
-            rows = pa.array([i for _, i in at])
-            none = pa.nulls(len(visited), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in visited], pa.int64()), pa.array([b for _, b in visited], pa.int64()), none, pa.nulls(len(visited), pa.list_(pa.float64())), pa.array([sorted(v) for v in visited.values()], pa.list_(pa.int64()))], ["g", "block", "id", "vec", "units"])
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in at], pa.int64()), pa.array(block).take(rows), b.column(0).take(rows), b.column(1).take(rows), pa.array(units, pa.list_(pa.int64()))], ["g", "block", "id", "vec", "units"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, ASKED):  # a query's list of chunks is long: a few queries at a time
+                yield from asked_few(whole.slice(start, ASKED))
+
+    def asked_few(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        p = h.project(_matrix(b.column(1)), True)
+        near = np.minimum(np.searchsorted(buckets[mine], h.codes(p)[0]), len(mine) - 1)
+        split = np.maximum(1, counts[mine][near] * n_queries // stat.n // BLOCK)
+        block = first[near] * (1 << 20) + (mixed(b.column(0).to_numpy().astype(np.uint64)) % split.astype(np.uint64)).astype(np.int64)
+        at, units = [], []
+        visited: dict[tuple[int, int], list[np.ndarray]] = {}  # chunks by group and block, of these queries
+        visits = [h.visits(p[t], buckets[of], counts[of], stat.n, k) for t, of in enumerate(of_table)]
+        for i in range(b.num_rows):
+            go = np.concatenate([of[v[i]] for of, v in zip(of_table, visits, strict=True)])
+            c = np.repeat(buckets[go], chunks[go])
+            j = np.arange(len(c)) - np.repeat(np.cumsum(chunks[go]) - chunks[go], chunks[go])
+            g = (c * 7919 + j * 104729) % groups
+            order = np.argsort(g, kind="stable")
+            u, g = (c * MOST_CHUNKS + j)[order], g[order]
+            cut = np.flatnonzero(np.diff(g)) + 1
+            for start, part in zip([0, *cut.tolist()], np.split(u, cut), strict=True):
+                at.append((int(g[start]), i))
+                units.append(part)
+                visited.setdefault((int(g[start]), int(block[i])), []).append(part)
+        rows = pa.array([i for _, i in at])
+        none = pa.nulls(len(visited), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in visited], pa.int64()), pa.array([b for _, b in visited], pa.int64()), none, pa.nulls(len(visited), pa.list_(pa.float64())), _lists([np.unique(np.concatenate(v)) for v in visited.values()])], ["g", "block", "id", "vec", "units"])
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in at], pa.int64()), pa.array(block).take(rows), b.column(0).take(rows), b.column(1).take(rows), _lists(units)], ["g", "block", "id", "vec", "units"])
 
     told = settle(q.mapInArrow(asked, "g long, block long, id long, vec array<double>, units array<long>"), "ann-asked")
     ask = told.where("id IS NOT NULL")

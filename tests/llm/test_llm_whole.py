@@ -4,11 +4,12 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from corvane.llm import html_extract, imatch, mixing, packing, simhash, suffix_array, suffix_tree, toxicity
+from corvane.llm import ann, html_extract, imatch, mixing, packing, simhash, suffix_array, suffix_tree, toxicity
 
 rng = random.Random(11)
 
@@ -202,3 +203,13 @@ def test_extraction_is_linear_and_keeps_the_article():
             html_extract.main_text(page)
             took.append(time.process_time() - began)
         assert took[1] < 24 * took[0] + 0.5, piece  # 8 times the page, not 64 times the time
+
+
+def test_queries_ask_a_few_at_a_time(spark, monkeypatch):
+    assert ann._lists([np.array([3, 1]), np.zeros(0, np.int64), np.array([7])]).to_pylist() == [[3, 1], [], [7]] and ann._lists([]).to_pylist() == []
+    v = np.random.default_rng(2).normal(size=(300, 8))
+    base = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "vec_id long, embedding array<double>")
+    found = lambda: sorted(map(tuple, ann.nearest(base, base.where("vec_id % 5 = 0"), k=5).collect()))
+    want = found()
+    monkeypatch.setattr(ann, "ASKED", 7)
+    assert found() == want and len(want) == 300
