@@ -31,8 +31,9 @@ from .components import components
 #: A bucket with more fingerprints than this is covered again; levels beyond the last compare within the bucket.
 CROWDED, LEVELS = 16_384, 2
 #: A bucket of no more fingerprints than this gives all its links at once. Where every link of a larger one is wanted, it
-#: is dense with more than DENSE of them a member; those are then sought after others have been checked.
-FEW, DENSE = 16, 8
+#: is dense with more than DENSE of them a member; those are then sought after others have been checked. Buckets of up to
+#: MANY are compared all at once.
+FEW, DENSE, MANY = 16, 8, 256
 
 
 def shingle_hashes(text: str | None, n: int = 4) -> np.ndarray:
@@ -72,7 +73,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 @cache
 def masks(radius: int = 4, seed: int = 0, parts: int = 1) -> list[int]:
-    """Covering masks as signed longs; labels are dealt evenly over the non-zero vectors.
+    """Covering masks as signed longs; labels are dealt evenly over the non-zero vectors. Where there are fewer bits than
+    these, labels are the largest vectors: small ones would leave a vector that nearly all are orthogonal to, and its
+    table with a key of a bit or two.
 
     With more parts, the bits are cut into as many, one of which has at most radius / parts of the differing bits, and
     each is covered for that many: far fewer tables, with shorter keys.
@@ -82,7 +85,8 @@ def masks(radius: int = 4, seed: int = 0, parts: int = 1) -> list[int]:
     rng = np.random.default_rng(seed)
     out = []
     for bits in np.array_split(np.arange(64), parts):
-        labels = rng.permutation(np.arange(len(bits)) % (v_max - 1) + 1)
+        few = len(bits) < v_max - 1
+        labels = rng.permutation(v_max - 1 - np.arange(len(bits)) if few else np.arange(len(bits)) % (v_max - 1) + 1)
         for v in range(1, v_max):
             m = sum(1 << int(i) for i, x in zip(bits, labels, strict=True) if int(x & v).bit_count() & 1)
             out.append(m - (1 << 64) if m >> 63 else m)
@@ -114,6 +118,21 @@ def near_pairs(fps: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.nd
         k += n
 
 
+def near_apart(fps: np.ndarray, root: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of a bucket within the radius whose roots differ, as positions, in blocks of bounded memory; nodes of the
+    most frequent root are compared with the others only."""
+    _, which, many = np.unique(root, return_inverse=True, return_counts=True)
+    order = np.argsort(which == np.argmax(many), kind="stable")  # the most frequent one's come last
+    few = len(root) - int(many.max())
+    f, r = fps[order], root[order]
+    k = 0
+    while k < few:
+        n = min(few - k, max(1, (1 << 20) // (len(f) - k)))
+        i, j = np.nonzero((np.bitwise_count(f[k : k + n, None] ^ f[None, k:]) <= radius) & (r[k : k + n, None] != r[None, k:]))
+        yield order[i[i < j] + k], order[j[i < j] + k]
+        k += n
+
+
 def meets_first(bits: np.ndarray, table: int, radius: int, parts: int) -> np.ndarray:
     """Positions of the differing bits of a table's pairs that meet in none of the tables before it."""
     path, at = [], np.arange(len(bits))
@@ -152,70 +171,96 @@ def starts(t: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.diff(np.concatenate([start, [len(t)]]))
 
 
+def close_in_buckets(fp: np.ndarray, start: np.ndarray, size: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pairs within the radius of buckets (start, size), as positions, and the number of each one's bucket."""
+    at = np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
+    bucket, end = np.repeat(np.arange(len(start)), size), np.repeat(start + size, size)
+    found = [(np.empty(0, np.int64),) * 3]
+    for o in range(1, int(size.max(initial=1))):
+        more = at + o < end
+        at, bucket, end = at[more], bucket[more], end[more]
+        near = np.flatnonzero(np.bitwise_count(fp[at] ^ fp[at + o]) <= radius)
+        found.append((at[near], at[near] + o, bucket[near]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def first_met(fp: np.ndarray, t: np.ndarray, i: np.ndarray, j: np.ndarray, radius: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of positions that meet in no table before their own."""
+    order = np.argsort(t[i], kind="stable")
+    i, j = i[order], j[order]
+    kept = []
+    for part in np.split(np.arange(len(i)), np.flatnonzero(np.diff(t[i])) + 1) if len(i) else []:
+        kept.append(part[meets_first(fp[i[part]] ^ fp[j[part]], int(t[i[part[0]]]), radius, parts)])
+    at = np.concatenate(kept) if kept else np.empty(0, np.int64)
+    return i[at], j[at]
+
+
 def bucket_links(rows: DataFrame, radius: int, parts: int = 1, every: bool = False) -> DataFrame:
     """a, b (a > b) of rows (table_id, key, fp, node): links that connect what is within the radius.
 
     every: all links, for links that are checked afterwards. A dense bucket gives its forest, and its members as rows
-    with fp, table_id and key (a: the node; b is null) for ``rest_links``; of links, these three are null.
+    without b (a: the node) for ``rest_links``.
     """
-    dense = DENSE
+    dense, few = DENSE, FEW
+    most = max(FEW, MANY) if every else FEW  # buckets of so many are compared all at once
 
     def links(t, key, fp, node) -> Iterator[pa.RecordBatch]:
         fp = fp.view(np.uint64)  # bits are counted of absolute values otherwise
         start, size = starts(t, key)
-        big = np.repeat(size > FEW, size)
-        bucket = np.repeat(np.arange(len(start)), size)
-        a, b, members = [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
-        for o in range(1, min(FEW, int(size.max()))):  # all pairs of buckets of a few
-            i = np.flatnonzero((bucket[:-o] == bucket[o:]) & ~big[o:])
-            i = i[np.bitwise_count(fp[i] ^ fp[i + o]) <= radius]
-            a.append(np.maximum(node[i], node[i + o]))
-            b.append(np.minimum(node[i], node[i + o]))
-        for s, n in zip(start[size > FEW].tolist(), size[size > FEW].tolist(), strict=True):
+        short = (size > 1) & (size <= most)
+        begin, n = start[short], size[short]
+        i, j, bucket = close_in_buckets(fp, begin, n, radius)
+        apart = size > most
+        if every:
+            full = (np.bincount(bucket, minlength=len(n)) > dense * n) & (n > few)
+            apart[np.flatnonzero(short)[full]] = True
+            i, j = first_met(fp, t, i[~full[bucket]], j[~full[bucket]], radius, parts)
+        a, b, members = [np.maximum(node[i], node[j])], [np.minimum(node[i], node[j])], []
+        for s, n in zip(start[apart].tolist(), size[apart].tolist(), strict=True):
             f, v = fp[s : s + n], node[s : s + n]
             if every:
-                found, left = [], dense * n
-                for i, j in near_pairs(f, radius):
-                    if (left := left - len(i)) < 0:
-                        break
-                    found.append((i, j))
-                if left >= 0:
-                    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
-                    at = meets_first(f[i] ^ f[j], int(t[s]), radius, parts)
-                    a.append(np.maximum(v[i[at]], v[j[at]]))
-                    b.append(np.minimum(v[i[at]], v[j[at]]))
-                    continue
-                members.append(np.arange(s, s + n))
+                if n > most:
+                    found, left = [], dense * n
+                    for i, j in near_pairs(f, radius):
+                        if (left := left - len(i)) < 0:
+                            break
+                        found.append((i, j))
+                    if left >= 0:
+                        i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+                        at = meets_first(f[i] ^ f[j], int(t[s]), radius, parts)
+                        a.append(np.maximum(v[i[at]], v[j[at]]))
+                        b.append(np.minimum(v[i[at]], v[j[at]]))
+                        continue
+                members.append(v)
             for hit, root, via in forest(f, v, radius):
                 a.append(hit)
                 b.append(np.full(len(hit), root))
                 if every and via != root:
                     a.append(np.maximum(hit, via))
                     b.append(np.minimum(hit, via))
-        a, b = np.concatenate(a), np.concatenate(b)
-        if not every:
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-            return
-        none = pa.nulls(len(a), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), none, none, none], ["a", "b", "fp", "table_id", "key"])
-        for m in members:
-            yield pa.RecordBatch.from_arrays([pa.array(node[m]), pa.nulls(len(m), pa.int64()), pa.array(fp[m].view(np.int64)), pa.array(t[m]), pa.array(key[m])], ["a", "b", "fp", "table_id", "key"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+        if members:
+            v = np.unique(np.concatenate(members))
+            yield pa.RecordBatch.from_arrays([pa.array(v), pa.nulls(len(v), pa.int64())], ["a", "b"])
 
-    return by_bucket(rows, [], links, "a long, b long" + ", fp long, table_id long, key long" * every)
+    return by_bucket(rows, [], links, "a long, b long")
 
 
 def rest_links(rows: DataFrame, radius: int, parts: int = 1) -> DataFrame:
-    """a, b (a > b) of rows (table_id, key, fp, node, root): every pair within the radius whose roots differ, once."""
+    """a, b (a > b) of rows (table_id, key, fp, node, root): every pair within the radius whose roots differ, once.
+
+    Rows are of nodes of dense buckets, all with their root; a bucket of no more than FEW of them was not dense.
+    """
+    few = FEW
 
     def links(t, key, fp, node, root) -> Iterator[pa.RecordBatch]:
         fp = fp.view(np.uint64)
         for s, n in zip(*(x.tolist() for x in starts(t, key)), strict=True):
-            f, v, r = fp[s : s + n], node[s : s + n], root[s : s + n]
-            if (r == r[0]).all():
+            r = root[s : s + n]
+            if n <= few or (r == r[0]).all():
                 continue
-            for i, j in near_pairs(f, radius):
-                apart = r[i] != r[j]
-                i, j = i[apart], j[apart]
+            f, v = fp[s : s + n], node[s : s + n]
+            for i, j in near_apart(f, r, radius):
                 at = meets_first(f[i] ^ f[j], int(t[s]), radius, parts)
                 if len(at):
                     x, y = v[i[at]], v[j[at]]
@@ -225,11 +270,11 @@ def rest_links(rows: DataFrame, radius: int, parts: int = 1) -> DataFrame:
 
 
 def bucket_tables(nodes: DataFrame, radius: int, parts: int = 1) -> DataFrame:
-    """node, fp, table_id, mask, key of nodes (fp, node): a row for each table, more where a bucket is crowded."""
+    """node, fp, table_id, mask, key and further columns of nodes (fp, node, ...): a row for each table, more where a bucket is crowded."""
 
     def tables(rows: DataFrame, base, ms: list[int], mask=None) -> DataFrame:
-        out = rows.select("node", "fp", base.alias("base"), (F.lit(0).cast("long") if mask is None else mask).alias("own"), F.posexplode(F.array(*[F.lit(m).cast("long") for m in ms])).alias("k", "m"))
-        out = out.select("node", "fp", (F.col("base") * len(ms) + F.col("k")).cast("long").alias("table_id"), F.col("own").bitwiseOR(F.col("m")).alias("mask"))
+        out = rows.select(*nodes.columns, base.alias("base"), (F.lit(0).cast("long") if mask is None else mask).alias("own"), F.posexplode(F.array(*[F.lit(m).cast("long") for m in ms])).alias("k", "m"))
+        out = out.select(*nodes.columns, (F.col("base") * len(ms) + F.col("k")).cast("long").alias("table_id"), F.col("own").bitwiseOR(F.col("m")).alias("mask"))
         return out.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
 
     first = masks(radius, parts=parts)
@@ -316,10 +361,13 @@ def keep_one_of_each(docs: DataFrame, n: int = 5, similarity: float = 0.8, radiu
     check = lambda links: settle(similar_links(docs, links, n, similarity, id_col, text_col), "simhash-similar")
     similar = check(found.where("b IS NOT NULL").select("a", "b"))
     roots = components(similar)
-    dense = found.where("b IS NULL").select("table_id", "key", "fp", F.col("a").alias("node"))
+    dense = settle(found.where("b IS NULL").select("a"), "simhash-dense")
     if dense.limit(1).count():
-        rest = dense.join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        roots = components(similar.unionByName(check(settle(rest_links(rest, radius, parts), "simhash-rest"))))
+        again = nodes.select("node", "fp").join(small(dense), F.col("node") == F.col("a"), "left_semi")
+        again = settle(again.join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node")), "simhash-again")
+        rest = settle(rest_links(bucket_tables(again, radius, parts), radius, parts), "simhash-rest")
+        rest = settle(rest.join(found, ["a", "b"], "left_anti"), "simhash-unchecked")
+        roots = components(similar.unionByName(check(rest)))
     top = nodes.join(small(roots), "node", "left").select("same", F.coalesce("root", "node").alias("stays"))
     ids = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("same").alias("same"))
     gone = settle(ids.join(small(top), "same").where("doc_id <> stays").select("doc_id"), "simhash-gone")

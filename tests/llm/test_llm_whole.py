@@ -213,3 +213,19 @@ def test_queries_ask_a_few_at_a_time(spark, monkeypatch):
     want = found()
     monkeypatch.setattr(ann, "ASKED", 7)
     assert found() == want and len(want) == 300
+
+
+@pytest.mark.parametrize("radius, parts", [(4, 1), (11, 2)])
+def test_every_table_has_a_long_key(radius, parts):
+    assert min((m & (1 << 64) - 1).bit_count() for m in simhash.masks(radius, parts=parts)) >= 16
+
+
+def test_roots_are_joined_with_nodes_not_with_bucket_rows(spark, monkeypatch):
+    seen = []
+    rest = simhash.rest_links
+    monkeypatch.setattr(simhash, "rest_links", lambda rows, *a: seen.append(rows._jdf.queryExecution().optimizedPlan().toString()) or rest(rows, *a))
+    monkeypatch.setattr(simhash, "FEW", 2)
+    monkeypatch.setattr(simhash, "DENSE", 0)
+    texts = edited_copies(groups=2, copies=12)
+    simhash.keep_one_of_each(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    assert seen and "Join" not in seen[0]
