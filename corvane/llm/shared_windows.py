@@ -32,7 +32,7 @@ CHUNK, PIECE, RUN = 1 << 22, 1 << 19, 64
 #: Bytes of text for each place that compares; bytes of text of a task, and the number of tasks beyond which they grow.
 PART, TASK, TASKS = 1 << 22, 1 << 23, 200_000
 #: Rows that one place compares at once; equal strings of more chunks are reduced before.
-FAN = 256
+FAN = 1024
 #: A minimiser asked for by more chunks than this is split.
 HOT = 64
 NULL_ID = np.iinfo(np.int64).max
@@ -70,8 +70,8 @@ class Bytes:
     length: int = 50
     grams: tuple[int, int] = (16, 40)
     block: int = 1 << 19  # bytes that the solver takes at once
-    chunks: int = 1  # of CHUNK bytes in a chunk
-    places: int = 1  # of PART bytes for a place
+    chunks: int = 2  # of CHUNK bytes in a chunk
+    places: int = 2  # of PART bytes for a place
 
     def stream(self, texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
         """Concatenated units, the number of units of each text, and unit codes."""
@@ -213,7 +213,7 @@ def _split(order: np.ndarray, p: np.ndarray) -> Iterator[tuple[int, np.ndarray]]
 
 
 _CHUNK = "kind string, chunk long, p long, blob binary, ids binary, lens binary, texts binary, more binary"
-_CUT = "kind string, chunk long, p long, blob binary"
+_CUT = "chunk long, p long, blob binary"
 _KINDS = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
 
 
@@ -269,13 +269,13 @@ def chunked(docs: DataFrame, units, parts: int) -> DataFrame:
 
 
 def by_place(asks: DataFrame, tasks: int, answer: Callable[[list[int], list[bytes]], list[bytes | None]]) -> DataFrame:
-    """chunk, p, blob: the answers to rows (p, chunk, blob), all questions of one p at once."""
+    """chunk, p, blob: the answers to rows (p, chunk, blob), all questions of one p at once; rows with p below 0 as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, chunks, blobs = None, [], []
 
         def reply() -> pa.RecordBatch:
-            got = [(c, a) for c, a in zip(chunks, answer(chunks, blobs), strict=True) if a]
+            got = list(zip(chunks, blobs, strict=True)) if now < 0 else [(c, a) for c, a in zip(chunks, answer(chunks, blobs), strict=True) if a]
             return pa.RecordBatch.from_arrays([pa.array([c for c, _ in got], pa.int64()), pa.array([now] * len(got), pa.int64()), pa.array([a for _, a in got], pa.binary())], ["chunk", "p", "blob"])
 
         for b in batches:
@@ -340,7 +340,8 @@ def found_in(code: np.ndarray, key: np.ndarray, parts: int) -> tuple[np.ndarray,
 
 
 def cut_strings(chunks: DataFrame, known: DataFrame, units, parts: int) -> DataFrame:
-    """For each chunk the places of its shared runs (kind uses) and the distinct strings that these cover (kind ask)."""
+    """For each chunk the distinct strings that its shared runs cover (a row for each place p) and, with p below 0, where
+    these runs are."""
 
     def strings(number: int, ids: np.ndarray, texts: list[bytes], known: list[dict]) -> list[tuple]:
         code, hot = known_keys(known)
@@ -373,9 +374,9 @@ def cut_strings(chunks: DataFrame, known: DataFrame, units, parts: int) -> DataF
         _, first = np.unique(use, return_index=True)  # equal strings have equal keys
         up, uh, rows = p[first], h[first], []
         for q, part in _split(np.arange(len(out)), up):
-            rows.append(("ask", number, q, write_strings(units, out[part[0] : part[-1] + 1], uh[part], least[part])))
+            rows.append((number, q, write_strings(units, out[part[0] : part[-1] + 1], uh[part], least[part])))
         uses = np.uint32(len(start)).tobytes() + start.astype(np.uint32).tobytes() + use.astype(np.uint32).tobytes() + n.astype(np.uint8).tobytes()
-        return [("uses", number, None, _zip(uses)), *rows]
+        return [(number, -1 - number, _zip(uses)), *rows]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -461,25 +462,31 @@ def compare(solver: Solver, units) -> Callable[[list[int], list[bytes]], list[by
     return answer
 
 
-def solved(asks: DataFrame, nodes: int, tasks: int, answer, units) -> DataFrame:
+def solved(asks: DataFrame, nodes: int, tasks: int, answer, units) -> tuple[DataFrame, DataFrame, list[str]]:
     """chunk, p, blob: the answers to all questions (chunk, p, blob) of ``nodes`` chunks; no place gets more than about FAN of them.
+    Then a table with the rows with p below 0, which go along unanswered, and folders to delete after use.
 
     With more, groups of about FAN chunks put their strings of a place together first, so that an equal string counts
     once a group, and ask as one; each level is a table, and its answers are dealt back to the chunks of the group.
     """
     if nodes <= FAN:
-        return settle(by_place(asks, tasks, answer), "windows-solved", packed=True)
+        out = settle(by_place(asks, tasks, answer), "windows-solved", packed=True)
+        return out.where("p >= 0"), out.where("p < 0").select("chunk", "blob"), folder_of(out)
     groups = -(-nodes // FAN)
     grouped = asks.select("p", F.pmod(F.xxhash64("chunk"), F.lit(groups)).alias("parent"), "chunk", "blob")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (p, parent), chunks, blobs in _keyed(batches):
+            if p < 0:
+                yield _batch(_MERGED, [("along", p, parent, c, blob) for c, blob in zip(chunks, blobs, strict=True)])
+                continue
             strings, h, least, asked, names = together(units, blobs)
             yield _batch(_MERGED, [("up", p, parent, None, write_strings(units, strings, h, least, names)), *[("map", p, parent, c, _zip(a.astype(np.uint32).tobytes())) for c, a in zip(chunks, asked, strict=True)]])
 
     spark = asks.sparkSession
     merged, path = settle_kinds(grouped.repartition(tasks, "p", "parent").sortWithinPartitions("p", "parent").mapInArrow(merge, _MERGED), "windows-merged")
-    up = solved(merged.where("kind = 'up'").select(F.col("parent").alias("chunk"), "p", "blob"), groups, tasks, answer, units)
+    up, _, ups = solved(merged.where("kind = 'up'").select(F.col("parent").alias("chunk"), "p", "blob"), groups, tasks, answer, units)
+    drop_path(spark, f"{path}/kind=up")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, said = None, None
@@ -496,9 +503,14 @@ def solved(asks: DataFrame, nodes: int, tasks: int, answer, units) -> DataFrame:
     both = up.select("p", F.col("chunk").alias("parent"), F.lit(None).cast("long").alias("chunk"), "blob").unionByName(merged.where("kind = 'map'").select("p", "parent", "chunk", "blob"))
     out = both.repartition(tasks, "p", "parent").sortWithinPartitions("p", "parent", F.col("chunk").asc_nulls_first()).mapInArrow(deal, "chunk long, p long, blob binary")
     out = settle(out, "windows-solved", packed=True)
-    drop_tables(spark, up)
-    drop_path(spark, path)
-    return out
+    for p in (*ups, f"{path}/kind=map"):
+        drop_path(spark, p)
+    return out, merged.where("kind = 'along'").select("chunk", "blob"), [*folder_of(out), path]
+
+
+def folder_of(df: DataFrame) -> list[str]:
+    """The folder of a settled table (none if it has no files)."""
+    return [f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]]
 
 
 _MERGED = "kind string, p long, parent long, chunk long, blob binary"
@@ -549,7 +561,8 @@ _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZForm
 
 
 class Dealt:
-    """What an operator deals out: chunks (chunk, ids, lens, texts, more and the columns that ``uses`` reads) and questions."""
+    """What an operator deals out: chunks (chunk, ids, lens, texts, more and the columns that ``uses`` reads) and questions.
+    Questions with p below 0 are what a chunk's ``uses`` is told again."""
 
     def __init__(self, chunks: DataFrame, asks: DataFrame, uses: Callable[[dict, np.ndarray, np.ndarray], tuple], paths: list[str]):
         self.chunks, self.asks, self.uses, self.paths = chunks, asks, uses, paths
@@ -557,9 +570,7 @@ class Dealt:
 
 def cut_by_minimiser(chunks: DataFrame, known: DataFrame, units, parts: int, tasks: int, source: str) -> Dealt:
     """Runs of windows with a shared minimiser, with the units that they cover; each goes where its minimiser is compared."""
-    cut, path = settle_kinds(cut_strings(chunks, known, units, parts), "windows-cut")
-    uses = cut.where("kind = 'uses'").select("chunk", F.col("blob").alias("uses")).repartition(tasks, "chunk")
-    return Dealt(chunks.join(uses, "chunk", "left"), cut.where("kind = 'ask'"), lambda row, codes, sizes: read_uses(row["uses"]), [path])
+    return Dealt(chunks, cut_strings(chunks, known, units, parts), lambda row, codes, sizes: read_uses(row["uses"]), [])
 
 
 def remove_repeats(docs: DataFrame, units, deal, solver: Solver, finish, columns: str, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -585,8 +596,14 @@ def remove_repeats(docs: DataFrame, units, deal, solver: Solver, finish, columns
         chunks = chunks.repartition(tasks, "chunk")
         listed = known.repartition(tasks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("p", "blob")).alias("known"))  # no more than the chunk asked
         dealt = deal(chunks, listed, units, parts, tasks, first_path)
-        drop_tables(spark, known)
-        answers = solved(dealt.asks, nodes, tasks, compare(solver, units), units)
+        told = dealt.chunks
+        again = "uses" not in told.columns  # else nothing reads known any more
+        if not again:
+            drop_tables(spark, known)
+        answers, along, paths = solved(dealt.asks, nodes, tasks, compare(solver, units), units)
+        if again:
+            drop_tables(spark, known)
+            told = told.join(along.withColumnRenamed("blob", "uses").repartition(tasks, "chunk"), "chunk", "left")
         said = answers.repartition(tasks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("p", "blob")).alias("said"))
         uses = dealt.uses
 
@@ -603,10 +620,9 @@ def remove_repeats(docs: DataFrame, units, deal, solver: Solver, finish, columns
                         out = [(*o, m) for o, m in zip(out, _unzip(row["more"]).decode().split("\n"), strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) if "string" in t else pa.array(c, pa.int64()) for c, t in zip(zip(*out, strict=True), columns.split(", "), strict=True)], names)
 
-        out = settle(dealt.chunks.join(said, "chunk", "left").mapInArrow(run, columns), "windows-out")
-        for path in (first_path, *dealt.paths):
+        out = settle(told.join(said, "chunk", "left").mapInArrow(run, columns), "windows-out")
+        for path in (first_path, *dealt.paths, *paths):
             drop_path(spark, path)
-        drop_tables(spark, answers)
     return out.withColumn("more", F.from_json("more", docs.select(*carry).schema, _JSON)) if carry else out
 
 

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from corvane.llm import ann, html_extract, imatch, mixing, packing, simhash, suffix_array, suffix_tree, toxicity
+from corvane.llm import ann, html_extract, imatch, mixing, packing, shared_windows, simhash, suffix_array, suffix_tree, toxicity
 
 rng = random.Random(11)
 
@@ -229,3 +229,12 @@ def test_roots_are_joined_with_nodes_not_with_bucket_rows(spark, monkeypatch):
     texts = edited_copies(groups=2, copies=12)
     simhash.keep_one_of_each(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
     assert seen and "Join" not in seen[0]
+
+
+def test_strings_of_op8_are_on_disk_once(spark, monkeypatch):
+    """They go from the chunks straight to the places that compare them; where those runs are goes along."""
+    tables, plain = [], shared_windows.settle_kinds
+    monkeypatch.setattr(shared_windows, "settle_kinds", lambda df, name: tables.append(name) or plain(df, name))
+    rows = [(i, f"start {i} " + "a passage of many documents that is long enough to be a window " * 2) for i in range(20)]
+    got = {r.doc_id: r.n_removed for r in suffix_array.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert tables == ["windows-chunks"] and got[0] == 0 and all(got[i] > 100 for i in range(1, 20))
