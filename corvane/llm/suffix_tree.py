@@ -67,8 +67,8 @@ def groups(codes: np.ndarray, starts: np.ndarray, over: np.ndarray) -> np.ndarra
 
 def numbered(words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     """A number for each word, and the words of the numbers."""
-    number: dict[bytes, int] = {}
-    return np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)), list(number)
+    found = pa.array(words, pa.large_binary()).dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary.to_pylist()
 
 
 def window_rows(numbers: np.ndarray, at: np.ndarray, length: int) -> list[bytes]:
