@@ -50,6 +50,11 @@ def shingle_hashes(text: str | None, n: int = 4) -> np.ndarray:
     return np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=42), [joined[a:b] for a, b in spans]), np.uint64, len(words) - n + 1)
 
 
+def shingle_set(text: str | None, n: int) -> np.ndarray:
+    """The distinct upper halves of the shingles' hashes."""
+    return np.unique(shingle_hashes(text, n) >> np.uint64(32)).astype(np.uint32)
+
+
 def simhash(text: str | None, n: int = 4) -> int:
     """The signed 64-bit fingerprint: a bit is 1 if it is set in over half of the shingles' hashes."""
     h = shingle_hashes(text, n)
@@ -246,27 +251,48 @@ def bucket_links(rows: DataFrame, radius: int, parts: int = 1, every: bool = Fal
     return by_bucket(rows, [], links, "a long, b long")
 
 
-def rest_links(rows: DataFrame, radius: int, parts: int = 1) -> DataFrame:
-    """a, b (a > b) of rows (table_id, key, fp, node, root): every pair within the radius whose roots differ, once.
+def sketch(h: np.ndarray) -> tuple[int, ...]:
+    """Size of a set of hashes, and for each of 256 residues (four longs) whether an odd number of them has it."""
+    odd = np.packbits(np.bincount(h & 255, minlength=256) & 1).view("<i8")
+    return len(h), *odd.tolist()
+
+
+def may_be_similar(x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs of sketches (a column each) aren't too far apart for the Jaccard similarity: sets differ in at least as
+    many members as sketches in bits, so no similar pair is left out."""
+    total = x[0] + y[0]
+    differ = np.bitwise_count(x[1:].view(np.uint64) ^ y[1:].view(np.uint64)).sum(axis=0, dtype=np.int64)
+    return total - differ >= similarity * (total + differ) - 1e-6
+
+
+SKETCH = ["n_set", "odd0", "odd1", "odd2", "odd3"]
+
+
+def rest_links(rows: DataFrame, radius: int, parts: int = 1, similarity: float = 0.0) -> DataFrame:
+    """a, b (a > b) of rows (table_id, key, fp, node, root, SKETCH): every pair within the radius whose roots differ and
+    that may have the similarity, once.
 
     Rows are of nodes of dense buckets, all with their root; a bucket of no more than FEW of them was not dense.
     """
     few = FEW
 
-    def links(t, key, fp, node, root) -> Iterator[pa.RecordBatch]:
+    def links(t, key, fp, node, root, *sketches) -> Iterator[pa.RecordBatch]:
+        sketches = np.stack(sketches)
         fp = fp.view(np.uint64)
         for s, n in zip(*(x.tolist() for x in starts(t, key)), strict=True):
             r = root[s : s + n]
             if n <= few or (r == r[0]).all():
                 continue
-            f, v = fp[s : s + n], node[s : s + n]
+            f, v, k = fp[s : s + n], node[s : s + n], sketches[:, s : s + n]
             for i, j in near_apart(f, r, radius):
+                can = may_be_similar(np.ascontiguousarray(k[:, i]), np.ascontiguousarray(k[:, j]), similarity)
+                i, j = i[can], j[can]
                 at = meets_first(f[i] ^ f[j], int(t[s]), radius, parts)
                 if len(at):
                     x, y = v[i[at]], v[j[at]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
 
-    return by_bucket(rows, ["root"], links, "a long, b long")
+    return by_bucket(rows, ["root", *SKETCH], links, "a long, b long")
 
 
 def bucket_tables(nodes: DataFrame, radius: int, parts: int = 1) -> DataFrame:
@@ -319,7 +345,7 @@ def similar_links(docs: DataFrame, links: DataFrame, n: int, similarity: float,
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hashes = [np.unique(shingle_hashes(t.as_py(), n) >> np.uint64(32)).astype(np.uint32).tobytes() for t in b.column(1)]
+            hashes = [shingle_set(t.as_py(), n).tobytes() for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(hashes, pa.binary())], ["s_id", "shingles"])
 
     base = docs.select(F.col(id_col).cast("long").alias("s_id"), F.col(text_col).alias("text"))
@@ -364,8 +390,18 @@ def keep_one_of_each(docs: DataFrame, n: int = 5, similarity: float = 0.8, radiu
     dense = settle(found.where("b IS NULL").select("a"), "simhash-dense")
     if dense.limit(1).count():
         again = nodes.select("node", "fp").join(small(dense), F.col("node") == F.col("a"), "left_semi")
-        again = settle(again.join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node")), "simhash-again")
-        rest = settle(rest_links(bucket_tables(again, radius, parts), radius, parts), "simhash-rest")
+        again = again.join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+        def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    rows = [sketch(shingle_set(t.as_py(), n)) for t in b.column(1)]
+                    yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]], ["node", *SKETCH])
+
+        texts = docs.select(F.col(id_col).cast("long").alias("a"), F.col(text_col).alias("text")).join(small(dense), "a", "left_semi").dropDuplicates(["a"])
+        sketches = settle(texts.mapInArrow(sketched, "node long, " + ", ".join(f"{c} long" for c in SKETCH)), "simhash-sketches")
+        again = settle(again.join(small(sketches), "node"), "simhash-again")
+        rest = settle(rest_links(bucket_tables(again, radius, parts), radius, parts, similarity), "simhash-rest")
         rest = settle(rest.join(found, ["a", "b"], "left_anti"), "simhash-unchecked")
         roots = components(similar.unionByName(check(rest)))
     top = nodes.join(small(roots), "node", "left").select("same", F.coalesce("root", "node").alias("stays"))

@@ -238,3 +238,16 @@ def test_strings_of_op8_are_on_disk_once(spark, monkeypatch):
     rows = [(i, f"start {i} " + "a passage of many documents that is long enough to be a window " * 2) for i in range(20)]
     got = {r.doc_id: r.n_removed for r in suffix_array.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert tables == ["windows-chunks"] and got[0] == 0 and all(got[i] > 100 for i in range(1, 20))
+
+
+def test_sketches_leave_out_no_similar_pair():
+    r = np.random.default_rng(4)
+    kept = 0
+    for _ in range(400):
+        x = np.unique(r.integers(0, 1 << 32, r.integers(0, 300), np.uint32))
+        y = np.union1d(x[r.random(len(x)) > r.random() * 0.3], r.integers(0, 1 << 32, r.integers(0, 12), np.uint32))
+        common = len(np.intersect1d(x, y))
+        may = simhash.may_be_similar(np.array([simhash.sketch(x)]).T, np.array([simhash.sketch(y)]).T, 0.8)[0]
+        assert may or common < 0.8 * (len(x) + len(y) - common)
+        kept += may
+    assert 50 < kept < 350
