@@ -99,8 +99,8 @@ def masks(radius: int = 4, seed: int = 0, parts: int = 1) -> list[int]:
 
 
 def forest(fps: np.ndarray, nodes: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, int, int]]:
-    """Spanning links of one bucket, breadth-first, comparing with what isn't reached yet: nodes, the smallest of their
-    tree, and the one that they were reached from."""
+    """Spanning links of one bucket, breadth-first, comparing with what isn't reached yet: positions of nodes, of the
+    smallest of their tree, and of the one that they were reached from."""
     left = np.argsort(nodes, kind="stable")
     while len(left) > 1:
         root, queue, left = left[0], [left[0]], left[1:]
@@ -110,7 +110,7 @@ def forest(fps: np.ndarray, nodes: np.ndarray, radius: int) -> Iterator[tuple[np
             if near.any():
                 hit, left = left[near], left[~near]
                 queue += hit.tolist()
-                yield nodes[hit], int(nodes[root]), int(nodes[here])
+                yield hit, int(root), int(here)
 
 
 def near_pairs(fps: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -203,8 +203,10 @@ def first_met(fp: np.ndarray, t: np.ndarray, i: np.ndarray, j: np.ndarray, radiu
 def bucket_links(rows: DataFrame, radius: int, parts: int = 1, every: bool = False) -> DataFrame:
     """a, b (a > b) of rows (table_id, key, fp, node): links that connect what is within the radius.
 
-    every: all links, for links that are checked afterwards. A dense bucket gives its forest, and its members as rows
-    without b (a: the node) for ``rest_links``.
+    every: all links, for links that are checked afterwards. A dense bucket gives one row without b (a: one of its nodes),
+    and of its forest the links whose ends meet in no table before: others are joined by those of the earlier table,
+    where they are in one tree or were a link. So each pair is given by one table at most, however many it meets in, and
+    every node with another one within the radius is the end of a link: that of the first table where it has one.
     """
     dense, few = DENSE, FEW
     most = max(FEW, MANY) if every else FEW  # buckets of so many are compared all at once
@@ -217,10 +219,10 @@ def bucket_links(rows: DataFrame, radius: int, parts: int = 1, every: bool = Fal
         i, j, bucket = close_in_buckets(fp, begin, n, radius)
         apart = size > most
         if every:
-            full = (np.bincount(bucket, minlength=len(n)) > dense * n) & (n > few)
-            apart[np.flatnonzero(short)[full]] = True
-            i, j = first_met(fp, t, i[~full[bucket]], j[~full[bucket]], radius, parts)
-        a, b, members = [np.maximum(node[i], node[j])], [np.minimum(node[i], node[j])], []
+            many = (np.bincount(bucket, minlength=len(n)) > dense * n) & (n > few)
+            apart[np.flatnonzero(short)[many]] = True
+            i, j = first_met(fp, t, i[~many[bucket]], j[~many[bucket]], radius, parts)
+        a, b, full = [np.maximum(node[i], node[j])], [np.minimum(node[i], node[j])], []
         for s, n in zip(start[apart].tolist(), size[apart].tolist(), strict=True):
             f, v = fp[s : s + n], node[s : s + n]
             if every:
@@ -236,17 +238,19 @@ def bucket_links(rows: DataFrame, radius: int, parts: int = 1, every: bool = Fal
                         a.append(np.maximum(v[i[at]], v[j[at]]))
                         b.append(np.minimum(v[i[at]], v[j[at]]))
                         continue
-                members.append(v)
+                full.append(v[0])
+            found = [(np.empty(0, np.int64),) * 2]
             for hit, root, via in forest(f, v, radius):
-                a.append(hit)
-                b.append(np.full(len(hit), root))
-                if every and via != root:
-                    a.append(np.maximum(hit, via))
-                    b.append(np.minimum(hit, via))
+                found += [(hit, np.full(len(hit), x)) for x in ({root, via} if every else {root})]
+            i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+            if every:
+                at = meets_first(f[i] ^ f[j], int(t[s]), radius, parts)
+                i, j = i[at], j[at]
+            a.append(np.maximum(v[i], v[j]))
+            b.append(np.minimum(v[i], v[j]))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
-        if members:
-            v = np.unique(np.concatenate(members))
-            yield pa.RecordBatch.from_arrays([pa.array(v), pa.nulls(len(v), pa.int64())], ["a", "b"])
+        if full:
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.nulls(len(full), pa.int64())], ["a", "b"])
 
     return by_bucket(rows, [], links, "a long, b long")
 
@@ -272,7 +276,8 @@ def rest_links(rows: DataFrame, radius: int, parts: int = 1, similarity: float =
     """a, b (a > b) of rows (table_id, key, fp, node, root, SKETCH): every pair within the radius whose roots differ and
     that may have the similarity, once.
 
-    Rows are of nodes of dense buckets, all with their root; a bucket of no more than FEW of them was not dense.
+    Rows are of nodes that links were found for, all with their root; a bucket of no more than FEW of them was not dense,
+    or none of its others has another one within the radius.
     """
     few = FEW
 
@@ -387,8 +392,8 @@ def keep_one_of_each(docs: DataFrame, n: int = 5, similarity: float = 0.8, radiu
     check = lambda links: settle(similar_links(docs, links, n, similarity, id_col, text_col), "simhash-similar")
     similar = check(found.where("b IS NOT NULL").select("a", "b"))
     roots = components(similar)
-    dense = settle(found.where("b IS NULL").select("a"), "simhash-dense")
-    if dense.limit(1).count():
+    if found.where("b IS NULL").limit(1).count():
+        dense = settle(found.where("b IS NOT NULL").select(F.explode(F.array("a", "b")).alias("a")).distinct(), "simhash-dense")
         again = nodes.select("node", "fp").join(small(dense), F.col("node") == F.col("a"), "left_semi")
         again = again.join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
 

@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from corvane.llm import ann, html_extract, imatch, mixing, packing, shared_windows, simhash, suffix_array, suffix_tree, toxicity
+from corvane.llm.components import components
 
 rng = random.Random(11)
 
@@ -231,6 +232,22 @@ def test_roots_are_joined_with_nodes_not_with_bucket_rows(spark, monkeypatch):
     assert seen and "Join" not in seen[0]
 
 
+def test_a_pair_of_near_copies_is_a_row_of_one_table(spark):
+    """The forests of a group's buckets give each link once, not once in each of the tables where its ends meet."""
+    r = random.Random(4)
+    base, apart = r.getrandbits(63), [r.getrandbits(63) for _ in range(40)]
+    fps = list({base ^ sum(1 << b for b in r.sample(range(63), r.randint(1, 5))) for _ in range(150)} | {*apart})
+    nodes = spark.createDataFrame(list(enumerate(fps)), "node long, fp long")
+    got = [tuple(x) for x in simhash.bucket_links(simhash.bucket_tables(nodes, 11, 2), 11, 2, every=True).collect()]
+    links = [x for x in got if x[1] is not None]
+    ends = {x for pair in links for x in pair}
+    close = lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 11
+    assert len(links) == len({*links}) < len(got) < 25 * len(fps)
+    assert ends >= {a for a in range(len(fps)) if any(a != b and close(a, b) for b in range(len(fps)))}
+    joined = {x.node: x.root for x in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert all(joined.get(a, a) == joined.get(b, b) for a in range(len(fps)) for b in range(a) if close(a, b))
+
+
 def test_strings_of_op8_are_on_disk_once(spark, monkeypatch):
     """They go from the chunks straight to the places that compare them; where those runs are goes along."""
     tables, plain = [], shared_windows.settle_kinds
