@@ -555,13 +555,13 @@ def control_options(spark, sf) -> DataFrame:
 # --- text ---
 
 
-def _prep(spark, sf) -> DataFrame:
-    return C.prepared(V.items(spark, sf), P.TEST_LEXICON)
+def _prep(spark, sf, words: bool = True) -> DataFrame:
+    return C.prepared(V.items(spark, sf), P.TEST_LEXICON, words)
 
 
 @query(Q.prepared("SELECT item_id, array_to_string(anchors, ',') AS anchors FROM prep"))
 def anchors(spark, sf) -> DataFrame:
-    return _prep(spark, sf).select("item_id", joined("anchors").alias("anchors"))
+    return _prep(spark, sf, words=False).select("item_id", joined("anchors").alias("anchors"))
 
 
 @query(Q.tokens())
@@ -571,79 +571,81 @@ def tokens(spark, sf) -> DataFrame:
 
 @query(Q.prepared("SELECT item_id, relevance FROM prep"))
 def relevance(spark, sf) -> DataFrame:
-    return _prep(spark, sf).select("item_id", "relevance")
+    return _prep(spark, sf, words=False).select("item_id", "relevance")
 
 
 @query(Q.prepared("SELECT item_id, first_topic FROM prep"))
 def topic(spark, sf) -> DataFrame:
-    return _prep(spark, sf).select("item_id", "first_topic")
+    return _prep(spark, sf, words=False).select("item_id", "first_topic")
 
 
 @query(Q.prepared("SELECT item_id, topic, strict FROM prep"))
 def strict_gate(spark, sf) -> DataFrame:
-    return _prep(spark, sf).select("item_id", "topic", "strict")
+    return _prep(spark, sf, words=False).select("item_id", "topic", "strict")
 
 
 @query(Q.prepared("SELECT item_id, topic FROM prep WHERE topic <> first_topic"))
 def editorial_topic(spark, sf) -> DataFrame:
-    return _prep(spark, sf).where("topic <> first_topic").select("item_id", "topic")
+    return _prep(spark, sf, words=False).where("topic <> first_topic").select("item_id", "topic")
 
 
 @query(Q.prepared("SELECT item_id, array_to_string(locations, ',') AS locations FROM prep"))
 def locations(spark, sf) -> DataFrame:
-    return _prep(spark, sf).select("item_id", joined("locations").alias("locations"))
+    return _prep(spark, sf, words=False).select("item_id", joined("locations").alias("locations"))
 
 
 @query(Q.prepared("SELECT item_id, array_to_string(semantic, ',') AS semantic FROM prep"))
 def semantic_signature(spark, sf) -> DataFrame:
-    return _prep(spark, sf).select("item_id", joined("semantic").alias("semantic"))
+    return _prep(spark, sf, words=False).select("item_id", joined("semantic").alias("semantic"))
 
 
 @query(Q.prepared("SELECT relevance, strict, count(*) AS n FROM prep GROUP BY 1, 2"))
 def gate_counts(spark, sf) -> DataFrame:
-    return _prep(spark, sf).groupBy("relevance", "strict").agg(F.count(F.lit(1)).alias("n"))
+    return _prep(spark, sf, words=False).groupBy("relevance", "strict").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- clusters ---
 
 
-def _clusters(spark, sf) -> DataFrame:
-    return C.clusters(_prep(spark, sf))
+def _clusters(spark, sf, words: bool = True) -> DataFrame:
+    return C.clusters(_prep(spark, sf, words))
 
 
 @query(Q.clusters("SELECT cluster_id, items, families, first_pos, array_to_string(anchor_union, ',') AS anchors FROM clusters"))
 def cluster_build(spark, sf) -> DataFrame:
-    return _clusters(spark, sf).select("cluster_id", "items", "families", "first_pos", joined("anchor_union").alias("anchors"))
+    return _clusters(spark, sf, words=False).select("cluster_id", "items", "families", "first_pos", joined("anchor_union").alias("anchors"))
 
 
 @query(Q.clusters("SELECT cluster_id, evidence, CASE WHEN evidence >= 6.0 THEN 'strong' WHEN evidence >= 3.2 THEN 'mixed' ELSE 'thin' END AS label FROM clusters"))
 def evidence(spark, sf) -> DataFrame:
-    return _clusters(spark, sf).select("cluster_id", "evidence", C.label(F.col("evidence"), 6.0, 3.2, ("strong", "mixed", "thin")).alias("label"))
+    best = C.family_best(C.accepted(_prep(spark, sf, words=False)))
+    e = C.evidence(best).where(" AND ".join(f"{k} IS NOT NULL" for k in C.KEY))  # as clusters are
+    return e.select(C.cluster_id().alias("cluster_id"), "evidence", C.label(F.col("evidence"), 6.0, 3.2, ("strong", "mixed", "thin")).alias("label"))
 
 
 @query(Q.clusters("SELECT cluster_id, pulse, CASE WHEN pulse >= 6.0 THEN 'high' WHEN pulse >= 3.0 THEN 'medium' ELSE 'low' END AS label FROM clusters"))
 def pulse(spark, sf) -> DataFrame:
-    return _clusters(spark, sf).select("cluster_id", "pulse", C.label(F.col("pulse"), 6.0, 3.0, ("high", "medium", "low")).alias("label"))
+    return _clusters(spark, sf, words=False).select("cluster_id", "pulse", C.label(F.col("pulse"), 6.0, 3.0, ("high", "medium", "low")).alias("label"))
 
 
 @query(Q.clusters("SELECT cluster_id, importance FROM clusters"))
 def importance(spark, sf) -> DataFrame:
-    return _clusters(spark, sf).select("cluster_id", "importance")
+    return _clusters(spark, sf, words=False).select("cluster_id", "importance")
 
 
 @query(Q.clusters("SELECT cluster_id, routine, broad, weak, thin FROM clusters"))
 def cluster_predicates(spark, sf) -> DataFrame:
-    return _clusters(spark, sf).select("cluster_id", "routine", "broad", "weak", "thin")
+    return _clusters(spark, sf, words=False).select("cluster_id", "routine", "broad", "weak", "thin")
 
 
 @query(Q.clusters("SELECT item_id, family FROM best"))
 def family_best(spark, sf) -> DataFrame:
-    return C.family_best(C.accepted(_prep(spark, sf))).select("item_id", "family")
+    return C.family_best(C.accepted(_prep(spark, sf, words=False))).select("item_id", "family")
 
 
 @query(Q.samples())
 def sample_items(spark, sf) -> DataFrame:
-    return C.samples(C.accepted(_prep(spark, sf))).select("item_id", "place")
+    return C.samples(C.accepted(_prep(spark, sf, words=False))).select("item_id", "place")
 
 
 @query(Q.clusters("SELECT a.cluster_id AS a, b.cluster_id AS b, round(len(list_intersect(a.anchor_union, b.anchor_union)) / len(list_distinct(list_concat(a.anchor_union, b.anchor_union))), 9) AS similarity FROM clusters a JOIN clusters b ON a.local_day = b.local_day + 1 AND a.topic = b.topic AND a.locations = b.locations WHERE len(a.anchor_union) > 0 AND len(b.anchor_union) > 0"))

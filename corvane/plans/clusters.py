@@ -28,10 +28,10 @@ def tokens(text: Column) -> Column:
     return F.array_except(F.filter(F.array_distinct(found), lambda t: F.char_length(t) >= 4), F.array(*[F.lit(w) for w in P.STOPWORDS]))
 
 
-def relevance(text: Column, found: Column, anchor: Column, group: Column, redacted: Column, lex: P.Lexicon) -> Column:
+def relevance(empty: Column, found: Column, anchor: Column, group: Column, redacted: Column, lex: P.Lexicon) -> Column:
     """The first gate, for recall. found: groups of stems in the canonical text."""
     context, action, support = has(anchor, lex.names("context", "location")), has(anchor, lex.names("action", "equipment")), has(anchor, lex.names("support"))
-    return (F.when(redacted, "redacted").when(text == "", "irrelevant").when((group == "official-ua") & (action | support), "relevant").when(context & (action | support), "relevant")
+    return (F.when(redacted, "redacted").when(empty, "irrelevant").when((group == "official-ua") & (action | support), "relevant").when(context & (action | support), "relevant")
             .when(context & F.array_contains(found, "political"), "peripheral").otherwise("irrelevant"))
 
 
@@ -64,23 +64,26 @@ def signature(anchor: Column, topic_: Column, located: Column, family: Column, l
     return F.when(~located & ~topic_.isin("support", "investigations"), F.concat(base, F.array(F.concat(F.lit("source:"), family)))).otherwise(base)
 
 
-def prepared(items: DataFrame, lex: P.Lexicon) -> DataFrame:
+def prepared(items: DataFrame, lex: P.Lexicon, words: bool = True) -> DataFrame:
     """Items with anchors, topics, gates and cluster key. Each text is matched once, by words; rules read what was found.
 
     locations: display places of the text as written (cluster key); places: places among the anchors (change over time
-    and dominance).
+    and dominance). tokens: only with words; without, no text is written anew or leaves the matcher.
     """
     text = T.clean(F.concat_ws(" ", F.col("title"), F.col("text")))
     p = items.select("item_id", "source", "platform", "grp", "perspective", "trust", "stamp", "local_day", F.lower("source_name").alias("family"), text.alias("body"), F.array_contains("tags", P.REDACT_TAGS[0]).alias("redacted"))
-    p = matched(p, "body", {n: stems for n, (_, stems) in lex.anchors.items()}, lex.as_written(), {k: lex.groups[k] for k in P.CANONICAL_GROUPS})
+    p = p.withColumn("empty", F.col("body") == "")
+    p = matched(p, "body", {n: stems for n, (_, stems) in lex.anchors.items()}, lex.as_written(), {k: lex.groups[k] for k in P.CANONICAL_GROUPS}, words)
     found, anchor = F.col("as_written"), F.col("anchors")
-    p = p.withColumns({"relevance": relevance(F.col("body"), F.col("in_canonical"), anchor, F.col("grp"), F.col("redacted"), lex), "first_topic": topic(F.col("in_canonical"), anchor), "places": only(anchor, lex.names("location")), "locations": F.transform(F.filter(found, lambda n: n.startswith(P.DISPLAY)), lambda n: F.substring(n, len(P.DISPLAY) + 1, 1 << 20))})
+    p = p.withColumns({"relevance": relevance(F.col("empty"), F.col("in_canonical"), anchor, F.col("grp"), F.col("redacted"), lex), "first_topic": topic(F.col("in_canonical"), anchor), "places": only(anchor, lex.names("location")), "locations": F.transform(F.filter(found, lambda n: n.startswith(P.DISPLAY)), lambda n: F.substring(n, len(P.DISPLAY) + 1, 1 << 20))})
     located = F.size("locations") > 0
     p = p.withColumn("topic", editorial_topic(F.col("first_topic"), anchor))
     p = p.withColumns({k: F.array_contains(found, k) for k in ("major", "material", "alert")})
     p = p.withColumn("strict", strict(found, anchor, F.col("grp"), F.col("topic"), located))
     p = p.withColumn("semantic", signature(anchor, F.col("topic"), located, F.col("family"), lex))
-    return p.withColumn("tokens", F.when(in_cluster(), tokens(F.col("canonical")))).drop("body", "as_written", "in_canonical", "canonical")
+    if words:
+        p = p.withColumn("tokens", F.when(in_cluster(), tokens(F.col("canonical"))))
+    return p.drop("body", "empty", "as_written", "in_canonical", "canonical")
 
 
 def in_cluster() -> Column:
@@ -94,6 +97,10 @@ def accepted(prep: DataFrame) -> DataFrame:
 KEY = ["local_day", "topic", "locations", "semantic"]
 
 
+def cluster_id() -> Column:
+    return F.concat_ws("|", F.col("local_day").cast("string"), "topic", F.array_join("locations", ","), F.array_join("semantic", ","))
+
+
 def family_best(acc: DataFrame) -> DataFrame:
     """The best item of each source family in a cluster: group, trust, stamp, then the first."""
     rank = lambda table, c: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), F.col(c)), F.lit(0))
@@ -124,7 +131,7 @@ def pulse(acc: DataFrame) -> DataFrame:
 
 
 def clusters(prep: DataFrame) -> DataFrame:
-    """One row per cluster of a local day, with its scores and predicates."""
+    """One row per cluster of a local day, with its scores and predicates; and with its words, if prep has tokens."""
     acc = settled(accepted(prep).drop("relevance", "first_topic", "strict", "redacted"), "accepted")  # small columns of the items that are in clusters; four aggregations read it
     body = acc.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("items"), F.min("item_id").alias("first_pos"), F.count_distinct("family").alias("families"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("anchors")))).alias("anchor_union"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("places")))).alias("place_union"),
@@ -136,8 +143,9 @@ def clusters(prep: DataFrame) -> DataFrame:
     c = body.alias("c").join(evidence(family_best(acc)).alias("d"), on("d")).select("c.*", "d.evidence")
     c = c.alias("c").join(major.alias("d"), on("d")).select("c.*", "d.major")
     c = c.alias("c").join(pulse(acc).alias("d"), on("d"), "left").select("c.*", F.coalesce("d.pulse", F.lit(0.0)).alias("pulse"))
-    words = acc.select(*KEY, F.explode("tokens").alias("token")).distinct().groupBy(*KEY).agg(F.collect_list("token").alias("token_union"))
-    c = c.alias("c").join(words.alias("d"), on("d"), "left").select("c.*", F.coalesce("d.token_union", F.array().cast("array<string>")).alias("token_union"))
+    if "tokens" in acc.columns:
+        words = acc.select(*KEY, F.explode("tokens").alias("token")).distinct().groupBy(*KEY).agg(F.collect_list("token").alias("token_union"))
+        c = c.alias("c").join(words.alias("d"), on("d"), "left").select("c.*", F.coalesce("d.token_union", F.array().cast("array<string>")).alias("token_union"))
     base = F.create_map(*[F.lit(x) for kv in P.IMPORTANCE.items() for x in kv])
     imp = F.element_at(base, F.col("topic")) + F.when(F.col("major"), 1.0).otherwise(0.0) + F.when(has(F.col("anchor_union"), ["refinery", "railway"]), 0.5).otherwise(0.0) + F.when((F.col("topic") == "civilian-harm") & has(F.col("anchor_union"), ["casualties"]), 0.5).otherwise(0.0)
     n = F.size("locations")
@@ -145,7 +153,7 @@ def clusters(prep: DataFrame) -> DataFrame:
     c = c.withColumns({
         "importance": F.least(F.lit(10.0), imp), "routine": t.isin("strikes", "air-defence") & ~F.col("material") & (F.col("alerts") >= 0.5) & (F.col("families") <= 3), "broad": n >= F.when(t == "civilian-harm", 2).otherwise(3),
         "weak": (n == 0) & ~t.isin("support", "investigations"), "thin": F.when(t.isin("frontline", "air-defence", "naval", "support"), F.col("evidence") < 3.0).when(t == "energy", F.col("evidence") < 1.5).otherwise(F.lit(False)),
-        "cluster_id": F.concat_ws("|", F.col("local_day").cast("string"), t, F.array_join("locations", ","), F.array_join("semantic", ","))})
+        "cluster_id": cluster_id()})
     out = settled(c, "clusters")  # a few hundred rows a day, read by history, rank and selection
     drop(acc)
     return out

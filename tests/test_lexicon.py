@@ -78,6 +78,23 @@ def test_plan_of_clusters_is_small_and_matches_once(spark):
     assert len(plan) < 100_000 and plan.split("== Physical Plan ==")[1].count("MapInArrow") == 1
 
 
+def test_evidence_needs_neither_words_nor_texts_of_clusters(spark, monkeypatch):
+    """One pass of the matcher that gives no text, and nothing is written between it and the scores."""
+    written, plain = [], C.settled
+    monkeypatch.setattr(C, "settled", lambda df, name: written.append(name) or plain(df, name))
+    plan = catalog.QUERIES["evidence"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert not written and plan.count("MapInArrow") == 1 and " canonical#" not in plan
+    assert "token_union" not in C.clusters(C.prepared(catalog.V.items(spark, "/root/testdata/sf0.001"), P.TEST_LEXICON, words=False)).columns
+
+
+def test_matches_are_the_same_without_texts(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "Ábc ab"), (4, "ab x ábd")], "id long, t string")
+    found = lambda **k: matched(df, "t", {"x": "áb"}, {"w": "ab"}, {"y": "x ab|x x"}, **k)
+    less = found(texts=False)
+    assert less.columns == ["id", "anchors", "as_written", "in_canonical"]
+    assert sorted(map(tuple, less.collect())) == sorted(map(tuple, found().select(less.columns).collect()))
+
+
 def test_groups_beyond_the_table_weigh_half(spark):
     rows = [(1, "d", "t", [], [], "f1", "other", "unknown"), (2, "d", "t", [], [], "f2", "other", ""), (3, "d", "t", [], [], "f3", "other", "x"), (4, "d", "t", [], [], "f4", "osint", "y")]
     best = spark.createDataFrame(rows, "item_id long, local_day string, topic string, locations array<string>, semantic array<string>, family string, grp string, perspective string")
