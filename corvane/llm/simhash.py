@@ -344,17 +344,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(small(settle(comp, "simhash-comp")), F.col("fp") == F.col("n_fp"), "left").select("doc_id", "fp", "component_id")
 
 
+def ends(links: DataFrame, name: str) -> DataFrame:
+    """Every node of links (a, b) once, as column name; each side is aggregated before both are put together."""
+    return links.select(F.col("a").alias(name)).distinct().union(links.select("b").distinct()).distinct()
+
+
 def similar_links(docs: DataFrame, links: DataFrame, n: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
     """The links whose texts' sets of n-word shingles have at least the Jaccard similarity."""
-    ends = links.select(F.explode(F.array("a", "b")).alias("s_id")).distinct()
-
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             hashes = [shingle_set(t.as_py(), n).tobytes() for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(hashes, pa.binary())], ["s_id", "shingles"])
 
     base = docs.select(F.col(id_col).cast("long").alias("s_id"), F.col(text_col).alias("text"))
-    shingles = settle(base.join(small(ends), "s_id").dropDuplicates(["s_id"]).mapInArrow(sets, "s_id long, shingles binary"), "simhash-shingles")
+    shingles = settle(base.join(small(settle(ends(links, "s_id"), "simhash-ends")), "s_id").dropDuplicates(["s_id"]).mapInArrow(sets, "s_id long, shingles binary"), "simhash-shingles")
     one = links.join(shingles.withColumnRenamed("s_id", "a").withColumnRenamed("shingles", "sa"), "a")
     both = one.join(shingles.withColumnRenamed("s_id", "b").withColumnRenamed("shingles", "sb"), "b").select("a", "b", "sa", "sb")
 
@@ -393,7 +396,7 @@ def keep_one_of_each(docs: DataFrame, n: int = 5, similarity: float = 0.8, radiu
     similar = check(found.where("b IS NOT NULL").select("a", "b"))
     roots = components(similar)
     if found.where("b IS NULL").limit(1).count():
-        dense = settle(found.where("b IS NOT NULL").select(F.explode(F.array("a", "b")).alias("a")).distinct(), "simhash-dense")
+        dense = settle(ends(found.where("b IS NOT NULL"), "a"), "simhash-dense")
         again = nodes.select("node", "fp").join(small(dense), F.col("node") == F.col("a"), "left_semi")
         again = again.join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
