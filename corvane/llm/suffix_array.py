@@ -14,6 +14,8 @@ further columns are ignored (dedup) or kept (trimmed).
 
 from __future__ import annotations
 
+from itertools import compress
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,25 +58,29 @@ def boundaries(t: np.ndarray, sa: np.ndarray, length: int) -> np.ndarray:
     """Common prefix of each row of the suffix array with the row before, where below ``length``; else 255."""
     n = len(t)
     bwt = t[sa - 1]
-    order = np.argsort(bwt, kind="stable")  # row of the suffix that is one byte shorter than that of row i
-    back = np.empty(n, np.int64)
-    back[order] = np.arange(n)
+    order = np.argsort(bwt, kind="stable").astype(np.int32)  # row of the suffix that is one byte shorter than that of row i
+    back = np.empty(n, np.int32)
+    back[order] = np.arange(n, dtype=np.int32)
     first = bwt[order]
-    head = np.concatenate([[True], first[1:] != first[:-1]])
-    tail = np.append(head[1:], True)
-    before, after = np.concatenate([[-1], order[:-1]]), np.append(order[1:], n)
-    before[head], after[tail] = -1, n  # neighbours with the same byte in front
+    change = np.flatnonzero(first[1:] != first[:-1])
+    before, after = np.empty(n, np.int32), np.empty(n, np.int32)  # of each row the rows next to it with the same byte in front
+    before[order[1:]], after[order[:-1]] = order[:-1], order[1:]
+    before[order[0]] = before[order[change + 1]] = -1
+    after[order[-1]] = after[order[change]] = n
     lcp = np.full(n + 1, 255, np.uint8)
     lcp[0] = lcp[n] = 0
-    lo, hi = np.array([0]), np.array([n])
+    lo, hi = np.array([0], np.int32), np.array([n], np.int32)
     for depth in range(length):
         size = hi - lo
-        at = np.arange(int(size.sum())) + np.repeat(lo - (np.cumsum(size) - size), size)
-        to = back[at]
-        starts = np.sort(to[before[to] < np.repeat(lo, size)])
-        ends = np.sort(to[after[to] >= np.repeat(hi, size)]) + 1
-        new = lcp[ends] == 255
-        lo, hi = starts[new], ends[new]
+        at = np.repeat(lo - (np.cumsum(size) - size), size)  # all rows of the intervals
+        at += np.arange(len(at))
+        starts = back.take(at.compress(before.take(at) < np.repeat(lo, size)))
+        ends = back.take(at.compress(after.take(at) >= np.repeat(hi, size)))
+        starts.sort()
+        ends.sort()
+        ends += 1
+        new = lcp.take(ends) == 255
+        lo, hi = starts.compress(new), ends.compress(new)
         lcp[hi] = depth
         if not len(lo):
             break
@@ -82,23 +88,35 @@ def boundaries(t: np.ndarray, sa: np.ndarray, length: int) -> np.ndarray:
 
 
 def smallest_ids(length: int):
-    """A solver: the smallest id, over all strings, of each window of each string, and the number of windows of each."""
+    """A solver: the smallest id, over all strings, of each window of each string, and the number of windows of each.
 
-    def solve(strings: list[bytes], ids: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    Strings come by keys, and equal windows have equal keys. A string that is alone with its key shares no window with
+    another, so it isn't sorted: its windows' smallest id is its own.
+    """
+
+    def sorted_ids(strings: list[bytes], ids: np.ndarray, size: np.ndarray) -> np.ndarray:
         t = np.frombuffer(b"\xff".join(strings) + b"\xff\xfe", np.uint8)  # never part of UTF-8; the last one is unique
-        size = np.fromiter(map(len, strings), np.int64, len(strings)) + 1
-        start = np.cumsum(size) - size
         sa = suffix_order(t, length)
         lcp = boundaries(t, sa, length)
-        owner = np.append(np.repeat(ids, size), NULL_ID)
-        inside = np.arange(len(t) - 1) - np.repeat(start, size)
-        window = inside + length <= np.repeat(size, size) - 1
+        owner = np.append(np.repeat(ids, size + 1), NULL_ID)
+        end = np.cumsum(size + 1)
+        window = np.repeat(end, size + 1) - np.arange(len(t) - 1) > length
         owner[:-1][~window] = NULL_ID
         cut = np.flatnonzero(lcp != 255)
         least = np.empty(len(t), np.int64)
         low = np.minimum.reduceat(owner[sa], cut)
         least[sa] = np.repeat(low, np.diff(np.append(cut, len(t))))
-        return least[:-1][window], size - length
+        return least[:-1][window]
+
+    def solve(strings: list[bytes], ids: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = np.fromiter(map(len, strings), np.int64, len(strings))
+        n = size - length + 1
+        same = keys[1:] == keys[:-1]
+        met = np.append(same, False) | np.append(False, same)
+        value = np.repeat(ids, n)
+        if met.any():
+            value[np.repeat(met, n)] = sorted_ids(list(compress(strings, met.tolist())), ids[met], size[met])
+        return value, n
 
     return solve
 

@@ -166,6 +166,24 @@ def test_solvers_agree_with_brute_force():
         assert suffix_tree.smallest_ids(6)(words, np.array([i for _, i in starts]), keys)[0].tolist() == want
 
 
+def test_strings_alone_with_their_key_are_not_sorted(monkeypatch):
+    order, sizes = suffix_array.suffix_order, []
+    monkeypatch.setattr(suffix_array, "suffix_order", lambda t, depth: sizes.append(len(t)) or order(t, depth))
+    strings = [b"abababab", b"ghijklmn", b"hijklmno", b"pqrstuv"]
+    value, n = suffix_array.smallest_ids(6)(strings, np.array([5, 4, 3, 9]), np.array([1, 2, 2, 7], np.uint32))
+    assert value.tolist() == [5, 5, 5, 4, 3, 3, 3, 3, 3, 9, 9] and n.tolist() == [3, 3, 3, 2]
+    assert sizes == [len(b"ghijklmn-hijklmno--")]
+    value, n = suffix_array.smallest_ids(6)(strings[:1], np.array([5]), np.array([1], np.uint32))
+    assert value.tolist() == [5, 5, 5] and n.tolist() == [3] and len(sizes) == 1
+    r = random.Random(3)
+    for _ in range(15):  # keys are the letters of a string
+        keys = np.sort(np.array([r.randint(0, 12) for _ in range(14)], np.uint32))
+        strings = [bytes(r.choice([65 + 2 * k, 66 + 2 * k]) for _ in range(r.randint(6, 40))) for k in keys.tolist()]
+        ids = np.array([r.randint(0, 20) for _ in strings])
+        want = [min(int(i) for i, t in zip(ids, strings, strict=True) if s[k : k + 6] in t) for s in strings for k in range(len(s) - 5)]
+        assert suffix_array.smallest_ids(6)(strings, ids, keys)[0].tolist() == want
+
+
 def test_common_prefixes():
     t = np.frombuffer(b"banana$bandana\xff\xfe", np.uint8)
     sa = suffix_array.suffix_order(t, 50)
